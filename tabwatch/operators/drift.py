@@ -46,7 +46,7 @@ def categorical_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str
     return rows.groupBy(*keys, "feature", "value").agg(F.count(F.lit(1)).alias(name))
 
 
-def _both_sides(reference: DataFrame, production: DataFrame, keys: Sequence[str]) -> DataFrame:
+def both_sides(reference: DataFrame, production: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer combination of both count tables, as a union that is summed once."""
     group = [*keys, "feature", "value"]
     sides = reference.select(*group, "ref_n", F.lit(0).cast("bigint").alias("prod_n")).unionByName(
@@ -55,13 +55,21 @@ def _both_sides(reference: DataFrame, production: DataFrame, keys: Sequence[str]
     return sides.groupBy(*group).agg(F.sum("ref_n").alias("ref_n"), F.sum("prod_n").alias("prod_n"))
 
 
+def proportions(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Share of each category within its (keys, feature)."""
+    group = [*keys, "feature"]
+    counts = counts.where(F.col(name) > 0)
+    totals = counts.groupBy(*group).agg(F.sum(name).alias("_total"))
+    return counts.join(totals, group).withColumn("proportion", F.col(name) / F.col("_total")).drop("_total")
+
+
 def ks_by_feature(reference: DataFrame, production: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, feature, reference_n, production_n, score, p_value) from two numeric count tables.
 
     The score is null when one side has no usable value.
     """
     group = [*keys, "feature"]
-    both = _both_sides(reference, production, keys)
+    both = both_sides(reference, production, keys)
     run = global_cumsum(both, group, "value", ["ref_n", "prod_n"], strata=["feature"])
     gap = F.abs(
         F.try_divide(F.col("cum_ref_n").cast("double"), F.col("total_ref_n").cast("double"))
@@ -89,7 +97,7 @@ def psi_by_feature(
     group = [*keys, "feature"]
     # Categories without any count cannot occur; the predicate keeps both measures alive in both
     # uses of the counts, so that their shuffle is shared.
-    both = _both_sides(reference, production, keys).where(F.col("ref_n") + F.col("prod_n") > 0)
+    both = both_sides(reference, production, keys).where(F.col("ref_n") + F.col("prod_n") > 0)
     totals = both.groupBy(*group).agg(F.sum("ref_n").alias("reference_n"), F.sum("prod_n").alias("production_n"))
     term = stats.psi_term(
         F.col("ref_n") / F.col("reference_n").cast("double"),
