@@ -9,20 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwatch.functions import stats
-from tabwatch.operators.ordered import global_cumsum, newest_per_group
+from tabwatch.operators.ordered import bucket_offsets, global_cumsum, hot_groups, newest_per_group, with_bucket
 from tabwatch.schema import WINDOW_SECONDS, DatasetContract, MonitorConfig
 
 NO_VALUES_NOTE = "no usable values for this feature on one side of the comparison"  # fixed value
 
-REPORT_COLUMNS = (
-    "feature", "test", "score", "p_value", "threshold", "critical_threshold", "severity",
-    "drift_detected", "reference_n", "production_n", "note",
-)
-
 
 def _long(df: DataFrame, ids: Sequence[str], columns: Sequence[str], value: type | str) -> DataFrame:
     """(ids, feature, value) rows, one per listed column.
@@ -63,14 +58,16 @@ def proportions(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return counts.join(totals, group).withColumn("proportion", F.col(name) / F.col("_total")).drop("_total")
 
 
-def ks_by_feature(reference: DataFrame, production: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def ks_by_feature(
+    reference: DataFrame, production: DataFrame, keys: Sequence[str] = (), split_rows: int | None = None
+) -> DataFrame:
     """(keys, feature, reference_n, production_n, score, p_value) from two numeric count tables.
 
     The score is null when one side has no usable value.
     """
     group = [*keys, "feature"]
     both = both_sides(reference, production, keys)
-    run = global_cumsum(both, group, "value", ["ref_n", "prod_n"], strata=["feature"])
+    run = global_cumsum(both, group, "value", ["ref_n", "prod_n"], strata=["feature"], split_rows=split_rows)
     gap = F.abs(
         F.try_divide(F.col("cum_ref_n").cast("double"), F.col("total_ref_n").cast("double"))
         - F.try_divide(F.col("cum_prod_n").cast("double"), F.col("total_prod_n").cast("double"))
@@ -86,33 +83,112 @@ def ks_by_feature(reference: DataFrame, production: DataFrame, keys: Sequence[st
     )
 
 
-def psi_by_feature(
-    reference: DataFrame, production: DataFrame, keys: Sequence[str] = (), config: MonitorConfig = MonitorConfig()
-) -> DataFrame:
-    """(keys, feature, reference_n, production_n, score) from two categorical count tables.
+def ks_against_reference(reference: DataFrame, production: DataFrame, ref_keys: Sequence[str], keys: Sequence[str], split_rows: int | None = None) -> DataFrame:
+    """KS per (keys, feature) when many production groups share one reference.
 
-    Totals and the per-category logarithms need each other; counts per (keys, feature) are few after
-    aggregation, but are not assumed so: totals are a second aggregate joined back on the group.
+    `reference` counts are per (ref_keys, feature, value); `production` counts per (ref_keys, keys,
+    feature, value). The reference is never copied per production group: both empirical distribution
+    functions are steps, so their largest gap lies at a production value or just before one, and it
+    is enough to look up the reference there. One ordered pass over both tables per reference does
+    that, a second one accumulates the production side.
     """
-    group = [*keys, "feature"]
-    # Categories without any count cannot occur; the predicate keeps both measures alive in both
-    # uses of the counts, so that their shuffle is shared.
-    both = both_sides(reference, production, keys).where(F.col("ref_n") + F.col("prod_n") > 0)
-    totals = both.groupBy(*group).agg(F.sum("ref_n").alias("reference_n"), F.sum("prod_n").alias("production_n"))
-    term = stats.psi_term(
-        F.col("ref_n") / F.col("reference_n").cast("double"),
-        F.col("prod_n") / F.col("production_n").cast("double"),
-        config.psi_floor,
+    ref_keys, keys = list(ref_keys), list(keys)
+    by_ref, by_group = [*ref_keys, "feature"], [*ref_keys, *keys, "feature"]
+    none = F.lit(0).cast("bigint")
+    ref_rows = reference.select(
+        *by_ref, "value", *[F.lit(None).cast(production.schema[k].dataType).alias(k) for k in keys],
+        "ref_n", none.alias("prod_n"),
+    )
+    points = ref_rows.unionByName(
+        production.select(*by_ref, "value", *keys, none.alias("ref_n"), "prod_n")
+    ).where(F.col("ref_n") + F.col("prod_n") > 0)
+    bucketed = with_bucket(points, "value", by_ref, ["feature"], split_rows)
+    # Equal values of several groups are peers, hence RANGE frames: up to and at the current value.
+    ordered = Window.partitionBy(*by_ref, "_bucket").orderBy("value")
+    upto = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    at = ordered.rangeBetween(Window.currentRow, Window.currentRow)
+    looked_up = (
+        bucketed.select("*", F.sum("ref_n").over(upto).alias("_ref_run"), F.sum("ref_n").over(at).alias("_ref_at"))
+        .join(
+            bucket_offsets(bucketed, by_ref, ["ref_n"]).withColumnRenamed("total_ref_n", "reference_n"),
+            [*by_ref, "_bucket"],
+        )
+        .where(F.col("prod_n") > 0)
+        .select(
+            *by_group, "value", "_bucket", "prod_n", "reference_n",
+            (F.col("_ref_run") + F.col("_before_ref_n")).alias("_ref_cum"), "_ref_at",
+        )
+    )
+    # A group is part of its reference's points, so only groups of hot references can be hot; the
+    # others need no buckets of their own.
+    own = bucketed.where(F.col("prod_n") > 0)
+    hot = F.broadcast(hot_groups(own, by_group, split_rows).select(*by_group, F.lit(True).alias("_hot")))
+
+    def group_bucket(df: DataFrame) -> DataFrame:
+        bucket = F.when(F.col("_hot"), F.col("_bucket")).otherwise(0)
+        return df.join(hot, by_group, "left").withColumn("_bucket", bucket).drop("_hot")
+
+    in_bucket = Window.partitionBy(*by_group, "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    run = group_bucket(looked_up).withColumn("_prod_run", F.sum("prod_n").over(in_bucket)).join(
+        bucket_offsets(group_bucket(own), by_group, ["prod_n"]).withColumnRenamed("total_prod_n", "production_n"),
+        [*by_group, "_bucket"],
+    )
+    cum = F.col("_prod_run") + F.col("_before_prod_n")
+    n, m = F.col("reference_n").cast("double"), F.col("production_n").cast("double")
+    here = F.abs(F.try_divide(F.col("_ref_cum").cast("double"), n) - cum / m)
+    before = F.abs(
+        F.try_divide((F.col("_ref_cum") - F.col("_ref_at")).cast("double"), n) - (cum - F.col("prod_n")) / m
     )
-    usable = (F.col("reference_n") > 0) & (F.col("production_n") > 0)
     return (
-        both.join(totals, group)
-        .groupBy(*group)
+        run.groupBy(*by_group)
         .agg(
             F.first("reference_n").alias("reference_n"),
             F.first("production_n").alias("production_n"),
-            F.sum(F.when(usable, term)).alias("score"),
+            F.max(F.when(n > 0, F.greatest(here, before))).alias("score"),
         )
+        .withColumn("p_value", stats.ks_pvalue(F.col("score"), F.col("reference_n"), F.col("production_n")))
+    )
+
+
+def psi_against_reference(
+    reference: DataFrame,
+    production: DataFrame,
+    ref_keys: Sequence[str] = (),
+    keys: Sequence[str] = (),
+    config: MonitorConfig = MonitorConfig(),
+) -> DataFrame:
+    """(ref_keys, keys, feature, reference_n, production_n, score) from categorical count tables.
+
+    The sum runs over the categories of both sides. The part of categories absent from production is
+    the same for every production group of a reference up to the categories that group does have, so:
+    sum over the reference as if all were absent, plus a correction per category that is present.
+    """
+    ref_keys, keys = list(ref_keys), list(keys)
+    by_ref, by_group = [*ref_keys, "feature"], [*ref_keys, *keys, "feature"]
+    # The predicates keep the counts alive in both uses of each table, so its shuffle is shared.
+    reference = reference.where(F.col("ref_n") > 0)
+    production = production.where(F.col("prod_n") > 0)
+    share = F.col("ref_n") / F.col("reference_n").cast("double")
+    absent = stats.psi_term(share, F.lit(0.0), config.psi_floor)
+    ref_total = reference.groupBy(*by_ref).agg(F.sum("ref_n").alias("reference_n"))
+    ref = reference.join(ref_total, by_ref).withColumn("_share", share).withColumn("_absent", absent)
+    base = ref.groupBy(*by_ref).agg(F.first("reference_n").alias("reference_n"), F.sum("_absent").alias("_base"))
+    prod_total = production.groupBy(*by_group).agg(F.sum("prod_n").alias("production_n"))
+    prod_share = F.col("prod_n") / F.col("production_n").cast("double")
+    correction = stats.psi_term(F.coalesce("_share", F.lit(0.0)), prod_share, config.psi_floor) - F.coalesce(
+        "_absent", F.lit(0.0)
+    )
+    present = (
+        production.join(prod_total, by_group)
+        .join(ref.select(*by_ref, "value", "_share", "_absent"), [*by_ref, "value"], "left")
+        .groupBy(*by_group)
+        .agg(F.first("production_n").alias("production_n"), F.sum(correction).alias("_correction"))
+    )
+    return present.join(base, by_ref, "left").select(
+        *by_group,
+        F.coalesce("reference_n", F.lit(0)).cast("bigint").alias("reference_n"),
+        "production_n",
+        (F.col("_base") + F.col("_correction")).alias("score"),
     )
 
 
@@ -167,53 +243,57 @@ def feature_results(
     reference: tuple[DataFrame, DataFrame],
     production: tuple[DataFrame, DataFrame],
     contract: DatasetContract,
-    keys: Sequence[str] = (),
     *,
-    groups: DataFrame | None = None,
+    ref_keys: Sequence[str] = (),
+    keys: Sequence[str] = (),
+    groups: DataFrame,
     features: Sequence[str] | None = None,
     config: MonitorConfig = MonitorConfig(),
 ) -> DataFrame:
-    """One result row per (keys, feature).
+    """One result row per (keys, feature) of `groups`.
 
-    `groups` lists the key combinations that must appear; with it, a feature without a single usable
-    value on either side still gets its row, with a note instead of a score.
+    `reference` counts are keyed by `ref_keys`, `production` counts by `ref_keys` and `keys`, and
+    `groups` lists the key combinations that must appear. A feature without a usable value on one
+    side still gets its row, with a note in place of the score.
     """
-    keys = list(keys)
+    ref_keys, keys = list(ref_keys), list(keys)
     wanted = list(contract.features) if features is None else list(features)
     contract.check_features(wanted)
     (ref_num, ref_cat), (prod_num, prod_cat) = reference, production
+    group = [*ref_keys, *keys]
     parts = []
     numeric = [c for c in wanted if c in contract.numeric_columns]
     categorical = [c for c in wanted if c not in contract.numeric_columns]
     if numeric:
         keep = F.col("feature").isin(numeric)
-        parts.append(_numeric_results(ks_by_feature(ref_num.where(keep), prod_num.where(keep), keys), keys, config))
+        ks = ks_against_reference(ref_num.where(keep), prod_num.where(keep), ref_keys, keys)
+        parts.append(_numeric_results(ks, group, config))
     if categorical:
         keep = F.col("feature").isin(categorical)
-        psi = psi_by_feature(ref_cat.where(keep), prod_cat.where(keep), keys, config)
-        parts.append(_categorical_results(psi, keys, config))
-    results = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    if groups is not None:
-        tests = {c: ("KS" if c in contract.numeric_columns else "PSI") for c in wanted}
-        expected = groups.select(
-            *keys,
-            F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(t).alias("_test")) for c, t in tests.items()])).alias("_f"),
-        ).select(*keys, "_f.feature", "_f._test")
-        is_ks = F.col("_test") == "KS"
-        results = expected.join(results, [*keys, "feature"], "left").select(
-            *keys,
-            "feature",
-            F.col("_test").alias("test"),
-            "score",
-            "p_value",
-            F.when(is_ks, config.ks_threshold).otherwise(config.psi_warning).alias("threshold"),
-            F.when(~is_ks, config.psi_critical).alias("critical_threshold"),
-            "severity",
-            F.coalesce("drift_detected", F.lit(False)).alias("drift_detected"),
-            F.coalesce("reference_n", F.lit(0)).cast("bigint").alias("reference_n"),
-            F.coalesce("production_n", F.lit(0)).cast("bigint").alias("production_n"),
-        )
-    return results.withColumn("note", F.when(F.col("score").isNull(), NO_VALUES_NOTE))
+        psi = psi_against_reference(ref_cat.where(keep), prod_cat.where(keep), ref_keys, keys, config)
+        parts.append(_categorical_results(psi, group, config))
+    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    tests = F.array(
+        *[
+            F.struct(F.lit(c).alias("feature"), F.lit("KS" if c in contract.numeric_columns else "PSI").alias("_test"))
+            for c in wanted
+        ]
+    )
+    expected = groups.select(*group, F.explode(tests).alias("_f")).select(*group, "_f.feature", "_f._test")
+    is_ks = F.col("_test") == "KS"
+    return expected.join(found, [*group, "feature"], "left").select(
+        *group,
+        "feature",
+        F.col("_test").alias("test"),
+        "score",
+        "p_value",
+        F.when(is_ks, config.ks_threshold).otherwise(config.psi_warning).alias("threshold"),
+        F.when(~is_ks, config.psi_critical).alias("critical_threshold"),
+        "severity",
+        F.coalesce("drift_detected", F.lit(False)).alias("drift_detected"),
+        *[F.when(F.col("score").isNotNull(), F.col(n)).alias(n) for n in ("reference_n", "production_n")],
+        F.when(F.col("score").isNull(), NO_VALUES_NOTE).alias("note"),
+    )
 
 
 def displayed(results: DataFrame) -> DataFrame:
@@ -286,17 +366,13 @@ def drift_report(
     key = "model_version_id"
     recent = within_window(predictions, window, as_of)
     header = sample_header(versions, recent, config)
-    passed = header.where(F.col("status") == "ok").select(key, "dataset_id")
-    sampled = newest_sample(recent.join(passed.select(key), key, "left_semi"), config)
-    # Versions trained on the same dataset share its counts: count per dataset, then attach versions.
-    ref = tuple(
-        counts.join(passed, "dataset_id").drop("dataset_id")
-        for counts in reference_counts(training_rows, contract, ["dataset_id"])
-    )
+    passed = header.where(F.col("status") == "ok").select("dataset_id", key)
+    sampled = newest_sample(recent.join(passed, key), config)
     results = feature_results(
-        ref, production_counts(sampled, contract, [key]), contract, [key],
-        groups=passed.select(key), features=features, config=config,
-    )
+        reference_counts(training_rows, contract, ["dataset_id"]),
+        production_counts(sampled, contract, ["dataset_id", key]),
+        contract, ref_keys=["dataset_id"], keys=[key], groups=passed, features=features, config=config,
+    ).drop("dataset_id")
     ref_rows = training_rows.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("reference_n_rows"))
     flags = results.groupBy(key).agg(F.bool_or("drift_detected").alias("drift_detected"))
     cap = F.col("sample_size") if config.max_sample is None else F.least("sample_size", F.lit(config.max_sample))
@@ -319,41 +395,35 @@ def age_class(ts: Column, as_of: Column) -> Column:
 
 
 def drift_by_window(
+    versions: DataFrame,
     training_rows: DataFrame,
     predictions: DataFrame,
     contract: DatasetContract,
     *,
     as_of: Column,
-    key: str = "model_version_id",
     config: MonitorConfig = MonitorConfig(),
 ) -> DataFrame:
     """Feature results for every (version, window preset and all time) from one pass over the log.
 
     Presets nest, so each prediction is counted once under the shortest window holding it; only the
-    counts are then spread over that window and the longer ones. `training_rows` carries `key`.
+    counts are then spread over that window and the longer ones. `versions` maps model_version_id to
+    dataset_id.
     """
+    key, ref = "model_version_id", "dataset_id"
     names = [*WINDOW_SECONDS, "all"]
-    aged = predictions.withColumn("_age", age_class(F.col("created_at"), as_of))
-    all_names = F.array(*[F.lit(n) for n in names])
+    aged = predictions.join(versions.select(key, ref), key).withColumn("_age", age_class(F.col("created_at"), as_of))
+    held_by = F.slice(F.array(*[F.lit(n) for n in names]), F.col("_age") + 1, F.lit(len(names)))
 
-    def spread(counts: DataFrame, name: str) -> DataFrame:
-        wide = counts.withColumn("window", F.explode(F.slice(all_names, F.col("_age") + 1, F.lit(len(names)))))
-        return wide.groupBy(key, "window", "feature", "value").agg(F.sum(name).alias(name))
+    def spread(counts: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+        return counts.withColumn("window", F.explode(held_by)).groupBy(*by).agg(F.sum(name).alias(name))
 
-    production = tuple(spread(c, "prod_n") for c in production_counts(aged, contract, [key, "_age"]))
-    reference = tuple(
-        c.withColumn("window", F.explode(all_names)) for c in reference_counts(training_rows, contract, [key])
+    group = [ref, key, "window"]
+    production = tuple(
+        spread(c, [*group, "feature", "value"], "prod_n") for c in production_counts(aged, contract, [ref, key, "_age"])
     )
-    groups = sample_sizes_by_window(aged, key, names).where(F.col("sample_size") >= config.min_samples)
+    sizes = spread(aged.groupBy(ref, key, "_age").agg(F.count(F.lit(1)).alias("sample_size")), group, "sample_size")
     return feature_results(
-        reference, production, contract, [key, "window"], groups=groups.select(key, "window"), config=config
-    )
-
-
-def sample_sizes_by_window(aged: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
-    sizes = aged.groupBy(key, "_age").agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        sizes.withColumn("window", F.explode(F.slice(F.array(*[F.lit(n) for n in names]), F.col("_age") + 1, F.lit(len(names)))))
-        .groupBy(key, "window")
-        .agg(F.sum("_n").alias("sample_size"))
-    )
+        reference_counts(training_rows, contract, [ref]), production, contract,
+        ref_keys=[ref], keys=[key, "window"],
+        groups=sizes.where(F.col("sample_size") >= config.min_samples).select(*group), config=config,
+    ).drop(ref)

@@ -1,14 +1,18 @@
 """Order statistics over data that is too large for one sorted partition.
 
 The one primitive is `global_cumsum`: an exact running total in value order for every key. A window
-over (key) alone would pull a hot key's whole value range into one task, so the value range is cut
-into buckets and the window runs inside (key, bucket):
-
-* bucket edges are quantiles over *all* keys of a stratum, hence no bucket of any key, however hot,
-  holds more than about 1/buckets of the stratum's distinct values;
-* the input has one row per (key, value), so a heavily repeated value is one row;
-* bucket totals (at most keys x buckets rows) are accumulated and joined back on the very columns
-  the window already partitioned by, so the large side is shuffled once.
+over (key) alone pulls a hot key's whole value range into one task, so the groups of hot keys are cut
+into value buckets and the window runs inside (key, bucket):
+
+* the input has one row per (key, value), so a heavily repeated value is one row already;
+* a group counts as hot when it has more than `SPLIT_ROWS` rows and is among the `MAX_HOT` largest.
+  The list of hot groups is broadcast and bounded by that number; any group not on it is small, or
+  holds less than 1/MAX_HOT of all rows;
+* bucket edges are quantiles of a hash sample of the hot groups' rows. The sample and the quantiles
+  are functions of the data alone, so every use and every recomputation gives the same edges. They
+  only balance the work; results do not depend on them;
+* bucket totals are accumulated and joined back on the columns that the window partitioned by, so
+  the large side is shuffled once.
 """
 
 from __future__ import annotations
@@ -18,39 +22,77 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BITS = 10  # bucket edges per stratum: 2**_BITS - 1
+SPLIT_ROWS = 200_000
+MAX_HOT = 65_536
+_BITS = 12  # a stratum has 2**_BITS buckets
+_SAMPLE = 16 << _BITS  # sampled rows per stratum, about 16 to a bucket
 
 
-def value_counts(
-    df: DataFrame, keys: Sequence[str], value: str, measures: dict[str, Column]
-) -> DataFrame:
-    """One row per (keys, value); partial aggregation collapses hot values before the shuffle."""
-    return df.groupBy(*keys, value).agg(*[m.alias(name) for name, m in measures.items()])
+def hot_groups(df: DataFrame, keys: Sequence[str], split_rows: int | None = None) -> DataFrame:
+    """(keys, _n): at most MAX_HOT groups, the largest ones above the split size."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    floor = SPLIT_ROWS if split_rows is None else split_rows
+    return sizes.where(F.col("_n") > floor).orderBy(F.col("_n").desc(), *keys).limit(MAX_HOT)
 
 
-def _bucket_edges(df: DataFrame, strata: Sequence[str], value: str) -> DataFrame:
-    """One sorted array of quantile edges per stratum; its size does not depend on the data."""
+def _bucket_edges(df: DataFrame, hot: DataFrame, keys: Sequence[str], strata: Sequence[str], value: str) -> DataFrame:
+    """One sorted array of 2**_BITS - 1 edges per stratum; its size does not depend on the data."""
     n = 1 << _BITS
-    fractions = F.array(*[F.lit(i / n) for i in range(1, n)])
-    edges = F.percentile_approx(F.col(value).cast("double"), fractions, 4 * n)
-    return df.groupBy(*strata).agg(edges.alias("_edges"))
+    weighted = hot.withColumn("_stratum_n", F.sum("_n").over(Window.partitionBy(*strata))).drop("_n")
+    unit = F.pmod(F.xxhash64(*keys, value), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sorted_sample = F.sort_array(F.collect_list(F.col(value).cast("double")))
+    return (
+        df.join(F.broadcast(weighted), list(keys))
+        .where(unit * F.col("_stratum_n") < _SAMPLE)
+        .groupBy(*strata)
+        .agg(sorted_sample.alias("_s"))
+        .select(*strata, F.expr(f"transform(sequence(1, {n - 1}), i -> _s[CAST(i * size(_s) DIV {n} AS INT)])").alias("_edges"))
+    )
 
 
-def _with_bucket(df: DataFrame, value: str) -> DataFrame:
-    """Adds `_bucket`, the number of edges below the value, by halving steps.
+def with_bucket(
+    df: DataFrame, value: str, keys: Sequence[str], strata: Sequence[str], split_rows: int | None = None
+) -> DataFrame:
+    """Adds `_bucket`: for rows of hot groups the number of edges of their stratum below the value, else 0.
 
-    Each step is its own projection: it uses the previous one twice, and the steps stay inside
-    generated code.
+    The search halves its range step by step. Each step is its own projection, because it uses the
+    previous one twice, and all steps stay inside generated code.
     """
-    v = F.col(value).cast("double")
-    df = df.withColumn("_bucket", F.lit(0))
+    keys, strata = list(keys), list(strata)
+    hot = hot_groups(df, keys, split_rows)
+    edges = _bucket_edges(df, hot, keys, strata, value)
+    columns = [f"`{c}`" for c in df.columns]
+    df = (
+        df.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
+        .join(F.broadcast(edges), strata, "left")
+        .selectExpr(*columns, "IF(_hot, _edges, NULL) AS _edges", "0 AS _bucket")
+    )
     for bit in reversed(range(_BITS)):
         step = 1 << bit
-        beyond = F.get("_edges", F.col("_bucket") + (step - 1)) < v
-        df = df.withColumn("_bucket", F.col("_bucket") + F.when(beyond, step).otherwise(0))
+        df = df.selectExpr(
+            *columns,
+            "_edges",
+            f"_bucket + IF(get(_edges, _bucket + {step - 1}) < CAST(`{value}` AS DOUBLE), {step}, 0) AS _bucket",
+        )
     return df.drop("_edges")
 
 
+def bucket_offsets(bucketed: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Per (keys, bucket): `_before_<m>`, the sum over earlier buckets, and `total_<m>` over all."""
+    per_key = Window.partitionBy(*keys)
+    before = per_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        bucketed.groupBy(*keys, "_bucket")
+        .agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
+        .select(
+            *keys,
+            "_bucket",
+            *[F.coalesce(F.sum(f"_sum_{m}").over(before), F.lit(0)).alias(f"_before_{m}") for m in measures],
+            *[F.sum(f"_sum_{m}").over(per_key).alias(f"total_{m}") for m in measures],
+        )
+    )
+
+
 def global_cumsum(
     counts: DataFrame,
     keys: Sequence[str],
@@ -58,6 +100,7 @@ def global_cumsum(
     measures: Sequence[str],
     *,
     strata: Sequence[str],
+    split_rows: int | None = None,
 ) -> DataFrame:
     """Adds `cum_<m>` (inclusive running sum in value order per keys) and `total_<m>` per keys.
 
@@ -70,25 +113,12 @@ def global_cumsum(
     # consumers of `counts`, so its shuffle is identical in each of them and is executed once.
     present = sum((F.col(m) for m in measures), F.lit(0)) > 0
     counts = counts.where(present)
-    edges = _bucket_edges(counts, strata, value)
-    bucketed = _with_bucket(counts.join(F.broadcast(edges), strata), value)
-    in_bucket = Window.partitionBy(*keys, "_bucket")
-    running = in_bucket.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    local = bucketed.select(
-        "*", *[F.sum(m).over(running).alias(f"_run_{m}") for m in measures]
-    )
-    per_key = Window.partitionBy(*keys)
-    before = per_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        bucketed.groupBy(*keys, "_bucket")
-        .agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
-        .select(
-            *keys,
-            "_bucket",
-            *[F.coalesce(F.sum(f"_sum_{m}").over(before), F.lit(0)).alias(f"_before_{m}") for m in measures],
-            *[F.sum(f"_sum_{m}").over(per_key).alias(f"total_{m}") for m in measures],
-        )
+    bucketed = with_bucket(counts, value, keys, strata, split_rows)
+    running = (
+        Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     )
+    local = bucketed.select("*", *[F.sum(m).over(running).alias(f"_run_{m}") for m in measures])
+    offsets = bucket_offsets(bucketed, keys, measures)
     joined = local.join(offsets, [*keys, "_bucket"])
     return joined.select(
         *counts.columns,

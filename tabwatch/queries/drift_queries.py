@@ -73,7 +73,7 @@ def drift_ks_by_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drift_psi_by_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
     training, predictions = _sides(spark, sf_dir)
-    psi = drift.psi_by_feature(
+    psi = drift.psi_against_reference(
         drift.categorical_counts(training, _CATEGORICAL, [], "ref_n"),
         drift.categorical_counts(predictions, _CATEGORICAL, [], "prod_n"),
     )
@@ -145,11 +145,9 @@ def drift_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drift_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (version, preset window) with enough predictions, in one pass over the log."""
     training, predictions = _sides(spark, sf_dir)
-    versions = _versions(spark, sf_dir).select("model_version_id", "dataset_id")
-    keyed = training.join(versions, "dataset_id").drop("dataset_id")
     results = drift.drift_by_window(
-        keyed, predictions.join(versions.select("model_version_id"), "model_version_id", "left_semi"),
-        CONTRACT, as_of=moment(AS_OF), config=MonitorConfig(min_samples=5),
+        _versions(spark, sf_dir), training, predictions, CONTRACT, as_of=moment(AS_OF),
+        config=MonitorConfig(min_samples=5),
     )
     return results.select(
         "model_version_id", "window", "feature", "test", *r6("score"), "drift_detected", "reference_n", "production_n"
@@ -234,7 +232,7 @@ def _report_sql(select: str, *, window: str = "TRUE", minimum: int = 100, newest
              CASE WHEN f.test = 'PSI' AND score IS NOT NULL THEN
                CASE WHEN score >= 0.25 THEN 'critical' WHEN score >= 0.1 THEN 'warning' ELSE 'none' END END AS severity,
              coalesce(score >= 0.1, FALSE) AS drift_detected,
-             coalesce(reference_n, 0) AS reference_n, coalesce(production_n, 0) AS production_n,
+             CASE WHEN score IS NOT NULL THEN reference_n END AS reference_n, CASE WHEN score IS NOT NULL THEN production_n END AS production_n,
              CASE WHEN score IS NULL THEN '{drift.NO_VALUES_NOTE}' END AS note
       FROM passed p CROSS JOIN features f LEFT JOIN found x ON p.model_version_id = x.model_version_id AND f.feature = x.feature)
     {select}""",
@@ -288,7 +286,7 @@ ORACLES = {
     found AS (SELECT * FROM ks UNION ALL SELECT * FROM psi)
     SELECT p.model_version_id, p."window", f.feature, f.test, round(score, 6) AS score,
            coalesce(score >= 0.1, FALSE) AS drift_detected,
-           coalesce(reference_n, 0) AS reference_n, coalesce(production_n, 0) AS production_n
+           CASE WHEN score IS NOT NULL THEN reference_n END AS reference_n, CASE WHEN score IS NOT NULL THEN production_n END AS production_n
     FROM passed p CROSS JOIN features f LEFT JOIN found x
       ON p.model_version_id = x.model_version_id AND p."window" = x."window" AND f.feature = x.feature""",
         "training_rows", "predictions", "model_versions", "datasets",
