@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tabwatch.queries import (
+    listing_queries,
+    monitoring_queries,
+    quality_queries,
     drift_queries,
 )
 
-_MODULES = (drift_queries,)
+_MODULES = (drift_queries, quality_queries, monitoring_queries, listing_queries)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
