@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tabwatch.functions.text import integer_text, short_id
 from tabwatch.schema import ACTIVE_STATUSES
 
+NO_JOB = "None (CLI-trained, Phase 2)"  # fixed value
+
 
 def lineage(versions: DataFrame, datasets: DataFrame, jobs: DataFrame, predictions: DataFrame) -> DataFrame:
     """One row per model version: its dataset, training job, run and number of predictions.
@@ -35,7 +37,7 @@ def lineage_steps(chain: DataFrame) -> DataFrame:
 
     steps = F.array(
         step(1, "Dataset", F.coalesce("dataset_filename", short_id(F.col("dataset_id")))),
-        step(2, "Training job", F.when(F.col("training_job_id").isNull(), "None").otherwise(short_id(F.col("training_job_id"), 12))),
+        step(2, "Training job", F.when(F.col("training_job_id").isNull(), NO_JOB).otherwise(short_id(F.col("training_job_id"), 12))),
         step(3, "MLflow run", short_id(F.col("mlflow_run_id"), 16)),
         step(4, "Model version", F.col("version_label")),
         step(5, "Predictions", F.concat(integer_text(F.col("prediction_count")), F.lit(" recorded"))),

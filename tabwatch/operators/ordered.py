@@ -127,9 +127,11 @@ def global_cumsum(
     )
 
 
-def exact_median(counts: DataFrame, keys: Sequence[str], value: str, measure: str, *, strata: Sequence[str]) -> DataFrame:
+def exact_median(
+    counts: DataFrame, keys: Sequence[str], value: str, measure: str, *, strata: Sequence[str], split_rows: int | None = None
+) -> DataFrame:
     """Interpolated median per keys from value counts: the one or two middle ranks, averaged."""
-    run = global_cumsum(counts, keys, value, [measure], strata=strata)
+    run = global_cumsum(counts, keys, value, [measure], strata=strata, split_rows=split_rows)
     last, n = F.col(f"cum_{measure}"), F.col(f"total_{measure}")
     first = last - F.col(measure) + 1
     lower, upper = F.floor((n + 1) / 2), F.floor((n + 2) / 2)

@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tabwatch.queries import (
+    feature_queries,
     listing_queries,
     monitoring_queries,
     quality_queries,
+    registry_queries,
+    training_queries,
     drift_queries,
 )
 
-_MODULES = (drift_queries, quality_queries, monitoring_queries, listing_queries)
+_MODULES = (drift_queries, quality_queries, monitoring_queries, listing_queries, registry_queries, feature_queries, training_queries)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
