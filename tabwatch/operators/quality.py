@@ -59,8 +59,8 @@ def _entry(metric: str, column: str | None, value: Column) -> Column:
     )
 
 
-def column_counts(df: DataFrame, contract: DatasetContract) -> DataFrame:
-    """(metric, name, value, n_rows) for missing, non-numeric and missing-target counts: one aggregate."""
+def column_counts(df: DataFrame, contract: DatasetContract, by: Sequence[str] = ()) -> DataFrame:
+    """(by, metric, name, value, n_rows) for missing, non-numeric and missing-target counts: one aggregate."""
     missing = set(missing_columns(df, contract))
     measures = {("n_rows", None): F.count(F.lit(1))}
     if not missing:
@@ -70,37 +70,41 @@ def column_counts(df: DataFrame, contract: DatasetContract) -> DataFrame:
         measures["missing_target", target] = F.count_if(F.col(f"`{target}`").isNull())
         for c in contract.numeric_columns:
             measures["non_numeric", c] = F.count_if(is_non_numeric(F.col(f"`{c}`")))
-    wide = df.agg(*[m.alias(f"_m{i}") for i, m in enumerate(measures.values())])
+    wide = df.groupBy(*by).agg(*[m.alias(f"_m{i}") for i, m in enumerate(measures.values())])
     entries = [_entry(metric, c, F.col(f"_m{i}")) for i, (metric, c) in enumerate(measures)]
-    return wide.select(F.col("_m0").alias("n_rows"), F.explode(F.array(*entries)).alias("_e")).select("_e.*", "n_rows")
+    return wide.select(*by, F.col("_m0").alias("n_rows"), F.explode(F.array(*entries)).alias("_e")).select(*by, "_e.*", "n_rows")
 
 
-def key_counts(df: DataFrame, contract: DatasetContract) -> DataFrame:
-    """(metric, name, value) for duplicate ids, duplicate contents and one row per label.
+def key_counts(df: DataFrame, contract: DatasetContract, by: Sequence[str] = ()) -> DataFrame:
+    """(by, metric, name, value) for duplicate ids, duplicate contents and one row per label.
 
     Every row is spread over the three keys it is counted under, so the table is read once and the
     rows of a very frequent key meet in the map-side partial aggregate. Null keys count as equal.
     """
-    content = [c for c in df.columns if c != contract.id_column]
+    content = [c for c in df.columns if c != contract.id_column and c not in by]
     kinds = [F.struct(F.lit("duplicate_rows").alias("kind"), F.base64(content_key(content)).alias("key"))]
     if not missing_columns(df, contract):
         for kind, c in (("duplicate_ids", contract.id_column), ("label", contract.target_column)):
             kinds.append(F.struct(F.lit(kind).alias("kind"), F.col(f"`{c}`").cast("string").alias("key")))
     per_key = (
-        df.select(F.explode(F.array(*kinds)).alias("_k")).groupBy("_k.kind", "_k.key").agg(F.count(F.lit(1)).alias("n"))
+        df.select(*by, F.explode(F.array(*kinds)).alias("_k"))
+        .groupBy(*by, "_k.kind", "_k.key").agg(F.count(F.lit(1)).alias("n"))
     )
     is_label = F.col("kind") == "label"
     return (
-        per_key.groupBy(F.col("kind").alias("metric"), F.when(is_label, F.col("key")).alias("name"))
+        per_key.groupBy(*by, F.col("kind").alias("metric"), F.when(is_label, F.col("key")).alias("name"))
         .agg(F.sum(F.when(is_label, F.col("n")).otherwise(F.col("n") - 1)).alias("value"))
         .where((F.col("metric") != "label") | F.col("name").isNotNull())
     )
 
 
-def profile(df: DataFrame, contract: DatasetContract) -> DataFrame:
-    """Long profile (metric, name, value, n_rows): everything the findings are decided on."""
-    return column_counts(df, contract).unionByName(
-        key_counts(df, contract).withColumn("n_rows", F.lit(None).cast("bigint"))
+def profile(df: DataFrame, contract: DatasetContract, by: Sequence[str] = ()) -> DataFrame:
+    """Long profile (by, metric, name, value, n_rows): everything the findings are decided on.
+
+    With `by` (for example a file path) many datasets of the same layout are profiled in one job.
+    """
+    return column_counts(df, contract, by).unionByName(
+        key_counts(df, contract, by).withColumn("n_rows", F.lit(None).cast("bigint"))
     )
 
 
@@ -113,18 +117,21 @@ def class_balance(df: DataFrame, contract: DatasetContract) -> DataFrame:
     )
 
 
-def label_findings(prof: DataFrame, contract: DatasetContract) -> DataFrame:
-    """At most one row (kind, n, labels): unexpected labels win over too few classes."""
+def label_findings(prof: DataFrame, contract: DatasetContract, by: Sequence[str] = ()) -> DataFrame:
+    """At most one row (by, kind, n, labels) per dataset: unexpected labels win over too few classes."""
     valid = [contract.positive_label, contract.negative_label]
-    labels = prof.where(F.col("metric") == "label")
-    unexpected = ~F.col("name").isin(valid)
-    seen = labels.agg(
-        F.count(F.lit(1)).alias("n"),
+    # The row count is part of every profile, so a dataset without any label still gets its row.
+    labels = prof.where(F.col("metric").isin("label", "n_rows"))
+    is_label = F.col("metric") == "label"
+    unexpected = is_label & ~F.col("name").isin(valid)
+    seen = labels.groupBy(*by).agg(
+        F.count_if(is_label).alias("n"),
         F.count_if(unexpected).alias("n_unexpected"),
         F.sort_array(F.collect_list(F.when(unexpected, F.col("name")))).alias("bad"),
-        F.sort_array(F.collect_list(F.when(~unexpected, F.col("name")))).alias("good"),
+        F.sort_array(F.collect_list(F.when(is_label & ~unexpected, F.col("name")))).alias("good"),
     )
     return seen.select(
+        *by,
         F.when(F.col("n_unexpected") > 0, "target_unexpected").when(F.col("n") < 2, "target_classes").alias("kind"),
         "n",
         F.when(F.col("n_unexpected") > 0, F.col("bad")).otherwise(F.col("good")).alias("labels"),
@@ -149,37 +156,44 @@ def _position(names: Sequence[str], base: int) -> Column:
     return F.array_position(F.array(*[F.lit(n) for n in names]), F.col("name")) + base
 
 
-def issues(df: DataFrame, contract: DatasetContract, config: MonitorConfig = MonitorConfig(), prof: DataFrame | None = None) -> DataFrame:
-    """Findings (check, severity, message, details, position) in report order.
+def issues(
+    df: DataFrame,
+    contract: DatasetContract,
+    config: MonitorConfig = MonitorConfig(),
+    prof: DataFrame | None = None,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Findings (by, check, severity, message, details, position) in report order.
 
     When required columns are missing only the column and emptiness checks apply.
     """
-    prof = profile(df, contract) if prof is None else prof
+    prof = profile(df, contract, by) if prof is None else prof
     value = F.col("value")
-    absent, extra = missing_columns(df, contract), unexpected_columns(df, contract)
+    absent = missing_columns(df, contract)
+    extra = [c for c in unexpected_columns(df, contract) if c not in by]
     total = prof.where(F.col("metric") == "n_rows")
     parts = [
         total.where((value == 0) | F.lit(not df.columns)).select(
-            *_finding("non_empty", ERROR, F.lit(MESSAGES["non_empty"]), {}, F.lit(0))
+            *by, *_finding("non_empty", ERROR, F.lit(MESSAGES["non_empty"]), {}, F.lit(0))
         )
     ]
     if absent:
         text = F.lit(MESSAGES["required_columns"] % len(absent))
         details = {"missing_columns": F.lit(", ".join(absent))}
-        parts.append(total.select(*_finding("required_columns", ERROR, text, details, F.lit(1))))
+        parts.append(total.select(*by, *_finding("required_columns", ERROR, text, details, F.lit(1))))
     if extra:
         text = F.lit(MESSAGES["unexpected_columns"])
         details = {"extra_columns": F.lit(", ".join(extra))}
-        parts.append(total.select(*_finding("unexpected_columns", WARNING, text, details, F.lit(2))))
+        parts.append(total.select(*by, *_finding("unexpected_columns", WARNING, text, details, F.lit(2))))
     if not absent:
-        parts.append(_value_findings(prof, contract, config))
+        parts.append(_value_findings(prof, contract, config, by))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
-def _value_findings(prof: DataFrame, contract: DatasetContract, config: MonitorConfig) -> DataFrame:
+def _value_findings(prof: DataFrame, contract: DatasetContract, config: MonitorConfig, by: Sequence[str]) -> DataFrame:
     name, value, n_rows = F.col("name"), F.col("value"), F.col("n_rows")
     coercible = name.isin(*contract.coercible_numeric_columns) if contract.coercible_numeric_columns else F.lit(False)
     fraction = value / n_rows
@@ -192,32 +206,32 @@ def _value_findings(prof: DataFrame, contract: DatasetContract, config: MonitorC
     # Positions keep the report order: whole-dataset checks, columns, target, types, labels.
     after_columns = 10 + len(features)
     parts = [
-        few.select(*_finding(
+        few.select(*by, *_finding(
             "minimum_row_count", ERROR, F.format_string(MESSAGES["minimum_row_count"], value, F.lit(config.min_rows)),
             {"row_count": value, "minimum_required": F.lit(config.min_rows)}, F.lit(3),
         )),
-        metric("duplicate_ids").select(*_finding(
+        metric("duplicate_ids").select(*by, *_finding(
             "duplicate_ids", ERROR, F.format_string(MESSAGES["duplicate_ids"], value, F.lit(contract.id_column)),
             {"duplicate_id_count": value}, F.lit(4),
         )),
-        metric("duplicate_rows").select(*_finding(
+        metric("duplicate_rows").select(*by, *_finding(
             "duplicate_rows", WARNING, F.format_string(MESSAGES["duplicate_rows"], value),
             {"duplicate_row_count": value}, F.lit(5),
         )),
-        metric("missing").where(coercible).select(*_finding(
+        metric("missing").where(coercible).select(*by, *_finding(
             "missing_values", WARNING, F.format_string(MESSAGES["missing_coercible"], name, value),
             {"column": name, "missing_count": value}, _position(features, 10),
         )),
-        metric("missing").where(~coercible).select(*_finding(
+        metric("missing").where(~coercible).select(*by, *_finding(
             "missing_values", F.when(fraction > 0.5, ERROR).otherwise(WARNING),
             F.format_string(MESSAGES["missing_values"], name, value, fraction * 100),
             {"column": name, "missing_count": value, "missing_fraction": F.round(fraction, 4)}, _position(features, 10),
         )),
-        metric("missing_target").select(*_finding(
+        metric("missing_target").select(*by, *_finding(
             "missing_target", ERROR, F.format_string(MESSAGES["missing_target"], name, value),
             {"missing_count": value}, F.lit(after_columns + 1),
         )),
-        metric("non_numeric").select(*_finding(
+        metric("non_numeric").select(*by, *_finding(
             "dtype_numeric", F.when(coercible, WARNING).otherwise(ERROR),
             F.when(coercible, F.format_string(MESSAGES["dtype_coercible"], name, value)).otherwise(
                 F.format_string(MESSAGES["dtype_numeric"], name, value)
@@ -229,7 +243,8 @@ def _value_findings(prof: DataFrame, contract: DatasetContract, config: MonitorC
     unexpected = F.col("kind") == "target_unexpected"
     listed = F.array_join("labels", ", ")
     parts.append(
-        label_findings(prof, contract).select(
+        label_findings(prof, contract, by).select(
+            *by,
             F.lit("target_labels").alias("check"),
             F.lit(ERROR).alias("severity"),
             F.when(unexpected, F.format_string(MESSAGES["target_unexpected"], target))

@@ -177,8 +177,8 @@ def train_models(
 ) -> TrainingOutcome:
     """Splits, fits the preprocessing on the training fold only, trains and evaluates each algorithm.
 
-    The encoded rows are kept once, on memory and disk, for all algorithms and the evaluation; the
-    small report is materialised before they are released.
+    The typed, split rows are the only thing kept, on memory and disk: every later step reads them,
+    and the encoding is cheap to repeat. The small report is taken out before they are released.
     """
     check_algorithms(algorithms)
     key = list(key or [spec.contract.id_column])
@@ -186,17 +186,15 @@ def train_models(
     rows = feature_rows(raw, plain, keep=key)
     parts = stratified_split(rows, key, test_size=config.test_size, val_size=config.val_size, seed=config.random_state)
     engineer = engineering(spec)
-    parts = engineer.transform(parts)
-    train = parts.where(F.col("split") == "train")
-    stats = fit_statistics(train, spec)
-    balance = ClassBalance.of(train)
-    prepare = preprocessing(spec, stats).fit(train)
-    encoded = (
-        prepare.transform(parts)
-        .select("label", "split", "features", balance.balanced().alias("_balanced"), balance.positives_scaled().alias("_scaled"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    parts = engineer.transform(parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        train = parts.where(F.col("split") == "train")
+        stats = fit_statistics(train, spec)
+        balance = ClassBalance.of(train)
+        prepare = preprocessing(spec, stats).fit(train)
+        encoded = prepare.transform(parts).select(
+            "label", "split", "features", balance.balanced().alias("_balanced"), balance.positives_scaled().alias("_scaled")
+        )
         models, scored = [], None
         for algorithm in algorithms:
             classifier = ESTIMATORS[algorithm](config, balance).fit(encoded.where(F.col("split") == "train"))
@@ -215,9 +213,9 @@ def train_models(
         report = evaluate.evaluation_report(scored, ["algorithm", "split"])
         # Two rows per algorithm: taken to the driver so that the result outlives the kept rows.
         fixed = raw.sparkSession.createDataFrame(report.collect(), report.schema)
-        sizes = {r["split"]: r["count"] for r in encoded.groupBy("split").count().collect()}
+        sizes = {r["split"]: r["count"] for r in parts.groupBy("split").count().collect()}
     finally:
-        encoded.unpersist()
+        parts.unpersist()
     return TrainingOutcome(models, fixed, sizes)
 
 

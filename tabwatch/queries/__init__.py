@@ -7,16 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tabwatch.queries import (
+    drift_queries,
     feature_queries,
+    file_queries,
     listing_queries,
     monitoring_queries,
     quality_queries,
     registry_queries,
+    stream_queries,
     training_queries,
-    drift_queries,
 )
 
-_MODULES = (drift_queries, quality_queries, monitoring_queries, listing_queries, registry_queries, feature_queries, training_queries)
+_MODULES = (
+    drift_queries, quality_queries, monitoring_queries, listing_queries, registry_queries,
+    feature_queries, training_queries, file_queries, stream_queries,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
