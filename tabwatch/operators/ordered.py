@@ -55,26 +55,24 @@ def with_bucket(
 ) -> DataFrame:
     """Adds `_bucket`: for rows of hot groups the number of edges of their stratum below the value, else 0.
 
-    The search halves its range step by step. Each step is its own projection, because it uses the
-    previous one twice, and all steps stay inside generated code.
+    The search halves its range step by step; each step names the one before it as a lateral column
+    alias, which becomes a chain of projections inside generated code.
     """
     keys, strata = list(keys), list(strata)
     hot = hot_groups(df, keys, split_rows)
     edges = _bucket_edges(df, hot, keys, strata, value)
     columns = [f"`{c}`" for c in df.columns]
-    df = (
+    searched = (
         df.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
         .join(F.broadcast(edges), strata, "left")
-        .selectExpr(*columns, "IF(_hot, _edges, NULL) AS _edges", "0 AS _bucket")
+        .selectExpr(*columns, "IF(_hot, _edges, NULL) AS _edges")
     )
+    steps, found = [], "0"
     for bit in reversed(range(_BITS)):
         step = 1 << bit
-        df = df.selectExpr(
-            *columns,
-            "_edges",
-            f"_bucket + IF(get(_edges, _bucket + {step - 1}) < CAST(`{value}` AS DOUBLE), {step}, 0) AS _bucket",
-        )
-    return df.drop("_edges")
+        steps.append(f"{found} + IF(get(_edges, {found} + {step - 1}) < CAST(`{value}` AS DOUBLE), {step}, 0) AS _b{bit}")
+        found = f"_b{bit}"
+    return searched.selectExpr(*columns, *steps).selectExpr(*columns, f"{found} AS _bucket")
 
 
 def bucket_offsets(bucketed: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
