@@ -224,24 +224,61 @@ def _categorical_results(psi: DataFrame, keys: Sequence[str], config: MonitorCon
     )
 
 
-def reference_counts(df: DataFrame, contract: DatasetContract, keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """(numeric, categorical) count tables of typed training rows; store them once per model version."""
-    return (
-        numeric_counts(df, contract.numeric_columns, keys, "ref_n"),
-        categorical_counts(df, contract.categorical_columns, keys, "ref_n"),
+ROWS = "__rows__"
+
+
+def feature_counts(
+    df: DataFrame, contract: DatasetContract, keys: Sequence[str] = (), features: Sequence[str] | None = None
+) -> DataFrame:
+    """(keys, feature, num, cat, n): counts of every feature's values from one scan and one shuffle.
+
+    `num` holds numeric values (null and NaN are not usable), `cat` categories (only null is dropped
+    later, an empty text is a category). The pseudo-feature ROWS counts the rows themselves. Store
+    this table once per model version for the reference side.
+    """
+    wanted = list(contract.features) if features is None else list(features)
+    contract.check_features(wanted)
+
+    def entry(name: str, num: Column | None, cat: Column | None) -> Column:
+        return F.struct(
+            F.lit(name).alias("feature"),
+            (F.lit(None) if num is None else num).cast("double").alias("num"),
+            (F.lit(None) if cat is None else cat).cast("string").alias("cat"),
+        )
+
+    entries = [entry(ROWS, None, None)]
+    for c in wanted:
+        col = F.col(f"`{c}`")
+        if c in contract.numeric_columns:
+            value = col.cast("double")
+            entries.append(entry(c, F.when(~F.isnan(value), value), None))
+        else:
+            entries.append(entry(c, None, col))
+    long = df.select(*keys, F.explode(F.array(*entries)).alias("_e")).select(*keys, "_e.feature", "_e.num", "_e.cat")
+    return long.groupBy(*keys, "feature", "num", "cat").agg(F.count(F.lit(1)).alias("n"))
+
+
+# The three parts of a count table. Each condition reads the count as well as the key, so it stays
+# above the aggregate and all parts share its scan and shuffle.
+def _numeric_part(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    return counts.where(F.when(F.col("num").isNotNull(), F.col("n")) > 0).select(
+        *keys, "feature", F.col("num").alias("value"), F.col("n").alias(name)
     )
 
 
-def production_counts(df: DataFrame, contract: DatasetContract, keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    return (
-        numeric_counts(df, contract.numeric_columns, keys, "prod_n"),
-        categorical_counts(df, contract.categorical_columns, keys, "prod_n"),
+def _categorical_part(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    return counts.where(F.when(F.col("cat").isNotNull(), F.col("n")) > 0).select(
+        *keys, "feature", F.col("cat").alias("value"), F.col("n").alias(name)
     )
 
 
+def row_counts(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    return counts.where(F.when(F.col("feature") == ROWS, F.col("n")) > 0).select(*keys, F.col("n").alias(name))
+
+
 def feature_results(
-    reference: tuple[DataFrame, DataFrame],
-    production: tuple[DataFrame, DataFrame],
+    reference: DataFrame,
+    production: DataFrame,
     contract: DatasetContract,
     *,
     ref_keys: Sequence[str] = (),
@@ -252,25 +289,26 @@ def feature_results(
 ) -> DataFrame:
     """One result row per (keys, feature) of `groups`.
 
-    `reference` counts are keyed by `ref_keys`, `production` counts by `ref_keys` and `keys`, and
-    `groups` lists the key combinations that must appear. A feature without a usable value on one
+    Both sides are `feature_counts`: `reference` keyed by `ref_keys`, `production` by `ref_keys` and
+    `keys`. `groups` lists the key combinations that must appear. A feature without a usable value on one
     side still gets its row, with a note in place of the score.
     """
     ref_keys, keys = list(ref_keys), list(keys)
     wanted = list(contract.features) if features is None else list(features)
     contract.check_features(wanted)
-    (ref_num, ref_cat), (prod_num, prod_cat) = reference, production
     group = [*ref_keys, *keys]
     parts = []
     numeric = [c for c in wanted if c in contract.numeric_columns]
     categorical = [c for c in wanted if c not in contract.numeric_columns]
     if numeric:
-        keep = F.col("feature").isin(numeric)
-        ks = ks_against_reference(ref_num.where(keep), prod_num.where(keep), ref_keys, keys)
+        ks = ks_against_reference(
+            _numeric_part(reference, ref_keys, "ref_n"), _numeric_part(production, group, "prod_n"), ref_keys, keys
+        )
         parts.append(_numeric_results(ks, group, config))
     if categorical:
-        keep = F.col("feature").isin(categorical)
-        psi = psi_against_reference(ref_cat.where(keep), prod_cat.where(keep), ref_keys, keys, config)
+        psi = psi_against_reference(
+            _categorical_part(reference, ref_keys, "ref_n"), _categorical_part(production, group, "prod_n"), ref_keys, keys, config
+        )
         parts.append(_categorical_results(psi, group, config))
     found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     tests = F.array(
@@ -328,16 +366,13 @@ def newest_sample(predictions: DataFrame, config: MonitorConfig, key: str = "mod
     )
 
 
-def sample_header(
-    versions: DataFrame, predictions: DataFrame, config: MonitorConfig = MonitorConfig(), keys: Sequence[str] = ("model_version_id",)
-) -> DataFrame:
+def with_status(versions: DataFrame, sizes: DataFrame, config: MonitorConfig = MonitorConfig(), key: str = "model_version_id") -> DataFrame:
     """Versions with their filtered prediction count and `ok` / `insufficient_data` status.
 
-    The gate uses the whole filtered count, before any newest-N cut.
+    `sizes` (key, sample_size) counts the whole filtered log, before any newest-N cut.
     """
-    sizes = predictions.groupBy(*keys).agg(F.count(F.lit(1)).alias("sample_size"))
     size = F.coalesce("sample_size", F.lit(0)).cast("bigint")
-    return versions.join(sizes, list(keys), "left").select(
+    return versions.join(sizes, key, "left").select(
         *versions.columns,
         size.alias("sample_size"),
         F.lit(config.min_samples).alias("minimum_required"),
@@ -363,21 +398,26 @@ def drift_report(
     Versions below the sample gate appear in the header only. The header carries the lineage of the
     reference: its dataset, training job and row count.
     """
-    key = "model_version_id"
+    key, ref = "model_version_id", "dataset_id"
     recent = within_window(predictions, window, as_of)
-    header = sample_header(versions, recent, config)
-    passed = header.where(F.col("status") == "ok").select("dataset_id", key)
-    sampled = newest_sample(recent.join(passed, key), config)
+    # The log is read once, without joining its rows: the gate and the reference are applied to counts.
+    production = feature_counts(newest_sample(recent, config), contract, [key], features)
+    if config.max_sample is None:
+        sizes = row_counts(production, [key], "sample_size")
+    else:
+        sizes = recent.groupBy(key).agg(F.count(F.lit(1)).alias("sample_size"))
+    header = with_status(versions, sizes, config)
+    passed = header.where(F.col("status") == "ok").select(ref, key)
+    reference = feature_counts(training_rows, contract, [ref], features)
     results = feature_results(
-        reference_counts(training_rows, contract, ["dataset_id"]),
-        production_counts(sampled, contract, ["dataset_id", key]),
-        contract, ref_keys=["dataset_id"], keys=[key], groups=passed, features=features, config=config,
-    ).drop("dataset_id")
-    ref_rows = training_rows.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("reference_n_rows"))
+        reference, production.join(passed, key), contract, ref_keys=[ref], keys=[key], groups=passed,
+        features=features, config=config,
+    ).drop(ref)
+    ref_rows = row_counts(reference, [ref], "reference_n_rows")
     flags = results.groupBy(key).agg(F.bool_or("drift_detected").alias("drift_detected"))
     cap = F.col("sample_size") if config.max_sample is None else F.least("sample_size", F.lit(config.max_sample))
     header = (
-        header.join(ref_rows, "dataset_id", "left")
+        header.join(ref_rows, ref, "left")
         .join(flags, key, "left")
         .withColumn("window", F.lit(window).cast("string"))
         .withColumn("n_sampled_for_computation", F.when(F.col("status") == "ok", cap))
@@ -411,19 +451,18 @@ def drift_by_window(
     """
     key, ref = "model_version_id", "dataset_id"
     names = [*WINDOW_SECONDS, "all"]
-    aged = predictions.join(versions.select(key, ref), key).withColumn("_age", age_class(F.col("created_at"), as_of))
+    aged = predictions.withColumn("_age", age_class(F.col("created_at"), as_of))
     held_by = F.slice(F.array(*[F.lit(n) for n in names]), F.col("_age") + 1, F.lit(len(names)))
-
-    def spread(counts: DataFrame, by: Sequence[str], name: str) -> DataFrame:
-        return counts.withColumn("window", F.explode(held_by)).groupBy(*by).agg(F.sum(name).alias(name))
-
     group = [ref, key, "window"]
-    production = tuple(
-        spread(c, [*group, "feature", "value"], "prod_n") for c in production_counts(aged, contract, [ref, key, "_age"])
+    production = (
+        feature_counts(aged, contract, [key, "_age"])
+        .join(versions.select(key, ref), key)
+        .withColumn("window", F.explode(held_by))
+        .groupBy(*group, "feature", "num", "cat")
+        .agg(F.sum("n").alias("n"))
     )
-    sizes = spread(aged.groupBy(ref, key, "_age").agg(F.count(F.lit(1)).alias("sample_size")), group, "sample_size")
+    sizes = row_counts(production, group, "sample_size")
     return feature_results(
-        reference_counts(training_rows, contract, [ref]), production, contract,
-        ref_keys=[ref], keys=[key, "window"],
+        feature_counts(training_rows, contract, [ref]), production, contract, ref_keys=[ref], keys=[key, "window"],
         groups=sizes.where(F.col("sample_size") >= config.min_samples).select(*group), config=config,
     ).drop(ref)

@@ -108,6 +108,15 @@ def profile(df: DataFrame, contract: DatasetContract, by: Sequence[str] = ()) ->
     )
 
 
+def of_metric(prof: DataFrame, *metrics: str, above: int = -1) -> DataFrame:
+    """Profile rows of the given metrics with a value above a bound.
+
+    The condition reads the value as well, so it stays above the profile's aggregates: all findings
+    then share the profile's two passes and do not each repeat their part of them.
+    """
+    return prof.where(F.when(F.col("metric").isin(*metrics), F.col("value")) > above)
+
+
 def class_balance(df: DataFrame, contract: DatasetContract) -> DataFrame:
     """Rows per label, most frequent first."""
     label = F.col(f"`{contract.target_column}`")
@@ -121,7 +130,7 @@ def label_findings(prof: DataFrame, contract: DatasetContract, by: Sequence[str]
     """At most one row (by, kind, n, labels) per dataset: unexpected labels win over too few classes."""
     valid = [contract.positive_label, contract.negative_label]
     # The row count is part of every profile, so a dataset without any label still gets its row.
-    labels = prof.where(F.col("metric").isin("label", "n_rows"))
+    labels = of_metric(prof, "label", "n_rows")
     is_label = F.col("metric") == "label"
     unexpected = is_label & ~F.col("name").isin(valid)
     seen = labels.groupBy(*by).agg(
@@ -171,7 +180,7 @@ def issues(
     value = F.col("value")
     absent = missing_columns(df, contract)
     extra = [c for c in unexpected_columns(df, contract) if c not in by]
-    total = prof.where(F.col("metric") == "n_rows")
+    total = of_metric(prof, "n_rows")
     parts = [
         total.where((value == 0) | F.lit(not df.columns)).select(
             *by, *_finding("non_empty", ERROR, F.lit(MESSAGES["non_empty"]), {}, F.lit(0))
@@ -199,9 +208,9 @@ def _value_findings(prof: DataFrame, contract: DatasetContract, config: MonitorC
     fraction = value / n_rows
 
     def metric(m: str) -> DataFrame:
-        return prof.where((F.col("metric") == m) & (value > 0))
+        return of_metric(prof, m, above=0)
 
-    few = prof.where((F.col("metric") == "n_rows") & (value < config.min_rows))
+    few = of_metric(prof, "n_rows").where(value < config.min_rows)
     features, numeric = contract.features, contract.numeric_columns
     # Positions keep the report order: whole-dataset checks, columns, target, types, labels.
     after_columns = 10 + len(features)

@@ -32,9 +32,12 @@ def ingest_csv(
     is valid stands in the row, together with the report. The raw file is parsed once: the checks
     read the landed Parquet.
     """
-    refused = files.admission(files.list_files(spark, path), config).where(F.col("reject_reason").isNotNull()).head(1)
-    if refused:
-        raise RejectedUpload(refused[0]["reject_reason"])
+    admitted = files.admission(files.list_files(spark, path), config)
+    first = admitted.orderBy(F.col("reject_reason").isNull(), "path").head(1)
+    if not first:
+        raise RejectedUpload(files.EMPTY)
+    if first[0]["reject_reason"]:
+        raise RejectedUpload(first[0]["reject_reason"])
     rows, rejects = csv.split_malformed(csv.read_raw_csv(spark, path))
     bad = rejects.head(1)
     if bad:

@@ -130,6 +130,19 @@ def drift_single_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.select("model_version_id", "feature", *r6("score"), "drift_detected", "reference_n", "production_n")
 
 
+def drift_single_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of the production version alone: filters on version reach both scans."""
+    production = load(spark, sf_dir, "model_versions").where("stage = 'production'").select("id", "dataset_id").head()
+    training, predictions = _sides(spark, sf_dir)
+    _, results = drift.drift_report(
+        _versions(spark, sf_dir).where(F.col("model_version_id") == production["id"]),
+        training.where(F.col("dataset_id") == production["dataset_id"]),
+        predictions.where(F.col("model_version_id") == production["id"]),
+        CONTRACT, as_of=moment(AS_OF),
+    )
+    return results.select("model_version_id", "feature", "test", *r6("score"), "severity", "drift_detected", "reference_n", "production_n")
+
+
 def drift_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per version: how many features drifted, worst score to threshold ratio."""
     _, results = _report(spark, sf_dir)
@@ -190,7 +203,7 @@ def category_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        drift_report, drift_report_header, drift_single_feature, drift_by_version, drift_by_window,
+        drift_report, drift_report_header, drift_single_version, drift_single_feature, drift_by_version, drift_by_window,
         drift_ks_by_feature, drift_psi_by_feature, drift_ks_pvalue, drift_from_json,
         category_proportions, category_union,
     )
@@ -259,6 +272,10 @@ ORACLES = {
         """SELECT model_version_id, feature, round(score, 6) AS score, drift_detected, reference_n, production_n
            FROM results WHERE feature = 'price'""", minimum=20, newest=50,
     ),
+    "drift_single_version": _report_sql(
+        """SELECT model_version_id, feature, test, round(score, 6) AS score, severity, drift_detected, reference_n, production_n
+           FROM results WHERE model_version_id = (SELECT id FROM model_versions WHERE stage = 'production')"""
+    ),
     "drift_by_version": _report_sql(
         """SELECT model_version_id, bool_or(drift_detected) AS drift_detected,
                   CAST(count(*) FILTER (drift_detected) AS BIGINT) AS n_drifted,

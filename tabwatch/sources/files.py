@@ -9,8 +9,14 @@ from tabwatch.functions.text import file_suffix
 from tabwatch.schema import MonitorConfig
 
 
+EMPTY = "Uploaded file is empty."  # fixed value
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length); the content column is pruned, so nothing is read."""
+    """(path, length); the content column is pruned, so nothing is read.
+
+    The source leaves out files of zero bytes: an empty upload is one that is not listed.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "length")
 
@@ -27,7 +33,7 @@ def admission(files: DataFrame, config: MonitorConfig = MonitorConfig()) -> Data
     reason = (
         F.when(~suffix.isin(*config.allowed_suffixes), F.concat(F.lit("Unsupported file type '"), suffix, F.lit("'. Only CSV files are accepted.")))
         .when(F.col("length") > _max_bytes(config), F.format_string(f"File size %.1fMB exceeds the {config.max_upload_mb}MB limit.", mb))
-        .when(F.col("length") == 0, "Uploaded file is empty.")
+        .when(F.col("length") == 0, EMPTY)
     )
     return files.withColumn("reject_reason", reason)
 

@@ -22,21 +22,13 @@ def count_stream(
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
         hourly = batch.withColumn("hour", F.date_trunc("hour", "created_at"))
-        group = [*keys, "hour"]
-        numeric, categorical = drift.production_counts(hourly, contract, group)
-        sizes = hourly.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-        for name, counts in (("numeric", numeric), ("categorical", categorical), ("sizes", sizes)):
-            counts.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
+        counts = drift.feature_counts(hourly, contract, [*keys, "hour"])
+        counts.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)).start()
 
 
-def _total(df: DataFrame, keys: Sequence[str], name: str, since: Column | None) -> DataFrame:
-    recent = df if since is None else df.where(F.col("hour") >= since)
-    return recent.groupBy(*keys).agg(F.sum(name).alias(name))
-
-
 def report(
     spark: SparkSession,
     out: str,
@@ -49,14 +41,12 @@ def report(
 ) -> DataFrame:
     """Feature results per version from the counts so far; `since` keeps whole hours only."""
     key, ref = "model_version_id", "dataset_id"
-    names = versions.select(key, ref)
-    numeric, categorical = (
-        _total(spark.read.parquet(f"{out}/{kind}"), [key, "feature", "value"], "prod_n", since).join(names, key)
-        for kind in ("numeric", "categorical")
-    )
-    sizes = _total(spark.read.parquet(f"{out}/sizes"), [key], "n", since).where(F.col("n") >= config.min_samples)
-    groups = sizes.select(key).join(names, key).select(ref, key)
+    kept = spark.read.parquet(out)
+    recent = kept if since is None else kept.where(F.col("hour") >= since)
+    total = recent.groupBy(key, "feature", "num", "cat").agg(F.sum("n").alias("n"))
+    sizes = drift.row_counts(total, [key], "sample_size")
+    passed = drift.with_status(versions.select(key, ref), sizes, config).where(F.col("status") == "ok").select(ref, key)
     return drift.feature_results(
-        drift.reference_counts(training_rows, contract, [ref]), (numeric, categorical), contract,
-        ref_keys=[ref], keys=[key], groups=groups, config=config,
+        drift.feature_counts(training_rows, contract, [ref]), total.join(passed, key), contract,
+        ref_keys=[ref], keys=[key], groups=passed, config=config,
     ).drop(ref)

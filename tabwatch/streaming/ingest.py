@@ -70,7 +70,7 @@ def check_batch(batch: DataFrame, contract: DatasetContract, config: MonitorConf
     errors = quality.issues(rows, contract, config, prof, ["path"]).groupBy("path").agg(
         F.count_if(F.col("severity") == quality.ERROR).alias("n_errors")
     )
-    sizes = prof.where(F.col("metric") == "n_rows").select("path", F.col("value").alias("n_rows"))
+    sizes = prof.transform(quality.of_metric, "n_rows").select("path", F.col("value").alias("n_rows"))
     key = F.regexp_replace("path", "^file:/+", "/")
     checked = sizes.join(errors, "path", "left").select(
         key.alias("_key"), "n_rows", F.coalesce("n_errors", F.lit(0)).cast("bigint").alias("n_errors")
