@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwatch.functions import stats
-from tabwatch.operators.ordered import bucket_offsets, global_cumsum, hot_groups, newest_per_group, with_bucket
+from tabwatch.operators.ordered import any_hot, bucket_offsets, global_cumsum, hot_groups, newest_per_group, with_bucket
 from tabwatch.schema import WINDOW_SECONDS, DatasetContract, MonitorConfig
+from tabwatch.session import stored
 
 NO_VALUES_NOTE = "no usable values for this feature on one side of the comparison"  # fixed value
 
@@ -83,41 +84,39 @@ def ks_by_feature(
     )
 
 
-def ks_against_reference(reference: DataFrame, production: DataFrame, ref_keys: Sequence[str], keys: Sequence[str], split_rows: int | None = None) -> DataFrame:
-    """KS per (keys, feature) when many production groups share one reference.
-
-    `reference` counts are per (ref_keys, feature, value); `production` counts per (ref_keys, keys,
-    feature, value). The reference is never copied per production group: both empirical distribution
-    functions are steps, so their largest gap lies at a production value or just before one, and it
-    is enough to look up the reference there. One ordered pass over both tables per reference does
-    that, a second one accumulates the production side.
-    """
-    ref_keys, keys = list(ref_keys), list(keys)
-    by_ref, by_group = [*ref_keys, "feature"], [*ref_keys, *keys, "feature"]
-    none = F.lit(0).cast("bigint")
-    ref_rows = reference.select(
-        *by_ref, "value", *[F.lit(None).cast(production.schema[k].dataType).alias(k) for k in keys],
-        "ref_n", none.alias("prod_n"),
+def _ks_points(points: DataFrame, by_ref: Sequence[str], by_group: Sequence[str]) -> DataFrame:
+    """Production points with both running counts, when every reference fits one sorted partition."""
+    whole = Window.partitionBy(*by_ref)
+    # Equal values of several groups are peers, hence RANGE frames: up to and at the current value.
+    upto = whole.orderBy("value").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    at = whole.orderBy("value").rangeBetween(Window.currentRow, Window.currentRow)
+    own = Window.partitionBy(*by_group)
+    so_far = own.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        points.select(
+            "*",
+            F.sum("ref_n").over(upto).alias("_ref_cum"),
+            F.sum("ref_n").over(at).alias("_ref_at"),
+            F.sum("ref_n").over(whole).alias("reference_n"),
+        )
+        .where(F.col("prod_n") > 0)
+        .select("*", F.sum("prod_n").over(so_far).alias("_prod_cum"), F.sum("prod_n").over(own).alias("production_n"))
     )
-    points = ref_rows.unionByName(
-        production.select(*by_ref, "value", *keys, none.alias("ref_n"), "prod_n")
-    ).where(F.col("ref_n") + F.col("prod_n") > 0)
+
+
+def _ks_points_split(points: DataFrame, by_ref: Sequence[str], by_group: Sequence[str], split_rows: int | None) -> DataFrame:
+    """The same with hot groups cut into value buckets; bucket totals are added back."""
     bucketed = with_bucket(points, "value", by_ref, ["feature"], split_rows)
-    # Equal values of several groups are peers, hence RANGE frames: up to and at the current value.
     ordered = Window.partitionBy(*by_ref, "_bucket").orderBy("value")
     upto = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     at = ordered.rangeBetween(Window.currentRow, Window.currentRow)
+    ref_offsets = bucket_offsets(bucketed, by_ref, ["ref_n"]).withColumnRenamed("total_ref_n", "reference_n")
     looked_up = (
         bucketed.select("*", F.sum("ref_n").over(upto).alias("_ref_run"), F.sum("ref_n").over(at).alias("_ref_at"))
-        .join(
-            bucket_offsets(bucketed, by_ref, ["ref_n"]).withColumnRenamed("total_ref_n", "reference_n"),
-            [*by_ref, "_bucket"],
-        )
+        .join(ref_offsets, [*by_ref, "_bucket"])
         .where(F.col("prod_n") > 0)
-        .select(
-            *by_group, "value", "_bucket", "prod_n", "reference_n",
-            (F.col("_ref_run") + F.col("_before_ref_n")).alias("_ref_cum"), "_ref_at",
-        )
+        .withColumn("_ref_cum", F.col("_ref_run") + F.col("_before_ref_n"))
+        .select(*by_group, "value", "_bucket", "prod_n", "reference_n", "_ref_cum", "_ref_at")
     )
     # A group is part of its reference's points, so only groups of hot references can be hot; the
     # others need no buckets of their own.
@@ -128,13 +127,38 @@ def ks_against_reference(reference: DataFrame, production: DataFrame, ref_keys:
         bucket = F.when(F.col("_hot"), F.col("_bucket")).otherwise(0)
         return df.join(hot, by_group, "left").withColumn("_bucket", bucket).drop("_hot")
 
-    in_bucket = Window.partitionBy(*by_group, "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    run = group_bucket(looked_up).withColumn("_prod_run", F.sum("prod_n").over(in_bucket)).join(
-        bucket_offsets(group_bucket(own), by_group, ["prod_n"]).withColumnRenamed("total_prod_n", "production_n"),
-        [*by_group, "_bucket"],
+    so_far = Window.partitionBy(*by_group, "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    own_offsets = bucket_offsets(group_bucket(own), by_group, ["prod_n"]).withColumnRenamed("total_prod_n", "production_n")
+    return (
+        group_bucket(looked_up)
+        .withColumn("_prod_run", F.sum("prod_n").over(so_far))
+        .join(own_offsets, [*by_group, "_bucket"])
+        .withColumn("_prod_cum", F.col("_prod_run") + F.col("_before_prod_n"))
+    )
+
+
+def ks_against_reference(reference: DataFrame, production: DataFrame, ref_keys: Sequence[str], keys: Sequence[str], split_rows: int | None = None) -> DataFrame:
+    """KS per (keys, feature) when many production groups share one reference.
+
+    `reference` counts are per (ref_keys, feature, value); `production` counts per (ref_keys, keys,
+    feature, value). The reference is never copied per production group: both empirical distribution
+    functions are steps, so their largest gap lies at a production value or just before one, and it
+    is enough to look up the reference there. One ordered pass over both tables per reference does
+    that, a second one accumulates the production side.
+    """
+    ref_keys, keys = list(ref_keys), list(keys)
+    by_ref, by_group = [*ref_keys, "feature"], [*ref_keys, *keys, "feature"]
+    none = F.lit(0).cast("bigint")
+    ref_rows = reference.select(
+        *by_ref, "value", *[F.lit(None).cast(production.schema[k].dataType).alias(k) for k in keys],
+        "ref_n", none.alias("prod_n"),
     )
-    cum = F.col("_prod_run") + F.col("_before_prod_n")
-    n, m = F.col("reference_n").cast("double"), F.col("production_n").cast("double")
+    points = ref_rows.unionByName(production.select(*by_ref, "value", *keys, none.alias("ref_n"), "prod_n"))
+    if any_hot(points, by_ref, split_rows):
+        run = _ks_points_split(points, by_ref, by_group, split_rows)
+    else:
+        run = _ks_points(points, by_ref, by_group)
+    cum, n, m = F.col("_prod_cum"), F.col("reference_n").cast("double"), F.col("production_n").cast("double")
     here = F.abs(F.try_divide(F.col("_ref_cum").cast("double"), n) - cum / m)
     before = F.abs(
         F.try_divide((F.col("_ref_cum") - F.col("_ref_at")).cast("double"), n) - (cum - F.col("prod_n")) / m
@@ -165,9 +189,6 @@ def psi_against_reference(
     """
     ref_keys, keys = list(ref_keys), list(keys)
     by_ref, by_group = [*ref_keys, "feature"], [*ref_keys, *keys, "feature"]
-    # The predicates keep the counts alive in both uses of each table, so its shuffle is shared.
-    reference = reference.where(F.col("ref_n") > 0)
-    production = production.where(F.col("prod_n") > 0)
     share = F.col("ref_n") / F.col("reference_n").cast("double")
     absent = stats.psi_term(share, F.lit(0.0), config.psi_floor)
     ref_total = reference.groupBy(*by_ref).agg(F.sum("ref_n").alias("reference_n"))
@@ -258,22 +279,21 @@ def feature_counts(
     return long.groupBy(*keys, "feature", "num", "cat").agg(F.count(F.lit(1)).alias("n"))
 
 
-# The three parts of a count table. Each condition reads the count as well as the key, so it stays
-# above the aggregate and all parts share its scan and shuffle.
+# The three parts of a count table.
 def _numeric_part(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return counts.where(F.when(F.col("num").isNotNull(), F.col("n")) > 0).select(
+    return counts.where(F.col("num").isNotNull()).select(
         *keys, "feature", F.col("num").alias("value"), F.col("n").alias(name)
     )
 
 
 def _categorical_part(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return counts.where(F.when(F.col("cat").isNotNull(), F.col("n")) > 0).select(
+    return counts.where(F.col("cat").isNotNull()).select(
         *keys, "feature", F.col("cat").alias("value"), F.col("n").alias(name)
     )
 
 
 def row_counts(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return counts.where(F.when(F.col("feature") == ROWS, F.col("n")) > 0).select(*keys, F.col("n").alias(name))
+    return counts.where(F.col("feature") == ROWS).select(*keys, F.col("n").alias(name))
 
 
 def feature_results(
@@ -401,14 +421,14 @@ def drift_report(
     key, ref = "model_version_id", "dataset_id"
     recent = within_window(predictions, window, as_of)
     # The log is read once, without joining its rows: the gate and the reference are applied to counts.
-    production = feature_counts(newest_sample(recent, config), contract, [key], features)
+    production = stored(feature_counts(newest_sample(recent, config), contract, [key], features), "prediction-counts")
     if config.max_sample is None:
         sizes = row_counts(production, [key], "sample_size")
     else:
         sizes = recent.groupBy(key).agg(F.count(F.lit(1)).alias("sample_size"))
-    header = with_status(versions, sizes, config)
+    header = stored(with_status(versions, sizes, config), "drift-header")
     passed = header.where(F.col("status") == "ok").select(ref, key)
-    reference = feature_counts(training_rows, contract, [ref], features)
+    reference = stored(feature_counts(training_rows, contract, [ref], features), "reference-counts")
     results = feature_results(
         reference, production.join(passed, key), contract, ref_keys=[ref], keys=[key], groups=passed,
         features=features, config=config,
@@ -454,15 +474,16 @@ def drift_by_window(
     aged = predictions.withColumn("_age", age_class(F.col("created_at"), as_of))
     held_by = F.slice(F.array(*[F.lit(n) for n in names]), F.col("_age") + 1, F.lit(len(names)))
     group = [ref, key, "window"]
-    production = (
+    production = stored(
         feature_counts(aged, contract, [key, "_age"])
         .join(versions.select(key, ref), key)
         .withColumn("window", F.explode(held_by))
         .groupBy(*group, "feature", "num", "cat")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n")),
+        "prediction-counts",
     )
     sizes = row_counts(production, group, "sample_size")
     return feature_results(
-        feature_counts(training_rows, contract, [ref]), production, contract, ref_keys=[ref], keys=[key, "window"],
+        stored(feature_counts(training_rows, contract, [ref]), "reference-counts"), production, contract, ref_keys=[ref], keys=[key, "window"],
         groups=sizes.where(F.col("sample_size") >= config.min_samples).select(*group), config=config,
     ).drop(ref)

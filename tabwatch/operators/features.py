@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabwatch.functions.coerce import binary_label, to_numeric
 from tabwatch.operators.ordered import exact_median
 from tabwatch.schema import CHURN, DatasetContract
+from tabwatch.session import stored
 
 
 @dataclass(frozen=True)
@@ -68,18 +69,17 @@ def numeric_statistics(train: DataFrame, columns: Sequence[str], split_rows: int
     follow from the moments of the present values and the number of missing ones, so the data is
     aggregated once, to value counts, for all columns together. A zero deviation becomes 1.
     """
-    counts = _long_numeric(train, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    # A condition on key and count together stays above the aggregate, whose shuffle is then the same
-    # for both uses of the counts.
-    present = counts.where(F.when(F.col("value").isNotNull(), F.col("n")) > 0)
+    counts = stored(
+        _long_numeric(train, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts"
+    )
+    present = counts.where(F.col("value").isNotNull())
     median = exact_median(present, ["feature"], "value", "n", strata=["feature"], split_rows=split_rows)
     centre = F.first("median")
     weight = F.when(F.col("value").isNotNull(), F.col("n"))
     # Deviations are taken from the median: numerically stable, and missing values contribute zero.
     shift = F.col("value") - F.col("median")
     moments = (
-        counts.where(F.col("n") > 0)
-        .join(F.broadcast(median), "feature", "left")
+        counts.join(F.broadcast(median), "feature", "left")
         .groupBy("feature")
         .agg(
             F.sum("n").alias("n"),

@@ -11,6 +11,7 @@ into value buckets and the window runs inside (key, bucket):
 * bucket edges are quantiles of a hash sample of the hot groups' rows. The sample and the quantiles
   are functions of the data alone, so every use and every recomputation gives the same edges. They
   only balance the work; results do not depend on them;
+* the counts are stored before the branches below read them, so their input is scanned once;
 * bucket totals are accumulated and joined back on the columns that the window partitioned by, so
   the large side is shuffled once.
 """
@@ -22,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabwatch.session import stored
+
 SPLIT_ROWS = 200_000
 MAX_HOT = 65_536
 _BITS = 12  # a stratum has 2**_BITS buckets
@@ -35,6 +38,12 @@ def hot_groups(df: DataFrame, keys: Sequence[str], split_rows: int | None = None
     return sizes.where(F.col("_n") > floor).orderBy(F.col("_n").desc(), *keys).limit(MAX_HOT)
 
 
+def any_hot(df: DataFrame, keys: Sequence[str], split_rows: int | None = None) -> bool:
+    """Whether a group needs splitting. One look at the group sizes of a stored table: if none does,
+    plain windows over the key are the better plan, whatever the total size."""
+    return not hot_groups(df, keys, split_rows).isEmpty()
+
+
 def _bucket_edges(df: DataFrame, hot: DataFrame, keys: Sequence[str], strata: Sequence[str], value: str) -> DataFrame:
     """One sorted array of 2**_BITS - 1 edges per stratum; its size does not depend on the data."""
     n = 1 << _BITS
@@ -107,10 +116,17 @@ def global_cumsum(
     edge list per stratum is broadcast. Measures are non-negative counts.
     """
     keys, strata = list(keys), list(strata)
-    # Rows without any count contribute nothing. The predicate also keeps every measure alive in all
-    # consumers of `counts`, so its shuffle is identical in each of them and is executed once.
+    # Rows without any count contribute nothing. The rest is read by several branches below.
     present = sum((F.col(m) for m in measures), F.lit(0)) > 0
-    counts = counts.where(present)
+    counts = stored(counts.where(present), "counts")
+    if not any_hot(counts, keys, split_rows):
+        per_key = Window.partitionBy(*keys)
+        running = per_key.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+        return counts.select(
+            "*",
+            *[F.sum(m).over(running).alias(f"cum_{m}") for m in measures],
+            *[F.sum(m).over(per_key).alias(f"total_{m}") for m in measures],
+        )
     bucketed = with_bucket(counts, value, keys, strata, split_rows)
     running = (
         Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)

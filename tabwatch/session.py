@@ -50,3 +50,14 @@ def new_workspace(spark: SparkSession, purpose: str) -> str:
     """A fresh, unused folder below the shared one."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
 
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Writes an intermediate table to the shared folder and returns it read back.
+
+    For aggregated tables that several branches of a plan read: the input is scanned once whatever
+    the optimizer shares, a lost executor costs no second pass over it, and later joins know its size.
+    """
+    path = new_workspace(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tabwatch.operators import drift
 from tabwatch.schema import DatasetContract, MonitorConfig
+from tabwatch.session import stored
 
 
 def count_stream(
@@ -43,10 +44,10 @@ def report(
     key, ref = "model_version_id", "dataset_id"
     kept = spark.read.parquet(out)
     recent = kept if since is None else kept.where(F.col("hour") >= since)
-    total = recent.groupBy(key, "feature", "num", "cat").agg(F.sum("n").alias("n"))
+    total = stored(recent.groupBy(key, "feature", "num", "cat").agg(F.sum("n").alias("n")), "prediction-counts")
     sizes = drift.row_counts(total, [key], "sample_size")
     passed = drift.with_status(versions.select(key, ref), sizes, config).where(F.col("status") == "ok").select(ref, key)
     return drift.feature_results(
-        drift.feature_counts(training_rows, contract, [ref]), total.join(passed, key), contract,
+        stored(drift.feature_counts(training_rows, contract, [ref]), "reference-counts"), total.join(passed, key), contract,
         ref_keys=[ref], keys=[key], groups=passed, config=config,
     ).drop(ref)
