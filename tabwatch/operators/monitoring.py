@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwatch.functions.stats import ratio_or_zero
@@ -26,11 +26,13 @@ def usage(predictions: DataFrame, versions: DataFrame) -> DataFrame:
         F.min("created_at").alias("first_prediction_at"),
         F.max("created_at").alias("last_prediction_at"),
     )
-    total = counts.agg(F.sum("prediction_count").alias("_t")).scalar()
+    # One row per version is left, so the total is a window over everything: no second scan of the log.
+    counts = counts.withColumn("_total", F.sum("prediction_count").over(Window.partitionBy(F.lit(0))))
     labels = versions.select(F.col("id").alias("model_version_id"), "version_label", "algorithm", "stage")
     return (
         counts.join(labels, "model_version_id", "left")
-        .withColumn("percentage_of_total", ratio_or_zero(F.col("prediction_count") * 100, total))
+        .withColumn("percentage_of_total", ratio_or_zero(F.col("prediction_count") * 100, F.col("_total")))
+        .drop("_total")
         .orderBy(F.col("prediction_count").desc(), "model_version_id")
     )
 

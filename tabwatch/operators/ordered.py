@@ -165,12 +165,12 @@ def exact_median(
 def hash_rank(df: DataFrame, key: str, strata: Sequence[str], *, rank: str = "rank", total: str = "total") -> DataFrame:
     """Exact 1-based rank of each row by a uniform hex fingerprint `key` within its stratum.
 
-    The first three hex digits are 4096 even buckets, so ranks need no sampling: a window inside
-    (stratum, bucket) plus broadcast bucket offsets (at most 4096 rows per stratum). Rows with equal
-    fingerprints are one distinct-key row each and must be broken by the caller's key.
+    The first four hex digits are 65 536 even buckets, so ranks need no sampling: a window inside
+    (stratum, bucket) plus bucket offsets, joined on the columns the window partitioned by. Equal
+    fingerprints have no order between them, so the fingerprint must come from a unique key.
     """
     strata = list(strata)
-    bucketed = df.withColumn("_bucket", F.substring(key, 1, 3))
+    bucketed = df.withColumn("_bucket", F.substring(key, 1, 4))
     inside = Window.partitionBy(*strata, "_bucket").orderBy(key)
     per_stratum = Window.partitionBy(*strata)
     offsets = (

@@ -134,6 +134,29 @@ _PROFILE = f"""
       UNION ALL SELECT 'duplicate_rows', NULL, sum(n - 1) FROM (SELECT count(*) AS n FROM raw_lines GROUP BY {_CONTENT}) b
       UNION ALL SELECT 'label', flag, count(*) FROM raw_lines WHERE flag IS NOT NULL GROUP BY flag) p"""
 
+_ISSUES = """
+        SELECT 'unexpected_columns' AS "check", 'warning' AS severity,
+               'Dataset contains columns not in the expected schema; they will be ignored.' AS message, 2 AS position, 'extra_columns' AS keys
+        UNION ALL SELECT metric, 'error', 'Found ' || value || ' duplicate value(s) in id column ''line_id''.', 4, 'duplicate_id_count'
+          FROM prof WHERE metric = 'duplicate_ids' AND value > 0
+        UNION ALL SELECT metric, 'warning', 'Found ' || value || ' row(s) with duplicate feature values (different ids).', 5, 'duplicate_row_count'
+          FROM prof WHERE metric = 'duplicate_rows' AND value > 0
+        UNION ALL SELECT 'missing_values', 'warning', 'Column ''' || name || ''' has ' || value || ' missing/blank value(s); will be imputed during preprocessing.',
+          13, 'column,missing_count' FROM prof WHERE metric = 'missing' AND name = 'tax' AND value > 0
+        UNION ALL SELECT 'missing_values', CASE WHEN value > 0.5 * n THEN 'error' ELSE 'warning' END,
+          'Column ''' || name || ''' has ' || value || ' missing/blank value(s) (' || printf('%.1f', 100.0 * value / n) || '%).',
+          CASE name WHEN 'quantity' THEN 11 WHEN 'discount' THEN 12 ELSE 14 END, 'column,missing_count,missing_fraction'
+          FROM prof, total WHERE metric = 'missing' AND name <> 'tax' AND value > 0
+        UNION ALL SELECT 'missing_target', 'error', 'Target column ''flag'' has ' || value || ' missing value(s).', 15, 'missing_count'
+          FROM prof WHERE metric = 'missing_target' AND value > 0
+        UNION ALL SELECT 'dtype_numeric', CASE WHEN name = 'tax' THEN 'warning' ELSE 'error' END,
+          CASE WHEN name = 'tax' THEN 'Column ''tax'' has ' || value || ' non-numeric value(s); will be coerced/imputed.'
+               ELSE 'Column ''' || name || ''' expected numeric values but found ' || value || ' that aren''t.' END,
+          CASE name WHEN 'quantity' THEN 25 WHEN 'discount' THEN 26 ELSE 27 END, 'column,invalid_count'
+          FROM prof WHERE metric = 'non_numeric' AND value > 0
+        UNION ALL SELECT 'target_labels', 'error', 'Target column ''flag'' has unexpected label(s).', 37, 'unexpected_labels'
+          WHERE EXISTS (SELECT 1 FROM prof WHERE metric = 'label' AND name NOT IN ('R', 'N'))"""
+
 ORACLES = {
     "quality_profile": _sql(_PROFILE),
     "quality_missing": _sql(
@@ -166,35 +189,14 @@ ORACLES = {
               '{"extra_columns":"supplier_hint"}')) v("check", severity, message, details)
            WHERE EXISTS (SELECT 1 FROM raw_lines)"""
     ),
-    "quality_issues": _sql(
-        f"""WITH prof AS ({_PROFILE}), total AS (SELECT value AS n FROM prof WHERE metric = 'n_rows')
-        SELECT 'unexpected_columns' AS "check", 'warning' AS severity,
-               'Dataset contains columns not in the expected schema; they will be ignored.' AS message, 2 AS position, 'extra_columns' AS keys
-        UNION ALL SELECT metric, 'error', 'Found ' || value || ' duplicate value(s) in id column ''line_id''.', 4, 'duplicate_id_count'
-          FROM prof WHERE metric = 'duplicate_ids' AND value > 0
-        UNION ALL SELECT metric, 'warning', 'Found ' || value || ' row(s) with duplicate feature values (different ids).', 5, 'duplicate_row_count'
-          FROM prof WHERE metric = 'duplicate_rows' AND value > 0
-        UNION ALL SELECT 'missing_values', 'warning', 'Column ''' || name || ''' has ' || value || ' missing/blank value(s); will be imputed during preprocessing.',
-          13, 'column,missing_count' FROM prof WHERE metric = 'missing' AND name = 'tax' AND value > 0
-        UNION ALL SELECT 'missing_values', CASE WHEN value > 0.5 * n THEN 'error' ELSE 'warning' END,
-          'Column ''' || name || ''' has ' || value || ' missing/blank value(s) (' || printf('%.1f', 100.0 * value / n) || '%).',
-          CASE name WHEN 'quantity' THEN 11 WHEN 'discount' THEN 12 ELSE 14 END, 'column,missing_count,missing_fraction'
-          FROM prof, total WHERE metric = 'missing' AND name <> 'tax' AND value > 0
-        UNION ALL SELECT 'missing_target', 'error', 'Target column ''flag'' has ' || value || ' missing value(s).', 15, 'missing_count'
-          FROM prof WHERE metric = 'missing_target' AND value > 0
-        UNION ALL SELECT 'dtype_numeric', CASE WHEN name = 'tax' THEN 'warning' ELSE 'error' END,
-          CASE WHEN name = 'tax' THEN 'Column ''tax'' has ' || value || ' non-numeric value(s); will be coerced/imputed.'
-               ELSE 'Column ''' || name || ''' expected numeric values but found ' || value || ' that aren''t.' END,
-          CASE name WHEN 'quantity' THEN 25 WHEN 'discount' THEN 26 ELSE 27 END, 'column,invalid_count'
-          FROM prof WHERE metric = 'non_numeric' AND value > 0
-        UNION ALL SELECT 'target_labels', 'error', 'Target column ''flag'' has unexpected label(s).', 37, 'unexpected_labels'
-          WHERE EXISTS (SELECT 1 FROM prof WHERE metric = 'label' AND name NOT IN ('R', 'N'))"""
-    ),
+    "quality_issues": _sql(f"WITH prof AS ({_PROFILE}), total AS (SELECT value AS n FROM prof WHERE metric = 'n_rows') {_ISSUES}"),
     "quality_report": _sql(
-        f"""WITH prof AS ({_PROFILE})
-        SELECT (SELECT value FROM prof WHERE metric = 'n_rows') AS n_rows, CAST(7 AS INT) AS n_columns, FALSE AS is_valid,
-               (SELECT value FROM prof WHERE metric = 'duplicate_rows') AS duplicate_row_count, CAST(12 AS BIGINT) AS n_issues,
-               'unexpected_columns,duplicate_ids,duplicate_rows,missing_values,missing_values,missing_values,missing_values,missing_target,dtype_numeric,dtype_numeric,dtype_numeric,target_labels' AS checks,
+        f"""WITH prof AS ({_PROFILE}), total AS (SELECT value AS n FROM prof WHERE metric = 'n_rows'), found AS ({_ISSUES})
+        SELECT (SELECT value FROM prof WHERE metric = 'n_rows') AS n_rows, CAST(7 AS INT) AS n_columns,
+               NOT EXISTS (SELECT 1 FROM found WHERE severity = 'error') AS is_valid,
+               (SELECT value FROM prof WHERE metric = 'duplicate_rows') AS duplicate_row_count,
+               (SELECT CAST(count(*) AS BIGINT) FROM found) AS n_issues,
+               (SELECT string_agg("check", ',' ORDER BY position) FROM found) AS checks,
                (SELECT value FROM prof WHERE metric = 'missing' AND name = 'linestatus') AS missing_linestatus,
                (SELECT value FROM prof WHERE metric = 'label' AND name = 'R') AS n_positive"""
     ),
