@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tabwatch.functions.coerce import is_blank, is_non_numeric, to_numeric
 from tabwatch.schema import DatasetContract, MonitorConfig
+from tabwatch.session import stored
 
 ERROR, WARNING = "error", "warning"
 
@@ -109,12 +110,8 @@ def profile(df: DataFrame, contract: DatasetContract, by: Sequence[str] = ()) ->
 
 
 def of_metric(prof: DataFrame, *metrics: str, above: int = -1) -> DataFrame:
-    """Profile rows of the given metrics with a value above a bound.
-
-    The condition reads the value as well, so it stays above the profile's aggregates: all findings
-    then share the profile's two passes and do not each repeat their part of them.
-    """
-    return prof.where(F.when(F.col("metric").isin(*metrics), F.col("value")) > above)
+    """Profile rows of the given metrics with a value above a bound."""
+    return prof.where(F.col("metric").isin(*metrics) & (F.col("value") > above))
 
 
 def class_balance(df: DataFrame, contract: DatasetContract) -> DataFrame:
@@ -176,7 +173,8 @@ def issues(
 
     When required columns are missing only the column and emptiness checks apply.
     """
-    prof = profile(df, contract, by) if prof is None else prof
+    # Many findings read the profile; it is small, and stored it costs exactly its two passes.
+    prof = stored(profile(df, contract, by), "profile") if prof is None else prof
     value = F.col("value")
     absent = missing_columns(df, contract)
     extra = [c for c in unexpected_columns(df, contract) if c not in by]
@@ -271,7 +269,7 @@ def _value_findings(prof: DataFrame, contract: DatasetContract, config: MonitorC
 
 def report(df: DataFrame, contract: DatasetContract, config: MonitorConfig = MonitorConfig()) -> DataFrame:
     """One row with the whole report nested. Size follows columns and distinct labels, not rows."""
-    prof = profile(df, contract)
+    prof = stored(profile(df, contract), "profile")
     whole = not missing_columns(df, contract)
 
     def one(metric: str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tabwatch.functions.coerce import null_na_tokens
 from tabwatch.operators import quality
 from tabwatch.schema import DatasetContract, MonitorConfig
+from tabwatch.session import stored
 from tabwatch.sources import files
 
 # Layout of the binary file source.
@@ -66,7 +67,7 @@ def check_batch(batch: DataFrame, contract: DatasetContract, config: MonitorConf
     schema = T.StructType([*contract.raw_struct().fields])
     raw = spark.read.schema(schema).csv(admitted, header=True, enforceSchema=True, quote='"', escape='"')
     rows = null_na_tokens(raw).withColumn("path", F.col("_metadata.file_path"))
-    prof = quality.profile(rows, contract, ["path"])
+    prof = stored(quality.profile(rows, contract, ["path"]), "profile")
     errors = quality.issues(rows, contract, config, prof, ["path"]).groupBy("path").agg(
         F.count_if(F.col("severity") == quality.ERROR).alias("n_errors")
     )
