@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tabwatch.session import stored
 
-SPLIT_ROWS = 200_000
+SPLIT_ROWS = 1_000_000
 MAX_HOT = 65_536
 _BITS = 12  # a stratum has 2**_BITS buckets
 _SAMPLE = 16 << _BITS  # sampled rows per stratum, about 16 to a bucket
