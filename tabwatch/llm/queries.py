@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwatch.llm import language
+from tabwatch.llm import language, packing
 from tabwatch.session import read_table
 
 
@@ -16,5 +16,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
-QUERIES = {"op1_language_id": op1_language_id}
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_packing": op2_packing,
+}
 ORACLES: dict[str, str] = {}
