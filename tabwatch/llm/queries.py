@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwatch.llm import language, packing, quality
+from tabwatch.llm import fingerprint, language, packing, quality
 from tabwatch.session import read_table
 
 
@@ -20,6 +20,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_likeness(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
@@ -28,6 +32,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
+    "op5_fingerprints": op5_fingerprints,
     "op7_quality": op7_quality,
 }
 ORACLES: dict[str, str] = {}
