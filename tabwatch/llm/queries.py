@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwatch.llm import extraction, fingerprint, language, packing, quality
+from tabwatch.llm import extraction, fingerprint, language, mixing, packing, quality
 from tabwatch.session import read_table
 
 
@@ -33,11 +33,16 @@ def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.main_text(read_table(spark, sf_dir, "pages"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
     "op5_fingerprints": op5_fingerprints,
     "op7_quality": op7_quality,
     "op8_extraction": op8_extraction,
+    "op10_mixing": op10_mixing,
 }
 ORACLES: dict[str, str] = {}
