@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwatch.llm import extraction, fingerprint, language, mixing, packing, quality, simhash
+from tabwatch.llm import extraction, fingerprint, language, mixing, packing, pii, quality, simhash
 from tabwatch.session import read_table
 
 
@@ -28,6 +28,11 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_likeness(read_table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
@@ -46,6 +51,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op4_simhash": op4_simhash,
     "op5_fingerprints": op5_fingerprints,
+    "op6_pii": op6_pii,
     "op7_quality": op7_quality,
     "op8_extraction": op8_extraction,
     "op10_mixing": op10_mixing,
