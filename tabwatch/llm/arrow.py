@@ -41,3 +41,41 @@ def blocks(batch: pa.RecordBatch, column: str, most: int = BLOCK_BYTES) -> Itera
 def record(schema: pa.Schema, **columns) -> pa.RecordBatch:
     arrays = [v if isinstance(v, pa.Array) else pa.array(v, f.type) for f, v in ((f, columns[f.name]) for f in schema)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+#: Rows that carry many small records to a bucket at once: what they are, the bucket, the records by column.
+PARCEL = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("records", pa.binary()), ("data", pa.binary())])
+PARCEL_DDL = "kind int, bucket int, records binary, data binary"
+
+
+def packed(columns: list[np.ndarray]) -> bytes:
+    return b"".join([np.ascontiguousarray(c).tobytes() for c in columns])
+
+
+def unpacked(records: bytes, types: str) -> list[np.ndarray]:
+    """Columns of the given one-letter-and-size types, separated by spaces."""
+    dtypes = [np.dtype(t) for t in types.split()]
+    n = len(records) // sum(t.itemsize for t in dtypes)
+    out, at = [], 0
+    for t in dtypes:
+        out.append(np.frombuffer(records, t, n, at))
+        at += n * t.itemsize
+    return out
+
+
+def joined(parts: list[list[np.ndarray]], types: str) -> list[np.ndarray]:
+    """Columns of several unpacked records one after the other."""
+    if not parts:
+        return [np.empty(0, np.dtype(t)) for t in types.split()]
+    return [np.concatenate(p) for p in zip(*parts, strict=True)]
+
+
+def parcels(kind: int, bucket: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """One row for each bucket that occurs, with its records in their order."""
+    if not len(bucket):
+        return
+    order = np.argsort(bucket, kind="stable")
+    columns, bucket = [c[order] for c in columns], bucket[order]
+    cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+    rows = [packed([c[a:b] for c in columns]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    yield record(PARCEL, kind=[kind] * len(rows), bucket=bucket[cuts[:-1]].astype(np.int32), records=rows, data=[b""] * len(rows))

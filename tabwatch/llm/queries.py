@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwatch.llm import extraction, fingerprint, language, mixing, packing, pii, quality, simhash
+from tabwatch.llm import extraction, fingerprint, language, mixing, packing, pii, quality, simhash, substrings
 from tabwatch.session import read_table
 
 
@@ -20,6 +20,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
+    "op3_repeats": op3_repeats,
     "op4_simhash": op4_simhash,
     "op5_fingerprints": op5_fingerprints,
     "op6_pii": op6_pii,
