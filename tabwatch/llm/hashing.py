@@ -61,3 +61,18 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     starts = np.flatnonzero(word & ~np.append(False, word[:-1] & edge[1:-1])) if len(data) else np.empty(0, np.int64)
     ends = np.flatnonzero(word & ~np.append(word[1:] & edge[1:-1], False)) + 1 if len(data) else np.empty(0, np.int64)
     return starts, ends, np.searchsorted(starts, offsets)
+
+
+def line_spans(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and texts of all lines that hold a word, in order. starts: of the words."""
+    n = len(offsets) - 1
+    feeds = np.flatnonzero(data == 10)
+    line_starts = np.concatenate([offsets[:-1], feeds + 1])
+    owner = np.concatenate([np.arange(n), np.searchsorted(offsets, feeds, side="right") - 1])
+    order = np.lexsort((line_starts, owner))
+    line_starts, owner = line_starts[order], owner[order]
+    line_ends = np.append(line_starts[1:] - 1, len(data))
+    last = np.append(owner[1:] != owner[:-1], True)
+    line_ends[last[: len(line_ends)]] = offsets[1:][owner[last[: len(owner)]]]
+    filled = np.searchsorted(starts, line_ends) > np.searchsorted(starts, line_starts)
+    return line_starts[filled], line_ends[filled], owner[filled]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwatch.llm.arrow import blocks, flat, record
-from tabwatch.llm.hashing import Substrings, mix, segment_sums, word_spans
+from tabwatch.llm.hashing import Substrings, line_spans, mix, segment_sums, word_spans
 
 TABLE_BITS = 18
 #: Fixed limits: fewest words, most words in repeated windows (per cent), lowest probability that is kept.
@@ -70,16 +70,7 @@ class Texts:
             again = inside[_repeats(keys, owner[inside])[0]]
             np.add.at(repeat, again, 1)
             np.add.at(repeat, again + 3, -1)
-        feeds = np.flatnonzero(data == 10)
-        line_starts = np.concatenate([offsets[:-1], feeds + 1])
-        line_owner = np.concatenate([np.arange(self.n), np.searchsorted(offsets, feeds, side="right") - 1])
-        order = np.lexsort((line_starts, line_owner))
-        line_starts, line_owner = line_starts[order], line_owner[order]
-        line_ends = np.append(line_starts[1:] - 1, len(data))
-        last = np.append(line_owner[1:] != line_owner[:-1], True)
-        line_ends[last] = offsets[1:][line_owner[last]]
-        filled = np.searchsorted(self.starts, line_ends) > np.searchsorted(self.starts, line_starts)
-        line_starts, line_ends, line_owner = line_starts[filled], line_ends[filled], line_owner[filled]
+        line_starts, line_ends, line_owner = line_spans(data, offsets, self.starts)
         earlier = _repeats(self.hashes.of(line_starts, line_ends), line_owner)[1]
         return {
             "n_words": np.diff(self.words),

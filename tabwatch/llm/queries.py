@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwatch.llm import extraction, fingerprint, language, mixing, packing, pii, quality, simhash, substrings
+from tabwatch.llm import extraction, fingerprint, language, lines, mixing, packing, pii, quality, simhash, substrings
 from tabwatch.session import read_table
 
 
@@ -46,6 +46,10 @@ def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.main_text(read_table(spark, sf_dir, "pages"))
 
 
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(lines.dedup_lines(read_table(spark, sf_dir, "documents")))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_quality": op7_quality,
     "op8_extraction": op8_extraction,
+    "op9_lines": op9_lines,
     "op10_mixing": op10_mixing,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_lines": lines.SQL}
