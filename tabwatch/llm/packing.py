@@ -10,10 +10,13 @@ the same rows.
 
 from __future__ import annotations
 
+import functools
 import os
+import re
 import zlib
 from collections import Counter, defaultdict, deque
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -26,8 +29,8 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: Remainders that a task holds before it packs them down to half as many (at most 8 KB each).
 POOL = 4096
-#: Words whose ids a task remembers, and the longest such word in bytes.
-CACHED_WORDS, CACHED_BYTES = 300_000, 64
+#: Words whose ids a worker remembers in a generation, of which it keeps two, and the longest such word in bytes.
+CACHED_WORDS, CACHED_BYTES = 400_000, 64
 
 _SCHEMA = pa.schema(
     [("doc_id", pa.int64())]
@@ -56,13 +59,38 @@ def fill(counts: dict[int, int], room: int) -> dict[int, int]:
     return dict(used)
 
 
+class _Recent(dict):
+    """Remembers about `most` to twice `most` entries: those looked for since the last change of generation, and before."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.older = most, {}
+
+    def missing(self, keys: set) -> list:
+        """Those of the keys that are not known; the others are in this dict afterwards."""
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+        unknown = keys.difference(self)
+        if self.older:
+            self.update((k, self.older[k]) for k in unknown if k in self.older)
+            unknown = unknown.difference(self)
+        return list(unknown)
+
+
 class WordIds:
     """Ids of texts as little-endian 32-bit numbers.
 
-    White space ends words in this tokenizer, so a text's ids are those of its pieces between ASCII white
-    space; frequent pieces are remembered.
+    White space ends words in this tokenizer, so a text's ids are those of its chunks between ASCII white space.
+    Chunks are remembered, and so are the runs of letters and of signs that most chunks are made of: each of
+    those is one word to the tokenizer, whose last id stands for a token with the word-end suffix, so many new
+    ones are encoded as one string and cut after such ids. Chunks with other characters are encoded as they are.
     """
 
+    _LETTERS = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"  # Latin-1 letters, the only non-ASCII ones here
+    _PLAIN = re.compile(rb"(?:" + _LETTERS + rb"|[!-&(-@\[-`{-~])+")
+    _PARTS = re.compile(_LETTERS + rb"|[0-9]|[!-&(-/:-@\[-`{-~]+")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -71,22 +99,61 @@ class WordIds:
             import public_tokenizers
 
             path = public_tokenizers.path(path)
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary, suffix = self.tokenizer.get_vocab(), self.tokenizer.model.end_of_word_suffix
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.chunks, self.parts = _Recent(CACHED_WORDS), _Recent(CACHED_WORDS)
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         words = [text.split() for text in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = list(set().union(*words).difference(self.known))
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-        ids = {w: b"".join([i.to_bytes(4, "little") for i in e.ids]) for w, e in zip(new, found, strict=True)}
-        self.known.update(ids)
-        out = [b"".join(map(self.known.__getitem__, w)) for w in words]
+        known = self.chunks
+        new = known.missing(set().union(*words))
+        self._learn(new)
+        out = [b"".join(map(known.__getitem__, w)) for w in words]
         for word in new:
             if len(word) > CACHED_BYTES:
-                del self.known[word]
+                del known[word]
         return out
 
+    def _learn(self, new: list[bytes]) -> None:
+        split, other = {}, []
+        for chunk in new:
+            lower = chunk.lower()
+            if self._PLAIN.fullmatch(lower) and b"<|" not in lower:
+                split[chunk] = self._PARTS.findall(lower)
+            else:
+                other.append(chunk)
+        self._learn_parts(self.parts.missing(set().union(*split.values())))
+        parts = self.parts
+        for chunk, pieces in split.items():
+            self.chunks[chunk] = parts[pieces[0]] if len(pieces) == 1 else b"".join([parts[p] for p in pieces])
+        self.chunks.update(zip(other, self._encode(other), strict=True))
+
+    def _learn_parts(self, new: list[bytes]) -> None:
+        if not new:
+            return
+        ids = np.array(self.tokenizer.encode(b" ".join(new).decode("utf-8"), add_special_tokens=False).ids, "<u4")
+        stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(stops) == len(new) and stops[-1] == len(ids):
+            data, start = ids.tobytes(), 0
+            for part, stop in zip(new, stops, strict=True):
+                self.parts[part] = data[4 * start : 4 * stop]
+                start = stop
+        else:
+            self.parts.update(zip(new, self._encode(new), strict=True))
+
+    def _encode(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+
+@functools.lru_cache(maxsize=1)
+def _word_ids(path: str) -> WordIds:
+    """One per Python worker, for all tasks that it runs."""
+    return WordIds(path)
+
 
 class Packer:
     """Takes documents in order; `rows` gathers the pieces whose place is settled."""
@@ -170,7 +237,7 @@ class Packer:
 
 def _pack(tokenizer: str, capacity: int, end_id: int):
     def run(batches):
-        ids_of, end = WordIds(tokenizer), end_id.to_bytes(4, "little")
+        ids_of, end = _word_ids(tokenizer), end_id.to_bytes(4, "little")
         packer = Packer(capacity, TaskContext.get().partitionId() << 36)
 
         def settled():
