@@ -27,6 +27,13 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """The name, made longer until no column has it."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def blocks(batch: pa.RecordBatch, column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of a batch with at most `most` bytes of text each (or one row)."""
     _, offsets = flat(batch.column(column))

@@ -16,13 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwatch.llm.arrow import blocks, flat, record
+from tabwatch.llm.arrow import blocks, flat, record, unused
 
 ORDER = 3
 PAD = 10  # contexts before a text's first byte are line feeds
 UNDETERMINED = "und"
 #: Training sample: about so many documents of each of the most frequent languages, none longer than this.
 DOCS_PER_LANGUAGE, MAX_TRAIN_BYTES, MAX_LANGUAGES = 1500, 65_536, 64
+#: Bits a byte above which a text is in none of the languages; what takes eight is not compressed at all.
+MAX_BITS_PER_BYTE = 7.0
 #: Bytes of evidence that the score stands for.
 EVIDENCE = 32
 
@@ -221,6 +223,30 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     return texts.mapInArrow(score, "doc_id long, lang_pred string, score double, bits_per_byte double")
 
 
+def accepted(docs: DataFrame, model: LanguageModel, text_col: str = "text", max_bits: float = MAX_BITS_PER_BYTE) -> DataFrame:
+    """The rows of `docs` whose text is in one of the model's languages.
+
+    Undetermined texts go, and those whose shortest code takes more than `max_bits` for a byte: their language
+    is none of the model's, or they are no language at all. A model without languages accepts all with a letter.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    lower, letter = unused("lower", docs.columns), unused("letter", docs.columns)
+    names = docs.columns
+
+    def keep(batches):
+        for batch in batches:
+            for block in blocks(batch, lower, 1_000_000):
+                ids = pa.array(np.zeros(block.num_rows, np.int64))
+                texts = pa.RecordBatch.from_arrays([ids, block.column(lower), block.column(letter)], names=["doc_id", "text", "has_letter"])
+                scored = _score_block(shared.value, texts)
+                rate = scored.column("bits_per_byte").to_numpy(zero_copy_only=False)
+                known = ~(rate > max_bits) & block.column(letter).to_numpy(zero_copy_only=False).astype(bool)
+                yield block.select(names).filter(pa.array(known))
+
+    rows = docs.withColumn(lower, F.lower(text_col)).withColumn(letter, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
+    return rows.mapInArrow(keep, docs.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     """True for documents that the model may not learn from."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tabwatch.llm.arrow import PARCEL, PARCEL_DDL, blocks, flat, joined, parcels, record, unpacked
+from tabwatch.llm.arrow import PARCEL, PARCEL_DDL, blocks, flat, joined, parcels, record, unpacked, unused
 from tabwatch.llm.hashing import Substrings, line_spans, mix, word_spans
 from tabwatch.session import stored
 
@@ -154,12 +154,6 @@ def _apply(schema: pa.Schema, text_col: str, run: int, gone_col: str):
     return delete
 
 
-def _unused(name: str, taken: list[str]) -> str:
-    while name in {t.lower() for t in taken}:
-        name += "_"
-    return name
-
-
 def dedup_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of `docs` with the repeated runs deleted from the text, and n_lines_, n_removed_ (lines with a word).
 
@@ -167,7 +161,7 @@ def dedup_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text_co
     document with a smaller id, or further up in the same one; this is judged on the input. Null texts stay null, a
     text may become empty. Rows with an equal id count as one document; a null id comes first.
     """
-    row, gone, n_lines, n_removed = (_unused(x, docs.columns) for x in ("row_", "gone_", N_LINES, N_REMOVED))
+    row, gone, n_lines, n_removed = (unused(x, docs.columns) for x in ("row_", "gone_", N_LINES, N_REMOVED))
     runs = deleted_runs(docs, run, id_col, text_col).toDF(row, gone)
     marked = docs.join(runs, row_key(id_col, text_col) == F.col(row), "left").drop(row)
     arrow = to_arrow_schema(docs.schema).append(pa.field(n_lines, pa.int64())).append(pa.field(n_removed, pa.int64()))

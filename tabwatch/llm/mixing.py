@@ -17,11 +17,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabwatch.llm.arrow import unused
 from tabwatch.session import stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET, MOST_PASSES = 1.5, 2.0
 BLOCK_WORDS = 256
+WHOLE = 1 << 40  # more words than any document has
 SHARDS = 16
 BUCKETS = 4096
 SEED = 10
@@ -258,3 +260,14 @@ def mix(docs: DataFrame, **columns: str) -> DataFrame:
     sizes = stored(document_sizes(docs, **columns), "mix-sizes")
     goals = targets(sizes)
     return taken_words(sizes, goals, draw(sizes, goals))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of `docs` that the mix takes, whole and as often as it takes them; each document is one block."""
+    sizes = stored(document_sizes(docs, id_col, text_col, source_col), "mix-sizes")
+    goals = targets(sizes)
+    key, copy = unused("key", docs.columns), unused("copy", docs.columns)
+    taken = draw(sizes, goals, WHOLE).select(F.col("key").alias(key), F.col("copy").alias(copy))
+    copies = Window.partitionBy(key).orderBy(F.col(id_col).cast("long"), F.col(source_col).cast("string"), F.length(text_col))
+    numbered = docs.withColumn(key, row_key(id_col, text_col, source_col)).withColumn(copy, F.row_number().over(copies))
+    return numbered.join(taken, [key, copy]).select(*docs.columns)

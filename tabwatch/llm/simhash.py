@@ -1,65 +1,83 @@
 """Near-duplicates by SimHash, with pivot distance tables in place of all comparisons.
 
-Fingerprints within `max_bits` of each other are equal in one of max_bits + 1 parts of their bits, and what
-is left of them again in one of as many parts; such pairs of parts are the keys under which candidates meet.
-Under a key, fingerprints have a table of their Hamming distances to fixed reference fingerprints. Two of
-them can only be close if no coordinate differs by more than max_bits, so they are sorted by the first
-coordinate and compared in a sliding range, coordinate by coordinate; survivors are verified bit by bit.
-A key gives a spanning forest of its links, not its pairs. Stars joined from the forests give the components.
+Fingerprints meet as candidates under keys. For a small radius the keys lose nothing: fingerprints within `max_bits`
+of each other are equal in one of max_bits + 1 parts of their bits, and what is left of them again in one of as many
+parts, so each such pair of parts is a key. For a similarity of shingle sets the radius is too wide for that: keys are
+then samples of bits, as many as find a pair at the threshold with probability RECALL, at any number of documents.
+
+Under a key, fingerprints have a table of their Hamming distances to fixed reference fingerprints. Two of them can only
+be close if no coordinate differs by more than the radius, so they are sorted by the first coordinate and compared in a
+sliding range, coordinate by coordinate; survivors are verified bit by bit. What is linked already is not compared
+again, and a key gives a spanning forest of its links, not its pairs. Stars joined from the forests give the components.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwatch.llm.arrow import blocks, flat, record
+from tabwatch.llm.arrow import blocks, flat, record, unused
+from tabwatch.llm.hashing import mix
 from tabwatch.session import stored
 
 SEED = 42
 SHINGLE, MAX_BITS = 3, 3
+#: For a similarity: words of a shingle, least similarity, 64-bit lanes of a fingerprint, share of pairs to find.
+WIDE_SHINGLE, SIMILARITY, LANES, RECALL = 5, 0.8, 4, 0.95
 #: Reference fingerprints.
-PIVOTS = np.random.default_rng(4).integers(0, 1 << 64, 16, np.uint64)
+PIVOTS = np.random.default_rng(4).integers(0, 1 << 64, (16, LANES), np.uint64)
 #: Fingerprints of a key that one task compares with each other; keys with more are cut into tiles of two such parts.
 TILE = 4096
 _HASHED = 65_536  # shingles whose bits are counted at a time
-_FINGERPRINT = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """64 bits, each 1 if it is in over half of the shingle hashes; 0 without words."""
+def fingerprint(text: bytes, shingle: int = SHINGLE, lanes: int = 1) -> bytes:
+    """64 bits a lane, each 1 if it is in over half of the shingle hashes; all 0 without words.
+
+    The first lane takes the hashes as they are, the others mix them.
+    """
     words = text.lower().split()
     if not words:
-        return 0
+        return bytes(8 * lanes)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.append(0, ends[:-1] + 1)
     k = min(shingle, len(words))
     spans = list(zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True))
-    digest, ones = xxhash.xxh64_digest, np.zeros(64, np.int64)
+    digest, ones = xxhash.xxh64_digest, np.zeros((lanes, 64), np.int64)
     for at in range(0, len(spans), _HASHED):
-        hashes = b"".join([digest(joined[a:b], SEED) for a, b in spans[at : at + _HASHED]])
-        ones += np.unpackbits(np.frombuffer(hashes, np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.uint32)
-    return int.from_bytes(np.packbits(ones * 2 > len(spans)).tobytes(), "big")
+        raw = np.frombuffer(b"".join([digest(joined[a:b], SEED) for a, b in spans[at : at + _HASHED]]), np.uint8)
+        for lane in range(lanes):
+            bits = raw if not lane else mix(raw.view(">u8").astype(np.uint64) + np.uint64(lane)).view(np.uint8)
+            ones[lane] += np.unpackbits(bits).reshape(-1, 64).sum(axis=0, dtype=np.uint32)
+    return np.packbits(ones.ravel() * 2 > len(spans)).tobytes()
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp (the 64 bits as a long) of every whole text; a null text has no words."""
+def fingerprints(
+    docs: DataFrame, shingle: int = SHINGLE, lanes: int = 1, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """doc_id, row (a hash of id and text) and the lanes w0, w1, ... (as longs) of every whole text; null has no words."""
+    names = [f"w{k}" for k in range(lanes)]
 
     def run(batches):
         for batch in batches:
             for block in blocks(batch, "text"):
                 data, offsets = flat(block.column("text"))
                 data = data.tobytes()
-                found = [fingerprint(data[a:b], shingle) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-                yield record(_FINGERPRINT, doc_id=block.column("doc_id"), fp=np.array(found, np.uint64).view(np.int64))
+                found = [fingerprint(data[a:b], shingle, lanes) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                table = np.frombuffer(b"".join(found), ">i8").astype(np.int64).reshape(-1, lanes)
+                columns = [block.column("doc_id"), block.column("row"), *[pa.array(table[:, k]) for k in range(lanes)]]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", *names])
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return texts.mapInArrow(run, "doc_id long, fp long")
+    key = F.xxhash64(F.col(id_col).cast("long"), text_col)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("row"), F.col(text_col).alias("text"))
+    return texts.mapInArrow(run, "doc_id long, row long" + "".join(f", {name} long" for name in names))
 
 
 def _parts(positions: list[int], n: int) -> list[list[int]]:
@@ -99,52 +117,49 @@ def components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             parent = above
 
 
-def close_pairs(fp: np.ndarray, group: np.ndarray, side: np.ndarray, max_bits: int):
-    """Yields index arrays of linked fingerprints within groups; rows with different non-zero sides are compared only."""
-    table = np.bitwise_count(fp[:, None] ^ PIVOTS[None, :]).astype(np.int8)
+def forest(fp: np.ndarray, group: np.ndarray, side: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root) by index for fingerprints (rows of lanes) linked within their group.
+
+    Rows with a side other than 0 are compared with rows of other sides only.
+    """
+    table = np.bitwise_count(fp[:, None, :] ^ PIVOTS[None, :, : fp.shape[1]]).sum(axis=2, dtype=np.int16)
     order = np.lexsort((table[:, 0], group))
     fp, group, side, table = fp[order], group[order], side[order], table[order]
-    here, shift = np.arange(len(fp)), 0
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    of = np.cumsum(np.append(False, group[1:] != group[:-1]))
+    parent, here, shift = np.arange(len(fp)), np.arange(len(fp)), 0
     while len(here):
         shift += 1
         here = here[here + shift < len(fp)]
         there = here + shift
-        near = (group[here] == group[there]) & (table[there, 0] - table[here, 0] <= max_bits)
+        near = (of[here] == of[there]) & (table[there, 0] - table[here, 0] <= max_bits)
         here = here[near]  # ranges only end: what is too far now stays so at a larger shift
-        left = here[(side[here] != side[here + shift]) | (side[here] == 0)]
+        left = here[(parent[here] != parent[here + shift]) & ((side[here] != side[here + shift]) | (side[here] == 0))]
         for pivot in range(1, len(PIVOTS)):
             left = left[np.abs(table[left, pivot] - table[left + shift, pivot]) <= max_bits]
-        left = left[np.bitwise_count(fp[left] ^ fp[left + shift]) <= max_bits]
+        left = left[np.bitwise_count(fp[left] ^ fp[left + shift]).sum(axis=1) <= max_bits]
         if len(left):
-            yield order[left], order[left + shift]
-
-
-def _forest(fp: np.ndarray, group: np.ndarray, side: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    parent, held, size = np.arange(len(fp)), [], 0
-    for pair in close_pairs(fp, group, side, max_bits):
-        held.append(pair)
-        size += len(pair[0])
-        if size > 1_000_000:  # settle what is held, so that a dense key never holds all of its pairs
-            held.append((np.arange(len(fp)), parent))
-            parent, held, size = components(len(fp), *(np.concatenate(x) for x in zip(*held, strict=True))), [], 0
-    if held:
-        held.append((np.arange(len(fp)), parent))
-        parent = components(len(fp), *(np.concatenate(x) for x in zip(*held, strict=True)))
+            parent = components(len(fp), np.append(np.arange(len(fp)), left), np.append(parent, left + shift))
+            whole = np.minimum.reduceat(parent, starts) == np.maximum.reduceat(parent, starts)
+            here = here[~whole[of[here]]]
     child = np.flatnonzero(parent != np.arange(len(fp)))
-    return fp[child], fp[parent[child]]
+    return order[child], order[parent[child]]
 
 
 def _links(max_bits: int):
     """Rows come sorted by way, bits and tile; groups of a batch are compared at once, the last one waits for the next."""
 
     def settle(columns: list[np.ndarray]):
-        way, bits, tile_a, tile_b, part, fp = columns
+        way, bits, tile_a, tile_b, part, node, *lanes = columns
         fresh = np.append(True, (way[1:] != way[:-1]) | (bits[1:] != bits[:-1]) | (tile_a[1:] != tile_a[:-1]) | (tile_b[1:] != tile_b[:-1]))
         group = np.cumsum(fresh)
-        many = np.bincount(group)[group] > 1
+        many = np.flatnonzero(np.bincount(group)[group] > 1)
+        if not len(many):
+            return
         side = np.where(tile_a == tile_b, 0, part + 1)
-        a, b = _forest(fp[many].view(np.uint64), group[many], side[many], max_bits)
-        return record(_LINK, a=a.view(np.int64), b=b.view(np.int64))
+        fp = np.stack([w[many].view(np.uint64) for w in lanes], axis=1)
+        a, b = forest(fp, group[many], side[many], max_bits)
+        yield record(_LINK, a=node[many][a], b=node[many][b])
 
     def run(batches):
         held = None
@@ -156,28 +171,51 @@ def _links(max_bits: int):
             last = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:4]])) if n else []
             cut = int(last[-1]) + 1 if len(last) else 0
             if cut:
-                yield settle([c[:cut] for c in columns])
+                yield from settle([c[:cut] for c in columns])
             held = [c[cut:] for c in columns]
         if held is not None and len(held[0]):
-            yield settle(held)
+            yield from settle(held)
 
     return run
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Spanning links (a, b) between distinct fingerprints (column fp) within max_bits of each other."""
-    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = distinct.select("fp", F.inline(_keys(F.col("fp"), max_bits)))
+def links(keyed: DataFrame, max_bits: int) -> DataFrame:
+    """Spanning links (a, b) between fingerprints within max_bits that share a key; keyed: node, lanes, way, bits."""
+    n = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lanes = [c for c in keyed.columns if c.startswith("w") and c != "way"]
     crowded = keyed.groupBy("way", "bits").count().where(F.col("count") > TILE)
     sized = keyed.join(crowded, ["way", "bits"], "left")
     tiles = F.coalesce(F.ceil(F.col("count") / TILE), F.lit(1)).cast("int")
-    sized = sized.withColumn("tiles", tiles).withColumn("part", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
+    sized = sized.withColumn("tiles", tiles).withColumn("part", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     sized = sized.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    tiled = sized.select("way", "bits", F.least("part", "other").alias("tile_a"), F.greatest("part", "other").alias("tile_b"), "part", "fp")
+    tile = [F.least("part", "other").alias("tile_a"), F.greatest("part", "other").alias("tile_b")]
+    tiled = sized.select("way", "bits", *tile, "part", "node", *lanes)
     dealt = tiled.repartition(n, "way", "bits", "tile_a", "tile_b").sortWithinPartitions("way", "bits", "tile_a", "tile_b")
     return dealt.mapInArrow(_links(max_bits), "a long, b long")
 
 
+def _sampled(classes: DataFrame, lanes: int, ways: int, width: int) -> DataFrame:
+    """node, lanes, way, bits: `ways` samples of `width` bits of each fingerprint."""
+    rng = np.random.default_rng(3)
+    chosen = np.stack([rng.choice(64 * lanes, width, replace=False) for _ in range(ways)])
+    names = ["node", *[f"w{k}" for k in range(lanes)]]
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                table = np.stack([part.column(c).to_numpy() for c in names[1:]], axis=1)
+                bits = np.unpackbits(np.ascontiguousarray(table).view(np.uint8), axis=1)
+                weights = np.int64(1) << np.arange(width, dtype=np.int64)
+                for way in range(ways):
+                    key = bits[:, chosen[way]].astype(np.int64) @ weights
+                    columns = [part.column(c) for c in names]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(key), way, np.int32)), pa.array(key)], names=[*names, "way", "bits"])
+
+    ddl = "".join(f"{name} long, " for name in names) + "way int, bits long"
+    return classes.select(*names).mapInArrow(run, ddl)
+
+
 def stars(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b) that is not the smallest of its component.
 
@@ -202,6 +240,16 @@ def stars(edges: DataFrame) -> DataFrame:
         state = now
 
 
+def _named(prints: DataFrame, classes: DataFrame, edges: DataFrame) -> DataFrame:
+    """`prints` with component_id, the smallest doc_id among the classes (node, first, lanes) linked with a row's."""
+    roots = stars(edges)
+    rooted = classes.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
+    rooted = rooted.select("node", "first", F.coalesce("root", "node").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = rooted.select("node", "root").join(smallest, "root").select(F.col("node").alias("of"), "root", "component_id")
+    return prints.join(named, F.col("node") == F.col("of")).drop("of")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -211,11 +259,42 @@ def near_duplicates(
     shingle is one shingle, one without words (or null) has the fingerprint zero and is linked like any other.
     Repeated rows give repeated results, null ids never name a component; other columns are ignored.
     """
-    prints = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    roots = stars(links(classes.select("fp"), max_bits))
-    rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.select("fp", "root").join(smallest, "root").select(F.col("fp").alias("of"), "component_id")
-    joined = prints.join(named, F.col("fp") == F.col("of"))
-    return joined.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    prints = fingerprints(docs, shingle, 1, id_col, text_col).withColumn("node", F.col("w0"))
+    prints = stored(prints, "fingerprints")
+    classes = stored(prints.groupBy("node", "w0").agg(F.min("doc_id").alias("first")), "classes")
+    keyed = classes.select("node", "w0", F.inline(_keys(F.col("w0"), max_bits)))
+    named = _named(prints, classes, links(keyed, max_bits))
+    return named.select("doc_id", F.lpad(F.lower(F.hex("w0")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def similar(
+    docs: DataFrame, shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """doc_id, row (a hash of id and text), root, component_id: linked are texts of about `similarity` or more by their shingles.
+
+    Shingle sets of equal size with similarity s differ in a bit with probability arccos(2s / (1 + s)) / pi; the radius
+    is what this expects and one standard deviation more. Rows are handled as by near_duplicates.
+    """
+    bits = 64 * LANES
+    apart = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    max_bits = math.ceil(bits * apart + math.sqrt(bits * apart * (1 - apart)))
+    lanes = [f"w{k}" for k in range(LANES)]
+    prints = fingerprints(docs, shingle, LANES, id_col, text_col).withColumn("node", F.xxhash64(*lanes))
+    prints = stored(prints, "fingerprints")
+    classes = stored(prints.groupBy("node", *lanes).agg(F.min("doc_id").alias("first")), "classes")
+    width = max(8, math.ceil(math.log2(max(2, classes.count()) / 8)))
+    ways = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - apart) ** width))
+    named = _named(prints, classes, links(_sampled(classes, LANES, ways, width), max_bits))
+    return named.select("doc_id", "row", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of `docs` without near-duplicates as of `similar`: of each component the one with the least id stays."""
+    linked = similar(docs, id_col=id_col, text_col=text_col, **options)
+    kept = linked.groupBy("root").agg(F.min(F.struct("doc_id", "row"))["row"].alias("row"))
+    row, copy = unused("row", docs.columns), unused("copy", docs.columns)
+    keyed = docs.withColumn(row, F.xxhash64(F.col(id_col).cast("long"), text_col))
+    chosen = keyed.join(kept.select(F.col("row").alias(row)), row, "left_semi")
+    # equal rows have one hash: a single one of them stays
+    numbered = chosen.withColumn(copy, F.row_number().over(Window.partitionBy(row).orderBy(row)))
+    return numbered.where(F.col(copy) == 1).select(*docs.columns)
