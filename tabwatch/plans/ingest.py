@@ -41,10 +41,10 @@ def ingest_csv(
     rows, rejects = csv.split_malformed(csv.read_raw_csv(spark, path))
     bad = rejects.head(1)
     if bad:
-        raise RejectedUpload(f"Could not parse file as CSV: more fields than columns, first extra value {bad[0][csv.OVERFLOW]!r}")
+        raise RejectedUpload(f"Could not parse file as CSV: a record does not fit the columns, at {bad[0][csv.OVERFLOW]!r}")
     tables.land_rows(rows, dataset_id, landing)
     landed = spark.read.parquet(landing).where(F.col("dataset_id") == dataset_id).select(*[f"`{c}`" for c in rows.columns])
-    digest = files.fingerprints(spark, path, config).agg(F.min("sha256")).scalar()
+    digest = files.content_hash(files.fingerprints(spark, path), path).scalar()
     report = quality.report(landed, contract, config)
     row = report.select(
         F.lit(dataset_id).alias("id"),

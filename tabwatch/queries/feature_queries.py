@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from tabwatch.operators import evaluate, features, split
 from tabwatch.queries.tables import load, r6
-from tabwatch.schema import DatasetContract
+from tabwatch.schema import ID, TARGET, ColumnSpec, DatasetContract, categories, numbers
 
 CONTRACT = DatasetContract(
-    name="line_value", id_column="row_key", target_column="costly", positive_label="Yes",
-    numeric_columns=("quantity", "unit", "total"), categorical_columns=("flag", "status"),
-    coercible_numeric_columns=("total",),
+    name="line_value",
+    columns=(
+        ColumnSpec("row_key", ID), *numbers("quantity", "unit"), *numbers("total", coercible=True),
+        *categories("flag", "status"), ColumnSpec("costly", TARGET),
+    ),
+    labels=("Yes", "No"),
 )
 SPEC = features.FeatureSpec(CONTRACT, {"avg_unit": features.average_spend("total", "quantity", "unit")})
 

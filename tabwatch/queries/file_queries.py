@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from tabwatch.operators import monitoring, quality
 from tabwatch.plans.ingest import ingest_csv
-from tabwatch.queries.tables import RAW_CONTRACT, load, moment, r6, with_tables
+from tabwatch.queries.tables import RAW_CONTRACT, UPLOAD_ROWS, load, moment, r6, with_tables
 from tabwatch.session import new_workspace
 from tabwatch.sources import csv, files, logs, tables
 
 
 def raw_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw lines written as CSV and scanned again as text."""
+    """The raw lines and a note with quotes, commas and line breaks, written as CSV and scanned again as text."""
     path = new_workspace(spark, "csv")
-    csv.write_raw_csv(load(spark, sf_dir, "raw_lines"), path)
+    note = F.concat(F.lit('said "'), "supplier_hint", F.lit('", then\n'), "line_id", F.lit(" left"))
+    csv.write_raw_csv(load(spark, sf_dir, "raw_lines").withColumn("note", note), path, max_records=UPLOAD_ROWS)
     rows, _ = csv.split_malformed(csv.read_raw_csv(spark, path))
     return rows
 
@@ -88,9 +89,9 @@ def landing_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dataset_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One CSV upload from file to catalog row."""
+    """One CSV upload, of as many files as its rows need, from files to catalog row."""
     path = new_workspace(spark, "upload")
-    csv.write_raw_csv(load(spark, sf_dir, "raw_lines").coalesce(1), path)
+    csv.write_raw_csv(load(spark, sf_dir, "raw_lines"), path, max_records=UPLOAD_ROWS)
     root = new_workspace(spark, "ingest")
     row = ingest_csv(
         spark, path, RAW_CONTRACT, dataset_id="d1", filename="lines.csv", landing=f"{root}/landing",
@@ -143,7 +144,8 @@ _LINE = "concat(CAST(c_custkey AS STRING), ',', c_name)"
 
 ORACLES = {
     "raw_csv_roundtrip": with_tables(
-        "SELECT line_id, quantity, discount, nullif(tax, '') AS tax, linestatus, flag, supplier_hint FROM raw_lines", "raw_lines"
+        """SELECT line_id, quantity, discount, nullif(tax, '') AS tax, linestatus, flag, supplier_hint,
+        concat('said "', supplier_hint, '", then', chr(10), line_id, ' left') AS note FROM raw_lines""", "raw_lines"
     ),
     "corrupt_rows": "SELECT CAST(c_custkey AS STRING) AS id, c_mktsegment AS segment, c_name AS name, 'Jr.' AS first_extra FROM customer WHERE c_acctbal < 0",
     "file_admission": f"""SELECT c_mktsegment AS segment, CAST(sum(strlen({_LINE}) + 1) AS BIGINT) AS length,

@@ -10,7 +10,7 @@ from tabwatch.operators import monitoring
 from tabwatch.plans import train
 from tabwatch.queries import drift_queries
 from tabwatch.queries.feature_queries import _RAW, SPEC, raw_rows
-from tabwatch.queries.tables import PREDICTION_CONTRACT, RAW_CONTRACT, SELECTS, load, moment, r6, with_tables
+from tabwatch.queries.tables import PREDICTION_CONTRACT, RAW_CONTRACT, SELECTS, UPLOAD_ROWS, load, moment, r6, with_tables
 from tabwatch.queries.training_queries import CONFIG
 from tabwatch.schema import MonitorConfig
 from tabwatch.session import new_workspace
@@ -90,19 +90,25 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A directory of uploads, one per return flag and a second copy of each, checked once per content."""
+    """A folder of uploads, as many files as the rows need, each layout twice over: whole, with the columns in another
+    order, without one, with one renamed; and files with a header only. Counted by layout and findings."""
     root = new_workspace(spark, "uploads")
-    raw = load(spark, sf_dir, "raw_lines").drop("supplier_hint").withColumn("part", F.col("flag"))
-    ordered = raw.repartition("part").sortWithinPartitions("part", *RAW_CONTRACT.required).where("part IS NOT NULL")
+    raw = load(spark, sf_dir, "raw_lines").withColumn("numbered", F.expr("CAST(split_part(line_id, '-', 2) AS INT) % 4"))
+    names = list(RAW_CONTRACT.required)
+    layouts = {
+        "whole": [*names, "supplier_hint"], "reordered": names[::-1], "missing": [n for n in names if n != "tax"],
+        "renamed": [F.col(n).alias("taxes" if n == "tax" else n) for n in names],
+    }
     for copy in ("first", "second"):
-        ordered.write.partitionBy("part").csv(
-            f"{root}/in/{copy}", header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-        )
+        for k, (layout, columns) in enumerate(layouts.items()):
+            csv.write_raw_csv(raw.where(F.col("numbered") == k).select(*columns), f"{root}/in/{copy}/layout={layout}", max_records=UPLOAD_ROWS)
+        csv.write_raw_csv(raw.select(*names).limit(0), f"{root}/in/{copy}/layout=header")
     ingest.ingest_stream(
         spark, f"{root}/in", RAW_CONTRACT, f"{root}/catalog", f"{root}/checkpoint", pattern="*.csv"
     ).awaitTermination()
-    checked = spark.read.parquet(f"{root}/catalog")
-    return checked.select(F.regexp_extract("path", r"part=([^/]+)/", 1).alias("part"), "reject_reason", "n_rows", "is_valid")
+    checked = spark.read.parquet(f"{root}/catalog").withColumn("layout", F.regexp_extract("path", r"layout=([^/]+)/", 1))
+    layout_check = F.array_join(F.filter(F.split("checks", ","), lambda c: c.isin("required_columns", "unexpected_columns", "non_empty")), ",")
+    return checked.groupBy("layout", layout_check.alias("checks"), "is_valid").agg(F.sum("n_rows").alias("n_rows"))
 
 
 QUERIES = {
@@ -137,7 +143,11 @@ ORACLES = {
                 FROM s JOIN a ON a.user_id = s.user_id AND a.rn = s.rn + 1) t)
         SELECT event_id AS attempt_id, CAST(user_id AS STRING) AS "key", blocked FROM s WHERE rn > 0""",
     "stream_ingest": with_tables(
-        "SELECT flag AS part, CAST(NULL AS VARCHAR) AS reject_reason, CAST(count(*) AS BIGINT) AS n_rows, FALSE AS is_valid FROM raw_lines WHERE flag IS NOT NULL GROUP BY flag",
+        """SELECT CASE k WHEN 0 THEN 'whole' WHEN 1 THEN 'reordered' WHEN 2 THEN 'missing' ELSE 'renamed' END AS layout,
+            CASE k WHEN 0 THEN 'unexpected_columns' WHEN 1 THEN '' WHEN 2 THEN 'required_columns' ELSE 'required_columns,unexpected_columns' END AS checks,
+            FALSE AS is_valid, CAST(count(*) AS BIGINT) AS n_rows
+        FROM (SELECT CAST(split_part(line_id, '-', 2) AS INT) % 4 AS k FROM raw_lines) r GROUP BY k
+        UNION ALL SELECT 'header', 'non_empty', FALSE, 0""",
         "raw_lines",
     ),
 }

@@ -11,13 +11,15 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwatch.schema import DatasetContract
+from tabwatch.schema import ID, TARGET, ColumnSpec, DatasetContract, categories, numbers
 from tabwatch.session import read_table
 
 # Reference point of every relative window: just after the last row of the table concerned.
 AS_OF = "2001-11-05 00:00:00"
 EVENTS_AS_OF = "2024-01-31 00:00:00"
 CUT = "1998-01-01 00:00:00"
+# Rows of one uploaded file: a larger upload comes in more files.
+UPLOAD_ROWS = 100_000
 
 SELECTS: dict[str, str] = {
     # A raw, all-text dataset with blanks, texts in numeric columns, unknown labels and a spare column.
@@ -113,13 +115,20 @@ SELECTS: dict[str, str] = {
 }
 
 PREDICTION_CONTRACT = DatasetContract(
-    name="lines", id_column="id", target_column="prediction", positive_label="Yes",
-    numeric_columns=("quantity", "price", "discount"), categorical_columns=("flag", "status"),
+    name="lines",
+    columns=(
+        ColumnSpec("id", ID), *numbers("quantity", "price", "discount"), *categories("flag", "status"),
+        ColumnSpec("prediction", TARGET),
+    ),
+    labels=("Yes", "No"),
 )
 RAW_CONTRACT = DatasetContract(
-    name="raw_lines", id_column="line_id", target_column="flag", positive_label="R", negative_label="N",
-    numeric_columns=("quantity", "discount", "tax"), categorical_columns=("linestatus",),
-    coercible_numeric_columns=("tax",),
+    name="raw_lines",
+    columns=(
+        ColumnSpec("line_id", ID), *numbers("quantity", "discount"), *numbers("tax", coercible=True),
+        *categories("linestatus"), ColumnSpec("flag", TARGET),
+    ),
+    labels=("R", "N"),
 )
 
 _NAMES = re.compile(r"(?<!\{)\{(\w+)\}(?!\})")

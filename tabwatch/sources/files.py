@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,13 +40,22 @@ def admission(files: DataFrame, config: MonitorConfig = MonitorConfig()) -> Data
     return files.withColumn("reject_reason", reason)
 
 
-def fingerprints(spark: SparkSession, path: str, config: MonitorConfig = MonitorConfig()) -> DataFrame:
-    """(path, length, sha256) of files up to the upload limit, which bounds the bytes held per row.
+def fingerprints(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, sha256) of every stored file, whatever its size: refusing an upload is for `admission`.
 
-    The length filter is pushed to the scan: larger files are never opened.
+    A file is one row, so it is bounded by what the binary file source reads into one (2 GB).
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.where(F.col("length") <= _max_bytes(config)).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+
+
+def content_hash(hashes: DataFrame, root: str) -> DataFrame:
+    """One row: the hash of an upload. That of a single file is the file's; several files have that of their sorted
+    list of relative path and hash, so a change in any of them shows."""
+    relative = F.regexp_replace("path", F.lit("^.*" + re.escape(root.rstrip("/").rpartition("/")[2])), F.lit(""))
+    parts = F.array_sort(F.collect_list(F.struct(relative.alias("name"), "sha256")))
+    listed = F.sha2(F.array_join(F.transform(parts, lambda p: F.concat_ws(":", p["name"], p["sha256"])), "\n"), 256)
+    return hashes.agg(F.when(F.count("*") == 1, F.min("sha256")).otherwise(listed).alias("content_hash"))
 
 
 def existing(datasets: DataFrame, files: DataFrame, key: Column) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from tabwatch.functions import stats
 from tabwatch.operators import drift
-from tabwatch.schema import DatasetContract, MonitorConfig
+from tabwatch.schema import ID, TARGET, ColumnSpec, DatasetContract, MonitorConfig, categories, numbers
 
-CONTRACT = DatasetContract("c", "id", "y", "Yes", ("tenure",), ("plan",))
+CONTRACT = DatasetContract("c", (ColumnSpec("id", ID), *numbers("tenure"), *categories("plan"), ColumnSpec("y", TARGET)), ("Yes", "No"))
 
 
 def numeric(spark, values, name):

@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from tabwatch.operators import evaluate, features, split
 from tabwatch.operators.features import CHURN_FEATURES, FeatureSpec
-from tabwatch.schema import CHURN, DatasetContract
+from tabwatch.schema import CHURN, ID, TARGET, ColumnSpec, DatasetContract, categories, numbers
 
-SMALL = FeatureSpec(DatasetContract("s", "id", "y", "Yes", ("a",), ("c",)), {})
+SMALL = FeatureSpec(DatasetContract("s", (ColumnSpec("id", ID), *numbers("a"), *categories("c"), ColumnSpec("y", TARGET)), ("Yes", "No")), {})
 
 
 def churn_rows(spark, rows):
@@ -45,7 +45,7 @@ def test_mode_tie_takes_the_smallest(spark):
 
 def test_statistics_come_from_the_training_fold_only(spark):
     df = spark.range(40).select(F.col("id").cast("double").alias("a"), F.when(F.col("id") < 20, "train").otherwise("test").alias("split"))
-    fitted = features.fit_statistics(df.where("split = 'train'"), FeatureSpec(DatasetContract("s", "id", "y", "Yes", ("a",), ()), {}))
+    fitted = features.fit_statistics(df.where("split = 'train'"), FeatureSpec(DatasetContract("s", (ColumnSpec("id", ID), *numbers("a"), ColumnSpec("y", TARGET)), ("Yes", "No")), {}))
     assert fitted.mean["a"] == np.arange(20).mean() and fitted.median["a"] == 9.5
 
 

@@ -8,18 +8,18 @@ from tabwatch.operators import quality
 
 def rows(n=60):
     return [
-        {"id": f"C{i}", "age": str(30 + i % 20), "balance": str(100.0 + i), "plan": "premium" if i % 2 else "basic",
+        {"id": f"W{i}", "depth": str(30 + i % 20), "flow": str(100.0 + i), "soil": "clay" if i % 2 else "sand",
          "target": "Yes" if i % 3 == 0 else "No"}
         for i in range(n)
     ]
 
 
-def frame(spark, data, columns=("id", "age", "balance", "plan", "target")):
+def frame(spark, data, columns=("id", "depth", "flow", "soil", "target")):
     schema = ", ".join(f"`{c}` string" for c in columns)
     return spark.createDataFrame([tuple(r.get(c) for c in columns) for r in data], schema)
 
 
-def report(spark, contract, data, columns=("id", "age", "balance", "plan", "target")):
+def report(spark, contract, data, columns=("id", "depth", "flow", "soil", "target")):
     return quality.report(frame(spark, data, columns), contract).head().asDict(recursive=True)
 
 
@@ -41,7 +41,7 @@ def test_clean(spark, contract):
     rep = report(spark, contract, rows())
     assert rep["is_valid"] and rep["issues"] == [] and rep["n_rows"] == 60 and rep["n_columns"] == 5
     assert rep["class_balance"] == {"No": 40, "Yes": 20} and rep["duplicate_row_count"] == 0
-    assert rep["column_null_counts"] == {"age": 0, "balance": 0, "plan": 0}
+    assert rep["column_null_counts"] == {"depth": 0, "flow": 0, "soil": 0}
 
 
 def test_empty(spark, contract):
@@ -53,14 +53,14 @@ def test_empty(spark, contract):
 def test_missing_column_skips_value_checks(spark, contract):
     data = rows()
     data[1] = {**data[0], "id": data[1]["id"]}
-    rep = report(spark, contract, data, ("id", "balance", "plan", "target"))
-    assert finding(rep, "required_columns")["details"]["missing_columns"] == "age"
+    rep = report(spark, contract, data, ("id", "flow", "soil", "target"))
+    assert finding(rep, "required_columns")["details"]["missing_columns"] == "depth"
     assert rep["class_balance"] is None and rep["column_null_counts"] == {} and rep["duplicate_row_count"] == 1
     assert len(rep["issues"]) == 1 and not rep["is_valid"]
 
 
 def test_extra_column_is_a_warning(spark, contract):
-    rep = report(spark, contract, rows(), ("id", "age", "balance", "plan", "target", "extra_col"))
+    rep = report(spark, contract, rows(), ("id", "depth", "flow", "soil", "target", "extra_col"))
     assert finding(rep, "unexpected_columns")["severity"] == "warning" and rep["is_valid"]
 
 
@@ -91,7 +91,7 @@ def test_duplicate_content(spark, contract):
 
 def test_null_and_empty_text_are_different_content(spark, contract):
     a, b = rows()[0], rows()[0]
-    rep = report(spark, contract, [*rows(), {**a, "id": "x", "plan": None}, {**b, "id": "y", "plan": ""}])
+    rep = report(spark, contract, [*rows(), {**a, "id": "x", "soil": None}, {**b, "id": "y", "soil": ""}])
     assert rep["duplicate_row_count"] == 0
 
 
@@ -99,20 +99,20 @@ def test_null_and_empty_text_are_different_content(spark, contract):
 def test_missing_fraction_is_an_error_only_above_half(spark, contract, n_null, severity):
     data = rows()
     for r in data[:n_null]:
-        r["plan"] = None
+        r["soil"] = None
     assert finding(report(spark, contract, data), "missing_values")["severity"] == severity
 
 
 def test_coercible_missing_only_warns(spark, contract):
     data = rows()
     for r in data:
-        r["balance"] = " "
+        r["flow"] = " "
     rep = report(spark, contract, data)
     found = finding(rep, "missing_values")
     assert found["severity"] == "warning" and found["message"].endswith("will be imputed during preprocessing.")
 
 
-@pytest.mark.parametrize(("column", "value", "severity"), [("age", "not_a_number", "error"), ("balance", "N/A", "warning")])
+@pytest.mark.parametrize(("column", "value", "severity"), [("depth", "not_a_number", "error"), ("flow", "N/A", "warning")])
 def test_text_in_numeric(spark, contract, column, value, severity):
     found = finding(report(spark, contract, changed(**{column: value})), "dtype_numeric")
     assert found["severity"] == severity and found["details"] == {"column": column, "invalid_count": "1"}
@@ -138,8 +138,8 @@ def test_missing_target_is_null_only(spark, contract):
 def test_order_of_findings(spark, contract):
     data = rows(10)
     data[1]["id"] = data[0]["id"]
-    data[2].update(age="x", plan=None, target="?")
-    data[3].update(balance="", target=None)
+    data[2].update(depth="x", soil=None, target="?")
+    data[3].update(flow="", target=None)
     rep = report(spark, contract, data)
     assert [i["check"] for i in rep["issues"]] == [
         "minimum_row_count", "duplicate_ids", "missing_values", "missing_values", "missing_target", "dtype_numeric", "target_labels",
@@ -147,7 +147,7 @@ def test_order_of_findings(spark, contract):
 
 
 def test_report_json_round_trip(spark, contract):
-    doc = json.loads(quality.report_json(frame(spark, changed(age="x")), contract).head()[0])
+    doc = json.loads(quality.report_json(frame(spark, changed(depth="x")), contract).head()[0])
     assert doc["n_rows"] == 60 and not doc["is_valid"] and doc["issues"][0]["check"] == "dtype_numeric"
 
 
@@ -166,9 +166,9 @@ def test_duplicate_flags_keep_the_first(spark):
 
 
 def test_row_violations(spark, contract):
-    df = frame(spark, [{"age": "1.5", "plan": "p"}, {"age": "-1", "balance": "x", "plan": None}, {"age": "3", "plan": "p", "balance": "2"}])
-    checked = quality.row_violations(df, contract, integers=["age"], optional=["balance"])
+    df = frame(spark, [{"depth": "1.5", "soil": "p"}, {"depth": "-1", "flow": "x", "soil": None}, {"depth": "3", "soil": "p", "flow": "2"}])
+    checked = quality.row_violations(df, contract, integers=["depth"], optional=["flow"])
     out = [r["violations"] for r in checked.collect()]
-    assert out == [["age: not an integer"], ["age: negative", "balance: not a number", "plan: required"], []]
+    assert out == [["depth: not an integer"], ["depth: negative", "flow: not a number", "soil: required"], []]
     accepted, rejected = quality.split_by_violations(checked)
     assert (accepted.count(), rejected.count()) == (1, 2)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabwatch.functions.coerce import null_na_tokens
 from tabwatch.plans.ingest import RejectedUpload, ingest_csv
-from tabwatch.schema import DatasetContract, MonitorConfig
+from tabwatch.schema import ID, TARGET, ColumnSpec, DatasetContract, MonitorConfig, categories, numbers
 from tabwatch.session import new_workspace
 from tabwatch.sources import csv, files, logs, tables
 
@@ -22,17 +22,17 @@ def now():
 
 def test_header_na_tokens_quotes_and_overflow(spark, folder):
     path = folder / "a.csv"
-    path.write_text('id,name,v\n1,"x, ""y""",NA\n2,none, \n3,short\n4,a,b,extra\n5,"","null"\n')
+    path.write_text('id,name,v\n1,"x, ""y""",NA\n2,none, \n3,short\n4,a,b,extra\n5,"","null"\n6,a,b,\n7,"a,b",c\n8,"never closed,x\n')
     rows, rejects = csv.split_malformed(csv.read_raw_csv(spark, str(path)))
     assert rows.columns == ["id", "name", "v"]
-    assert {tuple(r) for r in rows.collect()} == {("1", 'x, "y"', None), ("2", "none", " "), ("3", "short", None), ("5", None, None)}
-    assert [(r["id"], r[csv.OVERFLOW]) for r in rejects.collect()] == [("4", "extra")]
+    assert {tuple(r) for r in rows.collect()} == {("1", 'x, "y"', None), ("2", "none", " "), ("3", "short", None), ("5", None, None), ("7", "a,b", "c")}
+    assert [(r["id"], r[csv.OVERFLOW]) for r in rejects.collect()] == [("4", "extra"), ("6", csv.EMPTY_FIELD), ("8", csv.BROKEN)]
 
 
 def test_multi_line_values(spark, folder):
     path = folder / "m.csv"
     path.write_text('id,name\n1,"two\nlines"\n')
-    assert csv.read_raw_csv(spark, str(path), multi_line=True).head()["name"] == "two\nlines"
+    assert csv.read_raw_csv(spark, str(path)).head()["name"] == "two\nlines"
 
 
 def test_csv_round_trip_keeps_blanks(spark, folder):
@@ -56,10 +56,28 @@ def test_admission_and_fingerprints(spark, folder):
     listed = spark.createDataFrame([("in/e.csv", 0)], "path string, length bigint")
     assert files.admission(listed).head()["reject_reason"] == "Uploaded file is empty."
     assert reasons["notes.txt"] == "Unsupported file type '.txt'. Only CSV files are accepted."
-    hashes = {r["path"].rsplit("/", 1)[1]: r["sha256"] for r in files.fingerprints(spark, str(folder), config).collect()}
+    hashes = {r["path"].rsplit("/", 1)[1]: r["sha256"] for r in files.fingerprints(spark, str(folder)).collect()}
     import hashlib
 
-    assert hashes["ok.csv"] == hashlib.sha256(b"id\n1\n").hexdigest() and "big.csv" not in hashes
+    assert hashes["ok.csv"] == hashlib.sha256(b"id\n1\n").hexdigest()
+    assert hashes["big.csv"] == hashlib.sha256(b"x" * (1024 * 1024 + 1)).hexdigest()  # refused, but hashed
+
+
+def test_content_hash_covers_all_files(spark, folder):
+    (folder / "up").mkdir()
+    for name, text in (("a.csv", "1"), ("b.csv", "2")):
+        (folder / "up" / name).write_text(text)
+
+    def digest():
+        return files.content_hash(files.fingerprints(spark, str(folder / "up")), str(folder / "up")).head()[0]
+
+    seen = [digest()]
+    for name in ("a.csv", "b.csv"):
+        (folder / "up" / name).write_text("changed " + name)
+        seen.append(digest())
+    assert len(set(seen)) == 3
+    single = files.fingerprints(spark, str(folder / "up" / "a.csv"))
+    assert files.content_hash(single, str(folder / "up" / "a.csv")).head()[0] == single.head()["sha256"]
 
 
 def test_integrity_precedence(spark):
@@ -107,7 +125,7 @@ def test_prediction_log_prunes_days(spark):
 
 def test_ingest(spark, folder, contract):
     good = folder / "good.csv"
-    good.write_text("id,age,balance,plan,target\n" + "".join(f"C{i},{30 + i},{i}.5,p{i % 2},{'Yes' if i % 3 else 'No'}\n" for i in range(60)))
+    good.write_text("id,depth,flow,soil,target\n" + "".join(f"C{i},{30 + i},{i}.5,p{i % 2},{'Yes' if i % 3 else 'No'}\n" for i in range(60)))
     place = {"landing": str(folder / "landing"), "catalog": str(folder / "datasets"), "as_of": now()}
     row = ingest_csv(spark, str(good), contract, dataset_id="d1", filename="good.csv", **place).head()
     assert row["is_valid"] and row["n_rows"] == 60 and row["n_columns"] == 5 and len(row["content_hash"]) == 64
@@ -135,6 +153,6 @@ def test_access_log(spark, folder):
 
 
 def test_typed_struct():
-    contract = DatasetContract("c", "id", "y", "Yes", ("a",), ("b",))
+    contract = DatasetContract("c", (ColumnSpec("id", ID), *numbers("a"), *categories("b"), ColumnSpec("y", TARGET)), ("Yes", "No"))
     assert [f.dataType.simpleString() for f in contract.typed_struct().fields] == ["double", "string"]
     assert contract.required == ("id", "a", "b", "y")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabwatch.operators import drift
-from tabwatch.schema import DatasetContract, MonitorConfig
+from tabwatch.schema import ID, TARGET, ColumnSpec, DatasetContract, MonitorConfig, categories, numbers
 from tabwatch.session import new_workspace
 from tabwatch.streaming import counts, ingest, limiter, sink
 from tabwatch.streaming import drift as stream_drift
@@ -107,7 +107,7 @@ def test_histogram_stream(spark):
 
 
 def test_drift_stream_equals_batch_and_survives_replay(spark):
-    contract = DatasetContract("c", "id", "y", "Yes", ("tenure",), ("plan",))
+    contract = DatasetContract("c", (ColumnSpec("id", ID), *numbers("tenure"), *categories("plan"), ColumnSpec("y", TARGET)), ("Yes", "No"))
     root = new_workspace(spark, "test-drift")
     for part in range(2):
         event_rows(spark, part * 200, 200).write.mode("append").parquet(f"{root}/in")
@@ -131,7 +131,7 @@ def test_ingest_stream_checks_each_content_once(spark, contract):
 
     inbox = pathlib.Path(root.removeprefix("file:")) / "in"
     inbox.mkdir(parents=True)
-    body = "id,age,balance,plan,target\n" + "".join(f"C{i},{30 + i},{i}.5,p,{'Yes' if i % 2 else 'No'}\n" for i in range(60))
+    body = "id,depth,flow,soil,target\n" + "".join(f"C{i},{30 + i},{i}.5,p,{'Yes' if i % 2 else 'No'}\n" for i in range(60))
 
     def run():
         ingest.ingest_stream(spark, str(inbox), contract, f"{root}/catalog", f"{root}/checkpoint").awaitTermination()
@@ -150,6 +150,36 @@ def test_ingest_stream_checks_each_content_once(spark, contract):
     assert rows["bad.csv"]["is_valid"] is False and rows["bad.csv"]["n_errors"] == 1
 
 
+def test_ingest_stream_reads_each_files_own_header(spark, contract):
+    import pathlib
+
+    root = new_workspace(spark, "test-headers")
+    inbox = pathlib.Path(root.removeprefix("file:")) / "in"
+    inbox.mkdir(parents=True)
+    cells = [[f"W{i}", str(30 + i), f"{i}.5", '"clay, wet\nor ""dry"""', "Yes" if i % 2 else "No"] for i in range(60)]
+    names = ["id", "depth", "flow", "soil", "target"]
+
+    def write(file, columns, rows=60, header=None, extra=""):
+        lines = [",".join(header or columns) + extra] + [",".join(r[names.index(c)] for c in columns) + extra for r in cells[:rows]]
+        (inbox / file).write_text("\n".join(lines) + "\n")
+
+    write("good.csv", names)
+    write("turned.csv", names[::-1])
+    write("foreign.csv", names, header=["a", "b", "c", "d", "e"])
+    write("missing.csv", [n for n in names if n != "flow"])
+    write("more.csv", names, header=[*names, "spare"])
+    write("nothing.csv", names, rows=0)
+    (inbox / "broken.csv").write_text((inbox / "good.csv").read_text() + 'W99,1,2,"never closed,No\n')
+    ingest.ingest_stream(spark, str(inbox), contract, f"{root}/catalog", f"{root}/checkpoint", pattern="*.csv").awaitTermination()
+    rows = {r["path"].rsplit("/", 1)[1]: (r["n_rows"], r["is_valid"], r["checks"]) for r in spark.read.parquet(f"{root}/catalog").collect()}
+    assert rows["good.csv"] == rows["turned.csv"] == (60, True, "")
+    assert rows["foreign.csv"] == (60, False, "required_columns,unexpected_columns")
+    assert rows["missing.csv"] == (60, False, "required_columns")
+    assert rows["more.csv"] == (60, True, "unexpected_columns")
+    assert rows["nothing.csv"] == (0, False, "non_empty")
+    assert rows["broken.csv"] == (60, False, "malformed_records")
+
+
 def test_watermark_option_is_required_type(spark):
     with pytest.raises(Exception):
         limiter.limit_attempts(attempts_frame(spark, []), watermark="not a duration")

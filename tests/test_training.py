@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabwatch.operators.features import CHURN_FEATURES, FeatureSpec
 from tabwatch.plans import scoring, train
-from tabwatch.schema import CHURN, MODEL_VERSIONS, DatasetContract, TrainingConfig
+from tabwatch.schema import CHURN, ID, MODEL_VERSIONS, TARGET, ColumnSpec, DatasetContract, TrainingConfig, numbers
 from tabwatch.session import new_workspace
 from tabwatch.sources import tables
 
@@ -74,7 +74,7 @@ def test_logistic_regression_solves_the_balanced_penalised_problem(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 2))
     y = (x @ [1.5, -1.0] + 1.0 + rng.normal(size=300) > 0).astype(int)
-    contract = DatasetContract("n", "id", "y", "1", ("a", "b"), ())
+    contract = DatasetContract("n", (ColumnSpec("id", ID), *numbers("a", "b"), ColumnSpec("y", TARGET)), ("1", "No"))
     raw = spark.createDataFrame([(str(i), repr(float(p)), repr(float(q)), str(t)) for i, ((p, q), t) in enumerate(zip(x, y))], "id string, a string, b string, y string")
     model = train.train_models(raw, FeatureSpec(contract, {}), TrainingConfig(), algorithms=["logistic_regression"]).models[0].model
     from tabwatch.operators.features import feature_rows
