@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwatch.functions import stats
-from tabwatch.operators.ordered import any_hot, bucket_offsets, global_cumsum, hot_groups, newest_per_group, with_bucket
+from tabwatch.operators.ordered import bucket_offsets, global_cumsum, newest_per_group, with_bucket
 from tabwatch.schema import WINDOW_SECONDS, DatasetContract, MonitorConfig
-from tabwatch.session import stored
 
 NO_VALUES_NOTE = "no usable values for this feature on one side of the comparison"  # fixed value
 
@@ -59,16 +58,14 @@ def proportions(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return counts.join(totals, group).withColumn("proportion", F.col(name) / F.col("_total")).drop("_total")
 
 
-def ks_by_feature(
-    reference: DataFrame, production: DataFrame, keys: Sequence[str] = (), split_rows: int | None = None
-) -> DataFrame:
+def ks_by_feature(reference: DataFrame, production: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, feature, reference_n, production_n, score, p_value) from two numeric count tables.
 
     The score is null when one side has no usable value.
     """
     group = [*keys, "feature"]
     both = both_sides(reference, production, keys)
-    run = global_cumsum(both, group, "value", ["ref_n", "prod_n"], strata=["feature"], split_rows=split_rows)
+    run = global_cumsum(both, group, "value", ["ref_n", "prod_n"], strata=["feature"])
     gap = F.abs(
         F.try_divide(F.col("cum_ref_n").cast("double"), F.col("total_ref_n").cast("double"))
         - F.try_divide(F.col("cum_prod_n").cast("double"), F.col("total_prod_n").cast("double"))
@@ -85,28 +82,11 @@ def ks_by_feature(
 
 
 def _ks_points(points: DataFrame, by_ref: Sequence[str], by_group: Sequence[str]) -> DataFrame:
-    """Production points with both running counts, when every reference fits one sorted partition."""
-    whole = Window.partitionBy(*by_ref)
-    # Equal values of several groups are peers, hence RANGE frames: up to and at the current value.
-    upto = whole.orderBy("value").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    at = whole.orderBy("value").rangeBetween(Window.currentRow, Window.currentRow)
-    own = Window.partitionBy(*by_group)
-    so_far = own.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        points.select(
-            "*",
-            F.sum("ref_n").over(upto).alias("_ref_cum"),
-            F.sum("ref_n").over(at).alias("_ref_at"),
-            F.sum("ref_n").over(whole).alias("reference_n"),
-        )
-        .where(F.col("prod_n") > 0)
-        .select("*", F.sum("prod_n").over(so_far).alias("_prod_cum"), F.sum("prod_n").over(own).alias("production_n"))
-    )
-
+    """Production points with both running counts, taken inside value buckets whose totals are added back.
 
-def _ks_points_split(points: DataFrame, by_ref: Sequence[str], by_group: Sequence[str], split_rows: int | None) -> DataFrame:
-    """The same with hot groups cut into value buckets; bucket totals are added back."""
-    bucketed = with_bucket(points, "value", by_ref, ["feature"], split_rows)
+    Equal values of several groups are peers, hence RANGE frames: up to and at the current value.
+    """
+    bucketed = with_bucket(points, "value", [*by_group], ["feature"])
     ordered = Window.partitionBy(*by_ref, "_bucket").orderBy("value")
     upto = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     at = ordered.rangeBetween(Window.currentRow, Window.currentRow)
@@ -118,26 +98,17 @@ def _ks_points_split(points: DataFrame, by_ref: Sequence[str], by_group: Sequenc
         .withColumn("_ref_cum", F.col("_ref_run") + F.col("_before_ref_n"))
         .select(*by_group, "value", "_bucket", "prod_n", "reference_n", "_ref_cum", "_ref_at")
     )
-    # A group is part of its reference's points, so only groups of hot references can be hot; the
-    # others need no buckets of their own.
-    own = bucketed.where(F.col("prod_n") > 0)
-    hot = F.broadcast(hot_groups(own, by_group, split_rows).select(*by_group, F.lit(True).alias("_hot")))
-
-    def group_bucket(df: DataFrame) -> DataFrame:
-        bucket = F.when(F.col("_hot"), F.col("_bucket")).otherwise(0)
-        return df.join(hot, by_group, "left").withColumn("_bucket", bucket).drop("_hot")
-
     so_far = Window.partitionBy(*by_group, "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    own_offsets = bucket_offsets(group_bucket(own), by_group, ["prod_n"]).withColumnRenamed("total_prod_n", "production_n")
+    own = bucketed.where(F.col("prod_n") > 0)
+    own_offsets = bucket_offsets(own, by_group, ["prod_n"]).withColumnRenamed("total_prod_n", "production_n")
     return (
-        group_bucket(looked_up)
-        .withColumn("_prod_run", F.sum("prod_n").over(so_far))
+        looked_up.withColumn("_prod_run", F.sum("prod_n").over(so_far))
         .join(own_offsets, [*by_group, "_bucket"])
         .withColumn("_prod_cum", F.col("_prod_run") + F.col("_before_prod_n"))
     )
 
 
-def ks_against_reference(reference: DataFrame, production: DataFrame, ref_keys: Sequence[str], keys: Sequence[str], split_rows: int | None = None) -> DataFrame:
+def ks_against_reference(reference: DataFrame, production: DataFrame, ref_keys: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """KS per (keys, feature) when many production groups share one reference.
 
     `reference` counts are per (ref_keys, feature, value); `production` counts per (ref_keys, keys,
@@ -154,10 +125,7 @@ def ks_against_reference(reference: DataFrame, production: DataFrame, ref_keys:
         "ref_n", none.alias("prod_n"),
     )
     points = ref_rows.unionByName(production.select(*by_ref, "value", *keys, none.alias("ref_n"), "prod_n"))
-    if any_hot(points, by_ref, split_rows):
-        run = _ks_points_split(points, by_ref, by_group, split_rows)
-    else:
-        run = _ks_points(points, by_ref, by_group)
+    run = _ks_points(points, by_ref, by_group)
     cum, n, m = F.col("_prod_cum"), F.col("reference_n").cast("double"), F.col("production_n").cast("double")
     here = F.abs(F.try_divide(F.col("_ref_cum").cast("double"), n) - cum / m)
     before = F.abs(
@@ -279,21 +247,22 @@ def feature_counts(
     return long.groupBy(*keys, "feature", "num", "cat").agg(F.count(F.lit(1)).alias("n"))
 
 
-# The three parts of a count table.
+# The three parts of a count table. Their conditions name the count, so that they stay behind the grouping: all
+# parts then read the same shuffle.
+def _counted(name: str) -> Column:
+    return F.when(F.col("n") > 0, F.col(name))
+
+
 def _numeric_part(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return counts.where(F.col("num").isNotNull()).select(
-        *keys, "feature", F.col("num").alias("value"), F.col("n").alias(name)
-    )
+    return counts.where(_counted("num").isNotNull()).select(*keys, "feature", F.col("num").alias("value"), F.col("n").alias(name))
 
 
 def _categorical_part(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return counts.where(F.col("cat").isNotNull()).select(
-        *keys, "feature", F.col("cat").alias("value"), F.col("n").alias(name)
-    )
+    return counts.where(_counted("cat").isNotNull()).select(*keys, "feature", F.col("cat").alias("value"), F.col("n").alias(name))
 
 
 def row_counts(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return counts.where(F.col("feature") == ROWS).select(*keys, F.col("n").alias(name))
+    return counts.where(_counted("feature") == ROWS).select(*keys, F.col("n").alias(name))
 
 
 def feature_results(
@@ -421,14 +390,14 @@ def drift_report(
     key, ref = "model_version_id", "dataset_id"
     recent = within_window(predictions, window, as_of)
     # The log is read once, without joining its rows: the gate and the reference are applied to counts.
-    production = stored(feature_counts(newest_sample(recent, config), contract, [key], features), "prediction-counts")
+    production = feature_counts(newest_sample(recent, config), contract, [key], features)
     if config.max_sample is None:
         sizes = row_counts(production, [key], "sample_size")
     else:
         sizes = recent.groupBy(key).agg(F.count(F.lit(1)).alias("sample_size"))
-    header = stored(with_status(versions, sizes, config), "drift-header")
+    header = with_status(versions, sizes, config)
     passed = header.where(F.col("status") == "ok").select(ref, key)
-    reference = stored(feature_counts(training_rows, contract, [ref], features), "reference-counts")
+    reference = feature_counts(training_rows, contract, [ref], features)
     results = feature_results(
         reference, production.join(passed, key), contract, ref_keys=[ref], keys=[key], groups=passed,
         features=features, config=config,
@@ -474,16 +443,15 @@ def drift_by_window(
     aged = predictions.withColumn("_age", age_class(F.col("created_at"), as_of))
     held_by = F.slice(F.array(*[F.lit(n) for n in names]), F.col("_age") + 1, F.lit(len(names)))
     group = [ref, key, "window"]
-    production = stored(
+    production = (
         feature_counts(aged, contract, [key, "_age"])
         .join(versions.select(key, ref), key)
         .withColumn("window", F.explode(held_by))
         .groupBy(*group, "feature", "num", "cat")
-        .agg(F.sum("n").alias("n")),
-        "prediction-counts",
+        .agg(F.sum("n").alias("n"))
     )
     sizes = row_counts(production, group, "sample_size")
     return feature_results(
-        stored(feature_counts(training_rows, contract, [ref]), "reference-counts"), production, contract, ref_keys=[ref], keys=[key, "window"],
+        feature_counts(training_rows, contract, [ref]), production, contract, ref_keys=[ref], keys=[key, "window"],
         groups=sizes.where(F.col("sample_size") >= config.min_samples).select(*group), config=config,
     ).drop(ref)

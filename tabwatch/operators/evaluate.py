@@ -37,7 +37,7 @@ def with_scores(matrix: DataFrame) -> DataFrame:
 
 
 def roc_auc(
-    scored: DataFrame, keys: Sequence[str] = (), *, label: str = "label", probability: str = "probability", split_rows: int | None = None
+    scored: DataFrame, keys: Sequence[str] = (), *, label: str = "label", probability: str = "probability"
 ) -> DataFrame:
     """(keys, roc_auc): exact area with ties counted half; null when a class is absent.
 
@@ -49,7 +49,7 @@ def roc_auc(
     counts = rows.groupBy(*keys, F.col(probability).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    run = global_cumsum(counts, keys, "score", ["pos", "neg"], strata=keys, split_rows=split_rows)
+    run = global_cumsum(counts, keys, "score", ["pos", "neg"], strata=[])
     below = F.col("cum_neg") - F.col("neg")
     area = F.sum(F.col("pos").cast("double") * (below + F.col("neg") * 0.5))
     pairs = F.first("total_pos").cast("double") * F.first("total_neg")

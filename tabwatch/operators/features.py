@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tabwatch.functions.coerce import binary_label, to_numeric
 from tabwatch.operators.ordered import exact_median
 from tabwatch.schema import CHURN, DatasetContract
-from tabwatch.session import stored
 
 
 @dataclass(frozen=True)
@@ -62,18 +61,17 @@ def _long_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.explode(pairs).alias("_e")).select("_e.feature", "_e.value")
 
 
-def numeric_statistics(train: DataFrame, columns: Sequence[str], split_rows: int | None = None) -> DataFrame:
+def numeric_statistics(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, n, n_missing, median, mean, std) of the training fold.
 
     Mean and population deviation are taken after imputation with the exact interpolated median. They
     follow from the moments of the present values and the number of missing ones, so the data is
     aggregated once, to value counts, for all columns together. A zero deviation becomes 1.
     """
-    counts = stored(
-        _long_numeric(train, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts"
-    )
-    present = counts.where(F.col("value").isNotNull())
-    median = exact_median(present, ["feature"], "value", "n", strata=["feature"], split_rows=split_rows)
+    counts = _long_numeric(train, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    # The condition names the count, so that it stays behind the grouping and both uses share its shuffle.
+    present = counts.where(F.when(F.col("n") > 0, F.col("value")).isNotNull())
+    median = exact_median(present, ["feature"], "value", "n", strata=["feature"])
     centre = F.first("median")
     weight = F.when(F.col("value").isNotNull(), F.col("n"))
     # Deviations are taken from the median: numerically stable, and missing values contribute zero.

@@ -1,19 +1,17 @@
 """Order statistics over data that is too large for one sorted partition.
 
 The one primitive is `global_cumsum`: an exact running total in value order for every key. A window
-over (key) alone pulls a hot key's whole value range into one task, so the groups of hot keys are cut
-into value buckets and the window runs inside (key, bucket):
+over (key) alone would pull a large key's whole value range into one task, so values are always cut into
+buckets and the window runs inside (key, bucket), whatever the size:
 
 * the input has one row per (key, value), so a heavily repeated value is one row already;
-* a group counts as hot when it has more than `SPLIT_ROWS` rows and is among the `MAX_HOT` largest.
-  The list of hot groups is broadcast and bounded by that number; any group not on it is small, or
-  holds less than 1/MAX_HOT of all rows;
-* bucket edges are quantiles of a hash sample of the hot groups' rows. The sample and the quantiles
-  are functions of the data alone, so every use and every recomputation gives the same edges. They
-  only balance the work; results do not depend on them;
-* the counts are stored before the branches below read them, so their input is scanned once;
+* bucket edges are a sample of a stratum's values (for example a feature's): of each of 4096 hash slots the
+  value with the least hash. The sample is a function of the data alone, so every use and every
+  recomputation gives the same edges. They only balance the work; results do not depend on them;
 * bucket totals are accumulated and joined back on the columns that the window partitioned by, so
   the large side is shuffled once.
+
+Everything is one lazy plan; its branches read the same counts, whose shuffle Spark reuses.
 """
 
 from __future__ import annotations
@@ -23,59 +21,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwatch.session import stored
-
-SPLIT_ROWS = 1_000_000
-MAX_HOT = 65_536
-_BITS = 12  # a stratum has 2**_BITS buckets
-_SAMPLE = 16 << _BITS  # sampled rows per stratum, about 16 to a bucket
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], split_rows: int | None = None) -> DataFrame:
-    """(keys, _n): at most MAX_HOT groups, the largest ones above the split size."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    floor = SPLIT_ROWS if split_rows is None else split_rows
-    return sizes.where(F.col("_n") > floor).orderBy(F.col("_n").desc(), *keys).limit(MAX_HOT)
+_BITS = 12  # a stratum has at most 2**_BITS edges
 
 
-def any_hot(df: DataFrame, keys: Sequence[str], split_rows: int | None = None) -> bool:
-    """Whether a group needs splitting. One look at the group sizes of a stored table: if none does,
-    plain windows over the key are the better plan, whatever the total size."""
-    return not hot_groups(df, keys, split_rows).isEmpty()
-
-
-def _bucket_edges(df: DataFrame, hot: DataFrame, keys: Sequence[str], strata: Sequence[str], value: str) -> DataFrame:
-    """One sorted array of 2**_BITS - 1 edges per stratum; its size does not depend on the data."""
-    n = 1 << _BITS
-    weighted = hot.withColumn("_stratum_n", F.sum("_n").over(Window.partitionBy(*strata))).drop("_n")
-    unit = F.pmod(F.xxhash64(*keys, value), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sorted_sample = F.sort_array(F.collect_list(F.col(value).cast("double")))
-    return (
-        df.join(F.broadcast(weighted), list(keys))
-        .where(unit * F.col("_stratum_n") < _SAMPLE)
-        .groupBy(*strata)
-        .agg(sorted_sample.alias("_s"))
-        .select(*strata, F.expr(f"transform(sequence(1, {n - 1}), i -> _s[CAST(i * size(_s) DIV {n} AS INT)])").alias("_edges"))
-    )
+def _bucket_edges(df: DataFrame, keys: Sequence[str], strata: Sequence[str], value: str) -> DataFrame:
+    """One sorted array of at most 2**_BITS edges per stratum; its size does not depend on the data."""
+    drawn = F.xxhash64(*keys, value)
+    slots = df.select(*strata, F.pmod(drawn, F.lit(1 << _BITS)).alias("_slot"), F.struct(drawn.alias("h"), F.col(value).cast("double").alias("v")).alias("_s"))
+    firsts = slots.groupBy(*strata, "_slot").agg(F.min("_s").alias("_s"))
+    return firsts.groupBy(*strata).agg(F.sort_array(F.collect_list("_s.v")).alias("_edges"))
 
 
-def with_bucket(
-    df: DataFrame, value: str, keys: Sequence[str], strata: Sequence[str], split_rows: int | None = None
-) -> DataFrame:
-    """Adds `_bucket`: for rows of hot groups the number of edges of their stratum below the value, else 0.
+def with_bucket(df: DataFrame, value: str, keys: Sequence[str], strata: Sequence[str]) -> DataFrame:
+    """Adds `_bucket`: the number of edges of the row's stratum below its value.
 
-    The search halves its range step by step; each step names the one before it as a lateral column
-    alias, which becomes a chain of projections inside generated code.
+    `strata` has few distinct combinations whatever the data, such as the feature names of a contract, so the
+    edges are broadcast; empty strata are one. The search halves its range step by step; each step names the one
+    before it as a lateral column alias, which becomes a chain of projections inside generated code.
     """
-    keys, strata = list(keys), list(strata)
-    hot = hot_groups(df, keys, split_rows)
-    edges = _bucket_edges(df, hot, keys, strata, value)
-    columns = [f"`{c}`" for c in df.columns]
-    searched = (
-        df.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
-        .join(F.broadcast(edges), strata, "left")
-        .selectExpr(*columns, "IF(_hot, _edges, NULL) AS _edges")
-    )
+    strata, columns = list(strata), [f"`{c}`" for c in df.columns]
+    by = strata or ["_whole"]
+    rows = df if strata else df.withColumn("_whole", F.lit(0))
+    searched = rows.join(F.broadcast(_bucket_edges(rows, keys, by, value)), by, "left").selectExpr(*columns, "_edges")
     steps, found = [], "0"
     for bit in reversed(range(_BITS)):
         step = 1 << bit
@@ -100,40 +67,18 @@ def bucket_offsets(bucketed: DataFrame, keys: Sequence[str], measures: Sequence[
     )
 
 
-def global_cumsum(
-    counts: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    measures: Sequence[str],
-    *,
-    strata: Sequence[str],
-    split_rows: int | None = None,
-) -> DataFrame:
+def global_cumsum(counts: DataFrame, keys: Sequence[str], value: str, measures: Sequence[str], *, strata: Sequence[str]) -> DataFrame:
     """Adds `cum_<m>` (inclusive running sum in value order per keys) and `total_<m>` per keys.
 
     `counts` has one row per (keys, value) with a numeric, non-null value and non-null keys.
-    `strata` is a subset of `keys` with few distinct combinations (for example the feature); one
-    edge list per stratum is broadcast. Measures are non-negative counts.
+    `strata` is a subset of `keys` as `with_bucket` takes it. Measures are non-negative counts.
     """
-    keys, strata = list(keys), list(strata)
-    # Rows without any count contribute nothing. The rest is read by several branches below.
-    present = sum((F.col(m) for m in measures), F.lit(0)) > 0
-    counts = stored(counts.where(present), "counts")
-    if not any_hot(counts, keys, split_rows):
-        per_key = Window.partitionBy(*keys)
-        running = per_key.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        return counts.select(
-            "*",
-            *[F.sum(m).over(running).alias(f"cum_{m}") for m in measures],
-            *[F.sum(m).over(per_key).alias(f"total_{m}") for m in measures],
-        )
-    bucketed = with_bucket(counts, value, keys, strata, split_rows)
-    running = (
-        Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    keys = list(keys)
+    # Rows without any count contribute nothing.
+    bucketed = with_bucket(counts.where(sum((F.col(m) for m in measures), F.lit(0)) > 0), value, keys, strata)
+    running = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     local = bucketed.select("*", *[F.sum(m).over(running).alias(f"_run_{m}") for m in measures])
-    offsets = bucket_offsets(bucketed, keys, measures)
-    joined = local.join(offsets, [*keys, "_bucket"])
+    joined = local.join(bucket_offsets(bucketed, keys, measures), [*keys, "_bucket"])
     return joined.select(
         *counts.columns,
         *[(F.col(f"_run_{m}") + F.col(f"_before_{m}")).alias(f"cum_{m}") for m in measures],
@@ -141,11 +86,9 @@ def global_cumsum(
     )
 
 
-def exact_median(
-    counts: DataFrame, keys: Sequence[str], value: str, measure: str, *, strata: Sequence[str], split_rows: int | None = None
-) -> DataFrame:
+def exact_median(counts: DataFrame, keys: Sequence[str], value: str, measure: str, *, strata: Sequence[str]) -> DataFrame:
     """Interpolated median per keys from value counts: the one or two middle ranks, averaged."""
-    run = global_cumsum(counts, keys, value, [measure], strata=strata, split_rows=split_rows)
+    run = global_cumsum(counts, keys, value, [measure], strata=strata)
     last, n = F.col(f"cum_{measure}"), F.col(f"total_{measure}")
     first = last - F.col(measure) + 1
     lower, upper = F.floor((n + 1) / 2), F.floor((n + 2) / 2)

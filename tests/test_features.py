@@ -24,11 +24,10 @@ def test_average_spend(spark):
     assert [r["AvgMonthlySpend"] for r in rows.collect()] == [50.0, 75.0, None, 8.0]
 
 
-@pytest.mark.parametrize("split_rows", [2, 10**9])
-def test_numeric_statistics_match_numpy(spark, split_rows):
+def test_numeric_statistics_match_numpy(spark):
     values = [3.0, None, 1.0, 1.0, 10.0, None, 7.5]
     df = spark.createDataFrame([(v, 4.0) for v in values], "a double, constant double")
-    out = {r["feature"]: r for r in features.numeric_statistics(df, ["a", "constant"], split_rows).collect()}
+    out = {r["feature"]: r for r in features.numeric_statistics(df, ["a", "constant"]).collect()}
     present = np.array([v for v in values if v is not None])
     filled = np.array([np.median(present) if v is None else v for v in values])
     a = out["a"]
@@ -97,14 +96,13 @@ def test_metrics_no_positive_predictions_or_one_class(spark):
     assert one["roc_auc"] is None
 
 
-@pytest.mark.parametrize("split_rows", [5, 10**9])
-def test_auc_with_ties_equals_all_pairs(spark, split_rows):
+def test_auc_with_ties_equals_all_pairs(spark):
     rng = np.random.default_rng(2)
     y, s = rng.integers(0, 2, 500), rng.integers(0, 40, 500) / 40
     pos, neg = s[y == 1], s[y == 0]
     expected = np.mean((pos[:, None] > neg[None, :]) + 0.5 * (pos[:, None] == neg[None, :]))
     df = scored(spark, y.tolist(), y.tolist(), s.tolist())
-    assert evaluate.roc_auc(df, split_rows=split_rows).head()["roc_auc"] == pytest.approx(expected, abs=1e-12)
+    assert evaluate.roc_auc(df).head()["roc_auc"] == pytest.approx(expected, abs=1e-12)
 
 
 def test_flat_metrics(spark):

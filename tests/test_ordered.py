@@ -17,11 +17,10 @@ def skewed_counts(spark, rng):
     return rows
 
 
-@pytest.mark.parametrize("split_rows", [10, 10**9])
-def test_running_total_is_exact_whether_or_not_groups_are_split(spark, split_rows):
+def test_running_total_is_exact(spark):
     rows = skewed_counts(spark, np.random.default_rng(3))
     df = spark.createDataFrame(rows, "key string, feature string, v double, a bigint, b bigint").repartition(7)
-    out = ordered.global_cumsum(df, ["key", "feature"], "v", ["a", "b"], strata=["feature"], split_rows=split_rows).collect()
+    out = ordered.global_cumsum(df, ["key", "feature"], "v", ["a", "b"], strata=["feature"]).collect()
     got = {(r["key"], r["v"]): (r["cum_a"], r["cum_b"], r["total_a"], r["total_b"]) for r in out}
     expected = {}
     for key in ("hot", "warm", "cold"):
@@ -37,24 +36,23 @@ def test_running_total_is_exact_whether_or_not_groups_are_split(spark, split_row
 
 def test_split_groups_spread_over_many_buckets(spark):
     df = spark.range(20000).select(F.lit("f").alias("feature"), F.exp(F.col("id") / 500.0).alias("v"))
-    sizes = ordered.with_bucket(df, "v", ["feature"], ["feature"], 100).groupBy("_bucket").count()
+    sizes = ordered.with_bucket(df, "v", ["feature"], ["feature"]).groupBy("_bucket").count()
     top, n = sizes.agg(F.max("count"), F.count("*")).head()
     assert n > 2000 and top < 200
 
 
 def test_edges_do_not_depend_on_partitioning(spark):
     df = spark.range(5000).select(F.lit("f").alias("feature"), F.sqrt("id").alias("v"))
-    one = ordered.with_bucket(df.coalesce(1), "v", ["feature"], ["feature"], 100)
-    many = ordered.with_bucket(df.repartition(13), "v", ["feature"], ["feature"], 100)
+    one = ordered.with_bucket(df.coalesce(1), "v", ["feature"], ["feature"])
+    many = ordered.with_bucket(df.repartition(13), "v", ["feature"], ["feature"])
     assert one.exceptAll(many).count() == 0
 
 
-@pytest.mark.parametrize("split_rows", [3, 10**9])
 @pytest.mark.parametrize("values", [[1.0, 2.0, 3.0, 4.0], [5.0], [1.0, 1.0, 1.0, 9.0], [0.0, 10.0], list(range(101))])
-def test_exact_median(spark, values, split_rows):
+def test_exact_median(spark, values):
     df = spark.createDataFrame([("f", float(v)) for v in values], "feature string, v double")
     counts = df.groupBy("feature", "v").agg(F.count("*").alias("n"))
-    out = ordered.exact_median(counts, ["feature"], "v", "n", strata=["feature"], split_rows=split_rows).head()
+    out = ordered.exact_median(counts, ["feature"], "v", "n", strata=["feature"]).head()
     assert out["median"] == float(np.median(values))
 
 

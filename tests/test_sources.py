@@ -131,7 +131,7 @@ def test_ingest(spark, folder, contract):
     assert row["is_valid"] and row["n_rows"] == 60 and row["n_columns"] == 5 and len(row["content_hash"]) == 64
     assert json.loads(row["quality_report"])["class_balance"] == {"No": 20, "Yes": 40}
     bad = folder / "bad.csv"
-    bad.write_text("id,age,plan,target\n1,2,p,Yes\n")
+    bad.write_text("id,depth,soil,target\n1,2,p,Yes\n")
     row = ingest_csv(spark, str(bad), contract, dataset_id="d2", filename="bad.csv", **place).head()
     assert not row["is_valid"]
     # Landed all the same, and the catalog has both.
