@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 import zlib
 from collections import Counter, defaultdict, deque
 
@@ -23,14 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwatch.llm.arrow import blocks, flat
+from tabwatch.llm.hashing import Substrings, word_spans
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: Remainders that a task holds before it packs them down to half as many (at most 8 KB each).
 POOL = 4096
-#: Words whose ids a worker remembers in a generation, of which it keeps two, and the longest such word in bytes.
-CACHED_WORDS, CACHED_BYTES = 400_000, 64
+#: Parts of texts whose ids a worker remembers before it starts anew.
+CACHED_WORDS = 2_000_000
 
 _SCHEMA = pa.schema(
     [("doc_id", pa.int64())]
@@ -59,38 +59,59 @@ def fill(counts: dict[int, int], room: int) -> dict[int, int]:
     return dict(used)
 
 
-class _Recent(dict):
-    """Remembers about `most` to twice `most` entries: those looked for since the last change of generation, and before."""
+# Classes of bytes: white space ends words; runs of letters and runs of signs are words, as is each digit.
+_SPACE, _LETTER, _SIGN, _DIGIT, _OTHER, _WHOLE = range(6)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_CLASS[0x21:0x7F] = _SIGN
+_CLASS[ord("a") : ord("z") + 1] = _LETTER
+_CLASS[ord("0") : ord("9") + 1] = _DIGIT
+_CLASS[ord("'")] = _OTHER  # it can begin a word of letters
 
-    def __init__(self, most: int):
-        super().__init__()
-        self.most, self.older = most, {}
 
-    def missing(self, keys: set) -> list:
-        """Those of the keys that are not known; the others are in this dict afterwards."""
-        if len(self) > self.most:
-            self.older = dict(self)
-            self.clear()
-        unknown = keys.difference(self)
-        if self.older:
-            self.update((k, self.older[k]) for k in unknown if k in self.older)
-            unknown = unknown.difference(self)
-        return list(unknown)
+def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the smallest parts that the tokenizer surely treats apart, whether each must be encoded on its
+    own, and the bytes with the letters of the others in lower case.
+
+    Parts are runs of Latin-1 letters, runs of ASCII signs, and digits. What stands between white space and has other
+    characters, an apostrophe, or a sign that could begin a special token, is one part.
+    """
+    upper = (data >= ord("A")) & (data <= ord("Z"))
+    text = data + np.where(upper, np.uint8(32), np.uint8(0))
+    kind = _CLASS[text]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[(data[lead + 1] >= 0x80) & (data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    kind[lead] = kind[lead + 1] = _LETTER  # all other characters of this block are letters
+    odd = kind == _OTHER
+    odd[np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))] = True
+    if odd.any():
+        starts, ends, _ = word_spans(data, offsets)
+        ahead = np.append(0, np.cumsum(odd))
+        whole = np.flatnonzero(ahead[ends] > ahead[starts])
+        edge = np.zeros(len(data) + 1, np.int8)
+        edge[starts[whole]] += 1
+        edge[ends[whole]] -= 1
+        inside = np.cumsum(edge[:-1], dtype=np.int8) > 0
+        kind[inside], text[inside] = _WHOLE, data[inside]
+    fresh = np.ones(len(data) + 1, bool)
+    if len(data):
+        fresh[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        fresh[offsets] = True
+    starts = np.flatnonzero(fresh)
+    starts, ends = starts[:-1], starts[1:]
+    filled = kind[starts] != _SPACE
+    starts, ends = starts[filled], ends[filled]
+    return starts, ends, kind[starts] == _WHOLE, text
 
 
 class WordIds:
-    """Ids of texts as little-endian 32-bit numbers.
+    """Ids of texts, from those of their different parts (see units).
 
-    White space ends words in this tokenizer, so a text's ids are those of its chunks between ASCII white space.
-    Chunks are remembered, and so are the runs of letters and of signs that most chunks are made of: each of
-    those is one word to the tokenizer, whose last id stands for a token with the word-end suffix, so many new
-    ones are encoded as one string and cut after such ids. Chunks with other characters are encoded as they are.
+    The ids of parts are remembered under the parts' hashes in sorted arrays. A part of letters or signs is one word to
+    the tokenizer, and a word's last id is one of a token with the word-end suffix, so many new parts are encoded as one
+    string that is cut after such ids.
     """
 
-    _LETTERS = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"  # Latin-1 letters, the only non-ASCII ones here
-    _PLAIN = re.compile(rb"(?:" + _LETTERS + rb"|[!-&(-@\[-`{-~])+")
-    _PARTS = re.compile(_LETTERS + rb"|[0-9]|[!-&(-/:-@\[-`{-~]+")
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -101,52 +122,61 @@ class WordIds:
             path = public_tokenizers.path(path)
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary, suffix = self.tokenizer.get_vocab(), self.tokenizer.model.end_of_word_suffix
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.stops = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
-            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        self.chunks, self.parts = _Recent(CACHED_WORDS), _Recent(CACHED_WORDS)
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        words = [text.split() for text in texts]
-        known = self.chunks
-        new = known.missing(set().union(*words))
-        self._learn(new)
-        out = [b"".join(map(known.__getitem__, w)) for w in words]
-        for word in new:
-            if len(word) > CACHED_BYTES:
-                del known[word]
-        return out
-
-    def _learn(self, new: list[bytes]) -> None:
-        split, other = {}, []
-        for chunk in new:
-            lower = chunk.lower()
-            if self._PLAIN.fullmatch(lower) and b"<|" not in lower:
-                split[chunk] = self._PARTS.findall(lower)
+            self.stops[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.place, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.pool = np.empty(0, np.uint32)
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where those of each text begin."""
+        starts, ends, alone, text = units(data, offsets)
+        if not len(starts):
+            return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)
+        if len(self.known) > CACHED_WORDS:
+            self._forget()
+        hashes = Substrings(text).of(starts, ends) ^ alone
+        order = np.argsort(hashes)
+        fresh = np.append(True, hashes[order][1:] != hashes[order][:-1])
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(fresh) - 1
+        first = order[fresh]
+        at = np.searchsorted(self.known, hashes[first])
+        new = np.ones(len(first), bool)
+        if len(self.known):
+            new = self.known[np.minimum(at, len(self.known) - 1)] != hashes[first]
+        if new.any():
+            raw, learn = text.tobytes(), first[new]
+            ids = self._encode([raw[a:b] for a, b in zip(starts[learn].tolist(), ends[learn].tolist(), strict=True)], alone[learn])
+            sizes = np.array([len(x) for x in ids])
+            places = len(self.pool) + np.cumsum(sizes) - sizes
+            self.pool = np.concatenate([self.pool, *ids])
+            self.known = np.insert(self.known, at[new], hashes[learn])
+            self.place, self.size = np.insert(self.place, at[new], places), np.insert(self.size, at[new], sizes)
+            at = np.searchsorted(self.known, hashes[first])
+        size = self.size[at][which]
+        before = np.append(0, np.cumsum(size))
+        ids = self.pool[np.repeat(self.place[at][which] - before[:-1], size) + np.arange(before[-1])]
+        return ids, before[np.searchsorted(starts, offsets)]
+
+    def _encode(self, parts: list[bytes], alone: np.ndarray) -> list[np.ndarray]:
+        out: list = [None] * len(parts)
+        plain, rest = np.flatnonzero(~alone).tolist(), np.flatnonzero(alone).tolist()
+        if plain:
+            ids = np.array(self.tokenizer.encode(b" ".join([parts[k] for k in plain]).decode("utf-8"), add_special_tokens=False).ids, np.uint32)
+            stops = np.flatnonzero(self.stops[ids]) + 1
+            if len(stops) == len(plain) and stops[-1] == len(ids):
+                for k, x in zip(plain, np.split(ids, stops[:-1]), strict=True):
+                    out[k] = x
             else:
-                other.append(chunk)
-        self._learn_parts(self.parts.missing(set().union(*split.values())))
-        parts = self.parts
-        for chunk, pieces in split.items():
-            self.chunks[chunk] = parts[pieces[0]] if len(pieces) == 1 else b"".join([parts[p] for p in pieces])
-        self.chunks.update(zip(other, self._encode(other), strict=True))
-
-    def _learn_parts(self, new: list[bytes]) -> None:
-        if not new:
-            return
-        ids = np.array(self.tokenizer.encode(b" ".join(new).decode("utf-8"), add_special_tokens=False).ids, "<u4")
-        stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-        if len(stops) == len(new) and stops[-1] == len(ids):
-            data, start = ids.tobytes(), 0
-            for part, stop in zip(new, stops, strict=True):
-                self.parts[part] = data[4 * start : 4 * stop]
-                start = stop
-        else:
-            self.parts.update(zip(new, self._encode(new), strict=True))
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+                rest = range(len(parts))
+        found = self.tokenizer.encode_batch_fast([parts[k].decode("utf-8") for k in rest], add_special_tokens=False)
+        for k, encoding in zip(rest, found, strict=True):
+            out[k] = np.array(encoding.ids, np.uint32)
+        return out
 
 
 @functools.lru_cache(maxsize=1)
@@ -247,11 +277,10 @@ def _pack(tokenizer: str, capacity: int, end_id: int):
 
         for batch in batches:
             for block in blocks(batch, "text"):
-                data, offsets = flat(block.column("text"))
-                data = data.tobytes()
-                texts = [data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                for doc, ids in zip(block.column("doc_id").to_pylist(), ids_of(texts), strict=True):
-                    packer.add(doc, ids + end)
+                ids, starts = ids_of(*flat(block.column("text")))
+                ids, starts = ids.astype("<u4").tobytes(), (4 * starts).tolist()
+                for k, doc in enumerate(block.column("doc_id").to_pylist()):
+                    packer.add(doc, ids[starts[k] : starts[k + 1]] + end)
                     if packer.waiting >= POOL:
                         packer.pack(POOL // 2)
                 yield settled()
