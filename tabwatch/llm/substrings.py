@@ -5,7 +5,8 @@ a document that share an anchor form one piece of text. Equal strings have equal
 share strings with pieces of the same anchor. What pieces share is found in three steps:
 
 1. Pieces are told apart by hashes of 128 bits in all and dealt by anchor. A piece that an earlier document has too
-   is wholly removed. Of pieces that differ but share an anchor, one copy each goes on.
+   is wholly removed. A string around an anchor also holds SIDE bytes before it or SIDE bytes behind it. Of pieces
+   that differ but share an anchor and such a side, one copy each goes on.
 2. The text of these is fetched and dealt by anchor (strings one by one, if very many pieces share the anchor).
 3. Each shard of texts gets a suffix array by Larsson-Sadakane refinement; Kasai's common prefixes mark off the
    groups of suffixes with LENGTH bytes in common. Shards of a task are merged by binary search of their sorted
@@ -30,6 +31,7 @@ from tabwatch.llm.suffix import equal_prefix_groups
 from tabwatch.session import stored
 
 LENGTH, GRAM = 50, 16
+SIDE = (LENGTH - GRAM) // 2
 _SPAN = LENGTH - GRAM + 1  # parts of a string
 #: Bytes of text that one suffix array covers.
 SHARD_BYTES = 4_000_000
@@ -37,10 +39,11 @@ SHARD_BYTES = 4_000_000
 CROWD = 256
 #: Bytes worked on at a time; longer texts are read in overlapping stretches.
 _STRETCH = 1_000_000
+_HELD = 32_000_000
 _PLACE_BITS = np.uint64(24)
 
 TEXT, REMOVED, FETCH, PIECE, STRINGS = 0, 1, 2, 3, 4
-_PIECE = "u8 u8 i8 u8 u4 u1"  # anchor, piece hash, doc, row, place, strings
+_PIECE = "u8 u8 i8 u8 u4 u1 u4 u4"  # anchor, piece hash, doc, row, place, strings, hashes of both sides
 _REMOVED = "u8 u4 u4"  # row, start, end
 _FETCH = "u8 u8 i8 u4 u1 u1"  # row, anchor, doc, place, strings, crowded
 _TEXT = "u8 i8 u4 u1"  # row, doc, bytes, doc is null
@@ -57,8 +60,8 @@ def _parts(data: np.ndarray) -> np.ndarray:
     return mix(eight[: len(data)] + mix(eight[8:] * np.uint64(0x9E3779B97F4A7C15)))
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, hash, start and number of strings of all pieces of the texts."""
+def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Anchor, hash, start, number of strings and hashes of both sides (0 for one that is cut off) of all pieces of the texts."""
     parts = _parts(data)
     least = (parts >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(data), dtype=np.uint64)
     width = 1
@@ -80,7 +83,15 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     start = np.flatnonzero(fresh)
     ahead = np.append(0, np.cumsum(inside))
     count = np.diff(ahead[np.append(start, n)])
-    return parts[anchor[start]], Substrings(data).of(start, start + count + LENGTH - 1), start, count
+    end, place, hashes = start + count + LENGTH - 1, anchor[start], Substrings(data)
+
+    def side(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        fits = (low >= start) & (high <= end)
+        found = (hashes.of(np.where(fits, low, start), np.where(fits, high, end)) >> np.uint64(32)) | np.uint64(1)
+        return np.where(fits, found, np.uint64(0)).astype(np.uint32)
+
+    before, behind = side(place - SIDE, place + GRAM), side(place, place + GRAM + SIDE)
+    return parts[place], hashes.of(start, end), start, count, before, behind
 
 
 def _runs(*keys: np.ndarray) -> np.ndarray:
@@ -101,7 +112,7 @@ def _same_piece(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray
 
 
 def _removals(n: int, columns: list[np.ndarray]):
-    _, _, _, row, place, count = columns
+    row, place, count = columns[3:6]
     return parcels(REMOVED, (row % np.uint64(n)).astype(np.int32), [row, place, place + count.astype(np.uint32) + np.uint32(LENGTH - 1)])
 
 
@@ -126,10 +137,10 @@ def _cut(n: int):
         for batch in batches:
             found = []
             for doc, row, at, data, offsets in _stretches(batch):
-                anchor, piece, start, count = pieces(data, offsets)
+                anchor, piece, start, count, before, behind = pieces(data, offsets)
                 owner = np.searchsorted(offsets, start, side="right") - 1
                 place = (start - offsets[owner] + at).astype(np.uint32)
-                found.append([anchor, piece, doc[owner], row[owner], place, count.astype(np.uint8)])
+                found.append([anchor, piece, doc[owner], row[owner], place, count.astype(np.uint8), before, behind])
             columns, least = _same_piece(joined(found, _PIECE))
             later = columns[2] > least
             yield from _removals(n, [c[later] for c in columns])
@@ -155,21 +166,34 @@ def _compare(n: int):
         columns, least = _same_piece(joined(found, _PIECE))
         later = columns[2] > least
         yield from _removals(n, [c[later] for c in columns])
-        anchor, piece, doc, row, place, count = (c[~later] for c in columns)
+        columns = [c[~later] for c in columns]
+        wanted = _shared_side(columns, 6) | _shared_side(columns, 7)
+        anchor, piece, doc, row, place, count, _, _ = (c[wanted] for c in columns)
         if not len(anchor):
             return
-        shared = _runs(anchor)
-        first = np.flatnonzero(np.append(True, shared[1:] != shared[:-1]))
-        different = np.add.reduceat(np.append(True, (piece[1:] != piece[:-1]) | (anchor[1:] != anchor[:-1])).astype(np.int64), first)
-        spread = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
-        wanted = ((different > 1) & spread)[shared]
-        crowded = (different > CROWD)[shared].astype(np.uint8)
-        fetch = [row, anchor, doc, place, count, crowded]
-        yield from parcels(FETCH, (row[wanted] % np.uint64(n)).astype(np.int32), [c[wanted] for c in fetch])
+        run = _runs(anchor)
+        different = np.bincount(run, np.append(True, (piece[1:] != piece[:-1]) | (run[1:] != run[:-1])))
+        crowded = (different > CROWD)[run].astype(np.uint8)
+        yield from parcels(FETCH, (row % np.uint64(n)).astype(np.int32), [row, anchor, doc, place, count, crowded])
 
     return run
 
 
+def _shared_side(columns: list[np.ndarray], which: int) -> np.ndarray:
+    """Records whose anchor and side another piece of another document has too."""
+    anchor, piece, doc, side = columns[0], columns[1], columns[2], columns[which]
+    out = np.zeros(len(anchor), bool)
+    if not len(anchor):
+        return out
+    order = np.lexsort((piece, side, anchor))
+    run = _runs(anchor[order], side[order])
+    first = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    several = np.minimum.reduceat(piece[order], first) < np.maximum.reduceat(piece[order], first)
+    spread = np.minimum.reduceat(doc[order], first) < np.maximum.reduceat(doc[order], first)
+    out[order] = (several & spread)[run] & (side[order] != 0)
+    return out
+
+
 def _texts(n: int):
     """All texts, compressed, by the bucket of their row."""
 
@@ -218,14 +242,12 @@ def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 def _extract(n: int):
-    """The wanted pieces of text, by anchor."""
+    """The wanted pieces of text, by anchor; a task gathers them up to _HELD bytes and sends a parcel for each bucket."""
 
     def cut(wanted, texts, data, offsets):
         row, anchor, doc, place, count, crowded = wanted
         low, high = np.searchsorted(row, texts[0], "left"), np.searchsorted(row, texts[0], "right")
         which = _ranges(low, high - low)
-        if not len(which):
-            return
         start = place[which] + np.repeat(offsets[:-1], high - low)
         length = count[which].astype(np.int64) + LENGTH - 1
         single = np.flatnonzero(crowded[which])
@@ -233,17 +255,38 @@ def _extract(n: int):
         back = np.repeat(single, count[which][single])
         whole = np.flatnonzero(crowded[which] == 0)
         hashes = Substrings(data).of(one_by_one, one_by_one + LENGTH) if len(single) else np.empty(0, np.uint64)
-        bucket = np.concatenate([anchor[which][whole], hashes]) % np.uint64(n)
+        bucket = (np.concatenate([anchor[which][whole], hashes]) % np.uint64(n)).astype(np.int64)
         start_, length_ = np.concatenate([start[whole], one_by_one]), np.concatenate([length[whole], np.full(len(back), LENGTH)])
         source = np.concatenate([whole, back])
         base = np.repeat(offsets[:-1], high - low)[source]
         columns = [row[which][source], doc[which][source], (start_ - base).astype(np.uint32), length_.astype(np.uint32)]
-        for b in np.unique(bucket):
-            own = bucket == b
-            text = data[_ranges(start_[own], length_[own])].tobytes()
-            yield record(PARCEL, kind=[STRINGS], bucket=[int(b)], records=[packed([c[own] for c in columns])], data=[text])
+        return bucket, columns, data[_ranges(start_, length_)]
+
+    def send(held):
+        bucket = np.concatenate([b for b, _, _ in held])
+        columns, text = joined([c for _, c, _ in held], _STRINGS), np.concatenate([t for _, _, t in held])
+        length = columns[3].astype(np.int64)
+        start = np.cumsum(length) - length
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.append(np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1])), len(order))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            own = order[a:b]
+            pieces_ = text[_ranges(start[own], length[own])].tobytes()
+            yield record(PARCEL, kind=[STRINGS], bucket=[int(bucket[own[0]])], records=[packed([c[own] for c in columns])], data=[pieces_])
+
+    def run(batches):
+        held, size = [], 0
+        for found in _by_text(batches, _FETCH, lambda *x: [cut(*x)]):
+            if len(found[0]):
+                held.append(found)
+                size += len(found[2])
+            if size > _HELD:
+                yield from send(held)
+                held, size = [], 0
+        if held:
+            yield from send(held)
 
-    return lambda batches: _by_text(batches, _FETCH, cut)
+    return run
 
 
 def _merged(known: tuple[np.ndarray, np.ndarray], new: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
