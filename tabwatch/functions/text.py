@@ -9,8 +9,8 @@ DASH = "—"
 
 
 def iso(ts: Column) -> Column:
-    """ISO-8601 text with microseconds; timestamps are UTC throughout."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    """ISO-8601 text with microseconds and the UTC offset; timestamps are UTC throughout."""
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 
 
 def seconds_between(start: Column, end: Column) -> Column:

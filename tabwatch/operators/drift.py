@@ -423,6 +423,20 @@ def age_class(ts: Column, as_of: Column) -> Column:
     return out
 
 
+def _holding(age: Column) -> Column:
+    """Names of the windows that hold a row of an age class: its own and all longer ones."""
+    names = [*WINDOW_SECONDS, "all"]
+    return F.slice(F.array(*[F.lit(n) for n in names]), age + 1, F.lit(len(names)))
+
+
+def window_sizes(predictions: DataFrame, as_of: Column, key: str = "model_version_id") -> DataFrame:
+    """(key, n, window): predictions in each preset window and in all, from one pass: each is counted under the shortest
+    window that holds it, and the counts are spread over the longer ones."""
+    aged = predictions.groupBy(key, age_class(F.col("created_at"), as_of).alias("_age")).agg(F.count(F.lit(1)).alias("_n"))
+    spread = aged.select(key, "_n", F.explode(_holding(F.col("_age"))).alias("window"))
+    return spread.groupBy(key, "window").agg(F.sum("_n").alias("n")).select(key, "n", "window")
+
+
 def drift_by_window(
     versions: DataFrame,
     training_rows: DataFrame,
@@ -439,9 +453,8 @@ def drift_by_window(
     dataset_id.
     """
     key, ref = "model_version_id", "dataset_id"
-    names = [*WINDOW_SECONDS, "all"]
     aged = predictions.withColumn("_age", age_class(F.col("created_at"), as_of))
-    held_by = F.slice(F.array(*[F.lit(n) for n in names]), F.col("_age") + 1, F.lit(len(names)))
+    held_by = _holding(F.col("_age"))
     group = [ref, key, "window"]
     production = (
         feature_counts(aged, contract, [key, "_age"])

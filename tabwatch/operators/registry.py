@@ -21,6 +21,10 @@ class ConflictingState(RuntimeError):
     """The registry breaks one of its invariants."""
 
 
+# The rules that promotion and rollback rely on.
+ONE_EACH = ("one_production", "one_previous")
+
+
 def _stage(name: str) -> Column:
     return F.col("stage") == name
 
@@ -28,7 +32,8 @@ def _stage(name: str) -> Column:
 def _events(
     rows: DataFrame, action: str, previous: str | None, new: str, by: str, as_of: Column, seq: int, reason: Column | None = None
 ) -> DataFrame:
-    metadata = F.create_map(F.lit("reason"), reason) if reason is not None else F.lit(None)
+    nothing = F.array().cast("array<string>")
+    metadata = F.create_map(F.lit("reason"), reason) if reason is not None else F.map_from_arrays(nothing, nothing)
     return rows.select(
         F.col("id").alias("model_version_id"),
         F.lit(action).alias("action"),
@@ -45,8 +50,11 @@ def register(versions: DataFrame, candidates: DataFrame, *, as_of: Column) -> tu
     """(registry with the candidates appended, `registered` events).
 
     Labels continue the registry's count. `candidates` is what one training job produced, a few rows
-    with an `ordinal`, so numbering them needs no partitioning.
+    with an `ordinal`, so numbering them needs no partitioning. A run that is registered already is refused.
     """
+    again = versions.join(candidates.select("mlflow_run_id"), "mlflow_run_id", "left_semi").select("mlflow_run_id").head(1)
+    if again:
+        raise ConflictingState(f"unique_run_id: {again[0][0]} is registered already")
     known = versions.agg(F.count(F.lit(1))).scalar()
     numbered = candidates.withColumn("_rn", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("ordinal", "id")))
     new = numbered.select(
@@ -113,9 +121,10 @@ def violations(versions: DataFrame) -> DataFrame:
     )
 
 
-def require_consistent(versions: DataFrame) -> None:
-    """Raises when the registry breaks an invariant; looks at no more than one offending row."""
-    broken = violations(versions).head(1)
+def require_consistent(versions: DataFrame, *rules: str) -> None:
+    """Raises when the registry breaks an invariant (one of `rules`, if given); looks at one offending row at most."""
+    found = violations(versions)
+    broken = (found.where(F.col("rule").isin(*rules)) if rules else found).head(1)
     if broken:
         raise ConflictingState(f"{broken[0]['rule']}: {broken[0]['value']} occurs {broken[0]['n']} times")
 
@@ -125,6 +134,7 @@ def promote(
 ) -> tuple[DataFrame, DataFrame]:
     """Candidate to production, production to previous, previous to archived; events in the order
     archived, demoted, promoted. `policy` is the outcome of `promotion_policy`."""
+    require_consistent(versions, *ONE_EACH)
     verdict = policy.where(F.col("id") == candidate_id).select("eligible", "reason").head(1)
     if not verdict:
         raise LookupError(f"Model version {candidate_id} not found.")
@@ -143,6 +153,7 @@ def promote(
             for c in versions.columns
         ]
     )
+    # Texts of the reasons and refusals.
     because = F.lit(f"superseded by promotion of {candidate_id}")
     events = (
         _events(versions.where(_stage("previous")), "archived", "previous", "archived", triggered_by, as_of, 1, because)
@@ -154,11 +165,10 @@ def promote(
 
 def rollback(versions: DataFrame, *, as_of: Column, triggered_by: str = "api") -> tuple[DataFrame, DataFrame]:
     """Swaps production and previous; one `rolled_back` event for each side that exists."""
-    previous = versions.where(_stage("previous")).select("id").head(2)
+    require_consistent(versions, *ONE_EACH)
+    previous = versions.where(_stage("previous")).select("id").head(1)
     if not previous:
-        raise InvalidTransition("No previous production model is available to roll back to.")
-    if len(previous) > 1:
-        raise ConflictingState("one_previous: more than one previous model version")
+        raise InvalidTransition("No previous production model is available to roll back to.")  # fixed value
     stage = F.when(_stage("previous"), "production").when(_stage("production"), "previous").otherwise(F.col("stage"))
     new = versions.select(
         *[

@@ -62,24 +62,45 @@ def score(
     return out, rejected
 
 
-def run_batch(scored: DataFrame, log_path: str) -> dict[str, float]:
-    """Writes scored rows to the log and returns their number and the latency per row.
+def staged(scored: DataFrame) -> tuple[DataFrame, dict[str, float]]:
+    """Scored rows with `latency_ms`, and their number and that latency.
 
     The latency is the total divided by the number of rows, so it is only known afterwards: rows are
-    staged in the shared folder first and appended with it.
+    staged in the shared folder first.
     """
-    spark = scored.sparkSession
-    staging = new_workspace(spark, "scored")
+    folder = new_workspace(scored.sparkSession, "scored")
     start = time.perf_counter()
-    scored.write.parquet(staging)
+    scored.write.parquet(folder)
     total_ms = (time.perf_counter() - start) * 1000
-    staged = spark.read.schema(scored.schema).parquet(staging)
-    n = staged.count()
+    rows = scored.sparkSession.read.schema(scored.schema).parquet(folder)
+    n = rows.count()
     latency = total_ms / max(n, 1)
-    tables.append_predictions(staged.withColumn("latency_ms", F.lit(latency)), log_path)
-    return {"n_processed": n, "latency_ms": latency}
+    return rows.withColumn("latency_ms", F.lit(latency)), {"n_processed": n, "latency_ms": latency}
+
+
+def run_batch(scored: DataFrame, log_path: str, rejected: DataFrame | None = None, rejected_path: str | None = None) -> dict[str, float]:
+    """Appends scored rows to the log, and refused records to a table of their own; returns number and latency of the rows."""
+    rows, result = staged(scored)
+    tables.append_predictions(rows, log_path)
+    if rejected is not None and rejected_path is not None:
+        tables.append(rejected, rejected_path)
+    return result
+
+
+def outcomes(log: DataFrame, rejected: DataFrame, record_key: str, labels: tuple[str, str]) -> DataFrame:
+    """(id, record, request_id, scored, refused): every record of a request, scored or refused and why."""
+    sound = F.col("prediction").isin(*labels) & F.col("probability").between(0, 1)
+    accepted = log.select("id", F.lit(None).cast("string").alias("record"), "request_id", sound.alias("scored"), F.lit("").alias("refused"))
+    return accepted.unionByName(rejected.select(
+        F.lit(None).cast("string").alias("id"), F.col(record_key).cast("string").alias("record"), "request_id",
+        F.lit(False).alias("scored"), F.array_join("violations", "; ").alias("refused"),
+    ))
 
 
 def batch_result(log: DataFrame) -> DataFrame:
-    """(request_id, n_processed): size of each batch. The ids are the log's rows of that request."""
-    return log.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_processed"))
+    """(request_id, n_processed, prediction_id): the ids of each batch's predictions, one row each, beside its size.
+
+    Ids are rows and not a list, as a batch has no bound; the size is counted apart and joined back.
+    """
+    sizes = log.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_processed"))
+    return log.select("request_id", F.col("id").alias("prediction_id")).join(sizes, "request_id")

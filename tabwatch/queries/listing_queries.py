@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwatch.functions import text
+from tabwatch.operators import drift, listing
 from tabwatch.operators import lineage as lin
-from tabwatch.operators import listing
-from tabwatch.queries.tables import load, moment, r6, with_tables
+from tabwatch.queries.tables import AS_OF, load, moment, r6, with_tables
 
 
 def _iso(name: str):
@@ -46,16 +46,7 @@ def predictions_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions per version in the preset windows."""
-    from tabwatch.operators.drift import within_window
-    from tabwatch.queries.tables import AS_OF
-
-    rows = load(spark, sf_dir, "predictions")
-    out = None
-    for window in ("24h", "7d", "30d", None):
-        part = within_window(rows, window, moment(AS_OF)).groupBy("model_version_id").agg(F.count(F.lit(1)).alias("n"))
-        part = part.withColumn("window", F.lit(window or "all"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return drift.window_sizes(load(spark, sf_dir, "predictions"), moment(AS_OF))
 
 
 def prediction_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +135,7 @@ QUERIES = {
     )
 }
 
-_TS = "strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f') AS created_at"
+_TS = "strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS created_at"
 _ROW = f"SELECT id, request_id, model_version_id, prediction, round(probability, 6) AS probability, {_TS} FROM"
 _CANDIDATES = "(SELECT training_job_id, string_agg(id, ',' ORDER BY id) AS ids FROM model_versions WHERE training_job_id IS NOT NULL GROUP BY 1)"
 _LINEAGE = """chain AS (
@@ -180,7 +171,7 @@ ORACLES = {
     ),
     "prediction_lookup": with_tables(f"{_ROW} predictions WHERE request_id = '7'", "predictions"),
     "jobs_page": with_tables(
-        f"""SELECT j.id, j.status, j.dataset_id, c.ids AS model_version_ids, strftime(j.created_at, '%Y-%m-%dT%H:%M:%S.%f') AS created_at
+        f"""SELECT j.id, j.status, j.dataset_id, c.ids AS model_version_ids, strftime(j.created_at, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS created_at
         FROM (SELECT * FROM jobs WHERE job_type = 'train' AND status = 'failed' ORDER BY created_at DESC, id LIMIT 20) j
         LEFT JOIN {_CANDIDATES} c ON c.training_job_id = j.id""", "jobs", "model_versions",
     ),
@@ -198,7 +189,7 @@ ORACLES = {
         WHERE job_type = 'train' AND status = 'failed'""", "jobs", "model_versions",
     ),
     "valid_datasets": with_tables(
-        "SELECT id, filename, schema_name, n_rows, is_valid, strftime(uploaded_at, '%Y-%m-%dT%H:%M:%S.%f') AS uploaded_at FROM datasets WHERE is_valid", "datasets"
+        "SELECT id, filename, schema_name, n_rows, is_valid, strftime(uploaded_at, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS uploaded_at FROM datasets WHERE is_valid", "datasets"
     ),
     "dataset_name_lookup": with_tables(
         """SELECT m.id, m.dataset_id, coalesce(d.filename, substring(m.dataset_id, 1, 8), '—') AS dataset_name

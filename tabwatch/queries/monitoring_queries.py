@@ -115,7 +115,7 @@ QUERIES = {
     )
 }
 
-_ISO = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f')"
+_ISO = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f+00:00')"
 
 
 def _iso(c: str, alias: str | None = None) -> str:

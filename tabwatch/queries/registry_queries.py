@@ -155,7 +155,7 @@ def _sql(body: str, *more: str) -> str:
 
 
 def _iso(c: str) -> str:
-    return f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%f')"
+    return f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%f+00:00')"
 
 
 _NOW = f"TIMESTAMP '{NOW}'"

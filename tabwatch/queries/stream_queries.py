@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tabwatch.functions import text
 from tabwatch.operators import monitoring
+from tabwatch.plans import scoring as batch_scoring
 from tabwatch.plans import train
 from tabwatch.queries import drift_queries
 from tabwatch.queries.feature_queries import _RAW, SPEC, raw_rows
 from tabwatch.queries.tables import PREDICTION_CONTRACT, RAW_CONTRACT, SELECTS, UPLOAD_ROWS, load, moment, r6, with_tables
-from tabwatch.queries.training_queries import CONFIG
+from tabwatch.queries.training_queries import CONFIG, outcome_sql
 from tabwatch.schema import MonitorConfig
 from tabwatch.session import new_workspace
 from tabwatch.sources import csv
@@ -79,14 +80,15 @@ def stream_limiter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items scored as they arrive."""
+    """Line items scored as they arrive: the log, and the refused records."""
     root = new_workspace(spark, "scores")
     model = train.train_models(raw_rows(spark, sf_dir), SPEC, CONFIG, algorithms=["logistic_regression"]).models[0].model
     records = spark.sql(_RAW, lineitem=sink.file_stream(spark, sf_dir, "lineitem.parquet"))
     scoring.score_stream(
         records, model, SPEC, f"{root}/out", f"{root}/checkpoint", model_version_id="v1", record_key=["row_key"], integers=["quantity"]
     ).awaitTermination()
-    return spark.read.parquet(f"{root}/out").select("id", "model_version_id", "prediction", "probability")
+    log, rejected = spark.read.parquet(f"{root}/out/predictions"), spark.read.parquet(f"{root}/out/rejected")
+    return batch_scoring.outcomes(log, rejected, "row_key", SPEC.contract.labels)
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +120,7 @@ QUERIES = {
     )
 }
 
-_ISO = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f') AS window_start"
+_ISO = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS window_start"
 _BUCKETS = ", ".join(
     f"CAST(count(*) FILTER (value / 10 <= CAST('{b}' AS DOUBLE)) AS BIGINT) AS {monitoring.bucket_name(b)}" for b in monitoring.LATENCY_BOUNDS
 )
@@ -142,6 +144,7 @@ ORACLES = {
           FROM (SELECT a.*, s.opened, CASE WHEN s.opened IS NULL OR a.ts >= s.opened + INTERVAL 10 DAY THEN 0 ELSE s.n END AS live
                 FROM s JOIN a ON a.user_id = s.user_id AND a.rn = s.rn + 1) t)
         SELECT event_id AS attempt_id, CAST(user_id AS STRING) AS "key", blocked FROM s WHERE rn > 0""",
+    "stream_scores": outcome_sql("stream-0"),
     "stream_ingest": with_tables(
         """SELECT CASE k WHEN 0 THEN 'whole' WHEN 1 THEN 'reordered' WHEN 2 THEN 'missing' ELSE 'renamed' END AS layout,
             CASE k WHEN 0 THEN 'unexpected_columns' WHEN 1 THEN '' WHEN 2 THEN 'required_columns' ELSE 'required_columns,unexpected_columns' END AS checks,

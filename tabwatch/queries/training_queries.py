@@ -1,4 +1,4 @@
-"""Training and scoring queries over the raw line-item dataset. Models are fitted, so there is no SQL."""
+"""Training and scoring queries over the raw line-item dataset. Models are fitted: the SQL checks all but their numbers."""
 
 from __future__ import annotations
 
@@ -6,17 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwatch.plans import scoring, train
-from tabwatch.queries.feature_queries import SPEC, raw_rows
-from tabwatch.queries.tables import load, moment
+from tabwatch.queries import feature_queries
+from tabwatch.queries.feature_queries import _RAW, SPEC, raw_rows
+from tabwatch.queries.tables import load, moment, with_tables
 from tabwatch.schema import TrainingConfig
 from tabwatch.session import new_workspace
 
 CONFIG = TrainingConfig(random_forest_n_estimators=10, random_forest_max_depth=6, xgboost_n_estimators=8, xgboost_max_depth=3)
 NOW = "2001-12-01 00:00:00"
+SPLIT_SQL = feature_queries.ORACLES["stratified_split"]
 
 
 def _report(spark: SparkSession, sf_dir: str, algorithm: str) -> DataFrame:
-    return train.train_models(raw_rows(spark, sf_dir), SPEC, CONFIG, algorithms=[algorithm]).report
+    """Rows and positives of each held-out fold from the confusion matrix, and whether a signal was learned."""
+    report = train.train_models(raw_rows(spark, sf_dir), SPEC, CONFIG, algorithms=[algorithm]).report
+    positives = F.col("false_negative") + F.col("true_positive")
+    return report.select(
+        "algorithm", "split", (positives + F.col("true_negative") + F.col("false_positive")).alias("n_rows"),
+        positives.alias("n_positive"), (F.col("roc_auc") > 0.6).alias("learned"),
+    )
 
 
 def train_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,18 +61,44 @@ def train_and_register(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All line items scored by a freshly trained, saved and re-loaded model, read back from the log."""
+    """All line items scored by a freshly trained, saved and re-loaded model: the log read back, and the refused records."""
     root = new_workspace(spark, "score")
     _, _, candidates = _registered(spark, sf_dir, root)
     uri, version = candidates.select("artifact_uri", "id").head()
-    scored, _ = scoring.score(
+    scored, rejected = scoring.score(
         raw_rows(spark, sf_dir), train.load_model(spark, uri), SPEC, model_version_id=version, request_id="batch-1",
         record_key=["row_key"], as_of=moment(NOW), integers=["quantity"],
     )
-    scoring.run_batch(scored, f"{root}/predictions")
-    log = spark.read.parquet(f"{root}/predictions")
-    return log.select("id", "request_id", "prediction", "probability")
+    scoring.run_batch(scored, f"{root}/predictions", rejected.withColumn("request_id", F.lit("batch-1")), f"{root}/rejected")
+    log, refused = spark.read.parquet(f"{root}/predictions"), spark.read.parquet(f"{root}/rejected")
+    return scoring.outcomes(log, refused, "row_key", SPEC.contract.labels)
 
 
 QUERIES = {f.__name__: f for f in (train_lr, train_rf, train_gbt, train_and_register, batch_score)}
-ORACLES: dict[str, str] = {}
+
+
+def outcome_sql(request: str) -> str:
+    """Every raw row, scored or refused, by the rules of the input contract."""
+    return f"""SELECT CASE WHEN refused = '' THEN md5(concat('{request}|', row_key)) END AS id, CASE WHEN refused <> '' THEN row_key END AS record,
+        '{request}' AS request_id, refused = '' AS scored, refused
+    FROM (SELECT row_key, concat_ws('; ', CASE WHEN flag IS NULL THEN 'flag: required' END,
+              CASE WHEN total IN ('', 'n/k') THEN 'total: not a number' END, CASE WHEN unit IS NULL THEN 'unit: required' END) AS refused
+          FROM ({_RAW.format(lineitem='lineitem')}) raw) r"""
+
+
+def _report_sql(algorithm: str) -> str:
+    return f"""SELECT '{algorithm}' AS algorithm, split, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(label) AS BIGINT) AS n_positive, TRUE AS learned
+        FROM ({SPLIT_SQL}) s WHERE split <> 'train' GROUP BY split"""
+
+
+ORACLES = {
+    "train_lr": _report_sql("logistic_regression"),
+    "train_rf": _report_sql("random_forest"),
+    "train_gbt": _report_sql("xgboost"),
+    "train_and_register": with_tables(
+        """SELECT version_label, algorithm, stage, dataset_id, training_job_id FROM model_versions
+        UNION ALL SELECT concat('v', CAST(count(*) + 1 AS VARCHAR)), 'logistic_regression', 'candidate', '1', '1' FROM model_versions""",
+        "model_versions",
+    ),
+    "batch_score": outcome_sql("batch-1"),
+}

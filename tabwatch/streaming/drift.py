@@ -14,7 +14,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tabwatch.operators import drift
 from tabwatch.schema import DatasetContract, MonitorConfig
-from tabwatch.session import stored
 
 
 def count_stream(
@@ -38,16 +37,27 @@ def report(
     contract: DatasetContract,
     *,
     since: Column | None = None,
+    predictions: DataFrame | None = None,
     config: MonitorConfig = MonitorConfig(),
 ) -> DataFrame:
-    """Feature results per version from the counts so far; `since` keeps whole hours only."""
+    """Feature results per version from the counts so far.
+
+    A window from `since` on takes the counts of its whole hours; the hour that `since` falls into is counted from
+    `predictions`, the log, of which only that hour is read.
+    """
     key, ref = "model_version_id", "dataset_id"
-    kept = spark.read.parquet(out)
-    recent = kept if since is None else kept.where(F.col("hour") >= since)
-    total = stored(recent.groupBy(key, "feature", "num", "cat").agg(F.sum("n").alias("n")), "prediction-counts")
+    counts = spark.read.parquet(out).select(key, "hour", "feature", "num", "cat", "n")
+    if since is not None:
+        if predictions is None:
+            raise ValueError("A window needs the log for its first, broken hour.")
+        begun = F.date_trunc("hour", since) + F.expr("INTERVAL 1 HOUR")
+        first = predictions.where((F.col("created_at") >= since) & (F.col("created_at") < begun))
+        broken = drift.feature_counts(first.withColumn("hour", F.date_trunc("hour", "created_at")), contract, [key, "hour"])
+        counts = counts.where(F.col("hour") >= begun).unionByName(broken.select(*counts.columns))
+    total = counts.groupBy(key, "feature", "num", "cat").agg(F.sum("n").alias("n"))
     sizes = drift.row_counts(total, [key], "sample_size")
     passed = drift.with_status(versions.select(key, ref), sizes, config).where(F.col("status") == "ok").select(ref, key)
     return drift.feature_results(
-        stored(drift.feature_counts(training_rows, contract, [ref]), "reference-counts"), total.join(passed, key), contract,
+        drift.feature_counts(training_rows, contract, [ref]), total.join(passed, key), contract,
         ref_keys=[ref], keys=[key], groups=passed, config=config,
     ).drop(ref)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tabwatch.operators.features import FeatureSpec
-from tabwatch.plans.scoring import score
+from tabwatch.plans.scoring import score, staged
 
 
 def score_stream(
@@ -26,10 +26,22 @@ def score_stream(
     available_now: bool = True,
     interval: str = "10 seconds",
 ) -> StreamingQuery:
-    """Appends predictions of valid rows to the log; the file sink commits each micro-batch once."""
-    scored, _ = score(
-        records, model, spec, model_version_id=model_version_id, request_id="stream", record_key=record_key,
-        as_of=F.current_timestamp(), integers=integers,
-    )
-    writer = scored.writeStream.outputMode("append").option("checkpointLocation", checkpoint).format("parquet").option("path", out)
+    """Scores each micro-batch and keeps all of it: predictions, with their latency and in the layout of the batch log,
+    below `out`/predictions, refused records with their violations below `out`/rejected.
+
+    The request id of a micro-batch is `stream-` and its number; a replayed one overwrites its own folders.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        request = f"stream-{batch_id}"
+        scored, rejected = score(
+            batch, model, spec, model_version_id=model_version_id, request_id=request, record_key=record_key,
+            as_of=F.current_timestamp(), integers=integers,
+        )
+        timed, _ = staged(scored)
+        dated = timed.withColumn("dt", F.to_date("created_at"))
+        dated.write.mode("overwrite").partitionBy("dt").parquet(f"{out}/predictions/batch_id={batch_id}")
+        rejected.withColumn("request_id", F.lit(request)).write.mode("overwrite").parquet(f"{out}/rejected/batch_id={batch_id}")
+
+    writer = records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)).start()
