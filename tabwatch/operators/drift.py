@@ -415,6 +415,26 @@ def drift_report(
     return header, results
 
 
+def version_drift(
+    versions: DataFrame, training_rows: DataFrame, predictions: DataFrame, contract: DatasetContract, *,
+    model_version_id: str | None = None, **options,
+) -> tuple[DataFrame, DataFrame]:
+    """drift_report of one version: the one asked for, or the one in production.
+
+    `versions` is as for drift_report, with the stage. If there is no such version the header is one row whose status
+    is `no_production_model` or `unknown_version`, and there are no results.
+    """
+    key = "model_version_id"
+    asked = F.col("stage") == "production" if model_version_id is None else F.col(key) == model_version_id
+    chosen = versions.where(asked)
+    header, results = drift_report(chosen, training_rows, predictions, contract, **options)
+    status = "no_production_model" if model_version_id is None else "unknown_version"
+    nothing = chosen.agg(F.count(F.lit(1)).alias("_n")).where("_n = 0").select(
+        F.lit(model_version_id).cast("string").alias(key), F.lit(status).alias("status")
+    )
+    return header.unionByName(nothing, allowMissingColumns=True), results
+
+
 def age_class(ts: Column, as_of: Column) -> Column:
     """0, 1, 2 for the shortest preset window that holds the row, 3 beyond all of them."""
     out = F.lit(len(WINDOW_SECONDS))

@@ -124,6 +124,17 @@ def drift_report_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def drift_production(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of the version in production, and the answer for one that does not exist."""
+    training, predictions = _sides(spark, sf_dir)
+    staged = _versions(spark, sf_dir).join(load(spark, sf_dir, "model_versions").select(F.col("id").alias("model_version_id"), "stage"), "model_version_id")
+    asked = []
+    for version in (None, "nowhere"):
+        header, _ = drift.version_drift(staged, training, predictions, CONTRACT, model_version_id=version, as_of=moment(AS_OF))
+        asked.append(header.select("model_version_id", "status", "sample_size", "reference_n_rows"))
+    return asked[0].unionByName(asked[1])
+
+
 def drift_single_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One requested feature, newest 50 predictions of each version only."""
     _, results = _report(spark, sf_dir, features=["price"], config=MonitorConfig(min_samples=20, max_sample=50))
@@ -203,7 +214,7 @@ def category_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        drift_report, drift_report_header, drift_single_version, drift_single_feature, drift_by_version, drift_by_window,
+        drift_report, drift_report_header, drift_production, drift_single_version, drift_single_feature, drift_by_version, drift_by_window,
         drift_ks_by_feature, drift_psi_by_feature, drift_ks_pvalue, drift_from_json,
         category_proportions, category_union,
     )
@@ -258,6 +269,12 @@ ORACLES = {
         """SELECT model_version_id, feature, test, round(score, 6) AS score, threshold, critical_threshold, severity,
                   drift_detected, reference_n, production_n, note FROM results"""
     ),
+    "drift_production": _report_sql(
+        """SELECT h.model_version_id, h.status, h.sample_size,
+                  CASE WHEN h.status = 'ok' THEN (SELECT CAST(count(*) AS BIGINT) FROM training_rows t WHERE t.dataset_id = h.dataset_id) END AS reference_n_rows
+        FROM header h JOIN model_versions m ON m.id = h.model_version_id WHERE m.stage = 'production'
+        UNION ALL SELECT 'nowhere', 'unknown_version', NULL, NULL""",
+    ),
     "drift_report_header": _report_sql(
         """SELECT h.model_version_id, h.version_label, h.dataset_id, h.content_hash, h.training_job_id, '30d' AS "window",
                   h.sample_size, h.minimum_required, h.status,

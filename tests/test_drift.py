@@ -164,6 +164,19 @@ def test_newest_rows_only(spark):
     assert results["v", "tenure"]["score"] == pytest.approx(brute_ks(np.arange(300) % 73, np.arange(100) % 72))
 
 
+def test_production_version_or_none(spark):
+    rows = predictions("v", 120)
+    args = (training(spark), log(spark, rows), CONTRACT)
+    staged = versions(spark, ("v", "d"), ("w", "d")).withColumn("stage", F.when(F.col("model_version_id") == "v", "production").otherwise("candidate"))
+    header, results = drift.version_drift(staged, *args, as_of=F.lit(NOW))
+    assert [(r["model_version_id"], r["status"], r["sample_size"]) for r in header.collect()] == [("v", "ok", 120)]
+    assert {r["model_version_id"] for r in results.collect()} == {"v"}
+    none, nothing = drift.version_drift(staged.where("stage = 'candidate'"), *args, as_of=F.lit(NOW))
+    assert [(r["model_version_id"], r["status"]) for r in none.collect()] == [(None, "no_production_model")] and nothing.count() == 0
+    unknown, _ = drift.version_drift(staged, *args, model_version_id="x", as_of=F.lit(NOW))
+    assert [(r["model_version_id"], r["status"]) for r in unknown.collect()] == [("x", "unknown_version")]
+
+
 def test_all_windows_in_one_pass_equal_single_reports(spark):
     rows = predictions("v", 30, days_old=40, tenure=lambda i: 200) + predictions("v", 30, days_old=5) + predictions("v", 30)
     config = MonitorConfig(min_samples=20)

@@ -123,6 +123,17 @@ def test_invariants(spark):
         registry.require_consistent(broken)
 
 
+def test_broken_registry_is_refused(spark):
+    two = versions(spark, ("a", "production"), ("b", "production"), ("c", "candidate"), ("d", "previous"))
+    with pytest.raises(registry.ConflictingState, match="one_production"):
+        promote(spark, two, "c")
+    with pytest.raises(registry.ConflictingState, match="one_production"):
+        registry.rollback(two, as_of=F.lit(NOW))
+    known = versions(spark, ("a", "candidate"))
+    with pytest.raises(registry.ConflictingState, match="unique_run_id"):
+        registry.register(known, known.withColumn("ordinal", F.lit(0)), as_of=F.lit(NOW))
+
+
 def test_stage_follows_from_events(spark):
     vs = versions(spark, ("a", "candidate"), ("b", "production"))
     first = vs.select(

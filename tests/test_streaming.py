@@ -123,6 +123,12 @@ def test_drift_stream_equals_batch_and_survives_replay(spark):
     _, batch = drift.drift_report(versions, training, event_rows(spark, 0, 400), contract, as_of=F.lit(T0))
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.select(*streamed.columns).collect()))
     assert streamed.count() == 4
+    # A window that begins inside an hour: that hour's rows come from the log.
+    since, config = F.lit(T0 + datetime.timedelta(minutes=90)), MonitorConfig(min_samples=20)
+    log = event_rows(spark, 0, 400)
+    window = stream_drift.report(spark, f"{root}/counts", versions, training, contract, since=since, predictions=log, config=config)
+    _, exact = drift.drift_report(versions, training, log.where(F.col("created_at") >= since), contract, as_of=F.lit(T0), config=config)
+    assert sorted(map(tuple, window.collect())) == sorted(map(tuple, exact.select(*window.columns).collect()))
 
 
 def test_ingest_stream_checks_each_content_once(spark, contract):
