@@ -59,11 +59,6 @@ def is_non_numeric(col: Column) -> Column:
     return ~is_blank(col) & to_numeric(col).isNull()
 
 
-def safe_ratio(num: Column, den: Column, otherwise: Column) -> Column:
-    """num / den where den is positive, else the fallback (also for a null den)."""
-    return F.when(den > 0, num / den).otherwise(otherwise)
-
-
 def binary_label(col: Column, positive: str) -> Column:
     return F.coalesce(col == positive, F.lit(False)).cast("int")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tabwatch.functions.text import integer_text, short_id
 from tabwatch.schema import ACTIVE_STATUSES
 
-NO_JOB = "None (CLI-trained, Phase 2)"  # fixed value
+NO_JOB = "None (trained outside a job)"
 
 
 def lineage(versions: DataFrame, datasets: DataFrame, jobs: DataFrame, predictions: DataFrame) -> DataFrame:

@@ -76,10 +76,13 @@ def column_counts(df: DataFrame, contract: DatasetContract, by: Sequence[str] =
     return wide.select(*by, F.col("_m0").alias("n_rows"), F.explode(F.array(*entries)).alias("_e")).select(*by, "_e.*", "n_rows")
 
 
-def key_counts(df: DataFrame, contract: DatasetContract, by: Sequence[str] = ()) -> DataFrame:
-    """(by, metric, name, value) for duplicate ids, duplicate contents and one row per label.
+KEY_KINDS = ("duplicate_rows", "duplicate_ids", "label")
 
-    Every row is spread over the three keys it is counted under, so the table is read once and the
+
+def key_counts(df: DataFrame, contract: DatasetContract, by: Sequence[str] = (), only: Sequence[str] = KEY_KINDS) -> DataFrame:
+    """(by, metric, name, value) for duplicate ids, duplicate contents and one row per label, or `only` some of them.
+
+    Every row is spread over the keys it is counted under, so the table is read once and the
     rows of a very frequent key meet in the map-side partial aggregate. Null keys count as equal.
     """
     content = [c for c in df.columns if c != contract.id_column and c not in by]
@@ -87,6 +90,7 @@ def key_counts(df: DataFrame, contract: DatasetContract, by: Sequence[str] = ())
     if not missing_columns(df, contract):
         for kind, c in (("duplicate_ids", contract.id_column), ("label", contract.target_column)):
             kinds.append(F.struct(F.lit(kind).alias("kind"), F.col(f"`{c}`").cast("string").alias("key")))
+    kinds = [k for kind, k in zip(KEY_KINDS, kinds) if kind in only]
     per_key = (
         df.select(*by, F.explode(F.array(*kinds)).alias("_k"))
         .groupBy(*by, "_k.kind", "_k.key").agg(F.count(F.lit(1)).alias("n"))

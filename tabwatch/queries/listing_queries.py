@@ -199,7 +199,7 @@ ORACLES = {
     "lineage_steps": with_tables(
         f"""WITH {_LINEAGE}
         SELECT id, 1 AS step, 'Dataset' AS label, coalesce(dataset_filename, substring(dataset_id, 1, 8), '—') AS value FROM chain
-        UNION ALL SELECT id, 2, 'Training job', coalesce(substring(training_job_id, 1, 12), 'None (CLI-trained, Phase 2)') FROM chain
+        UNION ALL SELECT id, 2, 'Training job', coalesce(substring(training_job_id, 1, 12), 'None (trained outside a job)') FROM chain
         UNION ALL SELECT id, 3, 'MLflow run', substring(mlflow_run_id, 1, 16) FROM chain
         UNION ALL SELECT id, 4, 'Model version', version_label FROM chain
         UNION ALL SELECT id, 5, 'Predictions', format('{{:,}}', prediction_count) || ' recorded' FROM chain""", *_LINEAGE_TABLES,

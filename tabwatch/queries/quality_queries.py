@@ -37,12 +37,16 @@ def quality_non_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(F.col("name").alias("column_name"), F.col("value").alias("invalid_count"))
 
 
+def _keys(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    return quality.key_counts(load(spark, sf_dir, "raw_lines"), RAW_CONTRACT, only=[kind])
+
+
 def quality_duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metric(spark, sf_dir, "duplicate_ids", F.col("value").alias("duplicate_id_count"))
+    return _keys(spark, sf_dir, "duplicate_ids").select(F.col("value").alias("duplicate_id_count"))
 
 
 def quality_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metric(spark, sf_dir, "duplicate_rows", F.col("value").alias("duplicate_row_count"))
+    return _keys(spark, sf_dir, "duplicate_rows").select(F.col("value").alias("duplicate_row_count"))
 
 
 def quality_duplicate_flags(spark: SparkSession, sf_dir: str) -> DataFrame:

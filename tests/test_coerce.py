@@ -46,14 +46,6 @@ def test_binary_label_null_is_negative(spark):
     assert column(spark, ["Yes", "No", None, "yes"], lambda c: coerce.binary_label(c, "Yes")) == [1, 0, 0, 0]
 
 
-def test_safe_ratio(spark):
-    df = spark.createDataFrame(
-        [(500.0, 10.0, 60.0), (None, 0.0, 75.0), (None, 5.0, 60.0), (10.0, None, 60.0)], "total double, tenure double, monthly double"
-    )
-    out = [r[0] for r in df.select(coerce.safe_ratio(F.col("total"), F.col("tenure"), F.col("monthly"))).collect()]
-    assert out == [50.0, 75.0, None, 60.0]
-
-
 def test_durations(spark):
     assert column(spark, [None, 12.34, 59.99, 60.0, 125.0], text.duration_text, "double") == ["—", "12.3s", "60.0s", "1m 0s", "2m 5s"]
 
