@@ -163,7 +163,8 @@ def dedup_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text_co
     """
     row, gone, n_lines, n_removed = (unused(x, docs.columns) for x in ("row_", "gone_", N_LINES, N_REMOVED))
     runs = deleted_runs(docs, run, id_col, text_col).toDF(row, gone)
-    marked = docs.join(runs, row_key(id_col, text_col) == F.col(row), "left").drop(row)
+    # One plan for all sizes: a small table of runs is not broadcast either.
+    marked = docs.join(runs.hint("merge"), row_key(id_col, text_col) == F.col(row), "left").drop(row)
     arrow = to_arrow_schema(docs.schema).append(pa.field(n_lines, pa.int64())).append(pa.field(n_removed, pa.int64()))
     ddl = T.StructType([*docs.schema.fields, T.StructField(n_lines, T.LongType()), T.StructField(n_removed, T.LongType())])
     return marked.mapInArrow(_apply(arrow, text_col, run, gone), ddl)
