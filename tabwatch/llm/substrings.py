@@ -8,7 +8,7 @@ share strings with pieces of the same anchor. What pieces share is found in thre
    is wholly removed. A string around an anchor also holds SIDE bytes before it or SIDE bytes behind it. Of pieces
    that differ but share an anchor and such a side, one copy each goes on.
 2. The text of these is fetched and dealt by anchor (strings one by one, if very many pieces share the anchor).
-3. Each shard of texts gets a suffix array by Larsson-Sadakane refinement; Kasai's common prefixes mark off the
+3. Of equal texts the later ones are removed. Each shard of the others gets a suffix array by Larsson-Sadakane refinement; Kasai's common prefixes mark off the
    groups of suffixes with LENGTH bytes in common. Shards of a task are merged by binary search of their sorted
    strings in each other's, and strings whose group has a smaller document are removed.
 
@@ -39,11 +39,11 @@ SHARD_BYTES = 4_000_000
 CROWD = 256
 #: Bytes worked on at a time; longer texts are read in overlapping stretches.
 _STRETCH = 1_000_000
-_HELD = 32_000_000
+_GATHERED, _HELD = 16_000_000, 32_000_000
 _PLACE_BITS = np.uint64(24)
 
 TEXT, REMOVED, FETCH, PIECE, STRINGS = 0, 1, 2, 3, 4
-_PIECE = "u8 u8 i8 u8 u4 u1 u4 u4"  # anchor, piece hash, doc, row, place, strings, hashes of both sides
+_PIECE = "u8 u8 i8 u8 u4 u1 u4 u4 u1"  # anchor, piece hash, doc, row, place, strings, hashes of both sides, where the anchor is
 _REMOVED = "u8 u4 u4"  # row, start, end
 _FETCH = "u8 u8 i8 u4 u1 u1"  # row, anchor, doc, place, strings, crowded
 _TEXT = "u8 i8 u4 u1"  # row, doc, bytes, doc is null
@@ -61,7 +61,8 @@ def _parts(data: np.ndarray) -> np.ndarray:
 
 
 def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Anchor, hash, start, number of strings and hashes of both sides (0 for one that is cut off) of all pieces of the texts."""
+    """Anchor, hash, start, number of strings, hashes of both sides (0 for one that is cut off) and place of the anchor of
+    all pieces of the texts."""
     parts = _parts(data)
     least = (parts >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(data), dtype=np.uint64)
     width = 1
@@ -91,7 +92,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         return np.where(fits, found, np.uint64(0)).astype(np.uint32)
 
     before, behind = side(place - SIDE, place + GRAM), side(place, place + GRAM + SIDE)
-    return parts[place], hashes.of(start, end), start, count, before, behind
+    return parts[place], hashes.of(start, end), start, count, before, behind, place - start
 
 
 def _runs(*keys: np.ndarray) -> np.ndarray:
@@ -102,13 +103,15 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.cumsum(fresh)
 
 
-def _same_piece(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Records in the order of anchor, piece and document, and the least document of each one's piece."""
-    order = np.lexsort((columns[4], columns[2], columns[1], columns[0]))
-    columns = [c[order] for c in columns]
-    run = _runs(columns[0], columns[1])
+def _same_piece(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The order of records by anchor, piece and document, and for each record whether a smaller document has its piece."""
+    anchor, piece, doc = columns[:3]
+    order = np.lexsort((doc, piece, anchor))
+    run = _runs(anchor[order], piece[order])
     first = np.flatnonzero(np.append(True, run[1:] != run[:-1]))[: len(run)]
-    return columns, columns[2][first][run] if len(run) else columns[2]
+    later = np.zeros(len(order), bool)
+    later[order] = doc[order] > doc[order][first][run]
+    return order, later
 
 
 def _removals(n: int, columns: list[np.ndarray]):
@@ -131,23 +134,30 @@ def _stretches(batch: pa.RecordBatch):
 
 
 def _cut(n: int):
-    """Pieces of each batch. Of a piece that several documents have only the first one's is dealt; the others' are removed here."""
+    """Pieces of a batch, _GATHERED bytes of text at a time. Of a piece that several documents have only the first one's is
+    dealt; the others' are removed here."""
+
+    def send(found: list):
+        columns = joined(found, _PIECE)
+        found.clear()
+        _, later = _same_piece(columns)
+        yield from _removals(n, [c[later] for c in columns[:6]])
+        columns = [c[~later] for c in columns]
+        yield from parcels(PIECE, (columns[0] % np.uint64(n)).astype(np.int32), columns)
 
     def run(batches):
         for batch in batches:
-            found = []
+            found, size = [], 0
             for doc, row, at, data, offsets in _stretches(batch):
-                anchor, piece, start, count, before, behind = pieces(data, offsets)
+                anchor, piece, start, count, before, behind, inner = pieces(data, offsets)
                 owner = np.searchsorted(offsets, start, side="right") - 1
                 place = (start - offsets[owner] + at).astype(np.uint32)
-                found.append([anchor, piece, doc[owner], row[owner], place, count.astype(np.uint8), before, behind])
-            columns, least = _same_piece(joined(found, _PIECE))
-            later = columns[2] > least
-            yield from _removals(n, [c[later] for c in columns])
-            kept = [c[~later] for c in columns]
-            order = np.lexsort((kept[4], kept[3]))
-            kept = [c[order] for c in kept]
-            yield from parcels(PIECE, (kept[0] % np.uint64(n)).astype(np.int32), kept)
+                found.append([anchor, piece, doc[owner], row[owner], place, count.astype(np.uint8), before, behind, inner.astype(np.uint8)])
+                size += len(data)
+                if size > _GATHERED:
+                    yield from send(found)
+                    size = 0
+            yield from send(found)
 
     return run
 
@@ -163,14 +173,22 @@ def _compare(n: int):
                     found.append(unpacked(records, _PIECE))
                 else:
                     yield record(PARCEL, kind=[kind], bucket=[bucket], records=[records], data=[b""])
-        columns, least = _same_piece(joined(found, _PIECE))
-        later = columns[2] > least
-        yield from _removals(n, [c[later] for c in columns])
-        columns = [c[~later] for c in columns]
-        wanted = _shared_side(columns, 6) | _shared_side(columns, 7)
-        anchor, piece, doc, row, place, count, _, _ = (c[wanted] for c in columns)
+        columns = joined(found, _PIECE)
+        found.clear()
+        order, later = _same_piece(columns)
+        yield from _removals(n, [c[later] for c in columns[:6]])
+        order = order[~later[order]]
+        columns = [c[order] for c in columns]
+        before, behind = _shared_side(columns, 6), _shared_side(columns, 7)
+        wanted = before | behind
+        anchor, piece, doc, row, place, count, _, _, inner = (c[wanted] for c in columns)
         if not len(anchor):
             return
+        # Strings from SIDE bytes before the anchor on hold the side behind it, those up to there the one before it.
+        turn = inner.astype(np.int64) - SIDE
+        skip = np.where(before[wanted], 0, np.clip(turn, 0, count - 1))
+        left = np.where(behind[wanted], count, np.clip(turn + 1, 1, count)) - skip
+        place, count = (place + skip).astype(np.uint32), left.astype(np.uint8)
         run = _runs(anchor)
         different = np.bincount(run, np.append(True, (piece[1:] != piece[:-1]) | (run[1:] != run[:-1])))
         crowded = (different > CROWD)[run].astype(np.uint8)
@@ -344,6 +362,18 @@ def repeated_strings(data: np.ndarray, lengths: np.ndarray, docs: np.ndarray, sh
     return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
+def _first_of_equal(data: np.ndarray, length: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether no equal text of a smaller document is among the texts, by their hashes."""
+    end = np.cumsum(length)
+    found = Substrings(data).of(end - length, end)
+    order = np.lexsort((doc, found))
+    fresh = np.append(True, found[order][1:] != found[order][:-1])
+    least = doc[order][np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+    first = np.empty(len(doc), bool)
+    first[order] = doc[order] == least
+    return first
+
+
 def _search(n: int, shard_bytes: int):
     def run(batches):
         records, texts = [], []
@@ -355,12 +385,21 @@ def _search(n: int, shard_bytes: int):
         row, doc, place, length = joined(records, _STRINGS)
         data = np.frombuffer(b"".join(texts), np.uint8)
         length = length.astype(np.int64)
+        first = _first_of_equal(data, length, doc)
+        again = ~first
+        bucket = (row % np.uint64(n)).astype(np.int32)
+        yield from parcels(REMOVED, bucket[again], [row[again], place[again], place[again] + length[again].astype(np.uint32)])
+        data = data[np.repeat(first, length)]
+        row, doc, place, length, bucket = row[first], doc[first], place[first], length[first], bucket[first]
         found = repeated_strings(data, length, doc, shard_bytes)
         offsets = np.append(0, np.cumsum(length))
         text = np.searchsorted(offsets, found, side="right") - 1
         start = (found - offsets[text] + place[text]).astype(np.uint32)
-        bucket = (row[text] % np.uint64(n)).astype(np.int32)
-        yield from parcels(REMOVED, bucket, [row[text], start, start + np.uint32(LENGTH)])
+        # neighbouring strings go as one span
+        fresh = np.append(True, (text[1:] != text[:-1]) | (start[1:] != start[:-1] + 1))[: len(text)]
+        head = np.flatnonzero(fresh)
+        tail = np.append(head[1:], len(text))[: len(head)] - 1
+        yield from parcels(REMOVED, bucket[text[head]], [row[text[head]], start[head], start[tail] + np.uint32(LENGTH)])
 
     return run
 
