@@ -266,8 +266,11 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of `docs` that the mix takes, whole and as often as it takes them; each document is one block."""
     sizes = stored(document_sizes(docs, id_col, text_col, source_col), "mix-sizes")
     goals = targets(sizes)
-    key, copy = unused("key", docs.columns), unused("copy", docs.columns)
-    taken = draw(sizes, goals, WHOLE).select(F.col("key").alias(key), F.col("copy").alias(copy))
+    key, copy, taken = (unused(x, docs.columns) for x in ("key", "copy", "taken"))
+    draws = draw(sizes, goals, WHOLE).groupBy("key").agg(F.collect_list("copy").alias(taken)).withColumnRenamed("key", key)
     copies = Window.partitionBy(key).orderBy(F.col(id_col).cast("long"), F.col(source_col).cast("string"), F.length(text_col))
     numbered = docs.withColumn(key, row_key(id_col, text_col, source_col)).withColumn(copy, F.row_number().over(copies))
-    return numbered.join(taken, [key, copy]).select(*docs.columns)
+    # Numbered and joined by the same key, so that texts are shuffled once; a list has the draws of equal rows only.
+    joined = numbered.join(draws.hint("merge"), key)
+    own = F.filter(taken, lambda c: c == F.col(copy))
+    return joined.withColumn(copy, F.explode(own)).select(*docs.columns)
