@@ -21,8 +21,8 @@ from tabwatch.llm.arrow import blocks, flat, record, unused
 ORDER = 3
 PAD = 10  # contexts before a text's first byte are line feeds
 UNDETERMINED = "und"
-#: Training sample: about so many documents of each of the most frequent languages, none longer than this.
-DOCS_PER_LANGUAGE, MAX_TRAIN_BYTES, MAX_LANGUAGES = 1500, 65_536, 64
+#: Training sample: about so many documents of each language, and a passage of at most so many characters of each.
+DOCS_PER_LANGUAGE, PASSAGE = 1500, 65_536
 #: Bits a byte above which a text is in none of the languages; what takes eight is not compressed at all.
 MAX_BITS_PER_BYTE = 7.0
 #: Bytes of evidence that the score stands for.
@@ -139,14 +139,13 @@ class LanguageModel:
 
 
 def _sample(labelled: DataFrame, docs_per_language: int) -> DataFrame:
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not counts:
-        return labelled.limit(0)
-    share = F.lit(0.0)
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], F.lit(docs_per_language / row["count"])).otherwise(share)
+    """Rows drawn by doc_id; of a long text a passage, whose place is drawn too."""
+    counts = labelled.groupBy("lang").agg((docs_per_language / F.count("*")).alias("share"))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1_000_000)) / 1e6
-    return labelled.where(drawn < share)
+    chosen = labelled.join(F.broadcast(counts.withColumnRenamed("lang", "of")), F.col("lang") == F.col("of")).where(drawn < F.col("share"))
+    places = F.greatest(F.length("text") - PASSAGE, F.lit(0)) + 1
+    start = (F.pmod(F.xxhash64("doc_id", F.lit("passage")), places) + 1).cast("int")
+    return chosen.select(F.substring("text", start, F.lit(PASSAGE)).alias("text"), "lang")
 
 
 def _count(batches):
@@ -167,11 +166,11 @@ def _count(batches):
 def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> LanguageModel:
     """Learns from columns doc_id, text, lang; rows with a null text or lang teach nothing.
 
-    The sample is bounded (`docs_per_language` documents expected of each language, MAX_TRAIN_BYTES each)
-    and depends on doc_id alone; windows are counted in the tasks and only their totals reach the driver.
+    The sample is bounded (`docs_per_language` documents expected of each language, PASSAGE characters each)
+    and depends on doc_id alone; every label is learned. Windows are counted in the tasks and only their totals reach the driver.
     """
-    usable = labelled.where("lang is not null").select("doc_id", "text", "lang")
-    sample = _sample(usable, docs_per_language).where(F.octet_length("text").between(1, MAX_TRAIN_BYTES))
+    usable = labelled.where("lang is not null and text <> ''").select("doc_id", "text", "lang")
+    sample = _sample(usable, docs_per_language)
     grams = sample.select(F.lower("text").alias("text"), "lang").mapInArrow(_count, "lang string, gram long, n long")
     totals = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(totals["lang"].unique())

@@ -84,3 +84,16 @@ def test_nothing_to_learn_from(spark):
     docs = frame(spark)
     model = language.fit(empty(spark))
     assert {r["lang_pred"] for r in language.identify(docs, model).collect()} == {"und"}
+
+
+def test_every_label_is_learned(spark):
+    """Seventy labels, one of which has long texts only, among many nulls."""
+    rng = random.Random(2)
+    words = {f"l{k:02}": ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(12)] for k in range(70)}
+    rows = [(x, " ".join(rng.choices(words[x], k=40))) for x in words for _ in range(5) if x != "l69"]
+    rows += [("l69", " ".join(rng.choices(words["l69"], k=12_000))) for _ in range(5)] + [("l69", None), ("l69", "")] * 900
+    docs = spark.createDataFrame([(k, t, x) for k, (x, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = language.fit(docs, 5)
+    assert model.languages == sorted(words)
+    got = language.identify(docs.where("text <> ''"), model).join(docs, "doc_id").collect()
+    assert all(r["lang_pred"] == r["lang"] for r in got)
