@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwatch.llm import extraction, fingerprint, language, lines, mixing, packing, pii, quality, simhash, substrings
+from tabwatch.llm import (
+    extraction, fingerprint, language, lines, mixing, negatives, packing, pii, prefixes, quality, simhash, substrings, subwords,
+)
 from tabwatch.session import read_table
 
 
@@ -54,6 +56,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op11_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    scored = subwords.judge(docs, subwords.fit(docs, labels.where(~subwords.held_out())))
+    return scored.select("doc_id", subwords.held_out().alias("held_out"), "score", "predicted")
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(negatives.prepared(read_table(spark, sf_dir, "embeddings")))
+
+
+def op13_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixes.ordered_turns(read_table(spark, sf_dir, "conversations"))
+    return prefixes.trie(prefixes.regrouped(turns)).drop("node", "parent")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -65,5 +82,8 @@ QUERIES = {
     "op8_extraction": op8_extraction,
     "op9_lines": op9_lines,
     "op10_mixing": op10_mixing,
+    "op11_subwords": op11_subwords,
+    "op12_negatives": op12_negatives,
+    "op13_prefixes": op13_prefixes,
 }
-ORACLES: dict[str, str] = {"op9_lines": lines.SQL}
+ORACLES: dict[str, str] = {"op9_lines": lines.SQL, "op12_negatives": negatives.SQL, "op13_prefixes": prefixes.SQL}
