@@ -27,7 +27,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the least doc_id, of each group with alike five-word shingles."""
+    """One document, that with the least doc_id, of each group that SimHash fingerprints link."""
     return simhash.one_of_each(docs)
 
 

@@ -1,10 +1,8 @@
 """Near-duplicates by SimHash, with pivot distance tables in place of all comparisons.
 
-Fingerprints meet as candidates under keys. For a small radius the keys lose nothing: fingerprints within `max_bits`
-of each other are equal in one of max_bits + 1 parts of their bits, and what is left of them again in one of as many
-parts, so each such pair of parts is a key. For a similarity of shingle sets the radius is too wide for that: keys are
-then samples of bits, as many as find a pair at the threshold with probability RECALL, at any number of documents. A
-pair found so is a candidate only: it is linked if its sets of shingles, made again from the texts, are alike enough.
+Fingerprints meet as candidates under keys that lose nothing: fingerprints within `max_bits` of each other are equal in
+one of max_bits + 1 parts of their bits, and what is left of them again in one of as many parts, so each such pair of
+parts is a key.
 
 Under a key, fingerprints have a table of their Hamming distances to fixed reference fingerprints. Two of them can only
 be close if no coordinate differs by more than the radius, so they are sorted by the first coordinate and compared in a
@@ -14,8 +12,6 @@ again, and a key gives a spanning forest of its links, not its pairs. Stars join
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -28,43 +24,13 @@ from tabwatch.session import stored
 
 SEED = 42
 SHINGLE, MAX_BITS = 3, 3
-#: For a similarity: words of a shingle, least similarity, 64-bit lanes of a fingerprint, share of pairs to find.
-WIDE_SHINGLE, SIMILARITY, LANES, RECALL = 5, 0.8, 4, 0.99
-#: Candidates for a similarity: standard deviations from the expected distance, of pairs taken first and of all.
-FIRST_RADIUS, RADIUS = -1, 3
+LANES = 4  # most 64-bit lanes of a fingerprint
 #: Reference fingerprints.
 PIVOTS = np.random.default_rng(4).integers(0, 1 << 64, (16, LANES), np.uint64)
 #: Fingerprints of a key that one task compares with each other; keys with more are cut into tiles of two such parts.
 TILE = 4096
 _HASHED = 65_536  # shingles whose bits are counted at a time
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-_GATHERED = 65_536  # pairs of a batch
-
-
-def _spans(text: bytes, shingle: int) -> tuple[bytes, list[tuple[int, int]]]:
-    """The lower-cased words with single spaces, and where each shingle stands in them."""
-    words = text.lower().split()
-    joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words], dtype=np.int64) - 1
-    starts = np.append(0, ends[:-1] + 1)
-    k = min(shingle, len(words))
-    return joined, list(zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)) if words else []
-
-
-def shingle_set(text: bytes, shingle: int = WIDE_SHINGLE) -> np.ndarray:
-    """The distinct hashes of a text's shingles in order."""
-    joined, spans = _spans(text, shingle)
-    return np.unique(np.frombuffer(b"".join([xxhash.xxh64_digest(joined[a:b], SEED) for a, b in spans]), ">u8").astype(np.uint64))
-
-
-def set_fingerprint(text: bytes, shingle: int = WIDE_SHINGLE, lanes: int = LANES) -> bytes:
-    """A hash of the set of shingles, then 64 bits a lane, each 1 if it is in over half of the set's hashes."""
-    hashes, ones = shingle_set(text, shingle), np.zeros((lanes, 64), np.int64)
-    for at in range(0, len(hashes), _HASHED):
-        for lane in range(lanes):
-            bits = mix(hashes[at : at + _HASHED] + np.uint64(lane)).astype(">u8").view(np.uint8)
-            ones[lane] += np.unpackbits(bits).reshape(-1, 64).sum(axis=0, dtype=np.uint32)
-    return xxhash.xxh64_digest(hashes.tobytes(), SEED) + np.packbits(ones.ravel() * 2 > len(hashes)).tobytes()
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, lanes: int = 1) -> bytes:
@@ -90,27 +56,22 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, lanes: int = 1) -> bytes:
 
 
 def fingerprints(
-    docs: DataFrame, shingle: int = SHINGLE, lanes: int = 1, id_col: str = "doc_id", text_col: str = "text", sets: bool = False
+    docs: DataFrame, shingle: int = SHINGLE, lanes: int = 1, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, row (a hash of id and text) and the lanes w0, w1, ... (as longs) of every whole text; null has no words.
-
-    With `sets` a shingle counts once, and node, a hash of the set, stands before the lanes.
-    """
-    names = [*(["node"] if sets else []), *[f"w{k}" for k in range(lanes)]]
-    one = set_fingerprint if sets else fingerprint
+    """doc_id, row (a hash of the text) and the lanes w0, w1, ... (as longs) of every whole text; null has no words."""
+    names = [f"w{k}" for k in range(lanes)]
 
     def run(batches):
         for batch in batches:
             for block in blocks(batch, "text"):
                 data, offsets = flat(block.column("text"))
                 data = data.tobytes()
-                found = [one(data[a:b], shingle, lanes) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-                table = np.frombuffer(b"".join(found), ">i8").astype(np.int64).reshape(-1, len(names))
-                columns = [block.column("doc_id"), block.column("row"), *[pa.array(table[:, k]) for k in range(len(names))]]
+                found = [fingerprint(data[a:b], shingle, lanes) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                table = np.frombuffer(b"".join(found), ">i8").astype(np.int64).reshape(-1, lanes)
+                columns = [block.column("doc_id"), block.column("row"), *[pa.array(table[:, k]) for k in range(lanes)]]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", *names])
 
-    key = F.xxhash64(F.col(id_col).cast("long"), text_col)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("row"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
     return texts.mapInArrow(run, "doc_id long, row long" + "".join(f", {name} long" for name in names))
 
 
@@ -180,58 +141,7 @@ def forest(fp: np.ndarray, group: np.ndarray, side: np.ndarray, max_bits: int) -
     return order[child], order[parent[child]]
 
 
-def near_pairs(fp: np.ndarray, group: np.ndarray, side: np.ndarray, root: np.ndarray, radii: list[int], spanning: bool):
-    """Pairs of indexes within a group and the radius whose roots differ.
-
-    With `spanning` what earlier pairs link, those of smaller radii first, is not paired again: every fingerprint with
-    another one near it is in a pair still. Sides as in `forest`.
-    """
-    table = np.bitwise_count(fp[:, None, :] ^ PIVOTS[None, :, : fp.shape[1]]).sum(axis=2, dtype=np.int16)
-    order = np.lexsort((table[:, 0], group))
-    fp, group, side, root, table = fp[order], group[order], side[order], root[order], table[order]
-    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-    of = np.cumsum(np.append(False, group[1:] != group[:-1]))
-    by_root = np.lexsort((root, of))
-    fresh = np.append(True, (of[by_root][1:] != of[by_root][:-1]) | (root[by_root][1:] != root[by_root][:-1]))
-    parent = np.empty(len(fp), np.int64)
-    parent[by_root] = by_root[fresh][np.cumsum(fresh) - 1]
-    for max_bits in radii:
-        whole = np.minimum.reduceat(parent, starts) == np.maximum.reduceat(parent, starts)
-        here, shift = np.flatnonzero(~whole[of]), 0
-        while len(here):
-            shift += 1
-            here = here[here + shift < len(fp)]
-            there = here + shift
-            here = here[(of[here] == of[there]) & (table[there, 0] - table[here, 0] <= max_bits)]
-            left = here[(parent[here] != parent[here + shift]) & ((side[here] != side[here + shift]) | (side[here] == 0))]
-            for pivot in range(1, len(PIVOTS)):
-                left = left[np.abs(table[left, pivot] - table[left + shift, pivot]) <= max_bits]
-            left = left[np.bitwise_count(fp[left] ^ fp[left + shift]).sum(axis=1) <= max_bits]
-            if len(left):
-                yield order[left], order[left + shift]
-                if spanning:
-                    parent = components(len(fp), np.append(np.arange(len(fp)), left), np.append(parent, left + shift))
-                    whole = np.minimum.reduceat(parent, starts) == np.maximum.reduceat(parent, starts)
-                    here = here[~whole[of[here]]]
-
-
-def _candidates(radii: list[int], spanning: bool):
-    """As for `_links`; the first of the lanes is the root."""
-
-    def found(fp, group, side, root, node):
-        a, b, held = [], [], 0
-        for x, y in near_pairs(fp, group, side, root, radii, spanning):
-            a, b, held = [*a, node[x]], [*b, node[y]], held + len(x)
-            if held >= _GATHERED:
-                yield record(_LINK, a=np.concatenate(a), b=np.concatenate(b))
-                a, b, held = [], [], 0
-        if held:
-            yield record(_LINK, a=np.concatenate(a), b=np.concatenate(b))
-
-    return found
-
-
-def _links(max_bits: int, candidates=None):
+def _links(max_bits: int):
     """Rows come sorted by way, bits and tile; groups of a batch are compared at once, the last one waits for the next."""
 
     def settle(columns: list[np.ndarray]):
@@ -242,12 +152,7 @@ def _links(max_bits: int, candidates=None):
         if not len(many):
             return
         side = np.where(tile_a == tile_b, 0, part + 1)[many]
-        if candidates:
-            root, *lanes = lanes
         fp = np.stack([w[many].view(np.uint64) for w in lanes], axis=1)
-        if candidates:
-            yield from candidates(fp, group[many], side, root[many], node[many])
-            return
         a, b = forest(fp, group[many], side, max_bits)
         yield record(_LINK, a=node[many][a], b=node[many][b])
 
@@ -269,13 +174,10 @@ def _links(max_bits: int, candidates=None):
     return run
 
 
-def links(keyed: DataFrame, max_bits: int, candidates=None) -> DataFrame:
-    """Spanning links (a, b) between fingerprints within max_bits that share a key; keyed: node, lanes, way, bits.
-
-    With `candidates` the pairs that it finds, and keyed has a root before the lanes.
-    """
+def links(keyed: DataFrame, max_bits: int) -> DataFrame:
+    """Spanning links (a, b) between fingerprints within max_bits that share a key; keyed: node, lanes, way, bits."""
     n = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lanes = [*(["root"] if candidates else []), *[c for c in keyed.columns if c.startswith("w") and c != "way"]]
+    lanes = [c for c in keyed.columns if c.startswith("w") and c != "way"]
     crowded = keyed.groupBy("way", "bits").count().where(F.col("count") > TILE)
     sized = keyed.join(crowded, ["way", "bits"], "left")
     tiles = F.coalesce(F.ceil(F.col("count") / TILE), F.lit(1)).cast("int")
@@ -284,29 +186,7 @@ def links(keyed: DataFrame, max_bits: int, candidates=None) -> DataFrame:
     tile = [F.least("part", "other").alias("tile_a"), F.greatest("part", "other").alias("tile_b")]
     tiled = sized.select("way", "bits", *tile, "part", "node", *lanes)
     dealt = tiled.repartition(n, "way", "bits", "tile_a", "tile_b").sortWithinPartitions("way", "bits", "tile_a", "tile_b")
-    return dealt.mapInArrow(_links(max_bits, candidates), "a long, b long")
-
-
-def _sampled(classes: DataFrame, lanes: int, ways: int, width: int) -> DataFrame:
-    """node, root, lanes, way, bits: `ways` samples of `width` bits of each fingerprint."""
-    rng = np.random.default_rng(3)
-    chosen = np.stack([rng.choice(64 * lanes, width, replace=False) for _ in range(ways)])
-    names = ["node", "root", *[f"w{k}" for k in range(lanes)]]
-
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                table = np.stack([part.column(c).to_numpy() for c in names[2:]], axis=1)
-                bits = np.unpackbits(np.ascontiguousarray(table).view(np.uint8), axis=1)
-                weights = np.int64(1) << np.arange(width, dtype=np.int64)
-                for way in range(ways):
-                    key = bits[:, chosen[way]].astype(np.int64) @ weights
-                    columns = [part.column(c) for c in names]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(key), way, np.int32)), pa.array(key)], names=[*names, "way", "bits"])
-
-    ddl = "".join(f"{name} long, " for name in names) + "way int, bits long"
-    return classes.select(*names).mapInArrow(run, ddl)
+    return dealt.mapInArrow(_links(max_bits), "a long, b long")
 
 
 def stars(edges: DataFrame) -> DataFrame:
@@ -343,6 +223,15 @@ def _named(prints: DataFrame, classes: DataFrame, edges: DataFrame) -> DataFrame
     return prints.join(named, F.col("node") == F.col("of")).drop("of")
 
 
+def linked(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, row (a hash of the text), w0 (the fingerprint), root (the same in a component), component_id of every row."""
+    prints = fingerprints(docs, shingle, 1, id_col, text_col).withColumn("node", F.col("w0"))
+    prints = stored(prints, "fingerprints")
+    classes = stored(prints.groupBy("node", "w0").agg(F.min("doc_id").alias("first")), "classes")
+    keyed = classes.select("node", "w0", F.inline(_keys(F.col("w0"), max_bits)))
+    return _named(prints, classes, links(keyed, max_bits))
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -352,84 +241,22 @@ def near_duplicates(
     shingle is one shingle, one without words (or null) has the fingerprint zero and is linked like any other.
     Repeated rows give repeated results, null ids never name a component; other columns are ignored.
     """
-    prints = fingerprints(docs, shingle, 1, id_col, text_col).withColumn("node", F.col("w0"))
-    prints = stored(prints, "fingerprints")
-    classes = stored(prints.groupBy("node", "w0").agg(F.min("doc_id").alias("first")), "classes")
-    keyed = classes.select("node", "w0", F.inline(_keys(F.col("w0"), max_bits)))
-    named = _named(prints, classes, links(keyed, max_bits))
+    named = linked(docs, shingle, max_bits, id_col, text_col)
     return named.select("doc_id", F.lpad(F.lower(F.hex("w0")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _alike(shingle: int, similarity: float):
-    """Rows come sorted by a."""
-
-    def run(batches):
-        last, one = None, None
-        for batch in batches:
-            keep = []
-            for a, text_a, text_b in zip(*(batch.column(c).to_pylist() for c in ("a", "text_a", "text_b")), strict=True):
-                if a != last:
-                    last, one = a, shingle_set((text_a or "").encode(), shingle)
-                two = shingle_set((text_b or "").encode(), shingle)
-                common = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(common / max(1, len(one) + len(two) - common) >= similarity)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Those of the pairs (a, b) whose texts (node, text) have a similarity of shingle sets of `similarity` or more."""
-    first, second = texts.toDF("of_a", "text_a"), texts.toDF("of_b", "text_b")
-    both = pairs.join(second, F.col("b") == F.col("of_b")).join(first.hint("merge"), F.col("a") == F.col("of_a"))
-    return both.select("a", "b", "text_a", "text_b").sortWithinPartitions("a").mapInArrow(_alike(shingle, similarity), "a long, b long")
-
-
-def similar(
-    docs: DataFrame, shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """doc_id, row (a hash of id and text), root, component_id: linked are texts of `similarity` or more by their shingle sets.
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of `docs` without near-duplicates: of each component of `near_duplicates` the row with the least id stays.
 
-    Shingle sets of equal size with similarity s differ in a bit with probability arccos(2s / (1 + s)) / pi; candidates
-    are pairs that share a key within what this expects and RADIUS standard deviations more. First spanning candidates
-    are verified on the texts; then all others, but for those in a component already. Rows are handled as by near_duplicates.
+    A row without an id stays only where none of its component has one. Of rows with the same id and text one stays.
     """
-    bits = 64 * LANES
-    apart = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    radii = [math.ceil(bits * apart + z * math.sqrt(bits * apart * (1 - apart))) for z in (FIRST_RADIUS, RADIUS)]
-    lanes = [f"w{k}" for k in range(LANES)]
-    prints = stored(fingerprints(docs, shingle, LANES, id_col, text_col, sets=True), "fingerprints")
-    named = prints.groupBy("node", *lanes).agg(F.min("doc_id").alias("first"), F.min("row").alias("row"))
-    classes = stored(named.withColumn("root", F.col("node")), "classes")
-    width = max(8, math.ceil(math.log2(max(2, classes.count()) / 8)))
-    ways = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - apart) ** width))
-
-    def pairs(of: DataFrame, radii: list[int], spanning: bool) -> DataFrame:
-        found = links(_sampled(of, LANES, ways, width), max(radii), _candidates(radii, spanning))
-        return stored(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-
-    first = pairs(classes, radii, True)
-    # whatever is near another one is in the first pairs: only these are compared again, and only their texts fetched
-    near = classes.join(first.select("a").union(first.select("b")).distinct(), F.col("node") == F.col("a"), "left_semi")
-    keys = near.select("node", F.col("row").alias("of"))
-    rows = docs.select(F.xxhash64(F.col(id_col).cast("long"), text_col).alias("row"), F.col(text_col).alias("text"))
-    texts = stored(rows.join(keys, F.col("row") == F.col("of")).select("node", "text").dropDuplicates(["node"]), "texts")
-    sure = stored(_verified(first, texts, shingle, similarity), "sure")
-    roots = stars(sure).toDF("of", "top")
-    near = near.join(roots, F.col("node") == F.col("of"), "left").withColumn("root", F.coalesce("top", "node"))
-    rest = pairs(near, radii[1:], False).join(first, ["a", "b"], "left_anti")
-    edges = sure.union(_verified(rest, texts, shingle, similarity))
-    named = _named(prints, classes.drop("root", "row"), edges)
-    return named.select("doc_id", "row", "root", "component_id")
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of `docs` without near-duplicates as of `similar`: of each component the one with the least id stays."""
-    linked = similar(docs, id_col=id_col, text_col=text_col, **options)
-    kept = linked.groupBy("root").agg(F.min(F.struct("doc_id", "row"))["row"].alias("row"))
-    row, copy = unused("row", docs.columns), unused("copy", docs.columns)
-    keyed = docs.withColumn(row, F.xxhash64(F.col(id_col).cast("long"), text_col))
-    chosen = keyed.join(kept.select(F.col("row").alias(row)), row, "left_semi")
-    # equal rows have one hash: a single one of them stays
-    numbered = chosen.withColumn(copy, F.row_number().over(Window.partitionBy(row).orderBy(row)))
-    return numbered.where(F.col(copy) == 1).select(*docs.columns)
+    named = linked(docs, id_col=id_col, text_col=text_col, **options)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    kept = named.groupBy("root").agg(least.alias("least")).select("least.doc_id", "least.row")
+    names = [unused(name, docs.columns) for name in ("row", "kept_id", "copy")]
+    row, kept_id, copy = (F.col(name) for name in names)
+    keyed = docs.withColumn(names[0], F.xxhash64(text_col))
+    kept = kept.select(F.col("doc_id").alias(names[1]), F.col("row").alias("kept_row"))
+    chosen = keyed.join(kept, (row == F.col("kept_row")) & F.col(id_col).cast("long").eqNullSafe(kept_id), "left_semi")
+    numbered = chosen.withColumn(names[2], F.row_number().over(Window.partitionBy(row, id_col).orderBy(row)))
+    return numbered.where(copy == 1).select(*docs.columns)
