@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwatch.functions import stats
-from tabwatch.operators.ordered import bucket_offsets, global_cumsum, newest_per_group, with_bucket
+from tabwatch.operators.ordered import global_cumsum, newest_per_group
+from tabwatch.operators.reference import ABOVE, KEY, Reference, all_absent, content_key, ensure, lazy, with_bucket
 from tabwatch.schema import WINDOW_SECONDS, DatasetContract, MonitorConfig
+from tabwatch.session import new_workspace
 
 NO_VALUES_NOTE = "no usable values for this feature on one side of the comparison"  # fixed value
 
@@ -58,85 +60,115 @@ def proportions(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return counts.join(totals, group).withColumn("proportion", F.col(name) / F.col("_total")).drop("_total")
 
 
-def ks_by_feature(reference: DataFrame, production: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, feature, reference_n, production_n, score, p_value) from two numeric count tables.
+def compared(reference: Reference, production: DataFrame, keys: Sequence[str], totals: DataFrame, config: MonitorConfig) -> DataFrame:
+    """(keys, feature, reference_n, production_n, score) for every row of `totals` (by, keys, feature, production_n).
 
-    The score is null when one side has no usable value.
+    `production` has counts (by, keys, feature, num, cat, n). A reference is never copied for the groups that share it:
+    both empirical distribution functions are steps, so their largest gap lies at a production value or just before one,
+    and it is enough to look up the reference there. Rows of both sides meet in the buckets of the reference, ordered
+    by value; what a bucket says about the gap up to a constant, and what its categories add to the index, is added up
+    over the buckets of a group. Values outside the range of the reference need no order: the gap is widest at its ends.
     """
-    group = [*keys, "feature"]
-    both = both_sides(reference, production, keys)
-    run = global_cumsum(both, group, "value", ["ref_n", "prod_n"], strata=["feature"])
-    gap = F.abs(
-        F.try_divide(F.col("cum_ref_n").cast("double"), F.col("total_ref_n").cast("double"))
-        - F.try_divide(F.col("cum_prod_n").cast("double"), F.col("total_prod_n").cast("double"))
+    by, keys = list(reference.by), list(keys)
+    group = list(dict.fromkeys([*by, *keys]))
+    on = [c for c in (*group, "feature") if c in production.columns]  # the totals bring the reference of a group
+    named = lambda columns: ", ".join(f"`{c}`" for c in columns)
+    place, floor = [*by, "feature", "bucket"], f"{config.psi_floor!r}D"
+    bounds = reference.summary.selectExpr(*by, "feature", "edges", "before", "total", f"{all_absent(config.psi_floor)} AS _absent")
+    # The condition names the count, so that it stays behind the grouping and all uses of the counts share its shuffle.
+    rows = production.where("CASE WHEN n > 0 THEN num IS NOT NULL OR cat IS NOT NULL END").join(totals, on).join(bounds, [*by, "feature"])
+    rows = with_bucket(rows).selectExpr(
+        *group, "feature", "bucket", "num", "cat", "n", "total", "production_n", "_absent", "1 AS _side",
+        f"CASE WHEN bucket < 0 THEN 0 WHEN bucket >= {ABOVE} THEN total ELSE get(before, bucket) END AS _before",
+    )
+    ref = reference.values.where("num IS NOT NULL OR cat IS NOT NULL").selectExpr(
+        *by, "feature", "bucket", "num", "cat", "struct(num, cat, n, run) AS _ref", "0 AS _side"
+    )
+    share, p = "(_same / total)", "(n / production_n)"
+    floored = lambda x: f"(CASE WHEN {x} > 0 THEN {x} ELSE {floor} END)"
+    there = f"({floored(p)} - {floored(share)}) * ln({floored(p)} / {floored(share)})"
+    gone = f"CASE WHEN _same > 0 THEN ({floor} - {share}) * ln({floor} / {share}) ELSE 0D END"
+    parts = (
+        rows.unionByName(ref, allowMissingColumns=True)
+        .selectExpr("*", f"last(_ref, true) OVER (PARTITION BY {named(place)} ORDER BY num, cat, _side ROWS UNBOUNDED PRECEDING) AS _seen")
+        .where("_side = 1")
+        .selectExpr(
+            "*", "coalesce(_before + coalesce(_seen.run, 0), 0) AS _ref_at",
+            "CASE WHEN _seen IS NOT NULL AND _seen.num <=> num AND _seen.cat <=> cat THEN _seen.n ELSE 0 END AS _same",
+            f"sum(n) OVER (PARTITION BY {named(dict.fromkeys([*place, *keys]))} ORDER BY num ROWS UNBOUNDED PRECEDING) AS _prod",
+        )
+        .selectExpr(
+            *group, "feature", "bucket", "n", "total", "production_n", "_absent",
+            "CASE WHEN num IS NOT NULL THEN _ref_at / total - _prod / production_n END AS _at",
+            "CASE WHEN num IS NOT NULL THEN (_ref_at - _same) / total - (_prod - n) / production_n END AS _just_before",
+            f"CASE WHEN num IS NULL THEN {there} - {gone} END AS _term",
+        )
+        .groupBy(*dict.fromkeys([*place, *keys]))
+        .agg(
+            F.expr("max(greatest(_at, _just_before))").alias("_high"), F.expr("min(least(_at, _just_before))").alias("_low"),
+            *[F.expr(f"{f}({c})").alias(c) for c, f in (("n", "sum"), ("_term", "sum"), ("total", "first"), ("production_n", "first"), ("_absent", "first"))],
+        )
     )
     return (
-        run.groupBy(*group)
+        parts.unionByName(totals.selectExpr(*group, "feature", "production_n"), allowMissingColumns=True)
+        .selectExpr(
+            "*", f"coalesce(sum(n) OVER (PARTITION BY {named([*group, 'feature'])} ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+            " / production_n AS _off",
+        )
+        .groupBy(*group, "feature")
         .agg(
-            F.first("total_ref_n").alias("reference_n"),
-            F.first("total_prod_n").alias("production_n"),
-            F.max(gap).alias("score"),
+            F.expr("max(total)").alias("reference_n"), F.expr("max(production_n)").alias("production_n"),
+            F.expr("coalesce(max(greatest(abs(_high - _off), abs(_low - _off))), max(_absent) + sum(_term))").alias("score"),
         )
-        .withColumn("p_value", stats.ks_pvalue(F.col("score"), F.col("reference_n"), F.col("production_n")))
     )
 
 
-def _ks_points(points: DataFrame, by_ref: Sequence[str], by_group: Sequence[str]) -> DataFrame:
-    """Production points with both running counts, taken inside value buckets whose totals are added back.
+def _totals(production: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Usable values of each (group, feature)."""
+    usable = F.when(F.col("num").isNotNull() | F.col("cat").isNotNull(), F.col("n"))
+    return production.groupBy(*group, "feature").agg(F.sum(usable).alias("production_n"))
 
-    Equal values of several groups are peers, hence RANGE frames: up to and at the current value.
-    """
-    bucketed = with_bucket(points, "value", [*by_group], ["feature"])
-    ordered = Window.partitionBy(*by_ref, "_bucket").orderBy("value")
-    upto = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    at = ordered.rangeBetween(Window.currentRow, Window.currentRow)
-    ref_offsets = bucket_offsets(bucketed, by_ref, ["ref_n"]).withColumnRenamed("total_ref_n", "reference_n")
-    looked_up = (
-        bucketed.select("*", F.sum("ref_n").over(upto).alias("_ref_run"), F.sum("ref_n").over(at).alias("_ref_at"))
-        .join(ref_offsets, [*by_ref, "_bucket"])
-        .where(F.col("prod_n") > 0)
-        .withColumn("_ref_cum", F.col("_ref_run") + F.col("_before_ref_n"))
-        .select(*by_group, "value", "_bucket", "prod_n", "reference_n", "_ref_cum", "_ref_at")
-    )
-    so_far = Window.partitionBy(*by_group, "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    own = bucketed.where(F.col("prod_n") > 0)
-    own_offsets = bucket_offsets(own, by_group, ["prod_n"]).withColumnRenamed("total_prod_n", "production_n")
-    return (
-        looked_up.withColumn("_prod_run", F.sum("prod_n").over(so_far))
-        .join(own_offsets, [*by_group, "_bucket"])
-        .withColumn("_prod_cum", F.col("_prod_run") + F.col("_before_prod_n"))
-    )
+
+def _as_counts(counts: DataFrame, keys: Sequence[str], value: str, n: str) -> DataFrame:
+    other, kind = ("cat", "string") if value == "num" else ("num", "double")
+    return counts.where(F.col(n) > 0).select(*keys, "feature", F.col("value").alias(value), F.lit(None).cast(kind).alias(other), F.col(n).alias("n"))
+
+
+def _whole(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    return (df, list(keys)) if keys else (df.withColumn("_all", F.lit(0)), ["_all"])
 
 
 def ks_against_reference(reference: DataFrame, production: DataFrame, ref_keys: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """KS per (keys, feature) when many production groups share one reference.
+    """(ref_keys, keys, feature, reference_n, production_n, score, p_value) from two numeric count tables.
 
-    `reference` counts are per (ref_keys, feature, value); `production` counts per (ref_keys, keys,
-    feature, value). The reference is never copied per production group: both empirical distribution
-    functions are steps, so their largest gap lies at a production value or just before one, and it
-    is enough to look up the reference there. One ordered pass over both tables per reference does
-    that, a second one accumulates the production side.
+    `reference` counts are per (ref_keys, feature, value); `production` counts per (ref_keys, keys, feature, value).
+    Only groups of production have a row; its score is null when the reference has no usable value.
     """
-    ref_keys, keys = list(ref_keys), list(keys)
-    by_ref, by_group = [*ref_keys, "feature"], [*ref_keys, *keys, "feature"]
-    none = F.lit(0).cast("bigint")
-    ref_rows = reference.select(
-        *by_ref, "value", *[F.lit(None).cast(production.schema[k].dataType).alias(k) for k in keys],
-        "ref_n", none.alias("prod_n"),
-    )
-    points = ref_rows.unionByName(production.select(*by_ref, "value", *keys, none.alias("ref_n"), "prod_n"))
-    run = _ks_points(points, by_ref, by_group)
-    cum, n, m = F.col("_prod_cum"), F.col("reference_n").cast("double"), F.col("production_n").cast("double")
-    here = F.abs(F.try_divide(F.col("_ref_cum").cast("double"), n) - cum / m)
-    before = F.abs(
-        F.try_divide((F.col("_ref_cum") - F.col("_ref_at")).cast("double"), n) - (cum - F.col("prod_n")) / m
+    ref, by = _whole(_as_counts(reference, ref_keys, "num", "ref_n"), ref_keys)
+    prod, _ = _whole(_as_counts(production, [*ref_keys, *keys], "num", "prod_n"), ref_keys)
+    found = compared(lazy(ref, by), prod, keys, _totals(prod, [*by, *keys]), MonitorConfig())
+    p = F.when(F.col("score").isNotNull(), stats.ks_pvalue(F.col("score"), F.col("reference_n"), F.col("production_n")))
+    return found.select(*ref_keys, *keys, "feature", "reference_n", "production_n", "score", p.alias("p_value"))
+
+
+def ks_by_feature(reference: DataFrame, production: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, feature, reference_n, production_n, score, p_value) from two numeric count tables.
+
+    The score is null when one side has no usable value.
+    """
+    group = [*keys, "feature"]
+    both = both_sides(reference, production, keys)
+    run = global_cumsum(both, group, "value", ["ref_n", "prod_n"], strata=["feature"])
+    gap = F.abs(
+        F.try_divide(F.col("cum_ref_n").cast("double"), F.col("total_ref_n").cast("double"))
+        - F.try_divide(F.col("cum_prod_n").cast("double"), F.col("total_prod_n").cast("double"))
     )
     return (
-        run.groupBy(*by_group)
+        run.groupBy(*group)
         .agg(
-            F.first("reference_n").alias("reference_n"),
-            F.first("production_n").alias("production_n"),
-            F.max(F.when(n > 0, F.greatest(here, before))).alias("score"),
+            F.first("total_ref_n").alias("reference_n"),
+            F.first("total_prod_n").alias("production_n"),
+            F.max(gap).alias("score"),
         )
         .withColumn("p_value", stats.ks_pvalue(F.col("score"), F.col("reference_n"), F.col("production_n")))
     )
@@ -181,38 +213,6 @@ def psi_against_reference(
     )
 
 
-def _numeric_results(ks: DataFrame, keys: Sequence[str], config: MonitorConfig) -> DataFrame:
-    return ks.select(
-        *keys,
-        "feature",
-        F.lit("KS").alias("test"),
-        "score",
-        "p_value",
-        F.lit(config.ks_threshold).alias("threshold"),
-        F.lit(None).cast("double").alias("critical_threshold"),
-        F.lit(None).cast("string").alias("severity"),
-        F.coalesce(F.col("score") >= config.ks_threshold, F.lit(False)).alias("drift_detected"),
-        "reference_n",
-        "production_n",
-    )
-
-
-def _categorical_results(psi: DataFrame, keys: Sequence[str], config: MonitorConfig) -> DataFrame:
-    return psi.select(
-        *keys,
-        "feature",
-        F.lit("PSI").alias("test"),
-        "score",
-        F.lit(None).cast("double").alias("p_value"),
-        F.lit(config.psi_warning).alias("threshold"),
-        F.lit(config.psi_critical).alias("critical_threshold"),
-        stats.severity(F.col("score"), config).alias("severity"),
-        F.coalesce(F.col("score") >= config.psi_warning, F.lit(False)).alias("drift_detected"),
-        "reference_n",
-        "production_n",
-    )
-
-
 ROWS = "__rows__"
 
 
@@ -247,82 +247,68 @@ def feature_counts(
     return long.groupBy(*keys, "feature", "num", "cat").agg(F.count(F.lit(1)).alias("n"))
 
 
-# The three parts of a count table. Their conditions name the count, so that they stay behind the grouping: all
-# parts then read the same shuffle.
-def _counted(name: str) -> Column:
-    return F.when(F.col("n") > 0, F.col(name))
-
-
-def _numeric_part(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return counts.where(_counted("num").isNotNull()).select(*keys, "feature", F.col("num").alias("value"), F.col("n").alias(name))
-
-
-def _categorical_part(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return counts.where(_counted("cat").isNotNull()).select(*keys, "feature", F.col("cat").alias("value"), F.col("n").alias(name))
-
-
 def row_counts(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return counts.where(_counted("feature") == ROWS).select(*keys, F.col("n").alias(name))
+    # The condition names the count, so that it stays behind the grouping: all uses then read the same shuffle.
+    return counts.where(F.when(F.col("n") > 0, F.col("feature")) == ROWS).select(*keys, F.col("n").alias(name))
 
 
 def feature_results(
-    reference: DataFrame,
+    reference: Reference,
     production: DataFrame,
     contract: DatasetContract,
     *,
-    ref_keys: Sequence[str] = (),
     keys: Sequence[str] = (),
     groups: DataFrame,
     features: Sequence[str] | None = None,
     config: MonitorConfig = MonitorConfig(),
 ) -> DataFrame:
-    """One result row per (keys, feature) of `groups`.
+    """One result row per (keys, feature) of `groups` (the reference's keys, and `keys`).
 
-    Both sides are `feature_counts`: `reference` keyed by `ref_keys`, `production` by `ref_keys` and
-    `keys`. `groups` lists the key combinations that must appear. A feature without a usable value on one
-    side still gets its row, with a note in place of the score.
+    `production` is `feature_counts` keyed by `keys`. A feature without a usable value on one side still gets its row,
+    with a note in place of the score.
     """
-    ref_keys, keys = list(ref_keys), list(keys)
+    keys, by = list(keys), list(reference.by)
+    group = list(dict.fromkeys([*by, *keys]))
     wanted = list(contract.features) if features is None else list(features)
     contract.check_features(wanted)
-    group = [*ref_keys, *keys]
-    parts = []
-    numeric = [c for c in wanted if c in contract.numeric_columns]
-    categorical = [c for c in wanted if c not in contract.numeric_columns]
-    if numeric:
-        ks = ks_against_reference(
-            _numeric_part(reference, ref_keys, "ref_n"), _numeric_part(production, group, "prod_n"), ref_keys, keys
-        )
-        parts.append(_numeric_results(ks, group, config))
-    if categorical:
-        psi = psi_against_reference(
-            _categorical_part(reference, ref_keys, "ref_n"), _categorical_part(production, group, "prod_n"), ref_keys, keys, config
-        )
-        parts.append(_categorical_results(psi, group, config))
-    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    tests = F.array(
-        *[
-            F.struct(F.lit(c).alias("feature"), F.lit("KS" if c in contract.numeric_columns else "PSI").alias("_test"))
-            for c in wanted
-        ]
+    asked = groups.select(*group, F.explode(F.array(*[F.lit(c) for c in wanted])).alias("feature"))
+    counted = production.where(F.when(F.col("n") > 0, F.col("feature")) != ROWS)
+    totals = asked.join(_totals(counted, keys), [*keys, "feature"], "left")
+    found = compared(reference, counted, keys, totals, config)
+    numeric = ", ".join(f"'{c}'" for c in contract.numeric_columns) or "NULL"
+    pvalue = stats.ks_pvalue(F.col("score"), F.col("reference_n"), F.col("production_n"))
+    banded = (
+        found.withColumns({"_ks": F.expr(f"coalesce(feature IN ({numeric}), false)"), "_p": pvalue, "_band": stats.severity(F.col("score"), config)})
+        .selectExpr("*", f"CASE WHEN _ks THEN {config.ks_threshold!r}D ELSE {config.psi_warning!r}D END AS threshold")
     )
-    expected = groups.select(*group, F.explode(tests).alias("_f")).select(*group, "_f.feature", "_f._test")
-    is_ks = F.col("_test") == "KS"
-    return expected.join(found, [*group, "feature"], "left").select(
+    return banded.selectExpr(
         *group,
         "feature",
-        F.col("_test").alias("test"),
+        "CASE WHEN _ks THEN 'KS' ELSE 'PSI' END AS test",
         "score",
-        "p_value",
-        F.when(is_ks, config.ks_threshold).otherwise(config.psi_warning).alias("threshold"),
-        F.when(~is_ks, config.psi_critical).alias("critical_threshold"),
-        "severity",
-        F.coalesce("drift_detected", F.lit(False)).alias("drift_detected"),
-        *[F.when(F.col("score").isNotNull(), F.col(n)).alias(n) for n in ("reference_n", "production_n")],
-        F.when(F.col("score").isNull(), NO_VALUES_NOTE).alias("note"),
+        "CASE WHEN _ks AND score IS NOT NULL THEN _p END AS p_value",
+        "threshold",
+        f"CASE WHEN NOT _ks THEN {config.psi_critical!r}D END AS critical_threshold",
+        "CASE WHEN NOT _ks THEN _band END AS severity",
+        "coalesce(score >= threshold, false) AS drift_detected",
+        *[f"CASE WHEN score IS NOT NULL THEN {n} END AS {n}" for n in ("reference_n", "production_n")],
+        f"CASE WHEN score IS NULL THEN '{NO_VALUES_NOTE}' END AS note",
     )
 
 
+def references(versions: DataFrame, training_rows: DataFrame, contract: DatasetContract, path: str | None) -> tuple[Reference, DataFrame]:
+    """The references of all versions, and the versions with their ref_key.
+
+    They are kept below `path` under the versions' content_hash, so a later report reads no training rows. Without a
+    path they are made for this report, by dataset_id.
+    """
+    ref = "dataset_id"
+    content = F.col(ref) if path is None else F.col("content_hash")
+    keyed = versions.withColumn(KEY, content_key(content, contract))
+    folder = new_workspace(versions.sparkSession, "references") if path is None else path
+    return ensure(folder, keyed, training_rows, lambda rows, by: feature_counts(rows, contract, by)), keyed
+
+
 def displayed(results: DataFrame) -> DataFrame:
     """Final projection for people: four decimals (half-up) and the status text. Never compare on these."""
     return results.select(
@@ -379,15 +365,17 @@ def drift_report(
     window: str | None = None,
     features: Sequence[str] | None = None,
     config: MonitorConfig = MonitorConfig(),
+    kept: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(header, features) for every version of `versions` in one run.
 
     `versions` has model_version_id, version_label, dataset_id, training_job_id; `training_rows` has
     dataset_id and typed features; `predictions` has id, model_version_id, created_at and features.
     Versions below the sample gate appear in the header only. The header carries the lineage of the
-    reference: its dataset, training job and row count.
+    reference: its dataset, training job and row count. With a folder for `kept` the reference counts of datasets stay
+    there under their content_hash, and reports that follow read no training rows.
     """
-    key, ref = "model_version_id", "dataset_id"
+    key = "model_version_id"
     recent = within_window(predictions, window, as_of)
     # The log is read once, without joining its rows: the gate and the reference are applied to counts.
     production = feature_counts(newest_sample(recent, config), contract, [key], features)
@@ -395,19 +383,17 @@ def drift_report(
         sizes = row_counts(production, [key], "sample_size")
     else:
         sizes = recent.groupBy(key).agg(F.count(F.lit(1)).alias("sample_size"))
-    header = with_status(versions, sizes, config)
-    passed = header.where(F.col("status") == "ok").select(ref, key)
-    reference = feature_counts(training_rows, contract, [ref], features)
-    results = feature_results(
-        reference, production.join(passed, key), contract, ref_keys=[ref], keys=[key], groups=passed,
-        features=features, config=config,
-    ).drop(ref)
-    ref_rows = row_counts(reference, [ref], "reference_n_rows")
+    reference, keyed = references(versions, training_rows, contract, kept)
+    header = with_status(keyed, sizes, config)
+    passed = header.where(F.col("status") == "ok").select(KEY, key)
+    results = feature_results(reference, production, contract, keys=[key], groups=passed, features=features, config=config).drop(KEY)
+    ref_rows = reference.summary.where(F.col("feature") == ROWS).select(KEY, F.col("total").alias("reference_n_rows"))
     flags = results.groupBy(key).agg(F.bool_or("drift_detected").alias("drift_detected"))
     cap = F.col("sample_size") if config.max_sample is None else F.least("sample_size", F.lit(config.max_sample))
     header = (
-        header.join(ref_rows, ref, "left")
+        header.join(ref_rows, KEY, "left")
         .join(flags, key, "left")
+        .drop(KEY)
         .withColumn("window", F.lit(window).cast("string"))
         .withColumn("n_sampled_for_computation", F.when(F.col("status") == "ok", cap))
         .withColumn("reference_n_rows", F.when(F.col("status") == "ok", F.col("reference_n_rows")))
@@ -465,6 +451,7 @@ def drift_by_window(
     *,
     as_of: Column,
     config: MonitorConfig = MonitorConfig(),
+    kept: str | None = None,
 ) -> DataFrame:
     """Feature results for every (version, window preset and all time) from one pass over the log.
 
@@ -472,19 +459,15 @@ def drift_by_window(
     counts are then spread over that window and the longer ones. `versions` maps model_version_id to
     dataset_id.
     """
-    key, ref = "model_version_id", "dataset_id"
+    key = "model_version_id"
     aged = predictions.withColumn("_age", age_class(F.col("created_at"), as_of))
-    held_by = _holding(F.col("_age"))
-    group = [ref, key, "window"]
     production = (
         feature_counts(aged, contract, [key, "_age"])
-        .join(versions.select(key, ref), key)
-        .withColumn("window", F.explode(held_by))
-        .groupBy(*group, "feature", "num", "cat")
+        .withColumn("window", F.explode(_holding(F.col("_age"))))
+        .groupBy(key, "window", "feature", "num", "cat")
         .agg(F.sum("n").alias("n"))
     )
-    sizes = row_counts(production, group, "sample_size")
-    return feature_results(
-        feature_counts(training_rows, contract, [ref]), production, contract, ref_keys=[ref], keys=[key, "window"],
-        groups=sizes.where(F.col("sample_size") >= config.min_samples).select(*group), config=config,
-    ).drop(ref)
+    reference, keyed = references(versions, training_rows, contract, kept)
+    sizes = row_counts(production, [key, "window"], "sample_size").where(F.col("sample_size") >= config.min_samples)
+    groups = sizes.join(keyed.select(key, KEY), key).select(KEY, key, "window")
+    return feature_results(reference, production, contract, keys=[key, "window"], groups=groups, config=config).drop(KEY)

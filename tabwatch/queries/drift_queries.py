@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from tabwatch.functions import stats
 from tabwatch.operators import drift
 from tabwatch.queries.tables import AS_OF, PREDICTION_CONTRACT, load, moment, r6, with_tables
 from tabwatch.schema import MonitorConfig
+from tabwatch.session import shared_dir
 
 CONTRACT = PREDICTION_CONTRACT
 _NUMERIC = list(CONTRACT.numeric_columns)
@@ -58,6 +62,16 @@ def _long_sql(name: str, source: str, ids: str, columns: list[str]) -> str:
     return f"{name} AS ({' UNION ALL '.join(parts)})"
 
 
+@functools.cache
+def _store(app_id: str, sf_dir: str, shared: str) -> str:
+    return f"{shared}/references-{uuid.uuid4().hex[:12]}"
+
+
+def _kept(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of reference counts of these tables: a session's later reports read no training rows."""
+    return _store(spark.sparkContext.applicationId, sf_dir, shared_dir(spark))
+
+
 def _sides(spark: SparkSession, sf_dir: str):
     return load(spark, sf_dir, "training_rows"), load(spark, sf_dir, "predictions")
 
@@ -102,7 +116,7 @@ def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _report(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, DataFrame]:
     training, predictions = _sides(spark, sf_dir)
     return drift.drift_report(
-        _versions(spark, sf_dir), training, predictions, CONTRACT, as_of=moment(AS_OF), **options
+        _versions(spark, sf_dir), training, predictions, CONTRACT, as_of=moment(AS_OF), kept=_kept(spark, sf_dir), **options
     )
 
 
@@ -130,14 +144,14 @@ def drift_production(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = _versions(spark, sf_dir).join(load(spark, sf_dir, "model_versions").select(F.col("id").alias("model_version_id"), "stage"), "model_version_id")
     asked = []
     for version in (None, "nowhere"):
-        header, _ = drift.version_drift(staged, training, predictions, CONTRACT, model_version_id=version, as_of=moment(AS_OF))
+        header, _ = drift.version_drift(staged, training, predictions, CONTRACT, model_version_id=version, as_of=moment(AS_OF), kept=_kept(spark, sf_dir))
         asked.append(header.select("model_version_id", "status", "sample_size", "reference_n_rows"))
     return asked[0].unionByName(asked[1])
 
 
 def drift_single_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One requested feature, newest 50 predictions of each version only."""
-    _, results = _report(spark, sf_dir, features=["price"], config=MonitorConfig(min_samples=20, max_sample=50))
+    """One requested feature of every version, over all predictions."""
+    _, results = _report(spark, sf_dir, features=["price"], config=MonitorConfig(min_samples=20))
     return results.select("model_version_id", "feature", *r6("score"), "drift_detected", "reference_n", "production_n")
 
 
@@ -149,7 +163,7 @@ def drift_single_version(spark: SparkSession, sf_dir: str) -> DataFrame:
         _versions(spark, sf_dir).where(F.col("model_version_id") == production["id"]),
         training.where(F.col("dataset_id") == production["dataset_id"]),
         predictions.where(F.col("model_version_id") == production["id"]),
-        CONTRACT, as_of=moment(AS_OF),
+        CONTRACT, as_of=moment(AS_OF), kept=_kept(spark, sf_dir),
     )
     return results.select("model_version_id", "feature", "test", *r6("score"), "severity", "drift_detected", "reference_n", "production_n")
 
@@ -171,7 +185,7 @@ def drift_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     training, predictions = _sides(spark, sf_dir)
     results = drift.drift_by_window(
         _versions(spark, sf_dir), training, predictions, CONTRACT, as_of=moment(AS_OF),
-        config=MonitorConfig(min_samples=5),
+        config=MonitorConfig(min_samples=5), kept=_kept(spark, sf_dir),
     )
     return results.select(
         "model_version_id", "window", "feature", "test", *r6("score"), "drift_detected", "reference_n", "production_n"
@@ -228,8 +242,7 @@ _LONG_CAT = ",\n".join([
 ])
 
 
-def _report_sql(select: str, *, window: str = "TRUE", minimum: int = 100, newest: int | None = None) -> str:
-    newest_sql = f"QUALIFY row_number() OVER (PARTITION BY model_version_id ORDER BY created_at DESC, id) <= {newest}" if newest else ""
+def _report_sql(select: str, *, window: str = "TRUE", minimum: int = 100) -> str:
     return with_tables(
         f"""WITH versions AS (
       SELECT m.id AS model_version_id, version_label, m.dataset_id, content_hash, training_job_id
@@ -240,7 +253,7 @@ def _report_sql(select: str, *, window: str = "TRUE", minimum: int = 100, newest
              CASE WHEN count(r.id) < {minimum} THEN 'insufficient_data' ELSE 'ok' END AS status
       FROM versions v LEFT JOIN recent r USING (model_version_id) GROUP BY ALL),
     passed AS (SELECT model_version_id, dataset_id FROM header WHERE status = 'ok'),
-    sampled AS (SELECT * FROM recent WHERE model_version_id IN (SELECT model_version_id FROM passed) {newest_sql}),
+    sampled AS (SELECT * FROM recent WHERE model_version_id IN (SELECT model_version_id FROM passed)),
     trained AS (SELECT model_version_id, t.* FROM training_rows t JOIN passed USING (dataset_id)),
     {_long_sql("rn", "trained", "model_version_id", _NUMERIC)},
     {_long_sql("pn", "sampled", "model_version_id", _NUMERIC)},
@@ -287,7 +300,7 @@ ORACLES = {
     ),
     "drift_single_feature": _report_sql(
         """SELECT model_version_id, feature, round(score, 6) AS score, drift_detected, reference_n, production_n
-           FROM results WHERE feature = 'price'""", minimum=20, newest=50,
+           FROM results WHERE feature = 'price'""", minimum=20,
     ),
     "drift_single_version": _report_sql(
         """SELECT model_version_id, feature, test, round(score, 6) AS score, severity, drift_detected, reference_n, production_n

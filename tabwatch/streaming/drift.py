@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tabwatch.operators import drift
+from tabwatch.operators.reference import KEY
 from tabwatch.schema import DatasetContract, MonitorConfig
 
 
@@ -39,13 +40,14 @@ def report(
     since: Column | None = None,
     predictions: DataFrame | None = None,
     config: MonitorConfig = MonitorConfig(),
+    kept: str | None = None,
 ) -> DataFrame:
     """Feature results per version from the counts so far.
 
     A window from `since` on takes the counts of its whole hours; the hour that `since` falls into is counted from
     `predictions`, the log, of which only that hour is read.
     """
-    key, ref = "model_version_id", "dataset_id"
+    key = "model_version_id"
     counts = spark.read.parquet(out).select(key, "hour", "feature", "num", "cat", "n")
     if since is not None:
         if predictions is None:
@@ -56,8 +58,6 @@ def report(
         counts = counts.where(F.col("hour") >= begun).unionByName(broken.select(*counts.columns))
     total = counts.groupBy(key, "feature", "num", "cat").agg(F.sum("n").alias("n"))
     sizes = drift.row_counts(total, [key], "sample_size")
-    passed = drift.with_status(versions.select(key, ref), sizes, config).where(F.col("status") == "ok").select(ref, key)
-    return drift.feature_results(
-        drift.feature_counts(training_rows, contract, [ref]), total.join(passed, key), contract,
-        ref_keys=[ref], keys=[key], groups=passed, config=config,
-    ).drop(ref)
+    reference, keyed = drift.references(versions, training_rows, contract, kept)
+    passed = drift.with_status(keyed, sizes, config).where(F.col("status") == "ok").select(KEY, key)
+    return drift.feature_results(reference, total, contract, keys=[key], groups=passed, config=config).drop(KEY)

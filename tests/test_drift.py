@@ -194,3 +194,59 @@ def test_unrounded_score_decides(spark):
     results = spark.createDataFrame([("f", 0.09996, 0.1, False, None)], "feature string, score double, threshold double, drift_detected boolean, severity string")
     shown = drift.displayed(results.withColumn("p_value", F.lit(0.5))).head()
     assert shown["score"] == 0.1 and not shown["drift_detected"] and shown["status_text"] == "No drift"
+
+
+def brute_psi(reference, production, floor=1e-4):
+    total = 0.0
+    for c in set(reference) | set(production):
+        r = reference.get(c, 0) / sum(reference.values()) or floor
+        p = production.get(c, 0) / sum(production.values()) or floor
+        total += (p - r) * np.log(p / r)
+    return total
+
+
+def test_report_equals_brute_force(spark):
+    """Values below, inside, between and above the reference's, ties, new and missing categories, several versions."""
+    rng = np.random.default_rng(8)
+    train = {d: (rng.normal(i, 1, 3000).round(3), rng.choice(list("abcdef"), 3000)) for i, d in enumerate("de")}
+    logged = {v: (rng.normal(j / 2, 2, 400).round(1 + j % 3), rng.choice(list("adxyz")[j % 3 :], 400)) for j, v in enumerate("uvwx")}
+    rows = [(f"{v}{i}", v, NOW, float(t), str(p)) for v, (ts, ps) in logged.items() for i, (t, p) in enumerate(zip(ts, ps))]
+    frame = spark.createDataFrame([(d, float(t), str(p)) for d, (ts, ps) in train.items() for t, p in zip(ts, ps)], "dataset_id string, tenure double, plan string")
+    of = {"u": "d", "v": "d", "w": "e", "x": "e"}
+    _, got = run(spark, versions(spark, *of.items()), rows, frame)
+    counted = lambda xs: dict(zip(*np.unique(xs, return_counts=True)))
+    for v, d in of.items():
+        assert got[v, "tenure"]["score"] == pytest.approx(brute_ks(train[d][0], logged[v][0]), abs=1e-12)
+        assert got[v, "plan"]["score"] == pytest.approx(brute_psi(counted(train[d][1]), counted(logged[v][1])), abs=1e-9)
+        assert (got[v, "plan"]["reference_n"], got[v, "plan"]["production_n"]) == (3000, 400)
+
+
+def test_second_report_reads_no_training_rows(spark, tmp_path):
+    """Kept by content: a later report gives the same although the training rows are gone; new content is added."""
+    vs = versions(spark, ("v", "d"), ("w", "d2")).withColumn("content_hash", F.lit("same"))
+    rows = predictions("v", 144) + predictions("w", 144, tenure=lambda i: 3 * i)
+    first = run(spark, vs, rows, training(spark), kept=str(tmp_path))
+    read = []
+
+    def gone(*_):
+        read.append(1)
+        raise AssertionError("training rows were read")
+
+    unread = training(spark).limit(0)  # no rows: a report that counted it would find nothing
+    assert run(spark, vs, rows, unread, kept=str(tmp_path)) == first and first[0]["v"]["reference_n_rows"] == 300
+    from tabwatch.operators import reference
+
+    keyed = vs.withColumn(reference.KEY, reference.content_key(F.col("content_hash"), CONTRACT))
+    reference.ensure(str(tmp_path), keyed, training(spark), gone)
+    assert read == []
+    other = versions(spark, ("v", "e")).withColumn("content_hash", F.lit("other"))
+    moved = training(spark, "e").withColumn("tenure", F.col("tenure") + 500)
+    assert run(spark, other, rows, moved, kept=str(tmp_path))[1]["v", "tenure"]["score"] == 1.0
+    assert run(spark, vs, rows, unread, kept=str(tmp_path)) == first
+
+
+def test_dataset_without_rows_is_counted_once(spark, tmp_path):
+    vs = versions(spark, ("v", "none")).withColumn("content_hash", F.lit("empty"))
+    for _ in range(2):
+        header, results = run(spark, vs, predictions("v", 120), training(spark), kept=str(tmp_path))
+        assert header["v"]["reference_n_rows"] in (0, None) and results["v", "tenure"]["note"] == drift.NO_VALUES_NOTE
