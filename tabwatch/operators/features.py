@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabwatch.functions.coerce import binary_label, to_numeric
 from tabwatch.operators.ordered import exact_median
 from tabwatch.schema import CHURN, DatasetContract
+from tabwatch.session import stored
 
 
 @dataclass(frozen=True)
@@ -69,8 +70,8 @@ def numeric_statistics(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggregated once, to value counts, for all columns together. A zero deviation becomes 1.
     """
     counts = _long_numeric(train, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    # The condition names the count, so that it stays behind the grouping and both uses share its shuffle.
-    present = counts.where(F.when(F.col("n") > 0, F.col("value")).isNotNull())
+    counts = stored(counts, "numeric-counts")  # medians, then moments: the rows and what made them are read once
+    present = counts.where("value IS NOT NULL")
     median = exact_median(present, ["feature"], "value", "n", strata=["feature"])
     centre = F.first("median")
     weight = F.when(F.col("value").isNotNull(), F.col("n"))

@@ -87,21 +87,25 @@ def global_cumsum(counts: DataFrame, keys: Sequence[str], value: str, measures:
 
 
 def exact_median(counts: DataFrame, keys: Sequence[str], value: str, measure: str, *, strata: Sequence[str]) -> DataFrame:
-    """Interpolated median per keys from value counts: the one or two middle ranks, averaged."""
-    run = global_cumsum(counts, keys, value, [measure], strata=strata)
-    last, n = F.col(f"cum_{measure}"), F.col(f"total_{measure}")
-    first = last - F.col(measure) + 1
-    lower, upper = F.floor((n + 1) / 2), F.floor((n + 2) / 2)
-    v = F.col(value).cast("double")
-    return (
-        run.where((first <= upper) & (last >= lower))
-        .groupBy(*keys)
-        .agg(
-            (
-                (F.max(F.when((first <= lower) & (last >= lower), v))
-                 + F.max(F.when((first <= upper) & (last >= upper), v))) / 2
-            ).alias("median")
-        )
+    """Interpolated median per keys from value counts: the one or two middle ranks, averaged.
+
+    A histogram over the buckets tells which one or two of them hold the middle ranks; only these are sorted.
+    """
+    keys = list(keys)
+    bucketed = with_bucket(counts.where(F.col(measure) > 0), value, keys, strata)
+    per_key = Window.partitionBy(*keys)
+    earlier = per_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = bucketed.groupBy(*keys, "_bucket").agg(F.sum(measure).alias("_sum")).select(
+        *keys, "_bucket", "_sum", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"), F.sum("_sum").over(per_key).alias("_n"),
+    )
+    lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
+    middle = sums.where((F.col("_before") < upper) & (F.col("_before") + F.col("_sum") >= lower)).drop("_sum")
+    running = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    rows = bucketed.join(middle, [*keys, "_bucket"]).withColumn("_last", F.sum(measure).over(running) + F.col("_before"))
+    last = F.col("_last")
+    first, v = last - F.col(measure) + 1, F.col(value).cast("double")
+    return rows.groupBy(*keys).agg(
+        ((F.max(F.when((first <= lower) & (last >= lower), v)) + F.max(F.when((first <= upper) & (last >= upper), v))) / 2).alias("median")
     )
 
 
