@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from tabwatch.plans import scoring as batch_scoring
 from tabwatch.plans import train
 from tabwatch.queries import drift_queries
 from tabwatch.queries.feature_queries import _RAW, SPEC, raw_rows
-from tabwatch.queries.tables import PREDICTION_CONTRACT, RAW_CONTRACT, SELECTS, UPLOAD_ROWS, load, moment, r6, with_tables
+from tabwatch.queries.tables import AS_OF, PREDICTION_CONTRACT, RAW_CONTRACT, SELECTS, UPLOAD_ROWS, load, moment, r6, with_tables
 from tabwatch.queries.training_queries import CONFIG, outcome_sql
 from tabwatch.schema import MonitorConfig
 from tabwatch.session import new_workspace
@@ -19,6 +21,7 @@ from tabwatch.sources import csv
 from tabwatch.streaming import counts, ingest, limiter, scoring, sink
 from tabwatch.streaming import drift as stream_drift_job
 
+WINDOW_SINCE = "2000-09-14 10:30:00"
 LIMITS = MonitorConfig(login_max_attempts=3, login_window_seconds=10 * 86_400)
 
 
@@ -60,7 +63,8 @@ def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictions = spark.sql(SELECTS["predictions"], lineitem=lines)
     stream_drift_job.count_stream(predictions, PREDICTION_CONTRACT, f"{root}/counts", f"{root}/checkpoint").awaitTermination()
     results = stream_drift_job.report(
-        spark, f"{root}/counts", drift_queries._versions(spark, sf_dir), load(spark, sf_dir, "training_rows"), PREDICTION_CONTRACT
+        spark, f"{root}/counts", drift_queries._versions(spark, sf_dir), load(spark, sf_dir, "training_rows"), PREDICTION_CONTRACT,
+        kept=drift_queries._kept(spark, sf_dir),
     )
     return results.select(
         "model_version_id", "feature", "test", *r6("score"), "threshold", "critical_threshold", "severity",
@@ -68,6 +72,21 @@ def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_drift_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift since a moment inside an hour, from folded counts: whole months and days, and the broken month of the log."""
+    root = new_workspace(spark, "drift")
+    lines = sink.file_stream(spark, sf_dir, "lineitem.parquet")
+    predictions = spark.sql(SELECTS["predictions"], lineitem=lines)
+    stream_drift_job.count_stream(predictions, PREDICTION_CONTRACT, f"{root}/counts", f"{root}/checkpoint").awaitTermination()
+    stream_drift_job.fold(spark, f"{root}/counts", as_of=datetime.fromisoformat(AS_OF), settled=True)
+    results = stream_drift_job.report(
+        spark, f"{root}/counts", drift_queries._versions(spark, sf_dir), load(spark, sf_dir, "training_rows"), PREDICTION_CONTRACT,
+        since=F.lit(WINDOW_SINCE).cast("timestamp"), predictions=load(spark, sf_dir, "predictions"), config=MonitorConfig(min_samples=20),
+        kept=drift_queries._kept(spark, sf_dir),
+    )
+    return results.select("model_version_id", "feature", "test", *r6("score"), "severity", "drift_detected", "reference_n", "production_n")
+
+
 def stream_limiter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocked attempts: error events are failed logins, signups successful ones."""
     root = new_workspace(spark, "limiter")
@@ -116,7 +135,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_counts, stream_sliding_counts, stream_histogram, stream_drift, stream_limiter, stream_scores, stream_ingest,
+        stream_counts, stream_sliding_counts, stream_histogram, stream_drift, stream_drift_window, stream_limiter, stream_scores, stream_ingest,
     )
 }
 
@@ -132,6 +151,10 @@ ORACLES = {
     "stream_histogram": f"""SELECT {_ISO.format('w')}, event_type, {_BUCKETS}, round(sum(value / 10), 6) AS latency_sum, CAST(count(*) AS BIGINT) AS latency_count
         FROM (SELECT *, date_trunc('day', ts) AS w FROM events) e GROUP BY w, event_type""",
     "stream_drift": drift_queries.ORACLES["drift_report"],
+    "stream_drift_window": drift_queries._report_sql(
+        """SELECT model_version_id, feature, test, round(score, 6) AS score, severity, drift_detected, reference_n, production_n
+           FROM results""", window=f"created_at >= TIMESTAMP '{WINDOW_SINCE}'", minimum=20,
+    ),
     "stream_limiter": f"""WITH RECURSIVE a AS (
           SELECT event_id, user_id, ts, event_type = 'signup' AS ok, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
           FROM events WHERE event_type IN ('error', 'signup')),

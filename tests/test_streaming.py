@@ -131,6 +131,34 @@ def test_drift_stream_equals_batch_and_survives_replay(spark):
     assert sorted(map(tuple, window.collect())) == sorted(map(tuple, exact.select(*window.columns).collect()))
 
 
+def test_folded_counts_give_any_window(spark):
+    """Hours fold into days and months, in several steps; windows that start inside any unit equal the log's."""
+    contract = DatasetContract("c", (ColumnSpec("id", ID), *numbers("tenure"), *categories("plan"), ColumnSpec("y", TARGET)), ("Yes", "No"))
+    root = new_workspace(spark, "test-fold")
+    end = T0 + datetime.timedelta(days=100)
+
+    def late(lo, n):  # an event every 5 hours
+        return event_rows(spark, lo, n).withColumn("created_at", (F.lit(T0) + F.make_dt_interval(F.lit(0), F.col("id").cast("int") * 5)).cast("timestamp"))
+
+    for part in range(3):
+        late(part * 160, 160).write.mode("append").parquet(f"{root}/in")
+        stream = sink.file_stream(spark, f"{root}/in", "*.parquet", max_files=100)
+        stream_drift.count_stream(stream, contract, f"{root}/counts", f"{root}/checkpoint").awaitTermination()
+        hours = spark.read.parquet(f"{root}/counts").select("start").distinct().count()
+        folds = stream_drift.fold(spark, f"{root}/counts", as_of=T0 + datetime.timedelta(days=33 * (part + 1)), keep_days=35, settled=part == 2, remove=True)
+        assert folds == stream_drift.fold(spark, f"{root}/counts", as_of=T0 + datetime.timedelta(days=33 * (part + 1)), keep_days=35, settled=part == 2)
+    starts = stream_drift.unit_counts(spark, f"{root}/counts", stream_drift._folds(spark, f"{root}/counts")).select("start").distinct().count()
+    assert starts < 90 < hours + 320
+    versions = spark.createDataFrame([("v0", "l", "d", None), ("v1", "l", "d", None)], "model_version_id string, version_label string, dataset_id string, training_job_id string")
+    training = spark.range(300).select(F.lit("d").alias("dataset_id"), (F.col("id") % 40).cast("double").alias("tenure"), F.lit("a").alias("plan"))
+    config, log = MonitorConfig(min_samples=2), late(0, 480)
+    for since in (None, T0 + datetime.timedelta(days=3, minutes=7), T0 + datetime.timedelta(days=70, hours=5, minutes=1), end - datetime.timedelta(minutes=601)):
+        seen = None if since is None else F.lit(since)
+        got = stream_drift.report(spark, f"{root}/counts", versions, training, contract, since=seen, predictions=log, config=config)
+        _, exact = drift.drift_report(versions, training, log if since is None else log.where(F.col("created_at") >= since), contract, as_of=F.lit(T0), config=config)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exact.select(*got.columns).collect()))
+
+
 def test_ingest_stream_checks_each_content_once(spark, contract):
     root = new_workspace(spark, "test-ingest")
     import pathlib
