@@ -99,6 +99,31 @@ def counters(log: DataFrame, labels: Sequence[str], *, amount: Column | None = N
     return per_label.withColumn("is_total", F.lit(False)).unionByName(total.withColumn("is_total", F.lit(True)))
 
 
+def batch_requests(predictions: DataFrame, inline_limit: int) -> DataFrame:
+    """(request_id, n_records, mode) of requests for several records: `sync` up to `inline_limit` records, else `async`."""
+    sized = predictions.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
+    return sized.withColumn("mode", F.when(F.col("n_records") <= inline_limit, "sync").otherwise("async"))
+
+
+def event_counters(predictions: DataFrame, errors: DataFrame, batches: DataFrame) -> DataFrame:
+    """(metric, label, n, is_total): predictions by version, errors by reason and batch requests by mode, and their totals.
+
+    `errors` has a reason for each failed prediction, `batches` is as of batch_requests. All three logs are one union,
+    counted for the labels and for the metrics in one pass over grouping sets. A metric without events has its total 0.
+    """
+    def events(df: DataFrame, metric: str, label: str) -> DataFrame:
+        return df.select(F.lit(metric).alias("metric"), F.col(label).cast("string").alias("label"), F.lit(1).alias("one"))
+
+    union = events(predictions, "predictions", "model_version_id").unionByName(events(errors, "prediction_errors", "reason"))
+    union = union.unionByName(events(batches, "batch_predictions", "mode"))
+    start = predictions.sparkSession.createDataFrame([("predictions",), ("prediction_errors",), ("batch_predictions",)], "metric string")
+    union = union.unionByName(start.select("metric", F.lit(None).cast("string").alias("label"), F.lit(0).alias("one")))
+    counted = union.groupingSets([["metric", "label"], ["metric"]], "metric", "label").agg(
+        F.sum("one").alias("n"), (F.grouping("label") == 1).alias("is_total")
+    )
+    return counted.where("is_total OR n > 0").select("metric", "label", "n", "is_total")
+
+
 def histogram_aggregates(latency: Column) -> list[Column]:
     """Cumulative bucket counts, sum and count as plain aggregates, for batch and streaming use."""
     buckets = [F.count_if(latency <= b).alias(bucket_name(b)) for b in LATENCY_BOUNDS]
@@ -120,28 +145,32 @@ def latency_histogram(log: DataFrame, keys: Sequence[str], latency: Column) -> D
     )
 
 
-def summary(predictions: DataFrame, jobs: DataFrame, versions: DataFrame, *, as_of: Column, min_samples: int, errors: DataFrame | None = None) -> DataFrame:
-    """One row: production model, recent activity, drift status, failures, job statistics and usage.
+def summary(
+    predictions: DataFrame, jobs: DataFrame, versions: DataFrame, *, as_of: Column, min_samples: int, errors: DataFrame | None = None,
+    batches: DataFrame | None = None,
+) -> DataFrame:
+    """One row: production model, recent activity, drift status, failures, job statistics and totals.
 
-    Each part is reduced to one row on its own, from a single pass over its table, and attached as
-    scalar subqueries. `errors` is a log of failed predictions (one row each).
+    Each part is reduced to one row on its own, from a single pass over its table, and attached as scalar subqueries.
+    `errors` is a log of failed predictions, `batches` one of batch requests (one row each). Usage is a row for each
+    version: it is `usage`, and here only the number of versions and the most used one (ties: the smallest id).
     """
     cutoff = as_of - F.expr("INTERVAL 24 HOURS")
     production = versions.where(F.col("stage") == "production").agg(
         F.min(F.struct(F.col("id").alias("model_version_id"), "version_label", "algorithm", "promoted_at")).alias("p")
     )
-    used = usage(predictions, versions)
-    facts = used.agg(
+    facts = usage(predictions, versions).agg(
         F.coalesce(F.sum("prediction_count"), F.lit(0)).cast("bigint").alias("total_predictions"),
         F.max(F.when(F.col("stage") == "production", F.col("prediction_count"))).alias("production_n"),
-        F.transform(
-            F.sort_array(F.collect_list(F.struct((-F.col("prediction_count")).alias("o"), "model_version_id", "prediction_count"))),
-            lambda u: F.struct(u.model_version_id.alias("model_version_id"), u.prediction_count.alias("prediction_count")),
-        ).alias("usage"),
+        F.count(F.lit(1)).alias("n_versions_used"),
+        F.min(F.struct((-F.col("prediction_count")).alias("o"), "model_version_id"))["model_version_id"].alias("most_used_version"),
     ).select(F.struct("*").alias("u"))
     recent = predictions.where(F.col("created_at") >= cutoff).agg(F.count(F.lit(1)).alias("n"))
     failures = recent_failures(jobs, as_of).agg(F.array_sort(F.collect_list("job_id")).alias("f"))
-    n_errors = F.lit(0).cast("bigint") if errors is None else errors.agg(F.count(F.lit(1))).scalar()
+
+    def total(events: DataFrame | None) -> Column:
+        return F.lit(0).cast("bigint") if events is None else events.agg(F.count(F.lit(1))).scalar()
+
     row = job_stats(jobs).select(
         F.struct("*").alias("training_job_stats"),
         F.col("active_jobs").alias("active_training_jobs"),
@@ -149,7 +178,8 @@ def summary(predictions: DataFrame, jobs: DataFrame, versions: DataFrame, *, as_
         facts.scalar().alias("_u"),
         recent.scalar().alias("recent_prediction_count"),
         failures.scalar().alias("recent_failed_jobs"),
-        n_errors.alias("prediction_error_count"),
+        total(errors).alias("prediction_error_count"),
+        total(batches).alias("total_batch_requests"),
     )
     model, size = F.col("current_production_model"), F.coalesce(F.col("_u.production_n"), F.lit(0))
     return row.select(
@@ -157,10 +187,12 @@ def summary(predictions: DataFrame, jobs: DataFrame, versions: DataFrame, *, as_
         F.lit(24.0).alias("recent_window_hours"),
         "recent_prediction_count",
         "prediction_error_count",
+        "total_batch_requests",
         F.col("_u.total_predictions").alias("total_predictions"),
         F.when(model.isNull(), "no_production_model").when(size < min_samples, "insufficient_data").otherwise("ok").alias("drift_status"),
         "active_training_jobs",
         "recent_failed_jobs",
         "training_job_stats",
-        F.col("_u.usage").alias("model_version_usage"),
+        F.col("_u.n_versions_used").alias("n_versions_used"),
+        F.col("_u.most_used_version").alias("most_used_version"),
     )

@@ -10,6 +10,8 @@ from tabwatch.operators import monitoring
 from tabwatch.queries.tables import AS_OF, load, moment, r6, with_tables
 
 JOBS_AS_OF = "2001-08-01 12:00:00"
+# Records of a batch request that are still answered at once; the platform's own limit is 50, lines come in orders of up to 7.
+INLINE_RECORDS = 3
 
 
 def model_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +60,7 @@ def monitoring_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = monitoring.summary(
         load(spark, sf_dir, "predictions"), load(spark, sf_dir, "jobs"), load(spark, sf_dir, "model_versions"),
         as_of=moment(JOBS_AS_OF), min_samples=100, errors=errors,
+        batches=monitoring.batch_requests(load(spark, sf_dir, "predictions"), INLINE_RECORDS),
     )
     return row.select(
         F.col("current_production_model.version_label").alias("production_version"),
@@ -65,11 +68,31 @@ def monitoring_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "active_training_jobs", F.array_join("recent_failed_jobs", ",").alias("recent_failed_jobs"),
         F.col("training_job_stats.total_jobs").alias("total_jobs"),
         F.round("training_job_stats.average_training_duration_seconds", 6).alias("average_duration"),
-        F.size("model_version_usage").cast("bigint").alias("n_versions_used"),
-        F.col("model_version_usage")[0]["model_version_id"].alias("most_used_version"),
+        "n_versions_used", "most_used_version", "total_batch_requests",
     )
 
 
+def _errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failed requests of the access log with the reason of their failure."""
+    failed = load(spark, sf_dir, "access_log").where("status_code >= 400")
+    return failed.withColumn("reason", F.when(F.col("status_code") == 500, "model_unavailable").otherwise("validation"))
+
+
+def error_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitoring.counters(_errors(spark, sf_dir), ["reason"])
+
+
+def batch_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests for several records, by whether they are answered at once or by a job."""
+    return monitoring.counters(monitoring.batch_requests(load(spark, sf_dir, "predictions"), INLINE_RECORDS), ["mode"])
+
+
+def monitoring_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The long form of the summary: all counters and their totals as rows, a version a row."""
+    predictions = load(spark, sf_dir, "predictions")
+    return monitoring.event_counters(predictions, _errors(spark, sf_dir), monitoring.batch_requests(predictions, INLINE_RECORDS))
+
+
 def request_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring.counters(load(spark, sf_dir, "access_log"), ["method", "endpoint", "status_code"])
 
@@ -111,7 +134,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         model_usage, usage_total, stale_models, job_stats, job_durations, job_recent_failures, summary_recent_failures,
-        monitoring_summary, request_counters, prediction_counters, latency_histogram, format_text,
+        monitoring_summary, monitoring_counters, error_counters, batch_counters, request_counters, prediction_counters, latency_histogram, format_text,
     )
 }
 
@@ -128,7 +151,28 @@ _USAGE = """usage AS (
     LEFT JOIN model_versions m ON m.id = p.model_version_id)"""
 _SECONDS = "(epoch_us(finished_at) - epoch_us(started_at)) / 1e6"
 
+_ERRORS = "errors AS (SELECT CASE WHEN status_code = 500 THEN 'model_unavailable' ELSE 'validation' END AS reason FROM access_log WHERE status_code >= 400)"
+_BATCHES = f"""batches AS (SELECT CASE WHEN count(*) <= {INLINE_RECORDS} THEN 'sync' ELSE 'async' END AS mode
+    FROM predictions GROUP BY request_id HAVING count(*) > 1)"""
+
 ORACLES = {
+    "error_counters": with_tables(
+        f"""WITH {_ERRORS} SELECT reason, CAST(count(*) AS BIGINT) AS n, FALSE AS is_total FROM errors GROUP BY 1
+        UNION ALL SELECT NULL, CAST(count(*) AS BIGINT), TRUE FROM errors""", "access_log",
+    ),
+    "batch_counters": with_tables(
+        f"""WITH {_BATCHES} SELECT mode, CAST(count(*) AS BIGINT) AS n, FALSE AS is_total FROM batches GROUP BY 1
+        UNION ALL SELECT NULL, CAST(count(*) AS BIGINT), TRUE FROM batches""", "predictions",
+    ),
+    "monitoring_counters": with_tables(
+        f"""WITH {_ERRORS}, {_BATCHES}, events AS (
+          SELECT 'predictions' AS metric, model_version_id AS label FROM predictions
+          UNION ALL SELECT 'prediction_errors', reason FROM errors UNION ALL SELECT 'batch_predictions', mode FROM batches)
+        SELECT metric, label, CAST(count(*) AS BIGINT) AS n, FALSE AS is_total FROM events GROUP BY 1, 2
+        UNION ALL SELECT metric, NULL, CAST(count(label) AS BIGINT), TRUE FROM (SELECT * FROM events UNION ALL
+          VALUES ('predictions', NULL), ('prediction_errors', NULL), ('batch_predictions', NULL)) e GROUP BY 1""",
+        "predictions", "access_log",
+    ),
     "model_usage": with_tables(
         f"""WITH {_USAGE} SELECT model_version_id, version_label, algorithm, stage, prediction_count,
             round(100.0 * prediction_count / sum(prediction_count) OVER (), 6) AS percentage_of_total,
@@ -175,7 +219,8 @@ ORACLES = {
             (SELECT CAST(count(*) AS BIGINT) FROM jobs WHERE job_type = 'train') AS total_jobs,
             (SELECT round(avg({_SECONDS}), 6) FROM jobs WHERE job_type = 'train' AND status = 'completed') AS average_duration,
             (SELECT CAST(count(*) AS BIGINT) FROM usage) AS n_versions_used,
-            (SELECT model_version_id FROM usage ORDER BY prediction_count DESC, model_version_id LIMIT 1) AS most_used_version""",
+            (SELECT model_version_id FROM usage ORDER BY prediction_count DESC, model_version_id LIMIT 1) AS most_used_version,
+            (SELECT CAST(count(*) AS BIGINT) FROM (SELECT request_id FROM predictions GROUP BY 1 HAVING count(*) > 1) b) AS total_batch_requests""",
         "predictions", "model_versions", "jobs", "access_log",
     ),
     "request_counters": with_tables(

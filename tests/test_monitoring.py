@@ -72,7 +72,7 @@ def test_two_kinds_of_recent_failures(spark):
 def test_summary_of_an_idle_system(spark):
     row = monitoring.summary(log(spark), jobs(spark), registry(spark), as_of=F.lit(NOW), min_samples=100).head()
     assert row["current_production_model"] is None and row["drift_status"] == "no_production_model"
-    assert row["recent_prediction_count"] == 0 and row["total_predictions"] == 0 and row["model_version_usage"] == []
+    assert row["recent_prediction_count"] == 0 and row["total_predictions"] == 0 and (row["n_versions_used"], row["most_used_version"]) == (0, None)
 
 
 def test_summary(spark):
@@ -135,3 +135,16 @@ def test_duplicate_request_ignores_key_order_and_finished_jobs(spark):
     active = jobs(spark, job("1", status="running", payload=same), job("2", status="completed", dataset="e", payload=same))
     assert [r["dataset_id"] for r in lineage.duplicate_requests(asked, active).collect()] == ["d"]
     assert lineage.duplicate_requests(asked, active, how="left_anti").count() == 2
+
+
+def test_event_counters_count_labels_and_totals_in_one_pass(spark):
+    log = spark.createDataFrame([("r1", "v"), ("r1", "w"), ("r2", "v"), ("r3", "v"), ("r3", "v"), ("r3", None)], "request_id string, model_version_id string")
+    batches = monitoring.batch_requests(log, 2)
+    assert {(r["request_id"], r["n_records"], r["mode"]) for r in batches.collect()} == {("r1", 2, "sync"), ("r3", 3, "async")}
+    errors = spark.createDataFrame([], "reason string")
+    got = {(r["metric"], r["label"], r["is_total"]): r["n"] for r in monitoring.event_counters(log, errors, batches).collect()}
+    assert got == {
+        ("predictions", "v", False): 4, ("predictions", "w", False): 1, ("predictions", None, False): 1, ("predictions", None, True): 6,
+        ("prediction_errors", None, True): 0, ("batch_predictions", "sync", False): 1, ("batch_predictions", "async", False): 1,
+        ("batch_predictions", None, True): 2,
+    }
