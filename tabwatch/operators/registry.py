@@ -188,7 +188,10 @@ def rollback(versions: DataFrame, *, as_of: Column, triggered_by: str = "api") -
 
 
 def production(versions: DataFrame) -> DataFrame:
-    return versions.where(_stage("production"))
+    """The version in production, or no row; a registry with several is refused when the row is read."""
+    several = F.raise_error(F.lit("one_production: more than one version is in production")).cast("boolean")
+    counted = versions.where(_stage("production")).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("stage")))
+    return counted.where(F.when(F.col("_n") > 1, several).otherwise(True)).drop("_n")
 
 
 def event_history(events: DataFrame) -> DataFrame:

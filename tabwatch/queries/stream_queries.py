@@ -31,8 +31,8 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _current(spark: SparkSession, stream: DataFrame, keys: list[str]) -> DataFrame:
     root = new_workspace(spark, "stream")
-    sink.write_batches(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return sink.newest_state(spark, f"{root}/out", keys)
+    sink.write_batches(stream, f"{root}/out", f"{root}/checkpoint", mode="append").awaitTermination()
+    return sink.current_windows(spark, f"{root}/out", f"{root}/checkpoint", keys)
 
 
 def _start() -> object:
@@ -41,17 +41,17 @@ def _start() -> object:
 
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = counts.windowed_counts(_events(spark, sf_dir), ["event_type"], ts="ts")
-    return _current(spark, hourly, ["window_start", "event_type"]).select(_start(), "event_type", "n")
+    return _current(spark, hourly, ["event_type"]).select(_start(), "event_type", "n")
 
 
 def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sliding = counts.windowed_counts(_events(spark, sf_dir), ["event_type"], ts="ts", size="1 hour", slide="15 minutes")
-    return _current(spark, sliding, ["window_start", "event_type"]).select(_start(), "event_type", "n")
+    return _current(spark, sliding, ["event_type"]).select(_start(), "event_type", "n")
 
 
 def stream_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = counts.windowed_histogram(_events(spark, sf_dir), ["event_type"], F.col("value") / 10, ts="ts", size="1 day")
-    state = _current(spark, daily, ["window_start", "event_type"])
+    state = _current(spark, daily, ["event_type"])
     names = [monitoring.bucket_name(b) for b in monitoring.LATENCY_BOUNDS]
     return state.select(_start(), "event_type", *names, *r6("latency_sum"), "latency_count")
 

@@ -36,3 +36,23 @@ def newest_state(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFram
     batches = spark.read.parquet(out)
     values = [c for c in batches.columns if c not in (*keys, "batch_id")]
     return batches.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v")).select(*keys, "_v.*")
+
+
+def current_windows(spark: SparkSession, out: str, checkpoint: str, keys: Sequence[str]) -> DataFrame:
+    """(window_start, keys, values): every window of an append-mode aggregation with its value so far.
+
+    Closed windows were written once, when the watermark passed them; open ones are read from the query's state, as of
+    the last batch committed, so both parts are of one moment also while the query runs. What is read is one row for each
+    window and key, however many batches there were. Values must be counts and sums of doubles, whose state is the value.
+    """
+    last = spark.read.format("state-metadata").load(checkpoint).agg(F.max("maxBatchId")).first()[0]
+    closed = spark.read.parquet(out).where(F.col("batch_id") <= last).drop("batch_id")
+    values = [c for c in closed.columns if c not in ("window_start", *keys)]
+    state = spark.read.format("statestore").option("batchId", int(last)).load(checkpoint)
+    if len(state.schema["value"].dataType.names) != len(values):
+        raise ValueError("The state of this aggregation is not its value.")
+    # the fields of the state are taken by place: two aggregates may have one name there
+    names = ", ".join(f"v{i}: {closed.schema[v].dataType.simpleString()}" for i, v in enumerate(values))
+    open_windows = state.select("key.*", F.col("value").cast(f"struct<{names}>").alias("_v"))
+    named = [F.col("window.start").alias("window_start"), *keys, *[F.col(f"_v.v{i}").alias(v) for i, v in enumerate(values)]]
+    return closed.select("window_start", *keys, *values).unionByName(open_windows.select(*named))

@@ -158,3 +158,12 @@ def test_metrics_are_flattened(spark):
     full = {**GOOD, "confusion_matrix": {"true_negative": 1, "false_positive": 2, "false_negative": 3, "true_positive": 4}}
     rows = {r["metric"]: r["value"] for r in registry.metrics_rows(versions(spark, ("a", "candidate", {"metrics": full}))).collect()}
     assert rows["test_roc_auc"] == 0.84 and rows["test_confusion_matrix_true_positive"] == 4.0 and len(rows) == 9
+
+
+def test_production_is_at_most_one(spark):
+    rows = [("a", "production"), ("b", "candidate")]
+    one = registry.production(spark.createDataFrame(rows, "id string, stage string"))
+    assert [tuple(r) for r in one.collect()] == [("a", "production")]
+    assert registry.production(spark.createDataFrame(rows[1:], "id string, stage string")).count() == 0
+    with pytest.raises(Exception, match="more than one version"):
+        registry.production(spark.createDataFrame([*rows, ("c", "production")], "id string, stage string")).collect()

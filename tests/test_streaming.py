@@ -87,6 +87,24 @@ def test_counts_equal_batch_after_several_runs(spark):
     assert sorted(map(tuple, state.collect())) == sorted(map(tuple, batch.collect()))
 
 
+def test_closed_windows_are_written_once_and_open_ones_are_state(spark):
+    """After every run the result is the batch result, and no window was ever written twice."""
+    root = new_workspace(spark, "test-current")
+    for part in range(4):
+        event_rows(spark, part * 150, 150).write.mode("append").parquet(f"{root}/in")
+        stream = counts.windowed_histogram(sink.file_stream(spark, f"{root}/in", "*.parquet", max_files=4), ["model_version_id"], F.col("tenure"), watermark="2 hours")
+        sink.write_batches(stream, f"{root}/out", f"{root}/checkpoint", mode="append").awaitTermination()
+        closed = spark.read.parquet(f"{root}/out")
+        assert closed.select("window_start", "model_version_id").distinct().count() == closed.count()
+        now = sink.current_windows(spark, f"{root}/out", f"{root}/checkpoint", ["model_version_id"])
+        batch = counts._flat(
+            event_rows(spark, 0, 150 * (part + 1)).groupBy(F.window("created_at", "1 hour").alias("window"), "model_version_id")
+            .agg(*counts.histogram_aggregates(F.col("tenure"))), ["model_version_id"],
+        )
+        assert sorted(map(tuple, now.collect())) == sorted(map(tuple, batch.select(*now.columns).collect()))
+    assert closed.count() < now.count()
+
+
 def test_rows_later_than_the_watermark_are_dropped(spark):
     root = new_workspace(spark, "test-late")
     for start, shift in ((0, 0), (5000, 0), (0, 0)):
