@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwatch.functions import stats
 from tabwatch.operators.ordered import global_cumsum, newest_per_group
-from tabwatch.operators.reference import ABOVE, KEY, Reference, all_absent, content_key, ensure, lazy, with_bucket
+from tabwatch.operators.reference import ABOVE, KEY, Reference, all_absent, content_key, ensure, lazy, temporary, with_bucket
 from tabwatch.schema import WINDOW_SECONDS, DatasetContract, MonitorConfig
-from tabwatch.session import new_workspace
 
 NO_VALUES_NOTE = "no usable values for this feature on one side of the comparison"  # fixed value
 
@@ -303,10 +302,12 @@ def references(versions: DataFrame, training_rows: DataFrame, contract: DatasetC
     path they are made for this report, by dataset_id.
     """
     ref = "dataset_id"
-    content = F.col(ref) if path is None else F.col("content_hash")
-    keyed = versions.withColumn(KEY, content_key(content, contract))
-    folder = new_workspace(versions.sparkSession, "references") if path is None else path
-    return ensure(folder, keyed, training_rows, lambda rows, by: feature_counts(rows, contract, by)), keyed
+    if path is None:
+        keyed = versions.withColumn(KEY, content_key(F.col(ref), contract))
+        rows = training_rows.join(keyed.select(ref, KEY).distinct(), ref)
+        return temporary(feature_counts(rows, contract, [KEY]), [KEY]), keyed
+    keyed = versions.withColumn(KEY, content_key(F.col("content_hash"), contract))
+    return ensure(path, keyed, training_rows, lambda rows, by: feature_counts(rows, contract, by)), keyed
 
 
 def displayed(results: DataFrame) -> DataFrame:

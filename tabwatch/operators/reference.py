@@ -101,6 +101,12 @@ def lazy(counts: DataFrame, by: Sequence[str]) -> Reference:
     return Reference(values, summary_of(values, by), tuple(by))
 
 
+def temporary(counts: DataFrame, by: Sequence[str]) -> Reference:
+    """A reference for one report, written once to the shared folder."""
+    values = stored(values_of(counts, by), "reference-values")
+    return Reference(values, stored(summary_of(values, by), "reference-summary"), tuple(by))
+
+
 def all_absent(floor: float) -> str:
     """PSI of a summary's categories if none occurs in production: the sum of (f - r) ln(f / r) over shares r = n / total."""
     f = f"{floor!r}D"
