@@ -5,6 +5,9 @@ sidebars, forms, adverts, notices and comments go by their markup. The others fo
 and a suffix array over the streams of many pages of one host finds long substrings that repeat on distinct
 pages: those of the site's template. Blocks they cover go too; all other runs stay. Inside an <article> or
 its like, a run counts as template only if nearly all of the pages have it, since articles may quote each other.
+
+A host of many pages has several shards, with a suffix array each. Runs that any shard finds often enough are
+nominated by their 64-bit hash and counted over the whole host, so the outcome does not depend on the shards.
 """
 
 from __future__ import annotations
@@ -14,20 +17,26 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwatch.llm.arrow import record
+from tabwatch.llm.hashing import Substrings
 from tabwatch.llm.suffix import equal_prefix_groups
+from tabwatch.session import new_workspace, stored
 
 #: Tokens of a run that counts as long.
 RUN = 5
-#: Least share of a shard's pages, and least number of them, with a template run: elsewhere, and in the article.
+#: Least share of a host's distinct pages, and least number of them, with a template run: elsewhere, and in the article.
 SHARE, PAGES = 0.3, 3
 ARTICLE_SHARE, ARTICLE_PAGES = 0.9, 8
 #: Pages and characters of text that one suffix array covers at most.
 SHARD_PAGES, SHARD_CHARS = 256, 4_000_000
-#: Hosts with more than a thousandth of all pages are spread over several tasks: a thousand hosts at most.
-HOT_HOSTS = 1000
+#: Hosts of several shards are broadcast if there are at most so many; more of them are joined by sorting.
+BROADCAST_HOSTS = 100_000
+#: So are the hashes of nominated runs.
+BROADCAST_RUNS = 2_000_000
 
 # Fixed word lists of HTML element names and of the names that pages give to their parts.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -139,54 +148,106 @@ def page_blocks(html: str | None) -> tuple[bool, list[str]]:
     return best > 0, [text for strength, text in parser.blocks if strength == best]
 
 
-def keep_unique(pages: list[tuple[object, bool, list[str]]]) -> list[list[str]]:
-    """Blocks of each page (id, has a container, blocks) of one shard that no template run covers.
+def content_key(blocks: list[str]) -> int:
+    """What a page is about: the 63-bit hash of its block with the most words (of several the greatest text).
 
-    The streams have a mark of its own after each page, so that no run spans two pages.
+    Copies of a page, and near copies that differ elsewhere, have equal keys and count once when repeats are counted.
+    """
+    longest = max(blocks, key=lambda b: (b.count(" "), b), default="")
+    return xxhash.xxh3_64_intdigest(longest.encode("utf-8", "surrogatepass")) >> 1
+
+
+def _spread(pages: list[tuple[int, bool, list[str]]]) -> tuple[np.ndarray, np.ndarray, int]:
+    """For the run that starts at each token the number of distinct keys that have it (0: it passes the page's end).
+
+    Also the page of each token and the number of distinct keys. A suffix array over the streams groups equal runs;
+    each stream ends with a mark of its own, so that no run spans two pages.
     """
     known: dict[str, int] = {}
-    codes, sizes, mark = [], [], -1
+    codes, lengths, mark = [], [], -1
     for _, _, blocks in pages:
-        for block in blocks:
-            words = block.split()
-            sizes.append(len(words))
-            codes.extend([known.setdefault(w, len(known)) for w in words])
+        words = " ".join(blocks).split()
+        codes.extend([known.setdefault(w, len(known)) for w in words])
         codes.append(mark)
+        lengths.append(len(words) + 1)
         mark -= 1
-    codes = np.array(codes, np.int64)
-    lengths = np.array([sum(len(b.split()) for b in blocks) + 1 for _, _, blocks in pages])
+    codes, lengths = np.array(codes, np.int64), np.array(lengths)
     page = np.repeat(np.arange(len(pages)), lengths)
-    same_id: dict = {}
-    ids = np.array([same_id.setdefault(k if k is not None else ("row", n), n) for n, (k, _, _) in enumerate(pages)])
-    distinct = len(same_id)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes)) - 1  # tokens from here to the mark
+    keys, same = np.unique(np.array([k for k, _, _ in pages], np.int64), return_inverse=True)
     array, group = equal_prefix_groups(codes, RUN)
-    having = np.unique(group * len(pages) + ids[page[array]]) // len(pages)  # a group once for each distinct page
+    having = np.unique(group * len(keys) + same[page[array]]) // len(keys)  # a group once for each key
     spread = np.empty(len(codes), np.int64)
     spread[array] = np.bincount(having, minlength=group[-1] + 1)[group]
-    framed = np.array([framed for _, framed, _ in pages])[page]
-    least = np.where(framed, max(ARTICLE_PAGES, ARTICLE_SHARE * distinct), max(PAGES, SHARE * distinct))
-    hits = np.flatnonzero(spread >= least)
-    edge = np.zeros(len(codes) + RUN + 1, np.int64)
+    spread[left < RUN] = 0
+    inside = left > 0
+    return spread[inside], page[inside], len(keys)
+
+
+def least_spread(framed, distinct):
+    """How many of the distinct keys a template run is found under at least, inside and outside of an article."""
+    return np.where(framed, np.maximum(ARTICLE_PAGES, ARTICLE_SHARE * distinct), np.maximum(PAGES, SHARE * distinct))
+
+
+def _uncovered(blocks: list[str], hits: np.ndarray) -> list[str]:
+    """Blocks of a page at most half covered by runs that start at the hits; if there is none, all of them."""
+    sizes = np.array([b.count(" ") + 1 for b in blocks], np.int64)
+    edge = np.zeros(int(sizes.sum()) + RUN + 1, np.int64)
     np.add.at(edge, hits, 1)
     np.add.at(edge, hits + RUN, -1)
-    covered = np.append(0, np.cumsum(np.cumsum(edge)[: len(codes)] > 0))
-    out, at, n = [], 0, 0
-    for _, _, blocks in pages:
-        kept = []
-        for block in blocks:
-            share = (covered[at + sizes[n]] - covered[at]) / sizes[n]
-            at, n = at + sizes[n], n + 1
-            if share < 0.5:
-                kept.append(block)
-        out.append(kept or blocks)  # a page that is all template is its own content
-        at += 1
-    return out
+    covered = np.append(0, np.cumsum(np.cumsum(edge)[: int(sizes.sum())] > 0))
+    ends = np.cumsum(sizes)
+    kept = [b for b, n, end in zip(blocks, sizes, ends, strict=True) if covered[end] - covered[end - n] < 0.5 * n]
+    return kept or blocks  # a page that is all template is its own content
+
+
+def keep_unique(pages: list[tuple[int, bool, list[str]]]) -> list[list[str]]:
+    """Blocks of each page (key, has a container, blocks) of a whole host that no template run covers."""
+    spread, page, distinct = _spread(pages)
+    hit = spread >= least_spread(np.array([framed for _, framed, _ in pages], bool)[page], distinct)
+    first = np.searchsorted(page, np.arange(len(pages) + 1))
+    return [
+        _uncovered(blocks, np.flatnonzero(hit[first[n] : first[n + 1]])) if blocks else blocks for n, (_, _, blocks) in enumerate(pages)
+    ]
+
+
+def run_hashes(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the runs of RUN tokens of pages (lists of blocks), one for each start, and the page of each."""
+    texts = [" ".join(blocks).encode("utf-8", "surrogatepass") for blocks in pages]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.append(0, np.cumsum([len(t) for t in texts]))
+    space = data == 0x20
+    word = ~space
+    begins = np.zeros(len(data) + 1, bool)
+    begins[offsets] = True
+    starts = np.flatnonzero(word & (begins[:-1] | np.append(True, space[:-1]))) if len(data) else np.empty(0, np.int64)
+    ends = np.flatnonzero(word & (begins[1:] | np.append(space[1:], True))) + 1 if len(data) else np.empty(0, np.int64)
+    owner = np.searchsorted(offsets, starts, side="right") - 1
+    whole = np.flatnonzero(owner[RUN - 1 :] == owner[: max(0, len(owner) - RUN + 1)]) if len(owner) >= RUN else np.empty(0, np.int64)
+    return Substrings(data).of(starts[whole], ends[whole + RUN - 1]).view(np.int64), owner[whole]
+
+
+def nominated(pages: list[tuple[int, bool, list[str]]]) -> np.ndarray:
+    """Hashes of the runs that may be template runs of the host that these pages are a shard of.
+
+    If a run has SHARE of the host's keys, it has SHARE of a shard's keys in at least one shard. Shards follow the
+    order of keys, so one may begin with the key that the shard before it ends with: that one is not counted.
+    """
+    spread, page, distinct = _spread(pages)
+    hashes, owner = run_hashes([blocks for _, _, blocks in pages])
+    first = np.searchsorted(page, np.arange(len(pages) + 1))
+    begins = np.searchsorted(owner, np.arange(len(pages) + 1))
+    at = first[owner] + np.arange(len(owner)) - begins[owner]  # the token that each hash's run starts at
+    return np.unique(hashes[spread[at] >= max(1, SHARE * (distinct - 1))])
 
 
 _PARSED = pa.schema(
-    [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("framed", pa.bool_()), ("blocks", pa.list_(pa.string()))]
+    [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("shards", pa.int64()), ("key", pa.int64()),
+     ("framed", pa.bool_()), ("blocks", pa.list_(pa.string()))]
 )
+_PARSED_DDL = "page_id long, url string, host string, shards long, key long, framed boolean, blocks array<string>"
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
+_TEXT_DDL = "page_id long, url string, text string, n_chars long"
+_COUNT = pa.schema([("host", pa.string()), ("run", pa.int64()), ("n", pa.int64()), ("key", pa.int64())])
 
 
 def _parse(batches):
@@ -194,53 +255,141 @@ def _parse(batches):
         for start in range(0, batch.num_rows, 500):
             part = batch.slice(start, 500)
             framed, blocks = zip(*map(page_blocks, part.column("html").to_pylist()), strict=True)
-            columns = [part.column("page_id"), part.column("url"), part.column("host"), pa.array(framed), pa.array(blocks, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, schema=_PARSED)
+            yield record(
+                _PARSED, **{c: part.column(c) for c in ("page_id", "url", "host", "shards")}, key=list(map(content_key, blocks)),
+                framed=framed, blocks=blocks,
+            )
 
 
 def _shards(batches):
-    """Rows come sorted by host and salt; a shard is a bounded run of pages of one of these."""
-    held, key, chars = [], None, 0
-
-    def settle():
-        kept = keep_unique([(p, framed, blocks) for p, _, framed, blocks in held])
-        texts = [" ".join(blocks) for blocks in kept]
-        columns = [[h[0] for h in held], [h[1] for h in held], texts, [len(t) for t in texts]]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _TEXT, strict=True)], schema=_TEXT)
-
+    """Rows come sorted by host and key; a shard is a bounded run of pages of one host: (host, page_ids, urls, pages)."""
+    held, last, chars = [], None, 0
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "salt", "framed", "blocks")), strict=True)
-        for page_id, url, host, salt, framed, blocks in rows:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("host", "page_id", "url", "key", "framed", "blocks")), strict=True)
+        for host, page_id, url, key, framed, blocks in rows:
             size = sum(map(len, blocks))
-            if held and ((host, salt) != key or len(held) >= SHARD_PAGES or chars + size > SHARD_CHARS):
-                yield settle()
+            if held and (host != last or len(held) >= SHARD_PAGES or chars + size > SHARD_CHARS):
+                yield last, [h[0] for h in held], [h[1] for h in held], [h[2] for h in held]
                 held, chars = [], 0
-            held.append((page_id, url, framed, blocks))
-            key, chars = (host, salt), chars + size
+            held.append((page_id, url, (key, framed, blocks)))
+            last, chars = host, chars + size
     if held:
-        yield settle()
+        yield last, [h[0] for h in held], [h[1] for h in held], [h[2] for h in held]
+
+
+def _texts(page_ids, urls, kept):
+    texts = [" ".join(blocks) for blocks in kept]
+    return record(_TEXT, page_id=page_ids, url=urls, text=texts, n_chars=[len(t) for t in texts])
+
+
+def _whole_hosts(batches):
+    for _, page_ids, urls, pages in _shards(batches):
+        yield _texts(page_ids, urls, keep_unique(pages))
+
+
+def _nominate(batches):
+    for host, _, _, pages in _shards(batches):
+        runs = nominated(pages)
+        yield pa.RecordBatch.from_arrays([pa.array([host] * len(runs), pa.string()), pa.array(runs)], names=["host", "run"])
+
+
+def _listed(batches, *lists: str):
+    """(host, page_ids, urls, pages, hashes, page of each, the lists) of each bounded run of pages of one host.
+
+    The lists are those of the host; every row carries them."""
+    for batch in batches:
+        at, n = 0, batch.num_rows
+        hosts = batch.column("host").to_pylist()
+        sizes = [sum(map(len, b)) for b in batch.column("blocks").to_pylist()]
+        while at < n:
+            end, chars = at + 1, sizes[at]
+            while end < n and hosts[end] == hosts[at] and end - at < SHARD_PAGES and chars + sizes[end] <= SHARD_CHARS:
+                chars, end = chars + sizes[end], end + 1
+            part = {c: batch.column(c).slice(at, end - at).to_pylist() for c in ("page_id", "url", "key", "framed", "blocks")}
+            known = [np.array(batch.column(c)[at].as_py() or [], np.int64) for c in lists]
+            pages = list(zip(part["key"], part["framed"], part["blocks"], strict=True))
+            yield hosts[at], part["page_id"], part["url"], pages, *run_hashes(part["blocks"]), known
+            at = end
+
+
+def _count(in_order: bool):
+    """Under how many keys each nominated run is found. Keys at the ends of a sorted stretch may go on elsewhere:
+    rows with them name the key, so that it is counted once. Rows in no order name every key."""
+
+    def count(batches):
+        for host, _, _, pages, hashes, owner, (runs,) in _listed(batches, "runs"):
+            keys = np.array([k for k, _, _ in pages], np.int64)
+            fall = keys[1:] < keys[:-1]
+            ends = keys[np.append(True, fall) | np.append(fall, True)] if in_order else keys
+            named = np.isin(hashes, runs)
+            names, same = np.unique(keys, return_inverse=True)
+            wanted, which = np.unique(hashes[named], return_inverse=True)
+            pair = np.unique(which * len(names) + same[owner[named]])
+            run, key = wanted[pair // len(names)], names[pair % len(names)]
+            open_ = np.isin(key, ends)
+            closed, n = np.unique(run[~open_], return_counts=True)
+            run, key = run[open_], key[open_]
+            yield record(
+                _COUNT, host=[host] * (len(closed) + len(run)), run=np.append(closed, run), n=np.append(n, np.ones(len(run), np.int64)),
+                key=pa.concat_arrays([pa.nulls(len(closed), pa.int64()), pa.array(key)]),
+            )
+
+    return count
+
+
+def _without_templates(batches):
+    for _, page_ids, urls, pages, hashes, owner, (outside, inside) in _listed(batches, "outside", "inside"):
+        hit = {False: np.isin(hashes, outside), True: np.isin(hashes, inside)}
+        first = np.searchsorted(owner, np.arange(len(pages) + 1))
+        kept = [
+            _uncovered(blocks, np.flatnonzero(hit[framed][first[n] : first[n + 1]])) if blocks else blocks
+            for n, (_, framed, blocks) in enumerate(pages)
+        ]
+        yield _texts(page_ids, urls, kept)
+
+
+def _large_host_texts(dealt: DataFrame) -> DataFrame:
+    """Texts of hosts of several shards: runs that a shard nominates are counted over all of the host's pages."""
+    spark = dealt.sparkSession
+    path = new_workspace(spark, "pages")
+    dealt.write.option("compression", "zstd").parquet(path)
+    pages = spark.read.schema(dealt.schema).parquet(path)
+    runs = stored(pages.mapInArrow(_nominate, "host string, run long").groupBy("host").agg(F.collect_set("run").alias("runs")), "runs")
+    few = (runs.agg(F.sum(F.size("runs"))).head()[0] or 0) <= BROADCAST_RUNS  # a broadcast leaves the pages in their order
+    found = pages.join(F.broadcast(runs) if few else runs.hint("merge"), "host").mapInArrow(_count(few), "host string, run long, n long, key long")
+    once = found.groupBy("host", "run", "key").agg(F.when(F.col("key").isNull(), F.sum("n")).otherwise(1).alias("n"))
+    spread = once.groupBy("host", "run").agg(F.sum("n").alias("n"))
+    distinct = pages.select("host", "key").distinct().groupBy("host").agg(F.count("*").alias("keys"))
+    reached = spread.join(distinct, "host").groupBy("host").agg(
+        F.collect_list(F.when(F.col("n") >= F.greatest(F.lit(PAGES), SHARE * F.col("keys")), F.col("run"))).alias("outside"),
+        F.collect_list(F.when(F.col("n") >= F.greatest(F.lit(ARTICLE_PAGES), ARTICLE_SHARE * F.col("keys")), F.col("run"))).alias("inside"),
+    )
+    return pages.join(stored(reached, "templates"), "host", "left").mapInArrow(_without_templates, _TEXT_DDL)
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
-    A null or empty page has an empty text. Pages without a host in their url share one. Rows with an equal
-    page_id count as one page when repeats are counted and each give a row; other columns are ignored.
+    A null or empty page has an empty text. Pages without a host in their url share one. Repeats are counted over
+    all pages of a host, whatever their number, by distinct content (`content_key`): rows with equal pages count as
+    one and each give a row. Other columns are ignored.
     """
+    spark = pages.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     host = F.coalesce(F.lower(F.regexp_extract(url_col, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     named = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host")
     )
-    counts = named.groupBy("host").count()
-    total = named.count()
-    hot = counts.where(F.col("count") > max(total / HOT_HOSTS, SHARD_PAGES))  # HOT_HOSTS rows at most
-    hot = hot.select("host", F.ceil(F.col("count") / SHARD_PAGES).alias("shards"))
-    parsed = named.mapInArrow(_parse, "page_id long, url string, host string, framed boolean, blocks array<string>")
-    salted = parsed.join(F.broadcast(hot), "host", "left").withColumn(
-        "salt", F.coalesce(F.pmod(F.xxhash64("page_id", "url"), F.col("shards")), F.lit(0))
-    )
-    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = salted.repartition(n, "host", "salt").sortWithinPartitions("host", "salt", "page_id", "url")
-    return dealt.select("page_id", "url", "host", "salt", "framed", "blocks").mapInArrow(
-        _shards, "page_id long, url string, text string, n_chars long"
-    )
+    most = F.greatest(F.count("*") / SHARD_PAGES, F.coalesce(F.sum(F.length("html")), F.lit(0)) / SHARD_CHARS)
+    counts = named.groupBy("host").agg(F.ceil(most).alias("shards"))
+    large = stored(counts.where("shards > 1"), "hosts")
+    few = large.count() <= BROADCAST_HOSTS
+    cut = named.join(F.broadcast(large) if few else large.hint("merge"), "host", "left")
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        parsed = rows.select("page_id", "url", "html", "host", "shards").mapInArrow(_parse, _PARSED_DDL)
+        salt = F.coalesce(F.pmod(F.xxhash64("key"), F.col("shards")), F.lit(0))
+        return parsed.repartition(n, "host", salt).sortWithinPartitions("host", salt, "key", "page_id", "url")
+
+    small = dealt(cut.where("shards IS NULL")).mapInArrow(_whole_hosts, _TEXT_DDL)
+    return small.unionByName(_large_host_texts(dealt(cut.where("shards IS NOT NULL")))) if not large.isEmpty() else small
