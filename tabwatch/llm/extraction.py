@@ -13,6 +13,7 @@ nominated by their 64-bit hash and counted over the whole host, so the outcome d
 from __future__ import annotations
 
 import re
+import zlib
 from html.parser import HTMLParser
 
 import numpy as np
@@ -37,6 +38,8 @@ SHARD_PAGES, SHARD_CHARS = 256, 4_000_000
 BROADCAST_HOSTS = 100_000
 #: So are the hashes of nominated runs.
 BROADCAST_RUNS = 2_000_000
+#: Row groups of the stored pages, so that many tasks share a large file.
+BLOCK_BYTES = 4 << 20
 
 # Fixed word lists of HTML element names and of the names that pages give to their parts.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -244,7 +247,9 @@ _PARSED = pa.schema(
     [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("shards", pa.int64()), ("key", pa.int64()),
      ("framed", pa.bool_()), ("blocks", pa.list_(pa.string()))]
 )
-_PARSED_DDL = "page_id long, url string, host string, shards long, key long, framed boolean, blocks array<string>"
+_PAGE_DDL = "page_id long, url string, host string, shards long, key long, framed boolean, "
+#: Blocks travel compressed page by page, which halves what is shuffled.
+_SENT = pa.schema([*list(_PARSED)[:-1], pa.field("packed", pa.binary())])
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 _TEXT_DDL = "page_id long, url string, text string, n_chars long"
 _COUNT = pa.schema([("host", pa.string()), ("run", pa.int64()), ("n", pa.int64()), ("key", pa.int64())])
@@ -255,12 +260,22 @@ def _parse(batches):
         for start in range(0, batch.num_rows, 500):
             part = batch.slice(start, 500)
             framed, blocks = zip(*map(page_blocks, part.column("html").to_pylist()), strict=True)
+            packed = [zlib.compress("\n".join(b).encode("utf-8", "surrogatepass")) for b in blocks]
             yield record(
-                _PARSED, **{c: part.column(c) for c in ("page_id", "url", "host", "shards")}, key=list(map(content_key, blocks)),
-                framed=framed, blocks=blocks,
+                _SENT, **{c: part.column(c) for c in ("page_id", "url", "host", "shards")}, key=list(map(content_key, blocks)),
+                framed=framed, packed=packed,
             )
 
 
+def _unpack(batches):
+    for batch in batches:
+        for start in range(0, batch.num_rows, 500):
+            part = batch.slice(start, 500)
+            texts = [zlib.decompress(p).decode("utf-8", "surrogatepass") for p in part.column("packed").to_pylist()]
+            blocks = pa.array([t.split("\n") if t else [] for t in texts], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], blocks], schema=_PARSED)
+
+
 def _shards(batches):
     """Rows come sorted by host and key; a shard is a bounded run of pages of one host: (host, page_ids, urls, pages)."""
     held, last, chars = [], None, 0
@@ -352,7 +367,7 @@ def _large_host_texts(dealt: DataFrame) -> DataFrame:
     """Texts of hosts of several shards: runs that a shard nominates are counted over all of the host's pages."""
     spark = dealt.sparkSession
     path = new_workspace(spark, "pages")
-    dealt.write.option("compression", "zstd").parquet(path)
+    dealt.write.option("compression", "zstd").option("parquet.block.size", BLOCK_BYTES).parquet(path)
     pages = spark.read.schema(dealt.schema).parquet(path)
     runs = stored(pages.mapInArrow(_nominate, "host string, run long").groupBy("host").agg(F.collect_set("run").alias("runs")), "runs")
     few = (runs.agg(F.sum(F.size("runs"))).head()[0] or 0) <= BROADCAST_RUNS  # a broadcast leaves the pages in their order
@@ -387,9 +402,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     cut = named.join(F.broadcast(large) if few else large.hint("merge"), "host", "left")
 
     def dealt(rows: DataFrame) -> DataFrame:
-        parsed = rows.select("page_id", "url", "html", "host", "shards").mapInArrow(_parse, _PARSED_DDL)
+        parsed = rows.select("page_id", "url", "html", "host", "shards").mapInArrow(_parse, _PAGE_DDL + "packed binary")
         salt = F.coalesce(F.pmod(F.xxhash64("key"), F.col("shards")), F.lit(0))
-        return parsed.repartition(n, "host", salt).sortWithinPartitions("host", salt, "key", "page_id", "url")
+        in_order = parsed.repartition(n, "host", salt).sortWithinPartitions("host", salt, "key", "page_id", "url")
+        return in_order.mapInArrow(_unpack, _PAGE_DDL + "blocks array<string>")
 
     small = dealt(cut.where("shards IS NULL")).mapInArrow(_whole_hosts, _TEXT_DDL)
     return small.unionByName(_large_host_texts(dealt(cut.where("shards IS NOT NULL")))) if not large.isEmpty() else small
