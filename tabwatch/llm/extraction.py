@@ -36,8 +36,6 @@ ARTICLE_SHARE, ARTICLE_PAGES = 0.9, 8
 SHARD_PAGES, SHARD_CHARS = 256, 4_000_000
 #: Hosts of several shards are broadcast if there are at most so many; more of them are joined by sorting.
 BROADCAST_HOSTS = 100_000
-#: So are the hashes of nominated runs.
-BROADCAST_RUNS = 2_000_000
 #: Row groups of the stored pages, so that many tasks share a large file.
 BLOCK_BYTES = 4 << 20
 
@@ -154,106 +152,99 @@ def page_blocks(html: str | None) -> tuple[bool, list[str]]:
 def content_key(blocks: list[str]) -> int:
     """What a page is about: the 63-bit hash of its block with the most words (of several the greatest text).
 
-    Copies of a page, and near copies that differ elsewhere, have equal keys and count once when repeats are counted.
+    Copies of a page, and near copies that differ elsewhere, have equal keys; one of them stands for all when
+    repeats are counted.
     """
     longest = max(blocks, key=lambda b: (b.count(" "), b), default="")
     return xxhash.xxh3_64_intdigest(longest.encode("utf-8", "surrogatepass")) >> 1
 
 
-def _spread(pages: list[tuple[int, bool, list[str]]]) -> tuple[np.ndarray, np.ndarray, int]:
-    """For the run that starts at each token the number of distinct keys that have it (0: it passes the page's end).
+def run_hashes(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the runs of RUN tokens of pages (lists of blocks), one for each start, and the page of each."""
+    texts = [" ".join(blocks).encode("utf-8", "surrogatepass") for blocks in pages]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.append(0, np.cumsum([len(t) for t in texts], dtype=np.int64))
+    space = data == 0x20
+    border = np.zeros(len(data) + 1, bool)
+    border[offsets] = True
+    starts = np.flatnonzero(~space & (border[:-1] | np.append(True, space)[:-1]))
+    ends = np.flatnonzero(~space & (border[1:] | np.append(space, True)[1:])) + 1
+    owner = np.searchsorted(offsets, starts, side="right") - 1
+    whole = np.flatnonzero(owner[RUN - 1 :] == owner[: len(owner) - RUN + 1]) if len(owner) >= RUN else np.empty(0, np.int64)
+    return Substrings(data).of(starts[whole], ends[whole + RUN - 1]).view(np.int64), owner[whole]
+
+
+def repeated_runs(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """Each distinct run of RUN tokens, by its hash, and the number of pages that have it.
 
-    Also the page of each token and the number of distinct keys. A suffix array over the streams groups equal runs;
-    each stream ends with a mark of its own, so that no run spans two pages.
+    A suffix array over the pages' streams groups equal runs; each stream ends with a mark of its own, so that no
+    run spans two pages.
     """
     known: dict[str, int] = {}
-    codes, lengths, mark = [], [], -1
-    for _, _, blocks in pages:
+    codes, lengths = [], []
+    for n, blocks in enumerate(pages):
         words = " ".join(blocks).split()
         codes.extend([known.setdefault(w, len(known)) for w in words])
-        codes.append(mark)
+        codes.append(-1 - n)
         lengths.append(len(words) + 1)
-        mark -= 1
-    codes, lengths = np.array(codes, np.int64), np.array(lengths)
+    codes, lengths = np.array(codes, np.int64), np.array(lengths, np.int64)
+    hashes, owner = run_hashes(pages)
+    if not len(hashes):
+        return hashes, np.empty(0, np.int64)
     page = np.repeat(np.arange(len(pages)), lengths)
-    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes)) - 1  # tokens from here to the mark
-    keys, same = np.unique(np.array([k for k, _, _ in pages], np.int64), return_inverse=True)
     array, group = equal_prefix_groups(codes, RUN)
-    having = np.unique(group * len(keys) + same[page[array]]) // len(keys)  # a group once for each key
-    spread = np.empty(len(codes), np.int64)
-    spread[array] = np.bincount(having, minlength=group[-1] + 1)[group]
-    spread[left < RUN] = 0
-    inside = left > 0
-    return spread[inside], page[inside], len(keys)
-
-
-def least_spread(framed, distinct):
-    """How many of the distinct keys a template run is found under at least, inside and outside of an article."""
-    return np.where(framed, np.maximum(ARTICLE_PAGES, ARTICLE_SHARE * distinct), np.maximum(PAGES, SHARE * distinct))
+    having = np.unique(group * len(pages) + page[array]) // len(pages)  # a group once for each page
+    of_token = np.empty(len(codes), np.int64)
+    of_token[array] = group
+    before = np.searchsorted(owner, np.arange(len(pages)))
+    at = (np.cumsum(lengths) - lengths)[owner] + np.arange(len(owner)) - before[owner]  # where each hashed run starts
+    groups, one = np.unique(of_token[at], return_index=True)
+    return hashes[one], np.bincount(having)[groups]
 
 
 def _uncovered(blocks: list[str], hits: np.ndarray) -> list[str]:
-    """Blocks of a page at most half covered by runs that start at the hits; if there is none, all of them."""
+    """Blocks of a page less than half covered by runs that start at the hits; if there is none, all of them."""
     sizes = np.array([b.count(" ") + 1 for b in blocks], np.int64)
-    edge = np.zeros(int(sizes.sum()) + RUN + 1, np.int64)
+    total = int(sizes.sum())
+    edge = np.zeros(total + RUN + 1, np.int64)
     np.add.at(edge, hits, 1)
     np.add.at(edge, hits + RUN, -1)
-    covered = np.append(0, np.cumsum(np.cumsum(edge)[: int(sizes.sum())] > 0))
-    ends = np.cumsum(sizes)
-    kept = [b for b, n, end in zip(blocks, sizes, ends, strict=True) if covered[end] - covered[end - n] < 0.5 * n]
+    covered = np.append(0, np.cumsum(np.cumsum(edge)[:total] > 0))
+    kept = [b for b, n, end in zip(blocks, sizes, np.cumsum(sizes), strict=True) if covered[end] - covered[end - n] < 0.5 * n]
     return kept or blocks  # a page that is all template is its own content
 
 
-def keep_unique(pages: list[tuple[int, bool, list[str]]]) -> list[list[str]]:
-    """Blocks of each page (key, has a container, blocks) of a whole host that no template run covers."""
-    spread, page, distinct = _spread(pages)
-    hit = spread >= least_spread(np.array([framed for _, framed, _ in pages], bool)[page], distinct)
-    first = np.searchsorted(page, np.arange(len(pages) + 1))
+def without_runs(pages: list[tuple[int, bool, list[str]]], outside: np.ndarray, inside: np.ndarray) -> list[list[str]]:
+    """Blocks of each page (key, has a container, blocks) that template runs, given by their hashes, do not cover."""
+    hashes, owner = run_hashes([blocks for _, _, blocks in pages])
+    first = np.searchsorted(owner, np.arange(len(pages) + 1))
+    hit = {False: np.isin(hashes, outside), True: np.isin(hashes, inside)}
     return [
-        _uncovered(blocks, np.flatnonzero(hit[first[n] : first[n + 1]])) if blocks else blocks for n, (_, _, blocks) in enumerate(pages)
+        _uncovered(blocks, np.flatnonzero(hit[framed][first[n] : first[n + 1]])) if blocks else blocks
+        for n, (_, framed, blocks) in enumerate(pages)
     ]
 
 
-def run_hashes(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the runs of RUN tokens of pages (lists of blocks), one for each start, and the page of each."""
-    texts = [" ".join(blocks).encode("utf-8", "surrogatepass") for blocks in pages]
-    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.append(0, np.cumsum([len(t) for t in texts]))
-    space = data == 0x20
-    word = ~space
-    begins = np.zeros(len(data) + 1, bool)
-    begins[offsets] = True
-    starts = np.flatnonzero(word & (begins[:-1] | np.append(True, space[:-1]))) if len(data) else np.empty(0, np.int64)
-    ends = np.flatnonzero(word & (begins[1:] | np.append(space[1:], True))) + 1 if len(data) else np.empty(0, np.int64)
-    owner = np.searchsorted(offsets, starts, side="right") - 1
-    whole = np.flatnonzero(owner[RUN - 1 :] == owner[: max(0, len(owner) - RUN + 1)]) if len(owner) >= RUN else np.empty(0, np.int64)
-    return Substrings(data).of(starts[whole], ends[whole + RUN - 1]).view(np.int64), owner[whole]
-
-
-def nominated(pages: list[tuple[int, bool, list[str]]]) -> np.ndarray:
-    """Hashes of the runs that may be template runs of the host that these pages are a shard of.
+def keep_unique(pages: list[tuple[int, bool, list[str]]]) -> list[list[str]]:
+    """Blocks of each page (key, has a container, blocks) of a whole host that no template run covers.
 
-    If a run has SHARE of the host's keys, it has SHARE of a shard's keys in at least one shard. Shards follow the
-    order of keys, so one may begin with the key that the shard before it ends with: that one is not counted.
+    Of pages with equal keys the first one counts.
     """
-    spread, page, distinct = _spread(pages)
-    hashes, owner = run_hashes([blocks for _, _, blocks in pages])
-    first = np.searchsorted(page, np.arange(len(pages) + 1))
-    begins = np.searchsorted(owner, np.arange(len(pages) + 1))
-    at = first[owner] + np.arange(len(owner)) - begins[owner]  # the token that each hash's run starts at
-    return np.unique(hashes[spread[at] >= max(1, SHARE * (distinct - 1))])
+    contents = {key: blocks for key, _, blocks in reversed(pages)}
+    runs, n = repeated_runs(list(contents.values()))
+    outside = runs[n >= max(PAGES, SHARE * len(contents))]
+    inside = runs[n >= max(ARTICLE_PAGES, ARTICLE_SHARE * len(contents))]
+    return without_runs(pages, outside, inside)
 
 
 _PARSED = pa.schema(
     [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("shards", pa.int64()), ("key", pa.int64()),
-     ("framed", pa.bool_()), ("blocks", pa.list_(pa.string()))]
+     ("framed", pa.bool_()), ("blocks", pa.list_(pa.string())), ("first", pa.bool_())]
 )
 _PAGE_DDL = "page_id long, url string, host string, shards long, key long, framed boolean, "
 #: Blocks travel compressed page by page, which halves what is shuffled.
-_SENT = pa.schema([*list(_PARSED)[:-1], pa.field("packed", pa.binary())])
+_SENT = pa.schema([*list(_PARSED)[:-2], pa.field("packed", pa.binary())])
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 _TEXT_DDL = "page_id long, url string, text string, n_chars long"
-_COUNT = pa.schema([("host", pa.string()), ("run", pa.int64()), ("n", pa.int64()), ("key", pa.int64())])
-
 
 def _parse(batches):
     for batch in batches:
@@ -268,126 +259,103 @@ def _parse(batches):
 
 
 def _unpack(batches):
+    """Rows come sorted by host, salt and key; the first one of a key stands for its content."""
+    last = None
     for batch in batches:
         for start in range(0, batch.num_rows, 500):
             part = batch.slice(start, 500)
             texts = [zlib.decompress(p).decode("utf-8", "surrogatepass") for p in part.column("packed").to_pylist()]
             blocks = pa.array([t.split("\n") if t else [] for t in texts], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], blocks], schema=_PARSED)
+            keys = list(zip(part.column("host").to_pylist(), part.column("key").to_pylist(), strict=True))
+            first = pa.array([now != before for now, before in zip(keys, [last, *keys], strict=False)], pa.bool_())
+            last = keys[-1]
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], blocks, first], schema=_PARSED)
 
 
-def _shards(batches):
-    """Rows come sorted by host and key; a shard is a bounded run of pages of one host: (host, page_ids, urls, pages)."""
-    held, last, chars = [], None, 0
+def _shards(batches, *lists: str):
+    """Bounded runs of neighbouring pages of one host: (host, the rows, the lists of runs that go with the host)."""
+    held, last, known, chars = [], None, [], 0
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("host", "page_id", "url", "key", "framed", "blocks")), strict=True)
-        for host, page_id, url, key, framed, blocks in rows:
-            size = sum(map(len, blocks))
-            if held and (host != last or len(held) >= SHARD_PAGES or chars + size > SHARD_CHARS):
-                yield last, [h[0] for h in held], [h[1] for h in held], [h[2] for h in held]
-                held, chars = [], 0
-            held.append((page_id, url, (key, framed, blocks)))
-            last, chars = host, chars + size
+        plain = batch.drop_columns(list(lists)) if lists else batch
+        for start in range(0, batch.num_rows, SHARD_PAGES):
+            for k, row in enumerate(plain.slice(start, SHARD_PAGES).to_pylist(), start):
+                size = sum(map(len, row["blocks"]))
+                if held and (row["host"] != last or len(held) >= SHARD_PAGES or chars + size > SHARD_CHARS):
+                    yield last, held, *known
+                    held, chars = [], 0
+                if not held:
+                    known = [np.array(batch.column(c)[k].as_py() or [], np.int64) for c in lists]
+                held.append(row)
+                last, chars = row["host"], chars + size
     if held:
-        yield last, [h[0] for h in held], [h[1] for h in held], [h[2] for h in held]
+        yield last, held, *known
+
 
+def _pages(rows: list[dict]) -> list[tuple[int, bool, list[str]]]:
+    return [(r["key"], r["framed"], r["blocks"]) for r in rows]
 
-def _texts(page_ids, urls, kept):
+
+def _texts(rows: list[dict], kept: list[list[str]]) -> pa.RecordBatch:
     texts = [" ".join(blocks) for blocks in kept]
-    return record(_TEXT, page_id=page_ids, url=urls, text=texts, n_chars=[len(t) for t in texts])
+    return record(_TEXT, page_id=[r["page_id"] for r in rows], url=[r["url"] for r in rows], text=texts, n_chars=[len(t) for t in texts])
 
 
-def _whole_hosts(batches):
-    for _, page_ids, urls, pages in _shards(batches):
-        yield _texts(page_ids, urls, keep_unique(pages))
+def _counted(host: str, runs: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([host] * len(runs), pa.string()), pa.array(runs), pa.array(n)], names=["host", "run", "n"])
 
 
-def _nominate(batches):
-    for host, _, _, pages in _shards(batches):
-        runs = nominated(pages)
-        yield pa.RecordBatch.from_arrays([pa.array([host] * len(runs), pa.string()), pa.array(runs)], names=["host", "run"])
+def _whole_hosts(batches):
+    for _, rows in _shards(batches):
+        yield _texts(rows, keep_unique(_pages(rows)))
 
 
-def _listed(batches, *lists: str):
-    """(host, page_ids, urls, pages, hashes, page of each, the lists) of each bounded run of pages of one host.
+def _nominate(batches):
+    """Runs with SHARE of a shard's contents. One with SHARE of all contents of the host is among those of some shard."""
+    for host, rows in _shards(batches):
+        runs, n = repeated_runs([r["blocks"] for r in rows])
+        often = n >= SHARE * len(rows)
+        yield _counted(host, runs[often], n[often])
 
-    The lists are those of the host; every row carries them."""
-    for batch in batches:
-        at, n = 0, batch.num_rows
-        hosts = batch.column("host").to_pylist()
-        sizes = [sum(map(len, b)) for b in batch.column("blocks").to_pylist()]
-        while at < n:
-            end, chars = at + 1, sizes[at]
-            while end < n and hosts[end] == hosts[at] and end - at < SHARD_PAGES and chars + sizes[end] <= SHARD_CHARS:
-                chars, end = chars + sizes[end], end + 1
-            part = {c: batch.column(c).slice(at, end - at).to_pylist() for c in ("page_id", "url", "key", "framed", "blocks")}
-            known = [np.array(batch.column(c)[at].as_py() or [], np.int64) for c in lists]
-            pages = list(zip(part["key"], part["framed"], part["blocks"], strict=True))
-            yield hosts[at], part["page_id"], part["url"], pages, *run_hashes(part["blocks"]), known
-            at = end
-
-
-def _count(in_order: bool):
-    """Under how many keys each nominated run is found. Keys at the ends of a sorted stretch may go on elsewhere:
-    rows with them name the key, so that it is counted once. Rows in no order name every key."""
-
-    def count(batches):
-        for host, _, _, pages, hashes, owner, (runs,) in _listed(batches, "runs"):
-            keys = np.array([k for k, _, _ in pages], np.int64)
-            fall = keys[1:] < keys[:-1]
-            ends = keys[np.append(True, fall) | np.append(fall, True)] if in_order else keys
-            named = np.isin(hashes, runs)
-            names, same = np.unique(keys, return_inverse=True)
-            wanted, which = np.unique(hashes[named], return_inverse=True)
-            pair = np.unique(which * len(names) + same[owner[named]])
-            run, key = wanted[pair // len(names)], names[pair % len(names)]
-            open_ = np.isin(key, ends)
-            closed, n = np.unique(run[~open_], return_counts=True)
-            run, key = run[open_], key[open_]
-            yield record(
-                _COUNT, host=[host] * (len(closed) + len(run)), run=np.append(closed, run), n=np.append(n, np.ones(len(run), np.int64)),
-                key=pa.concat_arrays([pa.nulls(len(closed), pa.int64()), pa.array(key)]),
-            )
 
-    return count
+def _count(batches):
+    """The number of contents with each nominated run; every row carries the runs of its host."""
+    for host, rows, runs in _shards(batches, "runs"):
+        hashes, owner = run_hashes([r["blocks"] for r in rows])
+        named = np.isin(hashes, runs)
+        pairs = np.unique(np.stack([hashes[named], owner[named]]), axis=1)
+        yield _counted(host, *np.unique(pairs[0], return_counts=True))
 
 
 def _without_templates(batches):
-    for _, page_ids, urls, pages, hashes, owner, (outside, inside) in _listed(batches, "outside", "inside"):
-        hit = {False: np.isin(hashes, outside), True: np.isin(hashes, inside)}
-        first = np.searchsorted(owner, np.arange(len(pages) + 1))
-        kept = [
-            _uncovered(blocks, np.flatnonzero(hit[framed][first[n] : first[n + 1]])) if blocks else blocks
-            for n, (_, framed, blocks) in enumerate(pages)
-        ]
-        yield _texts(page_ids, urls, kept)
+    for _, rows, outside, inside in _shards(batches, "outside", "inside"):
+        yield _texts(rows, without_runs(_pages(rows), outside, inside))
 
 
 def _large_host_texts(dealt: DataFrame) -> DataFrame:
-    """Texts of hosts of several shards: runs that a shard nominates are counted over all of the host's pages."""
+    """Texts of hosts of several shards: runs that a shard nominates are counted over all contents of the host."""
     spark = dealt.sparkSession
     path = new_workspace(spark, "pages")
     dealt.write.option("compression", "zstd").option("parquet.block.size", BLOCK_BYTES).parquet(path)
     pages = spark.read.schema(dealt.schema).parquet(path)
-    runs = stored(pages.mapInArrow(_nominate, "host string, run long").groupBy("host").agg(F.collect_set("run").alias("runs")), "runs")
-    few = (runs.agg(F.sum(F.size("runs"))).head()[0] or 0) <= BROADCAST_RUNS  # a broadcast leaves the pages in their order
-    found = pages.join(F.broadcast(runs) if few else runs.hint("merge"), "host").mapInArrow(_count(few), "host string, run long, n long, key long")
-    once = found.groupBy("host", "run", "key").agg(F.when(F.col("key").isNull(), F.sum("n")).otherwise(1).alias("n"))
-    spread = once.groupBy("host", "run").agg(F.sum("n").alias("n"))
-    distinct = pages.select("host", "key").distinct().groupBy("host").agg(F.count("*").alias("keys"))
-    reached = spread.join(distinct, "host").groupBy("host").agg(
-        F.collect_list(F.when(F.col("n") >= F.greatest(F.lit(PAGES), SHARE * F.col("keys")), F.col("run"))).alias("outside"),
-        F.collect_list(F.when(F.col("n") >= F.greatest(F.lit(ARTICLE_PAGES), ARTICLE_SHARE * F.col("keys")), F.col("run"))).alias("inside"),
+    contents = pages.where("first").select("host", "blocks")
+    counted = "host string, run long, n long"
+    runs = stored(contents.mapInArrow(_nominate, counted).groupBy("host").agg(F.collect_set("run").alias("runs")), "runs")
+    spread = contents.join(runs, "host").mapInArrow(_count, counted).groupBy("host", "run").agg(F.sum("n").alias("n"))
+    sizes = contents.groupBy("host").agg(F.count("*").alias("contents"))
+    reached = spread.join(sizes, "host").groupBy("host").agg(
+        F.collect_list(F.when(F.col("n") >= F.greatest(F.lit(PAGES), SHARE * F.col("contents")), F.col("run"))).alias("outside"),
+        F.collect_list(F.when(F.col("n") >= F.greatest(F.lit(ARTICLE_PAGES), ARTICLE_SHARE * F.col("contents")), F.col("run"))).alias("inside"),
     )
-    return pages.join(stored(reached, "templates"), "host", "left").mapInArrow(_without_templates, _TEXT_DDL)
+    kept = pages.select("page_id", "url", "host", "key", "framed", "blocks").join(stored(reached, "templates"), "host", "left")
+    return kept.mapInArrow(_without_templates, _TEXT_DDL)
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
     A null or empty page has an empty text. Pages without a host in their url share one. Repeats are counted over
-    all pages of a host, whatever their number, by distinct content (`content_key`): rows with equal pages count as
-    one and each give a row. Other columns are ignored.
+    all pages of a host, whatever their number, by distinct content: of pages with an equal `content_key` that with
+    the least page_id counts; each gives a row. Other columns are ignored.
     """
     spark = pages.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -404,8 +372,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     def dealt(rows: DataFrame) -> DataFrame:
         parsed = rows.select("page_id", "url", "html", "host", "shards").mapInArrow(_parse, _PAGE_DDL + "packed binary")
         salt = F.coalesce(F.pmod(F.xxhash64("key"), F.col("shards")), F.lit(0))
-        in_order = parsed.repartition(n, "host", salt).sortWithinPartitions("host", salt, "key", "page_id", "url")
-        return in_order.mapInArrow(_unpack, _PAGE_DDL + "blocks array<string>")
+        in_order = parsed.repartition(n, "host", salt).sortWithinPartitions("host", salt, "key", "page_id", "url", "packed")
+        return in_order.mapInArrow(_unpack, _PAGE_DDL + "blocks array<string>, first boolean")
 
     small = dealt(cut.where("shards IS NULL")).mapInArrow(_whole_hosts, _TEXT_DDL)
     return small.unionByName(_large_host_texts(dealt(cut.where("shards IS NOT NULL")))) if not large.isEmpty() else small
