@@ -296,15 +296,19 @@ def finished_job(job: DataFrame, candidates: DataFrame, as_of: Column) -> DataFr
     )
 
 
-def failed_job(job: DataFrame, versions: DataFrame, error: str, as_of: Column) -> DataFrame:
-    """The job row marked failed, its result naming candidates that were registered before the error."""
+def failed_job(job: DataFrame, versions: DataFrame, error: str | Column, as_of: Column) -> DataFrame:
+    """Job rows marked failed, each result naming candidates that were registered before the error.
+
+    The error is a text for all rows or a column of `job`; only the contract's columns of a job come back.
+    """
+    error = F.lit(error) if isinstance(error, str) else error
     made = versions.where(F.col("training_job_id").isNotNull()).groupBy("training_job_id").agg(F.sort_array(F.collect_list("id")).alias("_ids"))
     result = F.when(F.col("_ids").isNotNull(), F.to_json(F.struct(F.col("_ids").alias("partial_candidate_model_version_ids"))))
     joined = job.join(made, job["id"] == made["training_job_id"], "left")
     return joined.select(
         *[
             F.lit("failed").alias(c) if c == "status" else result.alias(c) if c == "result"
-            else error_text(F.lit(error)).alias(c) if c == "error_message" else as_of.alias(c) if c == "finished_at" else job[c]
+            else error_text(error).alias(c) if c == "error_message" else as_of.alias(c) if c == "finished_at" else job[c]
             for c in job.columns
         ]
     )

@@ -106,6 +106,12 @@ SELECTS: dict[str, str] = {
                      o_orderkey % 3 AS seed, CAST(o_custkey % 120 AS STRING) AS version,
                      CAST(floor(o_totalprice / 100) AS BIGINT) AS seconds, o_orderdate AS created_at
               FROM {orders}) o""",
+    # What training jobs left behind: an order's first three lines stand for the three algorithms.
+    "job_candidates": """
+        SELECT concat('c', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS id, CAST(l_orderkey AS STRING) AS training_job_id,
+               CASE WHEN l_linenumber = 1 THEN 'logistic_regression' WHEN l_linenumber = 2 THEN 'random_forest' ELSE 'xgboost' END AS algorithm,
+               CAST(l_linenumber AS INT) AS ordinal, max(l_quantity) / 64 AS roc_auc
+        FROM {lineitem} WHERE l_linenumber <= 3 GROUP BY l_orderkey, l_linenumber""",
     "access_log": """
         SELECT event_id, ts, CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END AS method,
                concat('/', event_type) AS endpoint,

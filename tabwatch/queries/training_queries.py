@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwatch.plans import jobs as jobs_plan
 from tabwatch.plans import scoring, train
 from tabwatch.queries import feature_queries
 from tabwatch.queries.feature_queries import _RAW, SPEC, raw_rows
@@ -74,7 +75,67 @@ def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.outcomes(log, refused, "row_key", SPEC.contract.labels)
 
 
-QUERIES = {f.__name__: f for f in (train_lr, train_rf, train_gbt, train_and_register, batch_score)}
+def _jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "jobs").withColumn("result", F.lit(None).cast("string"))
+
+
+def _stored_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is in the storage: some datasets' files are missing, some have changed."""
+    return load(spark, sf_dir, "datasets").where("n_rows % 110 <> 0").selectExpr(
+        "storage_path", "CASE WHEN n_rows % 70 = 0 THEN md5(content_hash) ELSE content_hash END AS sha256"
+    )
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates left behind by jobs: an order's first lines, at most one for each algorithm."""
+    return load(spark, sf_dir, "job_candidates").withColumn("metrics", F.struct("roc_auc"))
+
+
+def _after_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs, candidates = _jobs(spark, sf_dir), _candidates(spark, sf_dir)
+    steps = jobs_plan.training_steps(jobs, load(spark, sf_dir, "datasets"), _stored_files(spark, sf_dir), candidates)
+    return jobs_plan.advance_training(jobs, steps, candidates, moment(NOW)).where("job_type = 'train'")
+
+
+def _plain(field: str) -> F.Column:
+    return F.translate(F.get_json_object("result", f"$.{field}"), '[]"', "").alias(field)
+
+
+def _times() -> list:
+    return [(F.col("started_at") == moment(NOW)).alias("just_started"), (F.col("finished_at") == moment(NOW)).alias("just_finished")]
+
+
+def jobs_after_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training jobs that did not fail, after open ones were advanced by the candidates they left behind."""
+    done = _after_training(spark, sf_dir).where("status <> 'failed'")
+    fields = ("candidate_model_version_ids", "algorithms_trained", "best_algorithm", "best_model_version_id")
+    auc = F.get_json_object("result", "$.best_test_roc_auc").cast("double").alias("best_test_roc_auc")
+    return done.select("id", "status", *map(_plain, fields), auc, *_times())
+
+
+def jobs_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failed training jobs with the reason and the candidates left behind, those included that the check of files stops."""
+    failed = _after_training(spark, sf_dir).where("status = 'failed'")
+    return failed.select("id", "error_message", _plain("partial_candidate_model_version_ids"), *_times())
+
+
+def jobs_after_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All batch jobs, open ones advanced by what the prediction log holds of them."""
+    done = jobs_plan.advance_scoring(_jobs(spark, sf_dir), load(spark, sf_dir, "model_versions"), load(spark, sf_dir, "predictions"), moment(NOW))
+    return done.where("job_type = 'batch_predict'").select("id", "status", "result", "error_message", *_times())
+
+
+def batch_prediction_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.batch_result(load(spark, sf_dir, "predictions"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        train_lr, train_rf, train_gbt, train_and_register, batch_score, jobs_after_training, jobs_after_failure, jobs_after_scoring,
+        batch_prediction_ids,
+    )
+}
 
 
 def outcome_sql(request: str) -> str:
@@ -91,6 +152,29 @@ def _report_sql(algorithm: str) -> str:
         FROM ({SPLIT_SQL}) s WHERE split <> 'train' GROUP BY split"""
 
 
+def _advanced_sql(body: str) -> str:
+    """Training jobs with the error that stops an open one and the candidates it has."""
+    return with_tables(
+        f"""WITH made AS (
+            SELECT training_job_id AS job, string_agg(id, ',' ORDER BY ordinal, id) AS ids, string_agg(id, ',' ORDER BY id) AS ids_by_name,
+                string_agg(algorithm, ',' ORDER BY ordinal, id) AS algorithms, count(DISTINCT algorithm) AS n_made,
+                max(CASE WHEN algorithm = 'xgboost' THEN 1 ELSE 0 END) AS boosted, max(roc_auc) AS best_auc,
+                first(algorithm ORDER BY roc_auc DESC, ordinal) AS best_algorithm, first(id ORDER BY roc_auc DESC, ordinal) AS best_id
+            FROM job_candidates GROUP BY 1),
+        advanced AS (
+            SELECT j.id, j.error_message, m.*, CASE WHEN j.status IN ('queued', 'running') THEN 'open' ELSE j.status END AS now, j.status = 'queued' AS began,
+                CASE WHEN j.payload LIKE '%null%' THEN 3 - coalesce(n_made, 0) ELSE 1 - coalesce(boosted, 0) END AS missing,
+                CASE WHEN j.status NOT IN ('queued', 'running') THEN NULL
+                    WHEN d.id IS NULL THEN concat('Dataset ', j.dataset_id, ' not found.')
+                    WHEN NOT d.is_valid THEN concat('Dataset ', d.id, ' failed validation at ingestion and cannot be used for training.')
+                    WHEN d.n_rows % 110 = 0 THEN concat('Dataset file is missing: ', d.storage_path)
+                    WHEN d.n_rows % 70 = 0 THEN concat('Dataset ', d.id, ' content hash mismatch: recorded ', content_hash, ', file on disk now hashes to ',
+                        md5(content_hash), '. The file may have been modified since ingestion — refusing to train on it.') END AS error
+            FROM jobs j LEFT JOIN datasets d ON d.id = j.dataset_id LEFT JOIN made m ON m.job = j.id WHERE j.job_type = 'train')
+        {body}""", "jobs", "datasets", "job_candidates",
+    )
+
+
 ORACLES = {
     "train_lr": _report_sql("logistic_regression"),
     "train_rf": _report_sql("random_forest"),
@@ -101,4 +185,33 @@ ORACLES = {
         "model_versions",
     ),
     "batch_score": outcome_sql("batch-1"),
+    "jobs_after_training": _advanced_sql(
+        """SELECT id, CASE WHEN now = 'open' THEN CASE WHEN missing = 0 THEN 'completed' ELSE 'running' END ELSE now END AS status,
+            CASE WHEN complete THEN ids END AS candidate_model_version_ids, CASE WHEN complete THEN algorithms END AS algorithms_trained,
+            CASE WHEN complete THEN best_algorithm END AS best_algorithm, CASE WHEN complete THEN best_id END AS best_model_version_id,
+            CASE WHEN complete THEN best_auc END AS best_test_roc_auc,
+            CASE WHEN now = 'queued' THEN NULL WHEN began THEN TRUE ELSE FALSE END AS just_started, CASE WHEN complete THEN TRUE WHEN now = 'completed' THEN FALSE END AS just_finished
+        FROM (SELECT *, now = 'open' AND missing = 0 AS complete FROM advanced WHERE error IS NULL AND now <> 'failed') x"""
+    ),
+    "jobs_after_failure": _advanced_sql(
+        """SELECT id, CASE WHEN now = 'failed' THEN error_message ELSE error END AS error_message,
+            CASE WHEN now = 'open' THEN ids_by_name END AS partial_candidate_model_version_ids,
+            CASE WHEN began THEN TRUE ELSE FALSE END AS just_started, now = 'open' AS just_finished
+        FROM advanced WHERE now = 'failed' OR error IS NOT NULL"""
+    ),
+    "jobs_after_scoring": with_tables(
+        f"""SELECT id, CASE WHEN NOT is_open THEN status WHEN gone THEN 'failed' WHEN n >= size THEN 'completed' ELSE 'running' END AS status,
+            CASE WHEN is_open AND NOT gone AND n >= size THEN concat('{{"n_processed":', CAST(n AS VARCHAR), '}}') END AS result,
+            CASE WHEN is_open AND gone THEN concat('Pinned model version ', version, ' no longer exists.') ELSE error_message END AS error_message,
+            status = 'queued' AS just_started,
+            CASE WHEN is_open THEN CASE WHEN gone OR n >= size THEN TRUE END ELSE FALSE END AS just_finished
+        FROM (SELECT j.*, status IN ('queued', 'running') AS is_open, o_orderkey % 3 + 1 AS size, CAST(o_custkey % 120 AS VARCHAR) AS version,
+                  CAST(o_custkey % 120 AS VARCHAR) NOT IN (SELECT id FROM model_versions) AS gone, p.n
+              FROM jobs j JOIN orders ON j.id = CAST(o_orderkey AS VARCHAR)
+              LEFT JOIN (SELECT request_id, count(*) AS n FROM predictions GROUP BY 1) p ON p.request_id = j.id
+              WHERE job_type = 'batch_predict') x""", "jobs", "model_versions", "predictions",
+    ),
+    "batch_prediction_ids": with_tables(
+        "SELECT request_id, id AS prediction_id, count(*) OVER (PARTITION BY request_id) AS n_processed FROM predictions", "predictions"
+    ),
 }

@@ -75,16 +75,37 @@ def integrity(requested: DataFrame, datasets: DataFrame, hashes: DataFrame) -> D
     `requested` has dataset_id; `hashes` has storage_path and sha256 of what is stored now. The first
     failing check names the status: not_found, invalid, missing_file, hash_mismatch, else ok.
     """
-    known = datasets.select(F.col("id").alias("dataset_id"), "is_valid", "storage_path", "content_hash", F.lit(True).alias("_known"))
-    now = hashes.select("storage_path", F.col("sha256").alias("_now"))
+    return _compared(requested, datasets, hashes).select(*requested.columns, "status")
+
+
+def integrity_errors(requested: DataFrame, datasets: DataFrame, hashes: DataFrame) -> DataFrame:
+    """`requested` with the `error` that stops a training job, null where its dataset may be used."""
+    named = F.concat(F.lit("Dataset "), F.coalesce("dataset_id", F.lit("None")))
+    # The messages of refused training jobs.
+    error = (
+        F.when(F.col("status") == "not_found", F.concat(named, F.lit(" not found.")))
+        .when(F.col("status") == "invalid", F.concat(named, F.lit(" failed validation at ingestion and cannot be used for training.")))
+        .when(F.col("status") == "missing_file", F.concat(F.lit("Dataset file is missing: "), "_path"))
+        .when(F.col("status") == "hash_mismatch", F.concat(
+            named, F.lit(" content hash mismatch: recorded "), "_recorded", F.lit(", file on disk now hashes to "), "_now",
+            F.lit(". The file may have been modified since ingestion — refusing to train on it."),
+        ))
+    )
+    return _compared(requested, datasets, hashes).select(*requested.columns, error.alias("error"))
+
+
+def _compared(requested: DataFrame, datasets: DataFrame, hashes: DataFrame) -> DataFrame:
+    known = datasets.select(
+        F.col("id").alias("_id"), F.col("is_valid").alias("_valid"), F.col("storage_path").alias("_path"),
+        F.col("content_hash").alias("_recorded"), F.lit(True).alias("_known"),
+    )
+    now = hashes.select(F.col("storage_path").alias("_at"), F.col("sha256").alias("_now"))
     status = (
         F.when(F.col("_known").isNull(), "not_found")
-        .when(~F.col("is_valid"), "invalid")
+        .when(~F.col("_valid"), "invalid")
         .when(F.col("_now").isNull(), "missing_file")
-        .when(F.col("_now") != F.col("content_hash"), "hash_mismatch")
+        .when(F.col("_now") != F.col("_recorded"), "hash_mismatch")
         .otherwise("ok")
     )
-    return (
-        requested.join(known, "dataset_id", "left").join(now, "storage_path", "left")
-        .select(*requested.columns, status.alias("status"))
-    )
+    found = requested.join(known, F.col("dataset_id") == F.col("_id"), "left").join(now, F.col("_path") == F.col("_at"), "left")
+    return found.withColumn("status", status)
