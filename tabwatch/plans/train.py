@@ -19,7 +19,7 @@ from tabwatch.functions.text import error_text
 from tabwatch.operators import evaluate, registry
 from tabwatch.operators.features import FeatureSpec, FittedStatistics, feature_rows, fit_statistics
 from tabwatch.operators.split import class_weights, stratified_split
-from tabwatch.schema import ALGORITHMS, METRICS, RUNS, TrainingConfig
+from tabwatch.schema import ALGORITHMS, METRICS, RUNS, DatasetContract, TrainingConfig
 from tabwatch.sources import tables
 
 PREPROCESSING = "numeric: median-impute + standard-scale; categorical: most-frequent-impute + one-hot"  # fixed value
@@ -219,6 +219,12 @@ def train_models(
     return TrainingOutcome(models, fixed, sizes)
 
 
+def input_sample(raw: DataFrame, contract: DatasetContract, key: Sequence[str], rows: int = 3) -> list[dict[str, str | None]]:
+    """The raw features of the first rows by `key`, as a run records them. A table has no order of its own."""
+    features = [F.col(c).cast("string").alias(c) for c in contract.features]
+    return [r.asDict() for r in raw.orderBy(*key, *contract.features).limit(rows).select(*features).collect()]
+
+
 def train_and_register(
     raw: DataFrame,
     versions: DataFrame,
@@ -249,6 +255,7 @@ def train_and_register(
     }
     common = {"test_size": str(config.test_size), "val_size": str(config.val_size), "random_state": str(config.random_state), "preprocessing": PREPROCESSING}
     sizes = {f"n_{split}_rows": str(n) for split, n in outcome.sizes.items()}
+    sample = input_sample(raw, spec.contract, key or [spec.contract.id_column])
     run_rows, candidate_rows = [], []
     for ordinal, trained in enumerate(outcome.models):
         run_id = uuid.uuid4().hex
@@ -260,7 +267,7 @@ def train_and_register(
         }
         if job_id is not None:
             tags["training_job_id"] = job_id
-        run_rows.append((run_id, tags, {**trained.hyperparams, **common, **sizes}, {**flat[trained.algorithm, "val"], **flat[trained.algorithm, "test"]}))
+        run_rows.append((run_id, tags, {**trained.hyperparams, **common, **sizes}, {**flat[trained.algorithm, "val"], **flat[trained.algorithm, "test"]}, sample))
         candidate_rows.append((uuid.uuid4().hex, trained.algorithm, run_id, "0", uri, git_commit, {**trained.hyperparams, **common}, dataset_id, job_id, ordinal))
     tables.append(spark.createDataFrame(run_rows, RUNS), f"{root}/runs")
     made = spark.createDataFrame(

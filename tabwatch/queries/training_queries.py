@@ -10,7 +10,7 @@ from tabwatch.plans import scoring, train
 from tabwatch.queries import feature_queries
 from tabwatch.queries.feature_queries import _RAW, SPEC, raw_rows
 from tabwatch.queries.tables import load, moment, with_tables
-from tabwatch.schema import TrainingConfig
+from tabwatch.schema import RUNS, TrainingConfig
 from tabwatch.session import new_workspace
 
 CONFIG = TrainingConfig(random_forest_n_estimators=10, random_forest_max_depth=6, xgboost_n_estimators=8, xgboost_max_depth=3)
@@ -61,6 +61,19 @@ def train_and_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registered.select("version_label", "algorithm", "stage", "dataset_id", "training_job_id")
 
 
+def training_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs that a training job records, read back: what was trained on what, its metrics' names, its first input rows."""
+    root = new_workspace(spark, "train")
+    _registered(spark, sf_dir, root)
+    runs = spark.read.schema(RUNS).parquet(f"{root}/runs")
+    values = F.transform("input_sample", lambda m: F.array_join(F.array(*[m[c] for c in SPEC.contract.features]), "|", "-"))
+    return runs.select(
+        *[F.col("tags")[t].alias(t) for t in ("algorithm", "dataset_id", "dataset_content_hash", "schema_name", "training_job_id")],
+        *[F.col("params")[p].cast("bigint").alias(p) for p in ("n_train_rows", "n_val_rows", "n_test_rows")],
+        F.array_join(F.sort_array(F.map_keys("metrics")), ",").alias("metric_names"), F.array_join(values, ";").alias("input_sample"),
+    )
+
+
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items scored by a freshly trained, saved and re-loaded model: the log read back, and the refused records."""
     root = new_workspace(spark, "score")
@@ -132,7 +145,7 @@ def batch_prediction_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        train_lr, train_rf, train_gbt, train_and_register, batch_score, jobs_after_training, jobs_after_failure, jobs_after_scoring,
+        train_lr, train_rf, train_gbt, train_and_register, training_runs, batch_score, jobs_after_training, jobs_after_failure, jobs_after_scoring,
         batch_prediction_ids,
     )
 }
@@ -147,6 +160,13 @@ def outcome_sql(request: str) -> str:
           FROM ({_RAW.format(lineitem='lineitem')}) raw) r"""
 
 
+_SCALARS = ("accuracy", "confusion_matrix_false_negative", "confusion_matrix_false_positive", "confusion_matrix_true_negative",
+            "confusion_matrix_true_positive", "f1", "precision", "recall", "roc_auc")
+_METRIC_NAMES = ",".join(f"{split}_{m}" for split in ("test", "val") for m in _SCALARS)
+_VALUES = ", ".join(f"coalesce({c}, '-')" for c in SPEC.contract.features)
+_NULLS_FIRST = ", ".join(f"{c} NULLS FIRST" for c in SPEC.contract.features)
+
+
 def _report_sql(algorithm: str) -> str:
     return f"""SELECT '{algorithm}' AS algorithm, split, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(label) AS BIGINT) AS n_positive, TRUE AS learned
         FROM ({SPLIT_SQL}) s WHERE split <> 'train' GROUP BY split"""
@@ -184,6 +204,12 @@ ORACLES = {
         UNION ALL SELECT concat('v', CAST(count(*) + 1 AS VARCHAR)), 'logistic_regression', 'candidate', '1', '1' FROM model_versions""",
         "model_versions",
     ),
+    "training_runs": f"""SELECT 'logistic_regression' AS algorithm, '1' AS dataset_id, 'x' AS dataset_content_hash, '{SPEC.contract.name}' AS schema_name,
+            '1' AS training_job_id, n_train_rows, n_val_rows, n_test_rows, '{_METRIC_NAMES}' AS metric_names, input_sample
+        FROM (SELECT count(*) FILTER (split = 'train') AS n_train_rows, count(*) FILTER (split = 'val') AS n_val_rows,
+                  count(*) FILTER (split = 'test') AS n_test_rows FROM ({SPLIT_SQL}) s) n,
+             (SELECT string_agg(concat_ws('|', {_VALUES}), ';' ORDER BY place) AS input_sample
+              FROM (SELECT *, row_number() OVER (ORDER BY row_key, {_NULLS_FIRST}) AS place FROM ({_RAW.format(lineitem='lineitem')}) r) WHERE place <= 3) f""",
     "batch_score": outcome_sql("batch-1"),
     "jobs_after_training": _advanced_sql(
         """SELECT id, CASE WHEN now = 'open' THEN CASE WHEN missing = 0 THEN 'completed' ELSE 'running' END ELSE now END AS status,
