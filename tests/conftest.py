@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,7 @@ def spark():
     session = build_session(
         "tests", "local[8]",
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-           "spark.driver.memory": "8g"},
+           "spark.driver.memory": "8g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tests-")},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
