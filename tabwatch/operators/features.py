@@ -14,6 +14,11 @@ from tabwatch.schema import CHURN, DatasetContract
 from tabwatch.session import stored
 
 
+#: Places of a column with too many categories to list. Spark keeps a name for each place of a vector in the plan,
+#: so this stays in the thousands.
+HASHED_POSITIONS = 1 << 13
+
+
 @dataclass(frozen=True)
 class FeatureSpec:
     """A contract plus its engineered numeric columns.
@@ -120,20 +125,24 @@ class FittedStatistics:
     mean: dict[str, float]
     std: dict[str, float]
     mode: dict[str, str]
+    n_categories: dict[str, int]
 
 
 def fit_statistics(train: DataFrame, spec: FeatureSpec) -> FittedStatistics:
     """Collects one row per column of the contract; nothing here grows with the data."""
     numeric = {r["feature"]: r for r in numeric_statistics(train, spec.numeric).collect()} if spec.numeric else {}
-    modes = {}
+    columns = {}
     if spec.categorical:
-        top = category_statistics(train, spec.categorical).where("is_mode").select("feature", "value")
-        modes = {r["feature"]: r["value"] for r in top.collect()}
+        summary = category_statistics(train, spec.categorical).groupBy("feature").agg(
+            F.max(F.when(F.col("is_mode"), F.col("value"))).alias("mode"), F.count(F.lit(1)).alias("n_categories")
+        )
+        columns = {r["feature"]: r for r in summary.collect()}
     return FittedStatistics(
         median={f: r["median"] for f, r in numeric.items()},
         mean={f: r["mean"] for f, r in numeric.items()},
         std={f: r["std"] for f, r in numeric.items()},
-        mode=modes,
+        mode={f: r["mode"] for f, r in columns.items()},
+        n_categories={f: r["n_categories"] for f, r in columns.items()},
     )
 
 
@@ -148,6 +157,23 @@ def standardized(df: DataFrame, stats: DataFrame, columns: Sequence[str], keep:
     return long.join(F.broadcast(stats.select("feature", "median", "mean", "std")), "feature").select(*keep, "feature", z.alias("z"))
 
 
+def hashed_position(value: str, positions: int) -> str:
+    """SQL of the place among `positions` that stands for a category: the first 32 bits of its MD5, modulo `positions`."""
+    return f"CAST(conv(substring(md5({value}), 1, 8), 16, 10) AS BIGINT) % {positions}"
+
+
+def hashed_collisions(vocabulary: DataFrame, positions: int = HASHED_POSITIONS) -> DataFrame:
+    """(feature, n_categories, n_positions, n_collided): how many categories share their hashed position with another.
+
+    `vocabulary` is a table as of category_statistics; it stays distributed, whatever the number of categories.
+    """
+    placed = vocabulary.groupBy("feature", F.expr(hashed_position("value", positions)).alias("position")).agg(F.count(F.lit(1)).alias("n"))
+    return placed.groupBy("feature").agg(
+        F.sum("n").alias("n_categories"), F.count(F.lit(1)).alias("n_positions"),
+        F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("n_collided"),
+    )
+
+
 def one_hot(df: DataFrame, vocabulary: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """(keep, feature, category): the single set position of each one-hot block.
 

@@ -17,13 +17,16 @@ from pyspark.sql import functions as F
 
 from tabwatch.functions.text import error_text
 from tabwatch.operators import evaluate, registry
-from tabwatch.operators.features import FeatureSpec, FittedStatistics, feature_rows, fit_statistics
+from tabwatch.operators.features import HASHED_POSITIONS, FeatureSpec, FittedStatistics, feature_rows, fit_statistics, hashed_position
 from tabwatch.operators.split import class_weights, stratified_split
+from tabwatch.plans.newton import NewtonLogisticRegression
 from tabwatch.schema import ALGORITHMS, METRICS, RUNS, DatasetContract, TrainingConfig
 from tabwatch.sources import tables
 
 PREPROCESSING = "numeric: median-impute + standard-scale; categorical: most-frequent-impute + one-hot"  # fixed value
 _DEEPEST = 30  # Spark's limit; stands for "unlimited"
+#: A categorical column with more categories in the training fold is encoded by hashed positions.
+MAX_CATEGORIES = 1024
 
 
 @dataclass(frozen=True)
@@ -48,10 +51,14 @@ class ClassBalance:
 def _logistic_regression(config: TrainingConfig, balance: ClassBalance):
     # The penalised sum of weighted losses, C * sum(loss) + |b|^2 / 2, in terms of the weighted mean.
     total_weight = balance.n_neg * balance.weight_neg + balance.n_pos * balance.weight_pos
-    return LogisticRegression(
+    penalty = 1.0 / config.logistic_regression_c
+    general = LogisticRegression(
         maxIter=config.logistic_regression_max_iter, elasticNetParam=0.0, tol=1e-8, standardization=False,
-        regParam=1.0 / (config.logistic_regression_c * total_weight), weightCol="_balanced",
+        regParam=penalty / total_weight, weightCol="_balanced",
     )
+    if not (balance.n_neg and balance.n_pos):
+        return general  # with one label only the best intercept is infinite, which Spark's solver knows
+    return NewtonLogisticRegression(penalty, config.logistic_regression_max_iter, "_balanced", wide=general)
 
 
 def _random_forest(config: TrainingConfig, balance: ClassBalance):
@@ -106,7 +113,9 @@ def preprocessing(spec: FeatureSpec, stats: FittedStatistics) -> Pipeline:
     """Impute, scale and one-hot encode to a `features` vector.
 
     The numeric block is SQL with the fitted numbers written in, so a saved pipeline needs no code of
-    ours. Categories unseen in training encode to an all-zero block.
+    ours. Categories unseen in training encode to an all-zero block. A column with more than MAX_CATEGORIES
+    categories is not indexed, which would take its categories to the driver: they get hashed positions, which
+    some share (operators.features.hashed_collisions counts them), unseen ones as well.
     """
     scaled = [
         f"(coalesce(`{c}`, {_literal(stats.median[c])}) - {_literal(stats.mean[c])}) / {_literal(stats.std[c])} AS `{c}__z`"
@@ -117,16 +126,24 @@ def preprocessing(spec: FeatureSpec, stats: FittedStatistics) -> Pipeline:
     categorical = [c for c in spec.categorical if c in stats.mode]
     filled = [f"coalesce(`{c}`, {_literal(stats.mode[c])}) AS `{c}__filled`" for c in categorical]
     stages: list[Any] = [SQLTransformer(statement=f"SELECT *, {', '.join([*scaled, *filled])} FROM __THIS__")]
-    if categorical:
+    hashed = [c for c in categorical if stats.n_categories[c] > MAX_CATEGORIES]
+    listed = [c for c in categorical if c not in hashed]
+    if listed:
         stages.append(
             StringIndexer(
-                inputCols=[f"{c}__filled" for c in categorical], outputCols=[f"{c}__index" for c in categorical],
+                inputCols=[f"{c}__filled" for c in listed], outputCols=[f"{c}__index" for c in listed],
                 handleInvalid="keep", stringOrderType="alphabetAsc",
             )
         )
+        stages.append(
+            OneHotEncoder(inputCols=[f"{c}__index" for c in listed], outputCols=[f"{c}__hot" for c in listed], dropLast=True)
+        )
+    if hashed:
+        places = [f"CAST({hashed_position(f'`{c}__filled`', HASHED_POSITIONS)} AS DOUBLE) AS `{c}__place`" for c in hashed]
+        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(places)} FROM __THIS__"))
         stages.append(
             OneHotEncoder(
-                inputCols=[f"{c}__index" for c in categorical], outputCols=[f"{c}__hot" for c in categorical], dropLast=True
+                inputCols=[f"{c}__place" for c in hashed], outputCols=[f"{c}__hot" for c in hashed], dropLast=True, handleInvalid="keep"
             )
         )
     stages.append(

@@ -83,6 +83,11 @@ def one_hot_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.one_hot(typed_rows(spark, sf_dir), vocabulary, SPEC.categorical, ["row_key"])
 
 
+def hashed_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shared positions if columns were hashed: one with as many categories as rows, one with a few."""
+    return features.hashed_collisions(features.category_statistics(_train(spark, sf_dir), ["row_key", "flag"]))
+
+
 def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.class_weights(_train(spark, sf_dir)).select("n_neg", "n_pos", *r6("weight_neg", "weight_pos", "scale_pos_weight"))
 
@@ -113,7 +118,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         engineered_features, stratified_split, split_sizes, fit_statistics, category_statistics, standardized_features,
-        one_hot_features, class_weights, confusion_matrix, classification_metrics, roc_auc,
+        one_hot_features, hashed_categories, class_weights, confusion_matrix, classification_metrics, roc_auc,
     )
 }
 
@@ -162,6 +167,11 @@ ORACLES = {
         filled AS (SELECT row_key, 'flag' AS feature, coalesce(flag, (SELECT flag FROM seen WHERE flag IS NOT NULL GROUP BY flag ORDER BY count(*) DESC, flag LIMIT 1)) AS category FROM typed
           UNION ALL SELECT row_key, 'status', status FROM typed)
         SELECT * FROM filled WHERE (feature = 'flag' AND category IN (SELECT flag FROM seen)) OR (feature = 'status' AND category IN (SELECT status FROM seen))""",
+    "hashed_categories": f"""WITH {_TYPED}, c AS (SELECT DISTINCT 'row_key' AS feature, row_key AS value FROM train
+          UNION ALL SELECT DISTINCT 'flag', flag FROM train WHERE flag IS NOT NULL),
+        p AS (SELECT feature, CAST('0x' || substr(md5(value), 1, 8) AS BIGINT) % {features.HASHED_POSITIONS} AS position, count(*) AS n FROM c GROUP BY 1, 2)
+        SELECT feature, CAST(sum(n) AS BIGINT) AS n_categories, CAST(count(*) AS BIGINT) AS n_positions,
+          CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS n_collided FROM p GROUP BY 1""",
     "class_weights": f"""WITH {_TYPED}, c AS (SELECT count(*) FILTER (label = 0) AS a, count(*) FILTER (label = 1) AS b FROM train)
         SELECT CAST(a AS BIGINT) AS n_neg, CAST(b AS BIGINT) AS n_pos, round((a + b) / (2.0 * a), 6) AS weight_neg, round((a + b) / (2.0 * b), 6) AS weight_pos,
         round(CAST(a AS DOUBLE) / b, 6) AS scale_pos_weight FROM c""",
