@@ -78,6 +78,15 @@ def file_existence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.existing(catalog, listed, _segment(F.col("path"))).select("id", "storage_path", "file_exists")
 
 
+def artifact_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs with a model file in a listing that has other files, and files of no run, as well."""
+    listing = load(spark, sf_dir, "lineitem").selectExpr(
+        """concat('artifacts/', CASE WHEN l_orderkey % 5 = 0 THEN '' ELSE CAST(l_orderkey AS STRING) END,
+            CASE WHEN l_linenumber % 2 = 0 THEN '/model/part-' ELSE '/logs/' END, l_linenumber) AS path"""
+    )
+    return files.verified_runs(listing, F.regexp_extract("path", "^artifacts/([^/]*)/model/", 1))
+
+
 def landing_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lines of two datasets landed, one of them twice, and counted per dataset."""
     path = new_workspace(spark, "landing")
@@ -135,7 +144,7 @@ def access_log_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        raw_csv_roundtrip, corrupt_rows, file_admission, file_fingerprints, integrity_check, file_existence, landing_sink,
+        raw_csv_roundtrip, corrupt_rows, file_admission, file_fingerprints, integrity_check, file_existence, artifact_runs, landing_sink,
         dataset_ingest, prediction_log_append, registry_publish, access_log_json,
     )
 }
@@ -143,6 +152,7 @@ QUERIES = {
 _LINE = "concat(CAST(c_custkey AS STRING), ',', c_name)"
 
 ORACLES = {
+    "artifact_runs": "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS run_id FROM lineitem WHERE l_orderkey % 5 <> 0 AND l_linenumber % 2 = 0",
     "raw_csv_roundtrip": with_tables(
         """SELECT line_id, quantity, discount, nullif(tax, '') AS tax, linestatus, flag, supplier_hint,
         concat('said "', supplier_hint, '", then', chr(10), line_id, ' left') AS note FROM raw_lines""", "raw_lines"

@@ -79,6 +79,15 @@ def quality_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("check", "severity", "message", "position", F.array_join(F.map_keys("details"), ",").alias("keys"))
 
 
+def quality_small_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uploads of growing size, checked in one job; those below the least number of rows."""
+    order = F.split_part("line_id", F.lit("-"), F.lit(1)).cast("bigint")
+    uploads = _raw(spark, sf_dir).withColumn("upload", F.floor(F.sqrt(order)).cast("string"))
+    found = quality.issues(uploads, CONTRACT, by=["upload"]).where(F.col("check") == "minimum_row_count")
+    counts = [F.col("details")[k].cast("bigint").alias(k) for k in ("row_count", "minimum_required")]
+    return found.select("upload", "check", "severity", "message", *counts)
+
+
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = quality.report(_raw(spark, sf_dir), CONTRACT)
     return nested.select(
@@ -107,7 +116,7 @@ QUERIES = {
     for f in (
         quality_profile, quality_missing, quality_non_numeric, quality_duplicate_ids, quality_duplicate_rows,
         quality_duplicate_flags, quality_class_balance, quality_label_issues, quality_column_issues,
-        quality_issues, quality_report, quality_na_tokens, row_contract_violations,
+        quality_issues, quality_small_uploads, quality_report, quality_na_tokens, row_contract_violations,
     )
 }
 
@@ -162,6 +171,12 @@ _ISSUES = """
           WHERE EXISTS (SELECT 1 FROM prof WHERE metric = 'label' AND name NOT IN ('R', 'N'))"""
 
 ORACLES = {
+    "quality_small_uploads": _sql(
+        """SELECT CAST(CAST(floor(sqrt(CAST(split_part(line_id, '-', 1) AS BIGINT))) AS BIGINT) AS VARCHAR) AS upload, 'minimum_row_count' AS "check",
+            'error' AS severity, concat('Dataset has ', count(*), ' rows; at least 50 are required for training.') AS message,
+            CAST(count(*) AS BIGINT) AS row_count, CAST(50 AS BIGINT) AS minimum_required
+        FROM raw_lines GROUP BY 1 HAVING count(*) < 50"""
+    ),
     "quality_profile": _sql(_PROFILE),
     "quality_missing": _sql(
         f"""SELECT name AS column_name, CAST(value AS BIGINT) AS missing_count,

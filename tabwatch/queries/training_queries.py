@@ -74,6 +74,14 @@ def training_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def run_hyperparameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parameters recorded for each algorithm at the declared sizes, one row each; one follows from the training fold."""
+    fold = feature_queries.stratified_rows(spark, sf_dir).where("split = 'train'")
+    scale = train.ClassBalance.of(fold).scale_pos_weight
+    rows = [(a, name, value) for a in train.ESTIMATORS for name, value in train.hyperparameters(a, TrainingConfig(), scale).items()]
+    return spark.createDataFrame(rows, "algorithm string, name string, value string")
+
+
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items scored by a freshly trained, saved and re-loaded model: the log read back, and the refused records."""
     root = new_workspace(spark, "score")
@@ -145,7 +153,7 @@ def batch_prediction_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        train_lr, train_rf, train_gbt, train_and_register, training_runs, batch_score, jobs_after_training, jobs_after_failure, jobs_after_scoring,
+        train_lr, train_rf, train_gbt, train_and_register, training_runs, run_hyperparameters, batch_score, jobs_after_training, jobs_after_failure, jobs_after_scoring,
         batch_prediction_ids,
     )
 }
@@ -210,6 +218,13 @@ ORACLES = {
                   count(*) FILTER (split = 'test') AS n_test_rows FROM ({SPLIT_SQL}) s) n,
              (SELECT string_agg(concat_ws('|', {_VALUES}), ';' ORDER BY place) AS input_sample
               FROM (SELECT *, row_number() OVER (ORDER BY row_key, {_NULLS_FIRST}) AS place FROM ({_RAW.format(lineitem='lineitem')}) r) WHERE place <= 3) f""",
+    "run_hyperparameters": f"""SELECT * FROM (VALUES
+            ('logistic_regression', 'C', '1.0'), ('logistic_regression', 'max_iter', '1000'), ('logistic_regression', 'class_weight', 'balanced'),
+            ('random_forest', 'n_estimators', '300'), ('random_forest', 'max_depth', 'None'), ('random_forest', 'min_samples_leaf', '2'),
+            ('random_forest', 'class_weight', 'balanced'), ('xgboost', 'n_estimators', '300'), ('xgboost', 'max_depth', '5'),
+            ('xgboost', 'learning_rate', '0.1'), ('xgboost', 'subsample', '0.9')) v(algorithm, name, value)
+        UNION ALL SELECT 'xgboost', 'scale_pos_weight', CAST(round(CAST(count(*) FILTER (label = 0) AS DOUBLE) / count(*) FILTER (label = 1), 4) AS VARCHAR)
+        FROM ({SPLIT_SQL}) s WHERE split = 'train'""",
     "batch_score": outcome_sql("batch-1"),
     "jobs_after_training": _advanced_sql(
         """SELECT id, CASE WHEN now = 'open' THEN CASE WHEN missing = 0 THEN 'completed' ELSE 'running' END ELSE now END AS status,
