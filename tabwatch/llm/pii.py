@@ -2,28 +2,34 @@
 
 Rules find e-mail addresses, IP addresses, card and phone numbers, each from left to right without overlap.
 High-recall generators propose further, overlapping spans that look like one of them. Gradient-boosted trees
-score a candidate by its format and context; they learn from a bounded sample of documents. Spans that a rule
-confirms are rewritten there into forms that it misses, and the candidates on these are the positive ones; those that
-overlap no rule span are the others. A threshold is calibrated on held-out documents.
+score a candidate by its format and context; they learn from all documents, as counts of equal descriptions. Spans
+that a rule confirms are rewritten there into forms that it misses, and the candidates on these are the positive ones;
+those that overlap no rule span are the others. A threshold is calibrated on all documents, each scored by trees that
+learned without it.
 Rule spans always stay; a candidate is added if it passes the threshold and overlaps none of them.
 
 Only built-in expressions are used: the trees become CASE expressions, so that a document is read once, in
-one projection, without a shuffle.
+one projection, without a shuffle; only the counts that the trees learn from are shuffled.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents with a candidate that the trees learn from, about so many; of these every fourth calibrates.
-TRAIN_DOCS = 4000
+#: Parts that the documents are dealt into for the threshold.
+FOLDS = 4
+#: Descriptions that a task works on while trees are learned.
+ROWS = 20_000
 ROUNDS, DEPTH = 12, 3
 #: Least precision on held-out candidates, least number of candidates above the threshold.
 PRECISION, LEAST = 0.98, 20
@@ -201,48 +207,70 @@ def _rewritten(span: Column, hit: Column) -> Column:
     )
 
 
-def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> Trees:
-    """Trees from a bounded sample: documents with a digit or an at-sign in brackets, drawn by a hash of their id.
-
-    Without candidates of both sorts, or if no threshold is precise enough, no candidate is ever added.
-    """
+def _learned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """fold, label, FEATURES, n: how often each description of a candidate to learn from occurs, over all documents."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).where(F.col("text").rlike(r"[0-9]{4}|\.[0-9]|[(\[]at[)\]]"))
-    drawn = F.xxhash64("doc_id", F.lit("pii"))
-    held = rows.select("doc_id").count()
-    if not held:
-        return Trees([], [], None)
-    sample = rows.where(F.pmod(drawn, F.lit(1_000_000)) < int(1_000_000 * min(1.0, train_docs / held)))
-    parts = int(docs.sparkSession.sparkContext.defaultParallelism)
-    spans = sample.withColumn("drawn", drawn).withColumn("rules", rule_spans(F.col("text")))
-    each = spans.select("drawn", "rules", F.explode(candidate_spans(F.col("text"))).alias("c"))
-    missed = each.where(~F.exists("rules", lambda r: _overlaps(r, F.col("c")))).select("drawn", F.lit(0.0).alias("label"), "c")
-    hits = spans.select("drawn", "text", F.explode("rules").alias("r"))
-    hit = F.substring(F.col("text"), F.col("r.start") + 1, F.col("r.end") - F.col("r.start"))
-    before = F.substring(F.col("text"), F.greatest(F.col("r.start") - CONTEXT + 1, F.lit(1)), F.least(F.col("r.start"), F.lit(CONTEXT)))
-    after = F.substring(F.col("text"), F.col("r.end") + 1, F.lit(CONTEXT))
-    forms = hits.select("drawn", "r", before.alias("before"), _rewritten(F.col("r"), hit).alias("form"), after.alias("after")).where("form is not null")
-    forms = forms.select("drawn", "r", F.length("before").alias("start"), F.length("form").alias("n"), F.concat("before", "form", "after").alias("text"))
-    made = forms.select("drawn", "r", "start", "n", F.explode(candidate_spans(F.col("text"))).alias("c"))
+    fold = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit("pii")), F.lit(FOLDS)).cast("int")
+    spans = docs.select(fold.alias("fold"), text.alias("text")).withColumn("rules", rule_spans(F.col("text")))
+    missed = F.filter(candidate_spans(F.col("text")), lambda c: ~F.exists("rules", lambda r: _overlaps(r, c)))
+    missed = spans.select("fold", F.explode(missed).alias("c")).select("fold", F.lit(0.0).alias("label"), "c")
+
+    def form(r: Column) -> Column:
+        text = F.col("text")
+        before = F.substring(text, F.greatest(r["start"] - CONTEXT + 1, F.lit(1)), F.least(r["start"], F.lit(CONTEXT)))
+        new, after = _rewritten(r, F.substring(text, r["start"] + 1, r["end"] - r["start"])), F.substring(text, r["end"] + 1, F.lit(CONTEXT))
+        return F.struct(r["rank"].alias("rank"), F.length(before).alias("start"), F.length(new).alias("n"), F.concat(before, new, after).alias("text"))
+
+    forms = spans.select("fold", F.explode(F.transform("rules", form)).alias("f")).where("f.text is not null").select("fold", "f.*")
+    made = forms.select("fold", "rank", "start", "n", F.explode(candidate_spans(F.col("text"))).alias("c"))
     made = made.where((F.col("c.start") < F.col("start") + F.col("n")) & (F.col("start") < F.col("c.end")))
-    each = missed.unionByName(made.select("drawn", (F.col("c.rank") == F.col("r.rank")).cast("double").alias("label"), "c"))
-    table = each.select((F.pmod("drawn", F.lit(4)) == 3).alias("held"), "label", *[F.col(f"c.{f}") for f in FEATURES])
-    table = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(table).coalesce(parts).persist()
-    sorts = {r["label"] for r in table.where("not held").groupBy("label").count().collect()}
-    if len(sorts) < 2:
+    made = made.select("fold", (F.col("c.rank") == F.col("rank")).cast("double").alias("label"), "c")
+    return missed.unionByName(made).select("fold", "label", *[F.col(f"c.{f}") for f in FEATURES]).groupBy("fold", "label", *FEATURES).agg(F.count("*").cast("double").alias("n"))
+
+
+def _boosted(table: DataFrame, rows: int, most: int) -> Trees:
+    """Trees from rows that count n times each. rows: no fewer than there are; most: the greatest value of a feature, all being counts.
+
+    Spark looks for the limits of splits in max(maxBins ** 2, 10 000) rows and tries each value if these are fewer than
+    maxBins: with so many bins that is every value in all rows. (46 340: the square stays an int.)
+    """
+    bins = min(max(64, math.isqrt(rows) + 1, most + 2), 46_340)
+    model = GBTClassifier(featuresCol="features", labelCol="label", weightCol="n", maxIter=ROUNDS, maxDepth=DEPTH, maxBins=bins, seed=6).fit(table)
+    return Trees(_parse(model.toDebugString), list(model.treeWeights), None)
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Trees:
+    """Trees that learned from all documents, and a threshold that all documents calibrated.
+
+    For the threshold the documents are dealt into folds by a hash of their id, and trees that learned from the other
+    folds score each. Without candidates of both sorts outside of every fold, or if no threshold is precise enough, no
+    candidate is ever added.
+    """
+    learned = _learned(docs, id_col, text_col).persist()
+    sorts = learned.groupBy("fold", "label").agg(F.count("*").alias("rows"), F.max(F.greatest(*FEATURES)).alias("most")).collect()
+    rows, most = sum(r["rows"] for r in sorts), int(max((r["most"] for r in sorts), default=0))
+    table = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(learned.coalesce(rows // ROWS + 1)).persist()
+    try:
+        if len({r["label"] for r in sorts}) < 2:
+            return Trees([], [], None)
+        folds = [f for f in range(FOLDS) if len({r["label"] for r in sorts if r["fold"] != f}) == 2]
+        parts = [table, *[table.where(F.col("fold") != f) for f in folds]]
+        with ThreadPool(len(parts)) as pool:  # each waits for many short jobs
+            trees, *others = pool.map(inheritable_thread_target(docs.sparkSession)(lambda part: _boosted(part, rows, most)), parts)
+        if len(folds) < FOLDS:
+            return trees
+        margins = [F.when(F.col("fold") == f, t.margin(F.struct(*FEATURES))) for f, t in zip(folds, others, strict=True)]
+        levels = table.select(F.floor(F.coalesce(*margins) * 20).alias("level"), "label", "n")
+        levels = levels.groupBy("level").agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n"))
+        good = n = 0
+        for row in levels.orderBy(F.desc("level")).collect():
+            good, n = good + row["good"], n + row["n"]
+            if n >= LEAST and good >= PRECISION * n:
+                trees.threshold = row["level"] / 20
+        return trees
+    finally:
         table.unpersist()
-        return Trees([], [], None)
-    model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=ROUNDS, maxDepth=DEPTH, maxBins=32, seed=6).fit(table.where("not held"))
-    trees = Trees(_parse(model.toDebugString), list(model.treeWeights), None)
-    margin = trees.margin(F.struct(*FEATURES))
-    levels = table.where("held").groupBy(F.floor(margin * 20).alias("level")).agg(F.sum("label").alias("good"), F.count("*").alias("n"))
-    good = n = 0
-    for row in levels.orderBy(F.desc("level")).collect():
-        good, n = good + row["good"], n + row["n"]
-        if n >= LEAST and good >= PRECISION * n:
-            trees.threshold = row["level"] / 20
-    table.unpersist()
-    return trees
+        learned.unpersist()
 
 
 def _joined(spans: Column) -> Column:

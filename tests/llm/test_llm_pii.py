@@ -3,6 +3,8 @@ import random
 import re
 
 from llm_fixtures import documents, empty, frame, prose
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
 
 from tabwatch.llm import pii
 
@@ -123,3 +125,33 @@ def test_fitted_threshold_adds_what_the_rules_miss(spark):
     rows = [(k, t, "en", "a", 0, *["x"] * 9) for k, t in texts.items()]
     spans = {r["doc_id"]: r["spans"] for r in check(rows, trees, spark)}
     assert "email" in spans[7000] and "phone" in spans[7001] and spans[7002] == ""
+
+
+def test_every_document_is_learned_from(spark):
+    """Among 12 000 documents the rare ones decide the threshold: 48 phone numbers are enough, a third of them are not."""
+    order = F.concat(F.lit("the house of order "), F.col("id") + 1_000_000_000, F.lit(" under people"))
+    phone = F.concat(F.lit("the people call +1 (212) 555-"), F.lpad(F.col("id").cast("string"), 5, "0"), F.lit(" after water"))
+    docs = spark.range(12_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 250 == 0, phone).otherwise(order).alias("text"))
+    counts = {r["label"]: r["n"] for r in pii._learned(docs, "doc_id", "text").groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    assert counts == {0.0: 2 * 11_952 + 48, 1.0: 48}  # a number is proposed as card and as phone
+    assert pii.fit(docs).threshold is not None
+
+
+def test_documents_without_digits_are_learned_from(spark):
+    mail = F.concat(F.lit("write to joe@"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"), F.lit(".example.com now"))
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, mail).otherwise("call 1 2 3 4 5 6 7 8 9 times").alias("text"))
+    trees = pii.fit(docs)
+    assert trees.threshold is not None
+    text = "please write to joe (at) mail.example.com now"
+    assert pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string"), trees).head()["spans"] == "email:16:41"
+
+
+def test_counted_rows_give_the_limits_of_single_rows(spark):
+    """Rows that count n times stand for n rows, and every value that occurs is a limit, in more rows than Spark would look at."""
+    rng = random.Random(3)
+    rows = [(float(k in (7_000, 7_001)), float(k), float(rng.randrange(1, 4))) for k in range(11_000)]
+    table = spark.createDataFrame(rows, "label double, length double, n double")
+    single = table.select("label", "length", F.explode(F.array_repeat(F.lit(1.0), F.col("n").cast("int"))).alias("n"))
+    counted, each = (pii._boosted(VectorAssembler(inputCols=["length"], outputCol="features").transform(t), 33_000, 10_999) for t in (table, single))
+    limits = lambda node: {node[1]} | limits(node[2]) | limits(node[3]) if isinstance(node, tuple) else set()
+    assert {6999.5, 7001.5} <= limits(counted.trees[0]) and limits(counted.trees[0]) == limits(each.trees[0])
