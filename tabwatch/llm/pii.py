@@ -255,7 +255,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Tree
             return Trees([], [], None)
         folds = [f for f in range(FOLDS) if len({r["label"] for r in sorts if r["fold"] != f}) == 2]
         parts = [table, *[table.where(F.col("fold") != f) for f in folds]]
-        with ThreadPool(len(parts)) as pool:  # each waits for many short jobs
+        with ThreadPool(2) as pool:  # each waits for many short jobs; more at once take more of the driver's memory
             trees, *others = pool.map(inheritable_thread_target(docs.sparkSession)(lambda part: _boosted(part, rows, most)), parts)
         if len(folds) < FOLDS:
             return trees
