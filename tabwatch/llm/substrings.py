@@ -9,10 +9,11 @@ share strings with pieces of the same anchor. What pieces share is found in thre
    that differ but share an anchor and such a side, one copy each goes on.
 2. The text of these is fetched and dealt by anchor (strings one by one, if very many pieces share the anchor).
 3. Of equal texts the later ones are removed. Each shard of the others gets a suffix array by Larsson-Sadakane refinement; Kasai's common prefixes mark off the
-   groups of suffixes with LENGTH bytes in common. Shards of a task are merged by binary search of their sorted
+   groups of suffixes with LENGTH bytes in common. Shards of a bucket are merged by binary search of their sorted
    strings in each other's, and strings whose group has a smaller document are removed.
 
-Records travel as parcels, one row for each bucket and batch.
+Records travel as parcels, one row for each bucket and batch. There are many more buckets than tasks: a task gets its
+parcels in the order of their buckets and holds one bucket at a time, so what it holds does not follow its share.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,13 +35,18 @@ from tabwatch.session import stored
 LENGTH, GRAM = 50, 16
 SIDE = (LENGTH - GRAM) // 2
 _SPAN = LENGTH - GRAM + 1  # parts of a string
-#: Bytes of text that one suffix array covers.
-SHARD_BYTES = 4_000_000
+#: Bytes of text that one suffix array covers, and how many such shards are merged at most (more if an anchor has more).
+SHARD_BYTES, MERGED = 1_000_000, 2
 #: An anchor with more different pieces has its strings dealt one by one.
-CROWD = 256
+CROWD = 4096
+#: Parcels of pieces in a batch.
+_AT_ONCE = 512
+#: Least numbers of buckets, by anchor and by row.
+ANCHORS, ROWS = 1024, 200
 #: Bytes worked on at a time; longer texts are read in overlapping stretches.
-_STRETCH = 1_000_000
-_GATHERED, _HELD = 16_000_000, 32_000_000
+_STRETCH = 250_000
+#: Bytes of text whose pieces are gathered, of records and of strings that are gathered before they are sent, and of texts packed at a time.
+_GATHERED, _RECORDS, _HELD, _PACKED = 16_000_000, 4_000_000, 16_000_000, 16_000_000
 _PLACE_BITS = np.uint64(24)
 
 TEXT, REMOVED, FETCH, PIECE, STRINGS = 0, 1, 2, 3, 4
@@ -47,7 +54,7 @@ _PIECE = "u8 u8 i8 u8 u4 u1 u4 u4 u1"  # anchor, piece hash, doc, row, place, st
 _REMOVED = "u8 u4 u4"  # row, start, end
 _FETCH = "u8 u8 i8 u4 u1 u1"  # row, anchor, doc, place, strings, crowded
 _TEXT = "u8 i8 u4 u1"  # row, doc, bytes, doc is null
-_STRINGS = "u8 i8 u4 u4"  # row, doc, place, bytes
+_STRINGS = "u8 u4 i8 u4 u4"  # row, key (equal strings have equal ones), doc, place, bytes
 
 
 def _parts(data: np.ndarray) -> np.ndarray:
@@ -114,9 +121,60 @@ def _same_piece(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, later
 
 
-def _removals(n: int, columns: list[np.ndarray]):
+def _planes(values: np.ndarray) -> np.ndarray:
+    """The first bytes of all values, their second bytes and so on."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+
+
+def _of_planes(planes: np.ndarray) -> np.ndarray:
+    """Values whose bytes stand so."""
+    by_value = planes.view(np.uint8).reshape(planes.itemsize, -1).T
+    return np.ascontiguousarray(by_value).view(planes.dtype).ravel()
+
+
+def _squeezed(columns: list[np.ndarray]) -> bytes:
+    """Records of pieces, compressed: small parcels of plain ones take a quarter more room than large ones."""
+    anchor, piece, doc, row, place, *rest = columns
+    steps = np.diff(doc, prepend=np.int64(0))
+    return zstandard.compress(packed([anchor, piece, _planes(steps), row, _planes(place), *rest]), 1)
+
+
+def _loosened(records: bytes) -> list[np.ndarray]:
+    anchor, piece, steps, row, place, *rest = unpacked(zstandard.decompress(records), _PIECE)
+    return [anchor, piece, np.cumsum(_of_planes(steps)), row, _of_planes(place), *rest]
+
+
+def _whole(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Records of pieces as spans to remove."""
     row, place, count = columns[3:6]
-    return parcels(REMOVED, (row % np.uint64(n)).astype(np.int32), [row, place, place + count.astype(np.uint32) + np.uint32(LENGTH - 1)])
+    return [row, place, place + count.astype(np.uint32) + np.uint32(LENGTH - 1)]
+
+
+class _Outbox:
+    """Records by row, gathered until their parcels are worth a row each."""
+
+    def __init__(self, kind: int, types: str, rows: int):
+        self.kind, self.types, self.rows, self.held, self.size = kind, types, np.uint64(rows), [], 0
+
+    def add(self, columns: list[np.ndarray]):
+        if len(columns[0]):
+            self.held.append(columns)
+            self.size += sum(c.nbytes for c in columns)
+        if self.size > _RECORDS:
+            yield from self.send()
+
+    def send(self):
+        columns = joined(self.held, self.types)
+        self.held, self.size = [], 0
+        yield from parcels(self.kind, (columns[0] % self.rows).astype(np.int32), columns)
+
+
+def _received(batches):
+    """(kind, bucket, records, data) of one parcel after the other; data as a buffer."""
+    for batch in batches:
+        kinds, buckets, records, data = (batch.column(c) for c in ("kind", "bucket", "records", "data"))
+        for k in range(batch.num_rows):
+            yield kinds[k].as_py(), buckets[k].as_py(), records[k].as_py(), data[k].as_buffer()
 
 
 def _stretches(batch: pa.RecordBatch):
@@ -133,21 +191,29 @@ def _stretches(batch: pa.RecordBatch):
             yield doc, row, 0, data, offsets
 
 
-def _cut(n: int):
+def _cut(anchors: int, rows: int):
     """Pieces of a batch, _GATHERED bytes of text at a time. Of a piece that several documents have only the first one's is
     dealt; the others' are removed here."""
 
-    def send(found: list):
+    def send(found: list, removed: _Outbox):
         columns = joined(found, _PIECE)
         found.clear()
         _, later = _same_piece(columns)
-        yield from _removals(n, [c[later] for c in columns[:6]])
-        columns = [c[~later] for c in columns]
-        yield from parcels(PIECE, (columns[0] % np.uint64(n)).astype(np.int32), columns)
+        yield from removed.add(_whole([c[later] for c in columns[:6]]))
+        for k in range(len(columns)):
+            columns[k] = columns[k][~later]
+        bucket = (columns[0] % np.uint64(anchors)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        first = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1]))[: len(order)]
+        for at in range(0, len(first), _AT_ONCE):
+            own = np.split(order, first[1:])[at : at + _AT_ONCE]
+            rows = [_squeezed([c[o] for c in columns]) for o in own]
+            yield record(PARCEL, kind=[PIECE] * len(rows), bucket=[bucket[o[0]] for o in own], records=rows, data=[b""] * len(rows))
 
     def run(batches):
+        removed = _Outbox(REMOVED, _REMOVED, rows)
+        found, size = [], 0
         for batch in batches:
-            found, size = [], 0
             for doc, row, at, data, offsets in _stretches(batch):
                 anchor, piece, start, count, before, behind, inner = pieces(data, offsets)
                 owner = np.searchsorted(offsets, start, side="right") - 1
@@ -155,35 +221,32 @@ def _cut(n: int):
                 found.append([anchor, piece, doc[owner], row[owner], place, count.astype(np.uint8), before, behind, inner.astype(np.uint8)])
                 size += len(data)
                 if size > _GATHERED:
-                    yield from send(found)
+                    yield from send(found, removed)
                     size = 0
-            yield from send(found)
+        yield from send(found, removed)
+        yield from removed.send()
 
     return run
 
 
-def _compare(n: int):
+def _compare(rows: int):
     """Removes pieces that an earlier document has; asks for the text of those that only share an anchor with one."""
 
-    def run(batches):
-        found = []
-        for batch in batches:
-            for kind, bucket, records in zip(*(batch.column(c).to_pylist() for c in ("kind", "bucket", "records")), strict=True):
-                if kind == PIECE:
-                    found.append(unpacked(records, _PIECE))
-                else:
-                    yield record(PARCEL, kind=[kind], bucket=[bucket], records=[records], data=[b""])
+    def earliest(found: list, removed: _Outbox):
+        """The pieces in order; those that an earlier document among them has go out."""
         columns = joined(found, _PIECE)
         found.clear()
         order, later = _same_piece(columns)
-        yield from _removals(n, [c[later] for c in columns[:6]])
+        yield from removed.add(_whole([c[later] for c in columns[:6]]))
         order = order[~later[order]]
-        columns = [c[order] for c in columns]
+        found.append([c[order] for c in columns])
+
+    def asked(columns: list[np.ndarray]) -> list[np.ndarray]:
         before, behind = _shared_side(columns, 6), _shared_side(columns, 7)
         wanted = before | behind
         anchor, piece, doc, row, place, count, _, _, inner = (c[wanted] for c in columns)
         if not len(anchor):
-            return
+            return joined([], _FETCH)
         # Strings from SIDE bytes before the anchor on hold the side behind it, those up to there the one before it.
         turn = inner.astype(np.int64) - SIDE
         skip = np.where(before[wanted], 0, np.clip(turn, 0, count - 1))
@@ -192,7 +255,41 @@ def _compare(n: int):
         run = _runs(anchor)
         different = np.bincount(run, np.append(True, (piece[1:] != piece[:-1]) | (run[1:] != run[:-1])))
         crowded = (different > CROWD)[run].astype(np.uint8)
-        yield from parcels(FETCH, (row % np.uint64(n)).astype(np.int32), [row, anchor, doc, place, count, crowded])
+        return [row, anchor, doc, place, count, crowded]
+
+    def run(batches):
+        removed, fetch = _Outbox(REMOVED, _REMOVED, rows), _Outbox(FETCH, _FETCH, rows)
+        at, found, size, most = None, [], 0, _RECORDS
+        ready = []
+
+        def others():
+            """Parcels of pieces; what is removed already goes on as it is."""
+            for batch in batches:
+                done = pc.equal(batch.column("kind"), REMOVED)
+                if (passed := batch.filter(done)).num_rows:
+                    ready.append(passed)
+                yield batch.filter(pc.invert(done))
+
+        for _, bucket, records, _ in _received(others()):
+            yield from ready
+            ready.clear()
+            if bucket != at and found:
+                yield from earliest(found, removed)
+                yield from fetch.add(asked(found.pop()))
+                size, most = 0, _RECORDS
+            at = bucket
+            found.append(_loosened(records))
+            size += sum(c.nbytes for c in found[-1])
+            if size > most:  # a bucket with many pieces: copies go at once
+                yield from earliest(found, removed)
+                size = sum(c.nbytes for c in found[-1])
+                most = max(_RECORDS, 2 * size)
+        yield from ready
+        if found:
+            yield from earliest(found, removed)
+            yield from fetch.add(asked(found.pop()))
+        yield from removed.send()
+        yield from fetch.send()
 
     return run
 
@@ -212,18 +309,18 @@ def _shared_side(columns: list[np.ndarray], which: int) -> np.ndarray:
     return out
 
 
-def _texts(n: int):
+def _texts(rows_: int):
     """All texts, compressed, by the bucket of their row."""
 
     def run(batches):
         squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            for block in blocks(batch, "text", 4 * _STRETCH):
+            for block in blocks(batch, "text", _PACKED):
                 row = block.column("row").to_numpy(zero_copy_only=False).view(np.uint64)
                 doc, null = block.column("rank").to_numpy(zero_copy_only=False), block.column("null_id").to_numpy(zero_copy_only=False)
                 data, offsets = flat(block.column("text"))
                 data = data.tobytes()
-                bucket = (row % np.uint64(n)).astype(np.int32)
+                bucket = (row % np.uint64(rows_)).astype(np.int32)
                 rows = []
                 for b in np.unique(bucket):
                     own = np.flatnonzero(bucket == b)
@@ -237,20 +334,21 @@ def _texts(n: int):
 
 
 def _by_text(batches, types: str, use):
-    """Rows come with their records first: use(records by row, records of texts, data, offsets) for each parcel of texts."""
-    held, ready = [], None
-    for batch in batches:
-        for kind, records, data in zip(*(batch.column(c).to_pylist() for c in ("kind", "records", "data")), strict=True):
-            if kind != TEXT:
-                held.append(unpacked(records, types))
-                continue
-            if ready is None:
-                columns = joined(held, types)
-                order = np.lexsort((columns[1], columns[0]))
-                ready, held = [c[order] for c in columns], None
-            texts = unpacked(records, _TEXT)
-            data = np.frombuffer(zstandard.decompress(data, max_output_size=int(texts[2].sum()) + 1), np.uint8)
-            yield from use(ready, texts, data, np.append(0, np.cumsum(texts[2].astype(np.int64))))
+    """Each bucket comes with its records first: use(records by row, records of texts, data, offsets) for each parcel of texts."""
+    at, held, ready = None, [], None
+    for kind, bucket, records, data in _received(batches):
+        if bucket != at:
+            at, held, ready = bucket, [], None
+        if kind != TEXT:
+            held.append(unpacked(records, types))
+            continue
+        if ready is None:
+            columns = joined(held, types)
+            order = np.lexsort((columns[1], columns[0]))
+            ready, held = [c[order] for c in columns], []
+        texts = unpacked(records, _TEXT)
+        data = np.frombuffer(zstandard.decompress(data, max_output_size=int(texts[2].sum()) + 1), np.uint8)
+        yield from use(ready, texts, data, np.append(0, np.cumsum(texts[2].astype(np.int64))))
 
 
 def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -259,8 +357,9 @@ def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(start - ahead, length) + np.arange(length.sum())
 
 
-def _extract(n: int):
+def _extract(anchors: int):
     """The wanted pieces of text, by anchor; a task gathers them up to _HELD bytes and sends a parcel for each bucket."""
+    n = np.uint64(anchors)
 
     def cut(wanted, texts, data, offsets):
         row, anchor, doc, place, count, crowded = wanted
@@ -273,24 +372,28 @@ def _extract(n: int):
         back = np.repeat(single, count[which][single])
         whole = np.flatnonzero(crowded[which] == 0)
         hashes = Substrings(data).of(one_by_one, one_by_one + LENGTH) if len(single) else np.empty(0, np.uint64)
-        bucket = (np.concatenate([anchor[which][whole], hashes]) % np.uint64(n)).astype(np.int64)
+        dealt = np.concatenate([anchor[which][whole], hashes])
+        bucket, key = (dealt % n).astype(np.int64), (dealt // n).astype(np.uint32)
         start_, length_ = np.concatenate([start[whole], one_by_one]), np.concatenate([length[whole], np.full(len(back), LENGTH)])
         source = np.concatenate([whole, back])
         base = np.repeat(offsets[:-1], high - low)[source]
-        columns = [row[which][source], doc[which][source], (start_ - base).astype(np.uint32), length_.astype(np.uint32)]
+        columns = [row[which][source], key, doc[which][source], (start_ - base).astype(np.uint32), length_.astype(np.uint32)]
         return bucket, columns, data[_ranges(start_, length_)]
 
     def send(held):
         bucket = np.concatenate([b for b, _, _ in held])
         columns, text = joined([c for _, c, _ in held], _STRINGS), np.concatenate([t for _, _, t in held])
-        length = columns[3].astype(np.int64)
+        held.clear()
+        length = columns[4].astype(np.int64)
         start = np.cumsum(length) - length
         order = np.argsort(bucket, kind="stable")
         cuts = np.append(np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1])), len(order))
+        rows = []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             own = order[a:b]
             pieces_ = text[_ranges(start[own], length[own])].tobytes()
-            yield record(PARCEL, kind=[STRINGS], bucket=[int(bucket[own[0]])], records=[packed([c[own] for c in columns])], data=[pieces_])
+            rows.append((STRINGS, int(bucket[own[0]]), packed([c[own] for c in columns]), pieces_))
+        yield record(PARCEL, **dict(zip(PARCEL.names, zip(*rows, strict=True), strict=True)))
 
     def run(batches):
         held, size = [], 0
@@ -300,7 +403,7 @@ def _extract(n: int):
                 size += len(found[2])
             if size > _HELD:
                 yield from send(held)
-                held, size = [], 0
+                size = 0
         if held:
             yield from send(held)
 
@@ -321,13 +424,12 @@ class Shard:
 
     def __init__(self, data: np.ndarray, lengths: np.ndarray, docs: np.ndarray):
         offsets = np.append(0, np.cumsum(lengths))
-        self.text = np.repeat(np.arange(len(lengths)), lengths)
+        text = np.repeat(np.arange(len(lengths)), lengths)
         array, group = equal_prefix_groups(data, LENGTH)
-        fits = array + LENGTH <= offsets[self.text[array] + 1]
-        self.start, group = array[fits], group[fits]
-        self.group = _runs(group)
-        self.first = np.flatnonzero(np.append(True, self.group[1:] != self.group[:-1]))[: len(group)]
-        self.docs = docs[self.text[self.start]]
+        fits = array + LENGTH <= offsets[text[array] + 1]
+        self.start, self.group = array[fits], _runs(group[fits])
+        self.first = np.flatnonzero(np.append(True, self.group[1:] != self.group[:-1]))[: len(self.start)]
+        self.docs = docs[text[self.start]]
         self.least = np.minimum.reduceat(self.docs, self.first) if len(self.first) else self.docs
         self.data = data
 
@@ -362,44 +464,84 @@ def repeated_strings(data: np.ndarray, lengths: np.ndarray, docs: np.ndarray, sh
     return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
-def _first_of_equal(data: np.ndarray, length: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Whether no equal text of a smaller document is among the texts, by their hashes."""
+def _text_hashes(data: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Hashes of the texts, so many at a time."""
     end = np.cumsum(length)
-    found = Substrings(data).of(end - length, end)
-    order = np.lexsort((doc, found))
-    fresh = np.append(True, found[order][1:] != found[order][:-1])
-    least = doc[order][np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
-    first = np.empty(len(doc), bool)
-    first[order] = doc[order] == least
-    return first
+    out, at = np.empty(len(length), np.uint64), 0
+    while at < len(length):
+        low = end[at] - length[at]
+        to = max(at + 1, int(np.searchsorted(end, low + _STRETCH, side="right")))
+        out[at:to] = Substrings(data[low : end[to - 1]]).of(end[at:to] - length[at:to] - low, end[at:to] - low)
+        at = to
+    return out
 
 
-def _search(n: int, shard_bytes: int):
-    def run(batches):
-        records, texts = [], []
-        for batch in batches:
-            records += [unpacked(r, _STRINGS) for r in batch.column("records").to_pylist()]
-            texts += batch.column("data").to_pylist()
-        if not records:
-            return
-        row, doc, place, length = joined(records, _STRINGS)
-        data = np.frombuffer(b"".join(texts), np.uint8)
+def _search(rows: int, shard_bytes: int):
+    """Strings that a smaller document has too; so many buckets at a time that their texts fill a shard."""
+
+    def spans(columns: list[np.ndarray], data: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Texts that a smaller document has, and spans of the others, to remove."""
+        row, _, doc, place, length = columns
         length = length.astype(np.int64)
-        first = _first_of_equal(data, length, doc)
-        again = ~first
-        bucket = (row % np.uint64(n)).astype(np.int32)
-        yield from parcels(REMOVED, bucket[again], [row[again], place[again], place[again] + length[again].astype(np.uint32)])
-        data = data[np.repeat(first, length)]
-        row, doc, place, length, bucket = row[first], doc[first], place[first], length[first], bucket[first]
-        found = repeated_strings(data, length, doc, shard_bytes)
-        offsets = np.append(0, np.cumsum(length))
+        hashes = _text_hashes(data, length)
+        order = np.lexsort((doc, hashes))
+        run = _runs(hashes[order])
+        head = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+        later = doc[order] > doc[order][head][run]
+        gone = order[later]
+        whole = [row[gone], place[gone], place[gone] + length[gone].astype(np.uint32)]
+        # one of each text that is left; copies of it in rows of the same document get the same spans
+        members, run, one = order[~later], run[~later], order[head]
+        first = np.searchsorted(run, np.arange(len(one)))
+        copies = np.diff(np.append(first, len(run)))
+        start = (np.cumsum(length) - length)[one]
+        found = repeated_strings(data[_ranges(start, length[one])], length[one], doc[one], shard_bytes)
+        offsets = np.append(0, np.cumsum(length[one]))
         text = np.searchsorted(offsets, found, side="right") - 1
-        start = (found - offsets[text] + place[text]).astype(np.uint32)
+        start = (found - offsets[text]).astype(np.uint32)
         # neighbouring strings go as one span
         fresh = np.append(True, (text[1:] != text[:-1]) | (start[1:] != start[:-1] + 1))[: len(text)]
         head = np.flatnonzero(fresh)
         tail = np.append(head[1:], len(text))[: len(head)] - 1
-        yield from parcels(REMOVED, bucket[text[head]], [row[text[head]], start[head], start[tail] + np.uint32(LENGTH)])
+        owner = members[_ranges(first[text[head]], copies[text[head]])]
+        each = np.repeat(np.arange(len(head)), copies[text[head]])
+        low, high = start[head][each] + place[owner], start[tail][each] + place[owner] + np.uint32(LENGTH)
+        return whole, [row[owner], low, high]
+
+    def searched(records: list, texts: list):
+        columns, data = joined([r for _, r in records], _STRINGS), np.frombuffer(b"".join(texts), np.uint8)
+        bucket = np.repeat([b for b, _ in records], [len(r[0]) for _, r in records])
+        records.clear()
+        texts.clear()
+        # Strings with different buckets or keys differ: texts are worked on by key, as many as give MERGED shards.
+        order = np.lexsort((columns[1], bucket))
+        length = columns[4].astype(np.int64)
+        start = np.cumsum(length) - length
+        run, end = _runs(bucket[order], columns[1][order]), np.cumsum(length[order])
+        cuts = np.append(np.flatnonzero(np.append(True, run[1:] != run[:-1])), len(run))
+        upto, at = np.append(0, end)[cuts], 0
+        while at < len(cuts) - 1:
+            to = max(at + 1, int(np.searchsorted(upto, upto[at] + MERGED * shard_bytes, side="right")) - 1)
+            own = order[cuts[at] : cuts[to]]
+            yield from spans([c[own] for c in columns], data[_ranges(start[own], length[own])])
+            at = to
+
+    def run(batches):
+        removed = _Outbox(REMOVED, _REMOVED, rows)
+        at, records, texts, size = None, [], [], 0
+        for _, bucket, some, data in _received(batches):
+            if bucket != at and size >= shard_bytes:
+                for found in searched(records, texts):
+                    yield from removed.add(found)
+                size = 0
+            at = bucket
+            records.append((bucket, unpacked(some, _STRINGS)))
+            texts.append(data.to_pybytes())
+            size += len(texts[-1])
+        if records:
+            for found in searched(records, texts):
+                yield from removed.add(found)
+        yield from removed.send()
 
     return run
 
@@ -449,13 +591,13 @@ def remove_repeats(
     )
 
     def dealt(parcels_: DataFrame) -> DataFrame:
-        return parcels_.repartitionById(n, F.col("bucket"))
+        return parcels_.repartitionById(n, F.col("bucket") % n).sortWithinPartitions("bucket", F.desc("kind"))
 
-    compared = stored(dealt(rows.mapInArrow(_cut(n), PARCEL_DDL)).mapInArrow(_compare(n), PARCEL_DDL), "repeats")
-    texts = rows.mapInArrow(_texts(n), PARCEL_DDL)
-    first = lambda df: dealt(df).sortWithinPartitions(F.desc("kind"))
-    strings = first(compared.where(F.col("kind") == FETCH).union(texts)).mapInArrow(_extract(n), PARCEL_DDL)
-    searched = dealt(strings).mapInArrow(_search(n, shard_bytes), PARCEL_DDL)
+    anchors, by_row = (n * -(-least // n) for least in (ANCHORS, ROWS))  # as many for each task
+    compared = stored(dealt(rows.mapInArrow(_cut(anchors, by_row), PARCEL_DDL)).mapInArrow(_compare(by_row), PARCEL_DDL), "repeats")
+    texts = rows.mapInArrow(_texts(by_row), PARCEL_DDL)
+    strings = dealt(compared.where(F.col("kind") == FETCH).union(texts)).mapInArrow(_extract(anchors), PARCEL_DDL)
+    searched = dealt(strings).mapInArrow(_search(by_row, shard_bytes), PARCEL_DDL)
     removed = compared.where(F.col("kind") == REMOVED).union(searched)
-    result = first(removed.union(texts)).mapInArrow(_finish(with_text), _RESULT_DDL)
+    result = dealt(removed.union(texts)).mapInArrow(_finish(with_text), _RESULT_DDL)
     return result if with_text else result.drop("kept")
