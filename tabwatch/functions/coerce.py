@@ -46,7 +46,11 @@ def to_numeric(col: Column) -> Column:
     A double parse also takes Java type suffixes (`1d`, `1f`), hexadecimal floats and `NaN`, and
     overflows to infinity; none of these is a number here. A written infinity is kept.
     """
-    text = strip(col.cast("string"))
+    return stripped_to_numeric(strip(col.cast("string")))
+
+
+def stripped_to_numeric(text: Column) -> Column:
+    """to_numeric of a text without white space around it."""
     value = text.try_cast("double")
     written_inf = F.lower(text).isin("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
     java_only = F.lower(F.right(text, F.lit(1))).isin("d", "f") | F.lower(text).contains("x")

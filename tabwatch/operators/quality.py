@@ -14,7 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwatch.functions.coerce import is_blank, is_non_numeric, to_numeric
+from tabwatch.functions.coerce import is_blank, is_non_numeric, strip, stripped_to_numeric, to_numeric
 from tabwatch.schema import DatasetContract, MonitorConfig
 from tabwatch.session import stored
 
@@ -340,13 +340,21 @@ def row_violations(
     """Adds `violations`, the sorted input-contract breaches of each row.
 
     Every feature is required except the optional ones; numerics must be numbers >= 0, the listed
-    integers without a fractional part.
+    integers without a fractional part. Each text is stripped and parsed once: Spark writes projected expressions out
+    wherever a filter on `violations` names them, but not those of a generator.
     """
     found = []
+    numeric = [c for c in contract.features if c in contract.numeric_columns]
+    names = {c: (f"_violations_text_{k}", f"_violations_value_{k}") for k, c in enumerate(numeric)}
+    rows = df
+    if numeric:
+        once = lambda columns: F.inline(F.array(F.struct(*columns)))
+        rows = rows.select("*", once([strip(F.col(f"`{c}`").cast("string")).alias(names[c][0]) for c in numeric]))
+        rows = rows.select("*", once([stripped_to_numeric(F.col(names[c][0])).alias(names[c][1]) for c in numeric]))
     for c in contract.features:
         col = F.col(f"`{c}`")
         if c in contract.numeric_columns:
-            value = to_numeric(col)
+            value = F.col(names[c][1])
             absent = F.lit(None).cast("string") if c in optional else F.lit(f"{c}: required")
             check = F.when(col.isNull(), absent).when(value.isNull(), f"{c}: not a number").when(value < 0, f"{c}: negative")
             if c in integers:
@@ -354,7 +362,8 @@ def row_violations(
         else:
             check = F.when(col.isNull(), f"{c}: required")
         found.append(check)
-    return df.withColumn("violations", F.array_sort(F.filter(F.array(*found), lambda v: v.isNotNull())))
+    checked = rows.withColumn("violations", F.array_sort(F.filter(F.array(*found), lambda v: v.isNotNull())))
+    return checked.drop(*[n for pair in names.values() for n in pair])
 
 
 def split_by_violations(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

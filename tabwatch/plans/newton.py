@@ -18,6 +18,8 @@ from pyspark.ml.util import Identifiable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwatch.session import stored
+
 #: Wider problems are left to Spark's own solver of the same problem: sums of a task would be above 1 MB.
 MAX_COLUMNS = 256
 #: Steps stop when the loss has no more than this part of itself left to gain, the last one taken.
@@ -102,5 +104,6 @@ class NewtonLogisticRegression:
         first = rows.select("features").head()
         if first is None or not 0 < first["features"].size <= MAX_COLUMNS:
             return self.wide.fit(rows)
-        plain = rows.select(F.col("label").cast("double"), F.col(self.weight).cast("double"), vector_to_array("features"))
+        plain = rows.select(F.col("label").cast("double"), F.col(self.weight).cast("double").alias("weight"), vector_to_array("features").alias("features"))
+        plain = stored(plain, "encoded")  # encoding a row takes longer than a pass over it
         return model_of(rows.sparkSession, solve(plain, first["features"].size, self.penalty, self.max_iter)[0])

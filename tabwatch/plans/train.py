@@ -21,6 +21,7 @@ from tabwatch.operators.features import HASHED_POSITIONS, FeatureSpec, FittedSta
 from tabwatch.operators.split import class_weights, stratified_split
 from tabwatch.plans.newton import NewtonLogisticRegression
 from tabwatch.schema import ALGORITHMS, METRICS, RUNS, DatasetContract, TrainingConfig
+from tabwatch.session import stored
 from tabwatch.sources import tables
 
 PREPROCESSING = "numeric: median-impute + standard-scale; categorical: most-frequent-impute + one-hot"  # fixed value
@@ -194,8 +195,8 @@ def train_models(
 ) -> TrainingOutcome:
     """Splits, fits the preprocessing on the training fold only, trains and evaluates each algorithm.
 
-    The typed, split rows are the only thing kept, on memory and disk: every later step reads them,
-    and the encoding is cheap to repeat. The small report is taken out before they are released.
+    The typed, split rows are kept, on memory and disk, as every later step reads them. Held-out rows are encoded and
+    scored once for the report, which is small and taken out before the rows are released.
     """
     check_algorithms(algorithms)
     key = list(key or [spec.contract.id_column])
@@ -227,7 +228,7 @@ def train_models(
                 vector_to_array("probability")[1].alias("probability"),
             )
             scored = held_out if scored is None else scored.unionByName(held_out)
-        report = evaluate.evaluation_report(scored, ["algorithm", "split"])
+        report = evaluate.evaluation_report(stored(scored, "held-out"), ["algorithm", "split"])
         # Two rows per algorithm: taken to the driver so that the result outlives the kept rows.
         fixed = raw.sparkSession.createDataFrame(report.collect(), report.schema)
         sizes = {r["split"]: r["count"] for r in parts.groupBy("split").count().collect()}

@@ -172,3 +172,17 @@ def test_row_violations(spark, contract):
     assert out == [["depth: not an integer"], ["depth: negative", "flow: not a number", "soil: required"], []]
     accepted, rejected = quality.split_by_violations(checked)
     assert (accepted.count(), rejected.count()) == (1, 2)
+
+
+def test_row_violations_parse_a_text_once(spark, contract):
+    """A filter on the violations must not repeat the parsing for each check that needs the value."""
+    df = frame(spark, [{"depth": "  2 ", "soil": "p", "flow": " "}, {"depth": "1f", "soil": "p"}, {"depth": None, "soil": "p", "flow": "-0x1"}, {"depth": "-inf", "soil": "p"}])
+    checked = quality.row_violations(df, contract, integers=["depth"], optional=["flow"])
+    assert checked.columns == [*df.columns, "violations"]
+    accepted, rejected = quality.split_by_violations(checked)
+    for part in (accepted, rejected):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("trim(") == len(contract.numeric_columns)
+    assert {r["depth"]: r["violations"] for r in rejected.collect()} == {
+        None: ["depth: required", "flow: not a number"], "  2 ": ["flow: not a number"], "-inf": ["depth: negative"], "1f": ["depth: not a number"],
+    }

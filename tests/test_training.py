@@ -203,3 +203,24 @@ def test_publish_and_latest(spark):
         tables.latest(spark, root)
     assert tables.publish(spark.range(3), root) == 1 and tables.publish(tables.latest(spark, root).where("id > 0"), root) == 2
     assert tables.latest(spark, root).count() == 2
+
+
+def test_encoded_and_held_out_rows_are_made_once(spark, monkeypatch):
+    """The passes of the solver and the steps of the report read stored rows; none repeats the encoding."""
+    seen = {}
+
+    def passes(rows, *a, solve=newton.solve):
+        seen["encoded"] = rows
+        return solve(rows, *a)
+
+    def report(scored, *a, real=train.evaluate.evaluation_report):
+        seen["held out"] = scored
+        return real(scored, *a)
+
+    monkeypatch.setattr(newton, "solve", passes)
+    monkeypatch.setattr(train.evaluate, "evaluation_report", report)
+    sizes = train.train_models(synthetic_churn(spark, 200), CHURN_FEATURES, FAST, algorithms=["logistic_regression"]).sizes
+    assert seen["encoded"].count() == sizes["train"] and seen["held out"].count() == sizes["val"] + sizes["test"]
+    for rows in seen.values():
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "Relation" in plan and "UDF" not in plan and "InMemoryRelation" not in plan
