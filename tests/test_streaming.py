@@ -3,12 +3,14 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tabwatch.operators import drift
+from tabwatch.queries.feature_queries import SPEC
 from tabwatch.schema import ID, TARGET, ColumnSpec, DatasetContract, MonitorConfig, categories, numbers
 from tabwatch.session import new_workspace
-from tabwatch.streaming import counts, ingest, limiter, sink
+from tabwatch.streaming import counts, ingest, limiter, scoring, sink
 from tabwatch.streaming import drift as stream_drift
 
 T0 = datetime.datetime(2024, 1, 1)
@@ -235,3 +237,38 @@ def test_ingest_stream_reads_each_files_own_header(spark, contract):
 def test_watermark_option_is_required_type(spark):
     with pytest.raises(Exception):
         limiter.limit_attempts(attempts_frame(spark, []), watermark="not a duration")
+
+
+class _Even:
+    """Stands for a model: the positive class at a chance of one half."""
+
+    def transform(self, rows):
+        return rows.withColumns({"prediction": F.lit(1.0), "probability": array_to_vector(F.array(F.lit(0.5), F.lit(0.5)))})
+
+
+def test_scored_micro_batches_parse_a_text_once(spark, monkeypatch):
+    """Both outputs of a micro-batch: every record once, and no check repeats the parsing of a text."""
+    root, plans = new_workspace(spark, "score-test"), []
+    rows = [("a", " 1", "2.5", "3", "f", "s"), ("b", "1.5", "2.5", "3", "f", "s"), ("c", "1", None, "x", "f", None), ("d", "4", "0", None, "f", "s"), ("e", "2d", "-1", "", "f", "s")]
+    schema = "row_key string, quantity string, unit string, total string, flag string, status string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{root}/in")
+
+    def seen(*a, real=scoring.score, **b):
+        out = real(*a, **b)
+        plans.extend(d._jdf.queryExecution().optimizedPlan().toString() for d in out)
+        return out
+
+    monkeypatch.setattr(scoring, "score", seen)
+    scoring.score_stream(
+        spark.readStream.schema(schema).parquet(f"{root}/in"), _Even(), SPEC, f"{root}/out", f"{root}/checkpoint", model_version_id="v",
+        record_key=["row_key"], integers=["quantity"],
+    ).awaitTermination()
+    refused = {r["row_key"]: r["violations"] for r in spark.read.parquet(f"{root}/out/rejected").collect()}
+    assert refused == {
+        "b": ["quantity: not an integer"], "c": ["status: required", "total: not a number", "unit: required"],
+        "e": ["quantity: not a number", "total: not a number", "unit: negative"],
+    }
+    log = spark.read.parquet(f"{root}/out/predictions").select("input_features.*", "prediction").collect()
+    assert sorted((r["quantity"], r["total"], r["prediction"]) for r in log if r["total"]) == [(1.0, 3.0, "Yes")] and len(log) == 2
+    filters = [line for plan in plans for line in plan.splitlines() if "Filter" in line and "required" in line]
+    assert len(filters) == len(plans) >= 2 and all("trim(" not in line for line in filters)
